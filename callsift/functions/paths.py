@@ -13,7 +13,7 @@ def base_name(path: Column) -> Column:
 def call_id_from_path(path: Column) -> Column:
     """File name without its last suffix and without one trailing ``_transcript``."""
     stem = F.regexp_replace(base_name(path), r"(?s)^(.+)\.[^.]+$", "$1")
-    return F.regexp_replace(stem, "_transcript$", "")
+    return F.regexp_replace(stem, r"_transcript\z", "")
 
 
 def category_from_path(path: Column, root: str) -> Column:
@@ -27,7 +27,7 @@ def category_from_path(path: Column, root: str) -> Column:
 def derive_run_id(key: Column) -> Column:
     """Shard name as a run id; equal names in different folders share one run."""
     name = base_name(key)
-    for suffix in (r"\.gz$", r"\.jsonl$", r"\.json$"):
+    for suffix in (r"\.gz\z", r"\.jsonl\z", r"\.json\z"):
         name = F.regexp_replace(name, suffix, "")
     name = F.substring(F.regexp_replace(name, "[^A-Za-z0-9_-]+", "-"), 1, 128)
     return F.coalesce(F.nullif(name, F.lit("")), F.lit("unknown"))
