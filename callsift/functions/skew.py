@@ -36,17 +36,21 @@ def rank_values(
     value: str,
     ranks: dict[str, Column],
     bucket: Column,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact order statistics per group: ``keys``, ``group_rows`` and one column per rank.
 
     ``ranks`` maps a name to a 0-based rank written over the column ``group_rows``. Rows are first
     collapsed to (keys, value, count), then to counts per ``bucket`` (a monotone, coarse function of
     ``value``). Only the buckets that hold a wanted rank are looked into, so no task sees more than
-    one bucket of one group.
+    one bucket of one group. With ``weight``, ``df`` already has one row per (keys, value) and that
+    column holds its count.
     """
-    counts = (
-        df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_bucket", bucket)
-    )
+    if weight:
+        collapsed = df.withColumnRenamed(weight, "_n")
+    else:
+        collapsed = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = collapsed.withColumn("_bucket", bucket)
     whole = Window.partitionBy(*keys)
     running = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = (

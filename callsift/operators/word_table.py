@@ -59,20 +59,23 @@ def confidence_features(words: DataFrame) -> DataFrame:
     scored = words.select(
         "call_id", F.coalesce(F.col("confidence").cast("double"), F.lit(0.0)).alias("confidence")
     )
-    simple = scored.groupBy("call_id").agg(
-        F.count(F.lit(1)).alias("word_count"),
-        F.avg("confidence").alias("word_confidence_mean"),
+    counts = scored.groupBy("call_id", "confidence").agg(F.count(F.lit(1)).alias("n"))
+    low = F.when(F.col("confidence") < LOW_CONFIDENCE, F.col("n")).otherwise(0)
+    simple = counts.groupBy("call_id").agg(
+        F.sum("n").alias("word_count"),
+        (F.sum(F.col("confidence") * F.col("n")) / F.sum("n")).alias("word_confidence_mean"),
         F.min("confidence").alias("word_confidence_min"),
-        (F.count_if(F.col("confidence") < LOW_CONFIDENCE) / F.count(F.lit(1))).alias("low_confidence_word_pct"),
+        (F.sum(low) / F.sum("n")).alias("low_confidence_word_pct"),
     )
     span = (F.col("group_rows") - 1) * 10
     below = F.floor(span / 100)
     ranks = rank_values(
-        scored,
+        counts,
         ["call_id"],
         "confidence",
         {"low": below, "high": F.least(below + 1, F.col("group_rows") - 1)},
         bucket=F.floor(F.col("confidence") * BUCKETS_PER_UNIT),
+        weight="n",
     )
     part = (span % 100).cast("double")
     p10 = ranks.select(
