@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Executors need no installed copy of this module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -53,7 +54,10 @@ def canonical_or_error(text: str) -> tuple[str | None, str | None]:
         return None, f"json_parse_error: {type(error).__name__}: {str(error)[:DETAIL_CHARS]}"
 
 
-@F.pandas_udf("canonical string, error string")
+_OPINION = T.StructType([T.StructField("canonical", T.StringType()), T.StructField("error", T.StringType())])
+
+
+@F.pandas_udf(_OPINION)
 def _second_opinion(texts: pd.Series) -> pd.DataFrame:
     rows = [(None, None) if text is None else canonical_or_error(text) for text in texts]
     return pd.DataFrame(rows, columns=["canonical", "error"], dtype="object")

@@ -42,11 +42,12 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+def materialize(df: DataFrame, purpose: str, reader: SparkSession | None = None) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
-    path = work_dir(df.sparkSession, purpose)
+    spark = reader or df.sparkSession
+    path = work_dir(spark, purpose)
     df.write.mode("error").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:

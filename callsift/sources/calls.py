@@ -19,7 +19,7 @@ SMOKE_CALLS = 25
 
 def decoded_path(path: Column) -> Column:
     """File paths in metadata are percent-encoded; a plus sign in them is a plus sign."""
-    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    return F.try_url_decode(F.regexp_replace(F.replace(path, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
 def read_lines(spark: SparkSession, path, glob: str | None = SHARD_SUFFIX) -> DataFrame:
@@ -32,10 +32,10 @@ def read_lines(spark: SparkSession, path, glob: str | None = SHARD_SUFFIX) -> Da
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """One row per line with ``line_error`` null for usable calls.
+    """One normalized row per line; ``line_error`` is null for usable calls.
 
     A line is usable when it is one JSON object with a string call_id and a transcript that is
-    absent, null, a string or an object.
+    absent, null, a string or an object. Columns next to ``value`` pass through.
     """
     doc = F.col("doc")
     parsed = parse_json_strict(lines, "value").withColumns(
@@ -55,12 +55,14 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         .when(F.col("call_id").isNull(), F.lit("missing call_id"))
         .when(~(kind.isin("STRING", "VOID") | kind.startswith("OBJECT")), F.lit("unusable transcript"))
     )
-    return parsed.withColumn("line_error", problem).drop("doc", "parse_error")
+    judged = parsed.withColumn("line_error", problem).withColumn(
+        "value", F.when(F.col("line_error").isNotNull(), F.col("value"))
+    )
+    return normalize_transcript(judged).drop("doc", "parse_error")
 
 
 def usable_calls(parsed: DataFrame) -> DataFrame:
-    """The usable lines as normalized calls."""
-    return normalize_transcript(parsed.filter(F.col("line_error").isNull())).drop("line_error", "value")
+    return parsed.filter(F.col("line_error").isNull()).drop("line_error", "value")
 
 
 def bad_lines(parsed: DataFrame) -> DataFrame:
@@ -124,10 +126,10 @@ def read_transcript_files(spark: SparkSession, root: str, glob: str = "*.json")
     return calls_from_documents(files, root)
 
 
-def build_corpus(spark: SparkSession, root: str, out: str) -> DataFrame:
+def build_corpus(spark: SparkSession, root: str, out: str, glob: str = CORPUS_SHARDS) -> DataFrame:
     """All shards as one line corpus, written once: an existing corpus is left alone."""
     lines = (
-        spark.read.option("pathGlobFilter", CORPUS_SHARDS)
+        spark.read.option("pathGlobFilter", glob)
         .text(root)
         .select(
             "value",

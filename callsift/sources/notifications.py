@@ -14,6 +14,11 @@ def _text(doc: Column, path: str) -> Column:
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
+def decoded_key(key: Column) -> Column:
+    """Plus signs are spaces; a percent sign without two hex digits stands for itself."""
+    return F.try_url_decode(F.regexp_replace(key, "%(?![0-9A-Fa-f]{2})", "%25"))
+
+
 def parse_notifications(messages: DataFrame, body: str = "body") -> DataFrame:
     """Adds kind (object, test, unknown), bucket, object_key and run_id.
 
@@ -47,9 +52,7 @@ def parse_notifications(messages: DataFrame, body: str = "body") -> DataFrame:
                 "bucket": F.when(is_object, F.col("_bucket")),
                 "object_key": F.when(
                     is_object,
-                    F.coalesce(
-                        F.try_url_decode("_key"), F.replace(F.col("_key"), F.lit("+"), F.lit(" "))
-                    ),
+                    decoded_key(F.col("_key")),
                 ),
             }
         )

@@ -108,14 +108,14 @@ class Warehouse:
         """One or many rows to the run log or the measurements, cast to the declared types."""
         conform(df, STORED[name]).write.mode("append").parquet(self.path(name))
 
-    def committed_ids(self, run_ids: list[str] | None = None, but_not_batch: str | None = None) -> DataFrame:
-        """Successful (run_id, call_id); ``run_ids`` prunes partitions, ``but_not_batch`` leaves out
-        what an earlier try of the same batch wrote."""
+    def committed_ids(self, run_ids: list[str] | None = None, but_not: list[str] = ()) -> DataFrame:
+        """Successful (run_id, call_id); ``run_ids`` prunes partitions, ``but_not`` names batches to
+        leave out: what an earlier try of the same work wrote."""
         rows = self.read(CALLS)
         if run_ids is not None:
             rows = rows.filter(F.col("run_id").isin(run_ids))
-        if but_not_batch is not None:
-            rows = rows.filter(F.col("ingest_batch") != but_not_batch)
+        if but_not:
+            rows = rows.filter(~F.col("ingest_batch").isin(list(but_not)))
         return committed_ids(rows)
 
     def start_runs(self, runs: DataFrame) -> None:
