@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callsift.functions.json_strict import parse_json_strict
+from callsift.functions.stages import settle
 from callsift.functions.text import WS
 from callsift.schemas import LEAVES, SECTIONS, Leaf, section_leaves
 
@@ -22,75 +23,100 @@ def _as_text(leaf: Column) -> Column:
     return F.try_variant_get(leaf, "$", "string")
 
 
-def _number(leaf: Column) -> Column:
-    return F.try_variant_get(leaf, "$", "double")
+def _check(leaf: Column) -> Column:
+    """One leaf with its rule -> its value in the field of its kind, and what is wrong with it.
 
-
-def _is_number(kind: Column) -> Column:
-    return (kind == "BIGINT") | kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
-
-
-def _score(leaf: Column, kind: Column) -> Column:
-    digits = F.regexp_replace(F.regexp_extract(_as_text(leaf), INTEGER_TEXT, 1), "_", "")
-    number = _number(leaf)
-    value = (
-        F.when(_is_number(kind) & (number == F.floor(number)), number)
-        .when(kind == "STRING", digits.try_cast("double"))
-        .when((kind == "BOOLEAN") & (_as_text(leaf) == "true"), F.lit(1.0))
+    Written once over all leaves rather than once per leaf, which keeps the plan small.
+    """
+    source, kind = leaf["source"], leaf["kind"]
+    found = F.schema_of_variant(source)
+    text = _as_text(source)
+    is_text = found == "STRING"
+    is_number = (found == "BIGINT") | found.startswith("DECIMAL") | found.isin("DOUBLE", "FLOAT")
+    number = F.try_variant_get(source, "$", "double")
+    truth = F.try_variant_get(source, "$", "boolean")
+
+    digits = F.regexp_replace(F.regexp_extract(text, INTEGER_TEXT, 1), "_", "")
+    whole = (
+        F.when(is_number & (number == F.floor(number)), number)
+        .when(is_text, digits.try_cast("double"))
+        .when((found == "BOOLEAN") & truth, F.lit(1.0))
+    )
+    score = F.when((kind == "score") & whole.between(LOWEST, HIGHEST), whole.cast("tinyint"))
+
+    word = F.lower(text)
+    flag = F.when(
+        kind == "flag",
+        F.when(found == "BOOLEAN", truth)
+        .when(is_number & number.isin(0.0, 1.0), number == 1.0)
+        .when(is_text & word.isin(*TRUE_WORDS), F.lit(True))
+        .when(is_text & word.isin(*FALSE_WORDS), F.lit(False)),
+    )
+    string = F.when(
+        is_text & ((kind == "text") | ((kind == "choice") & F.array_contains(leaf["choices"], text))), text
+    )
+    items = F.when(kind == "texts", F.try_variant_get(source, "$", "array<variant>"))
+    all_text = F.forall(items, lambda item: F.schema_of_variant(item) == "STRING")
+    texts = F.when((F.size(items) <= leaf["cap"]) & all_text, F.transform(items, _as_text))
+
+    value = F.struct(score.alias("score"), flag.alias("flag"), string.alias("text"), texts.alias("texts"))
+    nothing = score.isNull() & flag.isNull() & string.isNull() & texts.isNull()
+    allowed_null = leaf["nullable"] & F.is_variant_null(source)
+    problem = F.when(source.isNull(), F.when(leaf["required"], F.lit("missing"))).when(
+        nothing & ~allowed_null, leaf["expected"]
+    )
+    return F.struct(
+        value.alias("value"),
+        F.when(leaf["present"] & problem.isNotNull(), F.concat(leaf["path"], F.lit(": "), problem)).alias("problem"),
     )
-    return F.when(value.between(LOWEST, HIGHEST), value.cast("tinyint"))
 
 
-def _flag(leaf: Column, kind: Column) -> Column:
-    word, number = F.lower(_as_text(leaf)), _number(leaf)
-    return (
-        F.when(kind == "BOOLEAN", F.try_variant_get(leaf, "$", "boolean"))
-        .when(_is_number(kind) & number.isin(0.0, 1.0), number == 1.0)
-        .when((kind == "STRING") & word.isin(*TRUE_WORDS), F.lit(True))
-        .when((kind == "STRING") & word.isin(*FALSE_WORDS), F.lit(False))
-    )
+def _expected(leaf: Leaf) -> str:
+    return {
+        "score": f"not an integer from {LOWEST} to {HIGHEST}",
+        "flag": "not a boolean",
+        "text": "not a string",
+        "choice": "not one of " + ", ".join(leaf.choices),
+        "texts": f"not a list of at most {leaf.cap} strings",
+    }[leaf.kind]
 
 
-def _texts(leaf: Column, cap: int) -> Column:
-    items = F.try_variant_get(leaf, "$", "array<variant>")
-    valid = (F.size(items) <= cap) & F.forall(items, lambda x: F.schema_of_variant(x) == "STRING")
-    return F.when(valid, F.transform(items, _as_text))
+def _sql(value) -> str:
+    """A fixed value of the rule table as a SQL literal."""
+    if value is None:
+        return "null"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, int):
+        return str(value)
+    if isinstance(value, tuple):
+        return "cast(array(" + ", ".join(_sql(v) for v in value) + ") as array<string>)"
+    return "'" + value.replace("'", "''") + "'"
 
 
-def _parsed(leaf: Leaf, source: Column) -> Column:
-    kind = F.schema_of_variant(source)
-    if leaf.kind == "score":
-        return _score(source, kind)
-    if leaf.kind == "flag":
-        return _flag(source, kind)
-    if leaf.kind == "texts":
-        return _texts(source, leaf.cap)
-    text = F.when(kind == "STRING", _as_text(source))
-    return F.when(text.isin(*leaf.choices), text) if leaf.kind == "choice" else text
+def _holder(leaf: Leaf) -> str:
+    return f"_{leaf.section}" if leaf.section else "_top"
 
 
-def _default(leaf: Leaf) -> Column:
-    if leaf.kind == "texts":
-        return F.array().cast(leaf.spark_type)
-    return F.lit(leaf.default).cast(leaf.spark_type)
+def _rule(leaf: Leaf) -> str:
+    fields = {
+        "path": leaf.path,
+        "kind": leaf.kind,
+        "required": leaf.required,
+        "nullable": leaf.nullable,
+        "choices": leaf.choices,
+        "cap": leaf.cap,
+        "expected": _expected(leaf),
+    }
+    fixed = ", ".join(f"'{name}', {_sql(value)}" for name, value in fields.items())
+    holder = _holder(leaf)
+    return f"named_struct({fixed}, 'present', {holder} is not null, 'source', {holder}.{leaf.name})"
 
 
-def _problem(leaf: Leaf, source: Column, value: Column, present: Column) -> Column:
-    expected = {
-        "score": f"not an integer from {LOWEST} to {HIGHEST}",
-        "flag": "not a boolean",
-        "text": "not a string",
-        "choice": "not one of " + ", ".join(leaf.choices),
-        "texts": f"not a list of at most {leaf.cap} strings",
-    }[leaf.kind]
-    wrong = source.isNotNull() & value.isNull()
-    if leaf.nullable:
-        wrong = wrong & ~F.is_variant_null(source)
-    missing = F.lit(leaf.required) & source.isNull()
-    return (
-        F.when(present & wrong, F.lit(f"{leaf.path}: {expected}"))
-        .when(present & missing, F.lit(f"{leaf.path}: missing"))
-    )
+def _filled(place: int, leaf: Leaf) -> str:
+    field = {"choice": "text"}.get(leaf.kind, leaf.kind)
+    default = f"cast({_sql(leaf.default)} as {leaf.spark_type.simpleString()})"
+    return f"'{leaf.name}', if({_holder(leaf)}.{leaf.name} is null, {default}, _checks[{place}].value.{field})"
 
 
 def _variants(names) -> str:
@@ -116,38 +142,34 @@ def validate_extraction(
         }
     )
 
-    def source(leaf: Leaf) -> Column:
-        return F.col(f"_{leaf.section}.{leaf.name}" if leaf.section else f"_top.{leaf.name}")
-
-    def holder(leaf: Leaf) -> Column:
-        return F.col(f"_{leaf.section}" if leaf.section else "_top")
-
-    values = {f"_value_{i}": _parsed(leaf, source(leaf)) for i, leaf in enumerate(LEAVES)}
-    parsed = level2.withColumns(values)
+    # The parts repeated per leaf are SQL text: one parse instead of a call per expression.
+    rules = F.expr("array(" + ", ".join(_rule(leaf) for leaf in LEAVES) + ")")
+    structure = F.array(
+        F.when(F.col("_top").isNull(), F.lit("document: not an object")),
+        *[
+            F.when(F.col("_top").isNotNull() & F.col(f"_{s}").isNull(), F.lit(f"{s}: missing or not an object"))
+            for s in SECTIONS
+        ],
+    )
+    checked = level2.withColumn("_checks", F.transform(rules, _check))
+    problems = F.array_compact(F.concat(structure, F.transform("_checks", lambda c: c["problem"])))
+    listed = checked.withColumn("_problems", problems)
 
-    problems = [F.when(F.col("_top").isNull(), F.lit("document: not an object"))]
-    problems += [
-        F.when(F.col("_top").isNotNull() & F.col(f"_{s}").isNull(), F.lit(f"{s}: missing or not an object"))
-        for s in SECTIONS
+    places = list(enumerate(LEAVES))
+    parts = [
+        f"'{s}', named_struct(" + ", ".join(_filled(i, x) for i, x in places if x.section == s) + ")" for s in SECTIONS
     ]
-    filled = {}
-    for i, leaf in enumerate(LEAVES):
-        value = F.col(f"_value_{i}")
-        problems.append(_problem(leaf, source(leaf), value, holder(leaf).isNotNull()))
-        filled[leaf.path] = F.when(source(leaf).isNull(), _default(leaf)).otherwise(value).alias(leaf.name)
-    typed = F.struct(
-        *[F.struct(*[filled[x.path] for x in section_leaves(s)]).alias(s) for s in SECTIONS],
-        *[filled[x.path] for x in top_leaves],
-    )
-    listed = parsed.withColumn("_problems", F.array_compact(F.array(*problems)))
+    parts += [_filled(i, x) for i, x in places if x.section is None]
+    typed = F.expr("named_struct(" + ", ".join(parts) + ")")
     count = F.size("_problems")
     message = F.concat(count.cast("string"), F.lit(" invalid: "), F.array_join("_problems", "; "))
-    return (
-        listed.withColumn(
-            error, F.when(count > 0, F.concat(F.lit("validation_error: "), F.left(message, F.lit(MESSAGE_CHARS))))
-        )
-        .withColumn(out, F.when(count == 0, typed))
-        .drop("_top", "_problems", *[f"_{s}" for s in SECTIONS], *values)
+    return settle(
+        listed,
+        {
+            out: F.when(count == 0, typed),
+            error: F.when(count > 0, F.concat(F.lit("validation_error: "), F.left(message, F.lit(MESSAGE_CHARS)))),
+        },
+        drop=["_top", "_checks", "_problems", *[f"_{s}" for s in SECTIONS]],
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from callsift.functions.json_strict import parse_json_strict
 from callsift.functions.paths import call_id_from_path, category_from_path
+from callsift.functions.stages import settle
 from callsift.operators.prepare import normalize_transcript
 from callsift.session import spread
 
@@ -58,7 +59,10 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     judged = parsed.withColumn("line_error", problem).withColumn(
         "value", F.when(F.col("line_error").isNotNull(), F.col("value"))
     )
-    return normalize_transcript(judged).drop("doc", "parse_error")
+    fresh = ["value", "call_id", "source_path", "category_path", "text", "words", "audio_duration", "confidence", "line_error"]
+    return settle(
+        normalize_transcript(judged), {name: F.col(name) for name in fresh}, drop=["doc", "parse_error"]
+    )
 
 
 def usable_calls(parsed: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from callsift.functions.json_strict import parse_json_strict
 from callsift.functions.paths import derive_run_id
+from callsift.functions.stages import settle
 
 
 def _text(doc: Column, path: str) -> Column:
@@ -46,16 +47,15 @@ def parse_notifications(messages: DataFrame, body: str = "body") -> DataFrame:
         .otherwise("unknown"),
     )
     is_object = F.col("kind") == "object"
-    return (
-        found.withColumns(
-            {
-                "bucket": F.when(is_object, F.col("_bucket")),
-                "object_key": F.when(
-                    is_object,
-                    decoded_key(F.col("_key")),
-                ),
-            }
-        )
-        .withColumn("run_id", F.when(is_object, derive_run_id(F.col("object_key"))))
-        .drop("_outer", "_outer_error", "_inner", "_inner_error", "_wrapped", "_message", "_event", "_bucket", "_key")
+    named = found.withColumn("object_key", F.when(is_object, decoded_key(F.col("_key"))))
+    scratch = ["_outer", "_outer_error", "_inner", "_inner_error", "_wrapped", "_message", "_event", "_bucket", "_key"]
+    return settle(
+        named,
+        {
+            "kind": F.col("kind"),
+            "bucket": F.when(is_object, F.col("_bucket")),
+            "object_key": F.col("object_key"),
+            "run_id": F.when(is_object, derive_run_id(F.col("object_key"))),
+        },
+        drop=scratch,
     )
