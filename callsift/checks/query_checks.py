@@ -39,23 +39,19 @@ def list_runs(spark, sf_dir):
 
 @check(
     fx.with_views(
-        """select extraction_status, count(*) n, round(avg(prompt_token_count), 6) avg_prompt_tok, round(avg(completion_token_count), 6) avg_completion_tok
+        """select extraction_status, count(*) n, avg(prompt_token_count) avg_prompt_tok, avg(completion_token_count) avg_completion_tok
         from r where run_id = 'run_a' group by extraction_status""",
         r=fx.ROWS,
     )
 )
 def summarize_run(spark, sf_dir):
-    return api.summarize_run(fx.rows(spark, sf_dir), "run_a").select(
-        "extraction_status", "n",
-        F.round("avg_prompt_tok", 6).alias("avg_prompt_tok"),
-        F.round("avg_completion_tok", 6).alias("avg_completion_tok"),
-    )
+    return api.summarize_run(fx.rows(spark, sf_dir), "run_a")
 
 
 @check(
     fx.with_views(
-        """select concurrency, round(avg(req_per_sec), 6) req_per_sec, round(avg(error_rate), 6) error_rate,
-        round(avg(prefix_cache_hit_ratio), 6) hit_ratio, round(avg(gpu_util_mean), 4) gpu_util
+        """select concurrency, round(avg(req_per_sec), 9) req_per_sec, round(avg(error_rate), 9) error_rate,
+        round(avg(prefix_cache_hit_ratio), 9) hit_ratio, round(avg(gpu_util_mean), 4) gpu_util
         from m join runs using (run_id) where test_name = '1-URGENT' group by concurrency order by concurrency""",
         m=fx.MEASUREMENTS,
         **_RUNS,
@@ -67,7 +63,7 @@ def compare_concurrency(spark, sf_dir):
     )
     return means.select(
         "concurrency",
-        *[F.round(name, 6).alias(name) for name in ("req_per_sec", "error_rate", "hit_ratio")],
+        *[F.round(name, 9).alias(name) for name in ("req_per_sec", "error_rate", "hit_ratio")],
         F.round("gpu_util", 4).alias("gpu_util"),
     )
 
@@ -108,13 +104,13 @@ def field_disagreement_after_retries(spark, sf_dir):
 
 @check(
     fx.with_views(
-        """select intent, count(*) n, round(avg(score), 6) mean_empathy from r where run_id = 'run_a' and extraction_status = 'success' and score >= 2 group by intent""",
+        """select intent, count(*) n, avg(score) mean_empathy from r where run_id = 'run_a' and extraction_status = 'success' and score >= 2 group by intent""",
         r=fx.ROWS,
     )
 )
 def nested_sql(spark, sf_dir):
     text = """
-        SELECT extraction.customer.intent_primary AS intent, count(*) AS n, round(avg(extraction.agent.empathy_score), 6) AS mean_empathy
+        SELECT extraction.customer.intent_primary AS intent, count(*) AS n, avg(extraction.agent.empathy_score) AS mean_empathy
         FROM calls_extractions
         WHERE run_id = :run_id AND extraction_status = 'success' AND extraction.agent.empathy_score >= :lowest
         GROUP BY extraction.customer.intent_primary"""
@@ -139,21 +135,21 @@ def committed_ids(spark, sf_dir):
 
 @check(
     fx.with_views(
-        "select event_id, gpu_util, round(ratio, 8) prefix_cache_hit_ratio, coalesce(ratio > 0.7, false) passes_gate from v",
+        "select event_id, gpu_util, ratio prefix_cache_hit_ratio, coalesce(ratio > 0.7, false) passes_gate from v",
         scrapes=fx.SCRAPES,
         v=fx.SCRAPE_VALUES,
     )
 )
 def metrics_scrape(spark, sf_dir):
     return metrics.scrape_metrics(fx.shared(spark, sf_dir, fx.SCRAPES)).select(
-        "event_id", "gpu_util", F.round("prefix_cache_hit_ratio", 8).alias("prefix_cache_hit_ratio"), "passes_gate"
+        "event_id", "gpu_util", "prefix_cache_hit_ratio", "passes_gate"
     )
 
 
 @check(
     fx.with_views(
-        """select run_id, time_bucket(interval '60 seconds', ts) period_start, round(count(*) filter (ok) / 60.0, 8) req_per_sec,
-        round(count(*) filter (not ok) / count(*), 8) error_rate, count(*) requests, round(avg(ratio), 6) prefix_cache_hit_ratio, round(avg(gpu_util), 6) gpu_util
+        """select run_id, time_bucket(interval '60 seconds', ts) period_start, count(*) filter (ok) / 60.0::double req_per_sec,
+        count(*) filter (not ok) / count(*) error_rate, count(*) requests, round(avg(ratio), 10) prefix_cache_hit_ratio, round(avg(gpu_util), 10) gpu_util
         from (select r.*, v.ratio, v.gpu_util from v join (select event_id, event_type <> 'error' ok from events) e using (event_id)
           join (select event_id, 'run_' || (user_id % 25) run_id, ts from events) r using (event_id)) group by run_id, period_start""",
         scrapes=fx.SCRAPES,
@@ -163,26 +159,21 @@ def metrics_scrape(spark, sf_dir):
 def metrics_60s(spark, sf_dir):
     out = metrics.metrics_60s(fx.requests(spark, sf_dir), fx.shared(spark, sf_dir, fx.SCRAPES))
     return out.select(
-        "run_id", "period_start", F.round("req_per_sec", 8).alias("req_per_sec"),
-        F.round("error_rate", 8).alias("error_rate"), "requests",
-        F.round("prefix_cache_hit_ratio", 6).alias("prefix_cache_hit_ratio"), F.round("gpu_util", 6).alias("gpu_util"),
+        "run_id", "period_start", "req_per_sec", "error_rate", "requests",
+        F.round("prefix_cache_hit_ratio", 10).alias("prefix_cache_hit_ratio"), F.round("gpu_util", 10).alias("gpu_util"),
     )
 
 
 @check(
     fx.with_views(
-        """select run_id, concurrency, ok_calls, total_calls, round(s, 6) duration_seconds, round(ok_calls / s, 8) req_per_sec,
-        round((total_calls - ok_calls) / total_calls, 8) error_rate from (select run_id, concurrency, count(*) filter (ok) ok_calls, count(*) total_calls,
+        """select run_id, concurrency, ok_calls, total_calls, s duration_seconds, ok_calls / s req_per_sec,
+        (total_calls - ok_calls) / total_calls error_rate from (select run_id, concurrency, count(*) filter (ok) ok_calls, count(*) total_calls,
         (max(us) - min(us)) / 1000000.0::double s from requests group by run_id, concurrency)""",
         requests=fx.REQUESTS,
     )
 )
 def bench_sweep(spark, sf_dir):
-    out = metrics.bench_sweep(fx.requests(spark, sf_dir))
-    return out.select(
-        "run_id", "concurrency", "ok_calls", "total_calls", F.round("duration_seconds", 6).alias("duration_seconds"),
-        F.round("req_per_sec", 8).alias("req_per_sec"), F.round("error_rate", 8).alias("error_rate"),
-    )
+    return metrics.bench_sweep(fx.requests(spark, sf_dir))
 
 
 ALARM = """
@@ -250,14 +241,14 @@ def runaway_verdict(spark, sf_dir):
 
 @check(
     fx.with_views(
-        """select concurrency arm, count(*) filter (ok) ok_calls, round(coalesce(avg(latency_s) filter (ok), 0), 6) mean_latency_s
+        """select concurrency arm, count(*) filter (ok) ok_calls, round(coalesce(avg(latency_s) filter (ok), 0), 8) mean_latency_s
         from requests group by concurrency""",
         requests=fx.REQUESTS,
     )
 )
 def ab_latency(spark, sf_dir):
     out = compare.ab_latency(fx.requests(spark, sf_dir).withColumnRenamed("concurrency", "arm"))
-    return out.select("arm", "ok_calls", F.round("mean_latency_s", 6).alias("mean_latency_s"))
+    return out.select("arm", "ok_calls", F.round("mean_latency_s", 8).alias("mean_latency_s"))
 
 
 FIELDS = {
@@ -275,41 +266,36 @@ MATRIX = " union all ".join(
 
 @check(
     fx.with_views(
-        "select *, round(differing / compared, 8) disagreement_rate from matrix", r=fx.ROWS, latest=LATEST, matrix=MATRIX
+        "select *, differing / compared disagreement_rate from matrix", r=fx.ROWS, latest=LATEST, matrix=MATRIX
     )
 )
 def disagreement_matrix(spark, sf_dir):
-    out = compare.disagreement_matrix(fx.rows(spark, sf_dir), ["run_a", "run_b", "run_c"], list(FIELDS))
-    return out.withColumn("disagreement_rate", F.round("disagreement_rate", 8))
+    return compare.disagreement_matrix(fx.rows(spark, sf_dir), ["run_a", "run_b", "run_c"], list(FIELDS))
 
 
 @check(
     fx.with_views(
-        """select run_b run_id, field, compared, round(1 - differing / compared, 8) agreement_rate from matrix where run_a = 'run_a'""",
+        """select run_b run_id, field, compared, 1 - differing / compared agreement_rate from matrix where run_a = 'run_a'""",
         r=fx.ROWS,
         latest=LATEST,
         matrix=MATRIX,
     )
 )
 def reference_agreement(spark, sf_dir):
-    out = compare.reference_agreement(fx.rows(spark, sf_dir), "run_a", ["run_b", "run_c"], list(FIELDS))
-    return out.withColumn("agreement_rate", F.round("agreement_rate", 8))
+    return compare.reference_agreement(fx.rows(spark, sf_dir), "run_a", ["run_b", "run_c"], list(FIELDS))
 
 
 @check(
     fx.with_views(
-        """select run_id, count(*) calls, round(count(*) filter (extraction_status = 'success') / count(*), 8) validity_rate,
-        round(count(*) filter (error_message like 'json_parse_error%' or error_message like 'validation_error%') / count(*), 8) schema_error_rate
+        """select run_id, count(*) calls, count(*) filter (extraction_status = 'success') / count(*) validity_rate,
+        count(*) filter (error_message like 'json_parse_error%' or error_message like 'validation_error%') / count(*) schema_error_rate
         from latest group by run_id""",
         r=fx.ROWS,
         latest=LATEST,
     )
 )
 def validity_rate(spark, sf_dir):
-    out = compare.schema_validity(runs.latest_rows(fx.rows(spark, sf_dir)))
-    return out.withColumns(
-        {name: F.round(name, 8) for name in ("validity_rate", "schema_error_rate")}
-    )
+    return compare.schema_validity(runs.latest_rows(fx.rows(spark, sf_dir)))
 
 
 EXPECTED_CALLS = """

@@ -23,6 +23,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SENTINEL = "~end-of-document~"
 # Stands for NaN, infinities and broken strings, wrapped in a list: no field rule accepts it.
 NOT_STORABLE = "~not-storable~"
+# The native parser stops at a nesting of 1000; no field of ours lies deeper than a few levels.
+MAX_DEPTH = 100
 DETAIL_CHARS = 300
 
 
@@ -31,12 +33,14 @@ def _finite(text: str):
     return value if value - value == 0 else [NOT_STORABLE]
 
 
-def _storable(value):
-    """Strings that are no valid UTF-8 fail every text rule downstream."""
+def _storable(value, depth: int = 0):
+    """Strings that are no valid UTF-8, and levels deeper than any field, become the stand-in."""
+    if depth > MAX_DEPTH and isinstance(value, (dict, list)):
+        return [NOT_STORABLE]
     if isinstance(value, dict):
-        return {k: _storable(v) for k, v in value.items() if not _lone_surrogate(k)}
+        return {k: _storable(v, depth + 1) for k, v in value.items() if not _lone_surrogate(k)}
     if isinstance(value, list):
-        return [_storable(v) for v in value]
+        return [_storable(v, depth + 1) for v in value]
     if isinstance(value, str) and _lone_surrogate(value):
         return [NOT_STORABLE]
     return value

@@ -20,7 +20,13 @@ def char_count(text: Column) -> Column:
 
 
 def token_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(rf"[^{WS}]+")).cast("bigint")
+    """Whitespace-separated tokens, counted by the gaps between them.
+
+    Matching whitespace is several times faster than matching the negated class.
+    """
+    gaps = F.regexp_count(text, F.lit(rf"[{WS}]+")).cast("bigint")
+    edges = sum(edge.rlike(rf"^[{WS}]").cast("bigint") for edge in (F.left(text, F.lit(1)), F.right(text, F.lit(1))))
+    return F.when(text == "", F.lit(0).cast("bigint")).otherwise(gaps + 1 - edges)
 
 
 def turn_count(text: Column) -> Column:
