@@ -37,7 +37,7 @@ def turn_calls(spark, sf_dir):
     )
 )
 def parse_json_strict(spark, sf_dir):
-    parsed = parse_strict(fx.shared(spark, sf_dir, fx.RESPONSES), "raw")
+    parsed = parse_strict(fx.shared(spark, sf_dir, fx.RESPONSES, busy=("documents",)), "raw")
     return parsed.select(
         "doc_id",
         F.col("doc").isNotNull().alias("parsed"),
@@ -55,7 +55,7 @@ def parse_json_strict(spark, sf_dir):
     )
 )
 def validate_responses(spark, sf_dir):
-    judged = validation.judge_responses(fx.shared(spark, sf_dir, fx.RESPONSES).drop("summary"), "raw")
+    judged = validation.judge_responses(fx.shared(spark, sf_dir, fx.RESPONSES, busy=("documents",)).drop("summary"), "raw")
     quotes = F.col("extraction.key_quotes")
     return judged.select(
         "doc_id",
@@ -76,7 +76,7 @@ def validate_responses(spark, sf_dir):
     )
 )
 def error_taxonomy(spark, sf_dir):
-    return validation.error_taxonomy(validation.judge_responses(fx.shared(spark, sf_dir, fx.RESPONSES), "raw"))
+    return validation.error_taxonomy(validation.judge_responses(fx.shared(spark, sf_dir, fx.RESPONSES, busy=("documents",)), "raw"))
 
 
 @check(

@@ -5,6 +5,8 @@ Texts marked SHARED run unchanged in both engines.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+def shared(spark: SparkSession, sf_dir: str, sql: str, busy: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of a SHARED text; ``busy`` tables feed costly row-local work and are dealt out first."""
     for name in TABLES:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
+        if re.search(rf"\b{name}\b", sql):
+            df = table(spark, sf_dir, name)
+            (spread(df) if name in busy else df).createOrReplaceTempView(name)
     return spark.sql(sql)
 
 

@@ -141,7 +141,7 @@ def committed_ids(spark, sf_dir):
     )
 )
 def metrics_scrape(spark, sf_dir):
-    return metrics.scrape_metrics(fx.shared(spark, sf_dir, fx.SCRAPES)).select(
+    return metrics.scrape_metrics(fx.shared(spark, sf_dir, fx.SCRAPES, busy=("events",))).select(
         "event_id", "gpu_util", "prefix_cache_hit_ratio", "passes_gate"
     )
 
@@ -157,7 +157,7 @@ def metrics_scrape(spark, sf_dir):
     ).replace("select r.*, v.ratio, v.gpu_util from v", "select r.run_id, r.ts, e.ok, v.ratio, v.gpu_util from v")
 )
 def metrics_60s(spark, sf_dir):
-    out = metrics.metrics_60s(fx.requests(spark, sf_dir), fx.shared(spark, sf_dir, fx.SCRAPES))
+    out = metrics.metrics_60s(fx.requests(spark, sf_dir), fx.shared(spark, sf_dir, fx.SCRAPES, busy=("events",)))
     return out.select(
         "run_id", "period_start", "req_per_sec", "error_rate", "requests",
         F.round("prefix_cache_hit_ratio", 10).alias("prefix_cache_hit_ratio"), F.round("gpu_util", 10).alias("gpu_util"),
@@ -207,7 +207,7 @@ _REPLY_VIEWS = {"replies": REPLIES, "lengths": REPLY_LENGTHS, "medians": _MEDIAN
 
 
 def _reply_lengths(spark, sf_dir):
-    replies = fx.shared(spark, sf_dir, REPLIES)
+    replies = fx.shared(spark, sf_dir, REPLIES, busy=("documents",))
     return replies.select("doc_id", "arm", compare.response_length(F.col("raw")).alias("length"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,13 +23,20 @@ def salted_join(
     Left rows of one key go to ``salts`` partitions by a hash of ``spread_by``; right rows are
     repeated per salt. The extra key also puts an exchange right below each side of the join, where
     adaptive execution can cut a partition that is still too large (identical copies share a salt).
-    Small right sides are broadcast by Spark's own size check.
+    Small right sides are broadcast by Spark's own size check. Keys match null-safe.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
+    if how not in ("inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    renamed = repeated.withColumnsRenamed({name: f"_r_{name}" for name in [*on, "_salt"]})
+    same = null_safe_match([*on, "_salt"], "_r_")
+    return salted.join(renamed, same, how).drop("_salt", *[f"_r_{name}" for name in [*on, "_salt"]])
+
+
+def null_safe_match(names: list[str], prefix: str) -> Column:
+    """Equality on ``names`` and their prefixed counterparts; null equals null."""
+    return reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(prefix + name)) for name in names])
 
 
 def rank_values(
@@ -46,10 +55,11 @@ def rank_values(
     one bucket of one group. With ``weight``, ``df`` already has one row per (keys, value) and that
     column holds its count.
     """
+    keyed = df.filter(F.col(value).isNotNull())
     if weight:
-        collapsed = df.withColumnRenamed(weight, "_n")
+        collapsed = keyed.withColumnRenamed(weight, "_n")
     else:
-        collapsed = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+        collapsed = keyed.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     counts = collapsed.withColumn("_bucket", bucket)
     whole = Window.partitionBy(*keys)
     running = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,10 +74,13 @@ def rank_values(
         buckets = buckets.withColumn(f"_rank_{name}", rank.cast("bigint"))
         place = F.col(f"_rank_{name}") - F.col("_before")
         wanted = wanted | ((place >= 0) & (place < F.col("_in_bucket")))
-    marked = buckets.filter(wanted)
 
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    looked_up = counts.join(marked, [*keys, "_bucket"]).withColumn(
+    # Null-safe on all keys: groups with a null key count too, and no filter is inferred for one
+    # side only, so both sides read the same exchange of collapsed counts.
+    shared = [*keys, "_bucket"]
+    marked = buckets.filter(wanted).withColumnsRenamed({name: f"_m_{name}" for name in shared})
+    inside = Window.partitionBy(*shared).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    looked_up = counts.join(marked, null_safe_match(shared, "_m_")).withColumn(
         "_first", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0).cast("bigint"))
     )
     picks = []

@@ -14,15 +14,15 @@ RUNAWAY_FACTOR = 10
 BUCKET_SIZE = 1024
 
 
+def _length_ranks(df: DataFrame, keys: list[str], value: str, bucket_size: float) -> DataFrame:
+    n = F.col("group_rows")
+    ranks = {"upper_median": F.floor(n / 2), "longest": n - 1}
+    return rank_values(df, keys, value, ranks, bucket=F.floor(F.col(value) / bucket_size))
+
+
 def upper_median(df: DataFrame, keys: list[str], value: str, bucket_size: float = BUCKET_SIZE) -> DataFrame:
-    """The middle value of each sorted group, the upper one for even sizes."""
-    return rank_values(
-        df,
-        keys,
-        value,
-        {"upper_median": F.floor(F.col("group_rows") / 2)},
-        bucket=F.floor(F.col(value) / bucket_size),
-    )
+    """The middle value of each sorted group, the upper one for even sizes; nulls do not count."""
+    return _length_ranks(df, keys, value, bucket_size).drop("longest")
 
 
 def response_length(raw: Column) -> Column:
@@ -44,10 +44,8 @@ def runaway_outputs(df: DataFrame, keys: list[str], id_column: str, factor: int
 
 def runaway_verdict(df: DataFrame, keys: list[str], factor: int = RUNAWAY_FACTOR) -> DataFrame:
     """Per group: median, longest output, and whether any output ran away."""
-    medians = upper_median(df, keys, "length")
-    longest = df.groupBy(*keys).agg(F.max("length").alias("longest"))
     over = (F.col("upper_median") > 0) & (F.col("longest") > F.col("upper_median") * factor)
-    return medians.join(longest, keys).withColumn("runaway", over)
+    return _length_ranks(df, keys, "length", BUCKET_SIZE).withColumn("runaway", over)
 
 
 def ab_latency(requests: DataFrame, arm: str = "arm") -> DataFrame:

@@ -56,7 +56,7 @@ def silence_features(words: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFr
 
 def confidence_features(words: DataFrame) -> DataFrame:
     """word_count, mean, min, p10 and low share of the confidences per call."""
-    scored = words.select(
+    scored = words.filter(F.col("call_id").isNotNull()).select(
         "call_id", F.coalesce(F.col("confidence").cast("double"), F.lit(0.0)).alias("confidence")
     )
     counts = scored.groupBy("call_id", "confidence").agg(F.count(F.lit(1)).alias("n"))

@@ -7,6 +7,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callsift.functions.skew import salted_join
 from callsift.operators.compare import field_disagreement
 
 __all__ = ["compare_concurrency", "failed_calls", "field_disagreement", "list_runs", "run_sql", "summarize_run"]
@@ -33,8 +34,7 @@ def summarize_run(rows: DataFrame, run_id: str) -> DataFrame:
 def compare_concurrency(measurements: DataFrame, runs: DataFrame, test_name: str) -> DataFrame:
     """Mean measurements per concurrency level over the runs of one test.
 
-    Measurements shrink to sums per (run, level) and runs to multiplicities per id before they are
-    joined, so neither a busy run nor a repeated registration weighs on one task.
+    A run registered several times counts as often, as a plain join would have it.
     """
     metrics = {
         "req_per_sec": "req_per_sec",
@@ -42,15 +42,15 @@ def compare_concurrency(measurements: DataFrame, runs: DataFrame, test_name: str
         "hit_ratio": "prefix_cache_hit_ratio",
         "gpu_util": "gpu_util_mean",
     }
-    sums = [F.sum(source).alias(f"sum_{out}") for out, source in metrics.items()]
-    counts = [F.count(source).alias(f"count_{out}") for out, source in metrics.items()]
-    per_run = measurements.groupBy("run_id", "concurrency").agg(*sums, *counts)
+    needed = ["run_id", "concurrency", *metrics.values()]
     chosen = runs.filter(F.col("test_name") == test_name).groupBy("run_id").agg(F.count(F.lit(1)).alias("times"))
+    matched = salted_join(measurements.select(*needed), chosen, ["run_id"], "inner", needed[1:])
+    times = F.col("times")
     averages = [
-        F.try_divide(F.sum(F.col(f"sum_{m}") * F.col("times")), F.sum(F.col(f"count_{m}") * F.col("times"))).alias(m)
-        for m in metrics
+        F.try_divide(F.sum(F.col(source) * times), F.sum(F.when(F.col(source).isNotNull(), times))).alias(out)
+        for out, source in metrics.items()
     ]
-    return per_run.join(chosen, "run_id").groupBy("concurrency").agg(*averages).orderBy("concurrency")
+    return matched.groupBy("concurrency").agg(*averages).orderBy("concurrency")
 
 
 def failed_calls(rows: DataFrame, run_id: str, limit: int = 100) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,17 +48,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def latest_runs(updates: DataFrame) -> DataFrame:
     """Current state per run from its log of updates.
 
-    Status and end come from the newest update; each other column from the newest update that has
-    it, so finishing a run needs only its id.
+    Status and end come from the newest update, the description from the newest start, so finishing
+    a run needs only its id.
     """
     order = F.struct(F.col("updated_at"), F.col("status") != "running")
-
-    def newest(name: str) -> Column:
-        known = F.lit(True) if name in ("status", "ended_at") else F.col(name).isNotNull()
-        return F.max_by(F.struct(name), F.when(known, order))[name].alias(name)
-
-    columns = [f.name for f in schemas.EXPERIMENT_RUNS.fields if f.name != "run_id"]
-    return updates.groupBy("run_id").agg(*[newest(name) for name in columns])
+    state = ["ended_at", "status"]
+    described = [f.name for f in schemas.EXPERIMENT_RUNS.fields if f.name not in ("run_id", *state)]
+    newest = updates.groupBy("run_id").agg(
+        F.max_by(F.struct(*state), order).alias("state"),
+        F.max_by(F.struct(*described), F.when(F.col("started_at").isNotNull(), order)).alias("start"),
+    )
+    return newest.select("run_id", "start.*", "state.*").select(*schemas.EXPERIMENT_RUNS.fieldNames())
 
 
 class Warehouse:
