@@ -13,7 +13,7 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +67,12 @@ def _second_opinion(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["canonical", "error"], dtype="object")
 
 
+def variant_kind(value: Column) -> Column:
+    """OBJECT, or the type of any other value. Does not walk through the object's content."""
+    is_object = F.try_variant_get(value, "$", "struct<_: variant>").isNotNull()
+    return F.when(is_object, F.lit("OBJECT")).otherwise(F.schema_of_variant(value))
+
+
 def parse_json_strict(df: DataFrame, column: str, doc: str = "doc", error: str = "parse_error") -> DataFrame:
     """Adds ``doc`` (variant) and ``error`` (null when the text is one valid document)."""
     text = F.coalesce(F.col(column), F.lit(""))

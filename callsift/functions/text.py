@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character Python's str.split() and re's \s treat as whitespace. Java's \s
-# alone covers only ASCII.
-WS = r"\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Every character Python's str.split() and re's \s treat as whitespace; Java's \s
+# alone covers only ASCII. The wide ones stand behind one range test, which most text fails at once.
+WS = (
+    r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0"
+    r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+)
 # Sentence end followed by whitespace; redaction placeholder; truncation marker.
 TURN_BOUNDARY = rf"[.?!][{WS}]+"
 REDACTION = r"\[[A-Z_]+\]"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from callsift import schemas
 from callsift.functions import text as tx
 from callsift.functions import words as wd
+from callsift.functions.json_strict import variant_kind
 
 # Sampling parameters and the label in front of each transcript.
 MAX_TOKENS = 1200
@@ -23,20 +24,20 @@ FEATURE_NAMES = tuple(field.name for field in schemas.FEATURES_TYPE.fields)
 def normalize_transcript(df: DataFrame, column: str = "transcript") -> DataFrame:
     """Variant transcript (a string or an object) -> text, words, audio_duration, confidence."""
     raw = F.col(column)
-    is_object = F.schema_of_variant(raw).startswith("OBJECT")
+    kind = F.col("_kind")
 
     def member(path: str, target: str):
-        return F.when(is_object, F.try_variant_get(raw, path, target))
+        return F.when(kind == "OBJECT", F.try_variant_get(raw, path, target))
 
-    plain = F.when(F.schema_of_variant(raw) == "STRING", F.try_variant_get(raw, "$", "string"))
-    return df.withColumns(
+    plain = F.when(kind == "STRING", F.try_variant_get(raw, "$", "string"))
+    return df.withColumn("_kind", variant_kind(raw)).withColumns(
         {
             "text": F.coalesce(member("$.text", "string"), plain, F.lit("")),
             "words": member("$.words", schemas.WORDS_TYPE.simpleString()),
             "audio_duration": member("$.audio_duration", "double"),
             "confidence": member("$.confidence", "double"),
         }
-    ).drop(column)
+    ).drop(column, "_kind")
 
 
 def compute_features(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.functions.json_strict import parse_json_strict
+from callsift.functions.json_strict import parse_json_strict, variant_kind
 from callsift.functions.paths import call_id_from_path, category_from_path
 from callsift.functions.stages import settle
 from callsift.operators.prepare import normalize_transcript
@@ -50,11 +50,11 @@ def parse_lines(lines: DataFrame) -> DataFrame:
             "category_path": F.try_variant_get(doc, "$.category_path", "string"),
         }
     )
-    kind = F.coalesce(F.schema_of_variant("transcript"), F.lit("VOID"))
+    kind = F.coalesce(variant_kind(F.col("transcript")), F.lit("VOID"))
     problem = (
         F.when(F.col("parse_error").isNotNull(), F.col("parse_error"))
         .when(F.col("call_id").isNull(), F.lit("missing call_id"))
-        .when(~(kind.isin("STRING", "VOID") | kind.startswith("OBJECT")), F.lit("unusable transcript"))
+        .when(~kind.isin("STRING", "VOID", "OBJECT"), F.lit("unusable transcript"))
     )
     judged = parsed.withColumn("line_error", problem).withColumn(
         "value", F.when(F.col("line_error").isNotNull(), F.col("value"))
@@ -105,8 +105,8 @@ def calls_from_documents(documents: DataFrame, root: str) -> DataFrame:
     ``document_error`` tells why a document is unusable; it is null for the others.
     """
     parsed = parse_json_strict(documents, "value", doc="transcript", error="document_error")
-    kind = F.coalesce(F.schema_of_variant("transcript"), F.lit("VOID"))
-    wrong = F.when(~kind.startswith("OBJECT"), F.lit("transcript is not an object"))
+    kind = F.coalesce(variant_kind(F.col("transcript")), F.lit("VOID"))
+    wrong = F.when(kind != "OBJECT", F.lit("transcript is not an object"))
     named = parsed.withColumns(
         {
             "document_error": F.coalesce(F.col("document_error"), wrong),
