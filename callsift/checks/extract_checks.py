@@ -8,8 +8,8 @@ from callsift.checks import fixtures as fx
 from callsift.checks.registry import check
 from callsift.checks.stub import stub_model
 from callsift.functions.json_strict import parse_json_strict as parse_strict
-from callsift.operators import inference, runs, validation
-from callsift.plans.pipeline import RunSettings, prepare_requests
+from callsift.operators import inference, prepare, runs, validation
+from callsift.plans.pipeline import RunSettings, request_builder
 from callsift.session import spread
 
 SETTINGS = RunSettings(model_id="stub")
@@ -89,7 +89,7 @@ def error_taxonomy(spark, sf_dir):
 )
 def stub_extraction(spark, sf_dir):
     judged = inference.extract_batch(
-        prepare_requests(turn_calls(spark, sf_dir), SETTINGS), stub_model, backoff_seconds=0.0
+        prepare.enrich(turn_calls(spark, sf_dir)), request_builder(SETTINGS), stub_model, backoff_seconds=0.0
     )
     return judged.select(
         "call_id",

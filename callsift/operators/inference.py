@@ -28,6 +28,7 @@ REPLY = (
 )
 
 ModelFn = Callable[[list[dict]], list]
+BuildRequests = Callable[[DataFrame], DataFrame]
 
 
 def reply_row(reply) -> tuple:
@@ -97,9 +98,11 @@ def call_model(
     return df.withColumn("reply", model("call_id", "request"))
 
 
-def attempt_once(df: DataFrame, model_fn: ModelFn, attempt: int, **options) -> DataFrame:
+def attempt_once(
+    df: DataFrame, build_requests: BuildRequests, model_fn: ModelFn, attempt: int, **options
+) -> DataFrame:
     """One call per row, parsed and validated; token counts of the last reply with usage are kept."""
-    flat = call_model(df, model_fn, attempt, **options).withColumns(
+    flat = call_model(build_requests(df), model_fn, attempt, **options).withColumns(
         {
             "content": F.col("reply.content"),
             "call_error": F.col("reply.call_error"),
@@ -112,11 +115,12 @@ def attempt_once(df: DataFrame, model_fn: ModelFn, attempt: int, **options) -> D
             "attempts": F.lit(attempt),
         }
     )
-    return judge_responses(flat, "content", "call_error").drop("reply", "content", "call_error")
+    return judge_responses(flat, "content", "call_error").drop("request", "reply", "content", "call_error")
 
 
 def extract_batch(
-    requests: DataFrame,
+    calls: DataFrame,
+    build_requests: BuildRequests,
     model_fn: ModelFn,
     max_attempts: int = MAX_ATTEMPTS,
     concurrency: int | None = None,
@@ -125,16 +129,17 @@ def extract_batch(
     """Runs up to ``max_attempts`` rounds; each round handles only the rows that failed before.
 
     A round is written to the shared work folder before anything reads it, so the model is not
-    called again by later steps. ``concurrency`` caps the parallel calls by the partition count;
-    without it the free task slots do.
+    called again by later steps. ``build_requests`` adds the column ``request``; it is rebuilt per
+    round rather than stored next to the transcript. ``concurrency`` caps the parallel calls by the
+    partition count; without it the free task slots do.
     """
     empty = F.lit(None).cast("int")
-    pending = requests.withColumns({"prompt_token_count": empty, "completion_token_count": empty})
+    pending = calls.withColumns({"prompt_token_count": empty, "completion_token_count": empty})
     if concurrency:
         pending = pending.repartition(concurrency)
     finished = []
     for attempt in range(1, max_attempts + 1):
-        judged = materialize(attempt_once(pending, model_fn, attempt, **options), f"attempt-{attempt}")
+        judged = materialize(attempt_once(pending, build_requests, model_fn, attempt, **options), f"attempt-{attempt}")
         failed = judged.filter(F.col("extraction_status") == "error")
         if attempt == max_attempts or failed.isEmpty():
             finished.append(judged)

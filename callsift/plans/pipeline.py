@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from callsift.functions.text import DEFAULT_MAX_CHARS
 from callsift.operators import prepare
-from callsift.operators.inference import ModelFn, extract_batch
+from callsift.operators.inference import BuildRequests, ModelFn, extract_batch
 from callsift.operators.runs import final_status, resume
 from callsift.sources.tables import Warehouse
 from callsift.session import materialize
@@ -27,23 +27,25 @@ class RunSettings:
     model_options: dict = field(default_factory=dict)
 
 
-def prepare_requests(calls: DataFrame, settings: RunSettings) -> DataFrame:
-    """Calls with run_id -> features, truncated text and the request body."""
-    enriched = prepare.enrich(calls, settings.max_chars)
-    return prepare.build_requests(
-        enriched, settings.model_id, settings.system_prompt, settings.enable_thinking
-    )
+def request_builder(settings: RunSettings) -> BuildRequests:
+    def build(df: DataFrame) -> DataFrame:
+        return prepare.build_requests(
+            df, settings.model_id, settings.system_prompt, settings.enable_thinking
+        )
+
+    return build
 
 
 def extract_rows(calls: DataFrame, model_fn: ModelFn, settings: RunSettings) -> DataFrame:
     """Calls with run_id -> rows of the extraction table, materialized."""
     judged = extract_batch(
-        prepare_requests(calls, settings),
+        prepare.enrich(calls, settings.max_chars),
+        request_builder(settings),
         model_fn,
         concurrency=settings.concurrency,
         **settings.model_options,
     )
-    return prepare.assemble_rows(judged.drop("request"), settings.model_id)
+    return prepare.assemble_rows(judged, settings.model_id)
 
 
 def run_extraction(

@@ -9,7 +9,7 @@ from callsift import schemas
 from callsift.checks.stub import document, stub_model
 from callsift.functions.skew import rank_values, salted_join
 from callsift.operators import inference, prepare, runs
-from callsift.plans.pipeline import RunSettings, prepare_requests, run_extraction
+from callsift.plans.pipeline import RunSettings, request_builder, run_extraction
 from callsift.session import materialize, spread, work_dir
 from callsift.sources.tables import CALLS, MEASUREMENTS, RUNS, Warehouse, conform, latest_runs
 
@@ -202,7 +202,7 @@ def test_attempts_and_backoff(spark, tmp_path):
         (log / f"slept-{seconds}").touch()
 
     texts = [("ok", "x" * 12), ("second", "x" * 14), ("third", "x" * 17), ("never", "x" * 15)]
-    judged = inference.extract_batch(prepare_requests(plain_calls(spark, texts), FAST), model, concurrency=2, batch_size=1, backoff_seconds=2.0, sleep=sleep)
+    judged = inference.extract_batch(prepare.enrich(plain_calls(spark, texts)), request_builder(FAST), model, concurrency=2, batch_size=1, backoff_seconds=2.0, sleep=sleep)
     rows = {r.call_id: r for r in judged.collect()}
     assert {k: (r.extraction_status, r.attempts) for k, r in rows.items()} == {"ok": ("success", 1), "second": ("success", 2), "third": ("success", 3), "never": ("error", 3)}
     calls = sorted(p.name for p in log.iterdir() if not p.name.startswith("slept"))
