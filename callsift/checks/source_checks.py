@@ -32,7 +32,7 @@ def write_shards(lines, spark, purpose: str) -> str:
 
 def _parsed_shards(spark, sf_dir, purpose):
     path = write_shards(fx.call_lines(spark, sf_dir), spark, purpose)
-    return src.parse_lines(src.read_lines(spark, path, GZ))
+    return src.parse_lines(src.even_out(src.read_lines(spark, path, GZ), path, GZ))
 
 
 @check(

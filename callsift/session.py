@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -37,11 +38,15 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="callsift-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
 
 
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="callsift-")
+
+
 def materialize(df: DataFrame, purpose: str, reader: SparkSession | None = None) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = reader or df.sparkSession

@@ -16,6 +16,9 @@ INBOX = "jobs/inbox"
 SHARD_SUFFIX = "*.jsonl.gz"
 CORPUS_SHARDS = "shard-*.jsonl.gz"
 SMOKE_CALLS = 25
+# A shard is too large when it holds this many times its fair share; compressed bytes per partition.
+UNEVEN = 2
+BYTES_PER_PARTITION = 32 << 20
 
 
 def decoded_path(path: Column) -> Column:
@@ -32,6 +35,23 @@ def read_lines(spark: SparkSession, path, glob: str | None = SHARD_SUFFIX) -> Da
     return lines.filter(F.col("value").rlike(r"\S"))
 
 
+def even_out(lines: DataFrame, path, glob: str | None = SHARD_SUFFIX, partitions: int | None = None) -> DataFrame:
+    """Deal the lines out when one shard is well above a fair share of the input.
+
+    A gz shard is one split, and all later row-local work would stay in its task. Sizes come from
+    a listing that opens no file. Even inputs with enough shards pass without a shuffle.
+    """
+    spark = lines.sparkSession
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        files = files.option("pathGlobFilter", glob)
+    size = files.load(path).agg(F.max("length").alias("largest"), F.sum("length").alias("total")).first()
+    slots = partitions or max(spark.sparkContext.defaultParallelism, (size.total or 0) // BYTES_PER_PARTITION)
+    if size.total and size.largest * slots > UNEVEN * size.total:
+        return lines.repartition(slots)
+    return spread(lines, partitions)
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """One normalized row per line; ``line_error`` is null for usable calls.
 
@@ -83,13 +103,13 @@ def read_calls(
 ) -> DataFrame:
     """Normalized calls of all shards below ``path``.
 
-    A gz shard is one split, so few or uneven shards are dealt out over ``partitions``.
+    Few or uneven shards are dealt out over ``partitions`` (see ``even_out``).
     ``strict`` fails the job on the first unusable line; ``quarantine`` leaves such lines to
     ``bad_lines(parse_lines(read_lines(...)))``.
     """
     if mode not in ("strict", "quarantine"):
         raise ValueError(f"unknown mode {mode}")
-    parsed = parse_lines(spread(read_lines(spark, path, glob), partitions))
+    parsed = parse_lines(even_out(read_lines(spark, path, glob), path, glob, partitions))
     if mode == "strict":
         checked = F.when(
             F.col("line_error").isNotNull(),

@@ -41,6 +41,19 @@ def test_shards_in_both_forms(spark, tmp_path):
     assert rows["b"].source_path == "p" and rows["a"].source_file.endswith("/s 1+x.jsonl.gz")
 
 
+def test_a_large_shard_is_dealt_out_and_even_ones_are_not(spark, tmp_path):
+    for n in range(16):
+        write_shard(tmp_path / "even" / f"s{n}.jsonl.gz", [line(f"{n}", "x")])
+        write_shard(tmp_path / "odd" / f"s{n}.jsonl.gz", [line(f"{n}-{i}", f"text {i * 7919}") for i in range(1 if n else 3000)])
+
+    def plan(name):
+        lines = src.read_lines(spark, str(tmp_path / name))
+        return src.even_out(lines, str(tmp_path / name), partitions=4)._jdf.queryExecution().executedPlan().toString()
+
+    assert "RoundRobinPartitioning" not in plan("even") and "RoundRobinPartitioning" in plan("odd")
+    assert src.read_calls(spark, str(tmp_path / "odd")).count() == 3015
+
+
 def test_unusable_lines(spark, tmp_path):
     lines = [line("a", "ok"), "{broken", json.dumps({"transcript": "x"}), line("n", 3), json.dumps({"call_id": 5}), "[1]", '{"call_id":"d","call_id":"e"} ', '{"call_id":"z"} tail']
     write_shard(tmp_path / "s.jsonl.gz", lines)
