@@ -44,47 +44,58 @@ def rank_values(
     keys: list[str],
     value: str,
     ranks: dict[str, Column],
-    bucket: Column,
+    buckets: list[Column],
     weight: str | None = None,
 ) -> DataFrame:
     """Exact order statistics per group: ``keys``, ``group_rows`` and one column per rank.
 
     ``ranks`` maps a name to a 0-based rank written over the column ``group_rows``. Rows are first
-    collapsed to (keys, value, count), then to counts per ``bucket`` (a monotone, coarse function of
-    ``value``). Only the buckets that hold a wanted rank are looked into, so no task sees more than
-    one bucket of one group. With ``weight``, ``df`` already has one row per (keys, value) and that
-    column holds its count.
+    collapsed to (keys, value, count). ``buckets`` are ever finer monotone functions of ``value``;
+    per level only the bucket that holds a wanted rank is looked into, so no task sees more of a
+    group than one bucket of the last level. With ``weight``, ``df`` already has one row per
+    (keys, value) and that column holds its count. Nulls in ``value`` do not count.
     """
-    keyed = df.filter(F.col(value).isNotNull())
+    known = df.filter(F.col(value).isNotNull())
     if weight:
-        collapsed = keyed.withColumnRenamed(weight, "_n")
+        rows = known.withColumnRenamed(weight, "_n")
     else:
-        collapsed = keyed.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    counts = collapsed.withColumn("_bucket", bucket)
-    whole = Window.partitionBy(*keys)
-    running = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        counts.groupBy(*keys, "_bucket")
-        .agg(F.sum("_n").alias("_in_bucket"))
-        .withColumn("_before", F.coalesce(F.sum("_in_bucket").over(running), F.lit(0).cast("bigint")))
-        .withColumn("group_rows", F.sum("_in_bucket").over(whole))
-    )
-    wanted = F.lit(False)
-    for name, rank in ranks.items():
-        buckets = buckets.withColumn(f"_rank_{name}", rank.cast("bigint"))
-        place = F.col(f"_rank_{name}") - F.col("_before")
-        wanted = wanted | ((place >= 0) & (place < F.col("_in_bucket")))
-
-    # Null-safe on all keys: groups with a null key count too, and no filter is inferred for one
-    # side only, so both sides read the same exchange of collapsed counts.
-    shared = [*keys, "_bucket"]
-    marked = buckets.filter(wanted).withColumnsRenamed({name: f"_m_{name}" for name in shared})
-    inside = Window.partitionBy(*shared).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    looked_up = counts.join(marked, null_safe_match(shared, "_m_")).withColumn(
-        "_first", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0).cast("bigint"))
-    )
+        rows = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    rows = rows.withColumns({f"_bucket_{i}": bucket for i, bucket in enumerate(buckets)})
+
+    inside, carried = list(keys), ["_before", "group_rows", *[f"_rank_{name}" for name in ranks]]
+    for level in range(len(buckets)):
+        sized = rows.groupBy(*inside, f"_bucket_{level}").agg(
+            F.sum("_n").alias("_in_bucket"), *[F.max(c).alias(c) for c in carried if level]
+        )
+        marked = _holding_a_rank(sized, inside, f"_bucket_{level}", "_in_bucket", ranks, first=not level)
+        inside = [*inside, f"_bucket_{level}"]
+        # Null-safe on all keys: groups with a null key count too, and no filter is inferred for one
+        # side only, so both sides read the same exchange of collapsed counts.
+        renamed = marked.select(*[F.col(c).alias(f"_m_{c}") for c in inside], *carried)
+        rows = rows.drop(*carried).join(renamed, null_safe_match(inside, "_m_")).drop(*[f"_m_{c}" for c in inside])
+
+    found = _holding_a_rank(rows, inside, value, "_n", ranks, first=not buckets)
     picks = []
     for name in ranks:
-        place = F.col(f"_rank_{name}") - F.col("_first")
+        place = F.col(f"_rank_{name}") - F.col("_before")
         picks.append(F.max(F.when((place >= 0) & (place < F.col("_n")), F.col(value))).alias(name))
-    return looked_up.groupBy(*keys).agg(F.max("group_rows").alias("group_rows"), *picks)
+    return found.groupBy(*keys).agg(F.max("group_rows").alias("group_rows"), *picks)
+
+
+def _holding_a_rank(
+    df: DataFrame, inside: list[str], order: str, count: str, ranks: dict[str, Column], first: bool
+) -> DataFrame:
+    """Rows whose span of ranks, counted in ``order`` within ``inside``, holds a wanted rank."""
+    group = Window.partitionBy(*inside)
+    earlier = F.sum(count).over(group.orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    zero = F.lit(0).cast("bigint")
+    if first:
+        df = df.withColumns({"group_rows": F.sum(count).over(group), "_before": F.coalesce(earlier, zero)})
+        df = df.withColumns({f"_rank_{name}": rank.cast("bigint") for name, rank in ranks.items()})
+    else:
+        df = df.withColumn("_before", F.col("_before") + F.coalesce(earlier, zero))
+    wanted = F.lit(False)
+    for name in ranks:
+        place = F.col(f"_rank_{name}") - F.col("_before")
+        wanted = wanted | ((place >= 0) & (place < F.col(count)))
+    return df.filter(wanted)

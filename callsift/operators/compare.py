@@ -17,7 +17,7 @@ BUCKET_SIZE = 1024
 def _length_ranks(df: DataFrame, keys: list[str], value: str, bucket_size: float) -> DataFrame:
     n = F.col("group_rows")
     ranks = {"upper_median": F.floor(n / 2), "longest": n - 1}
-    return rank_values(df, keys, value, ranks, bucket=F.floor(F.col(value) / bucket_size))
+    return rank_values(df, keys, value, ranks, buckets=[F.floor(F.col(value) / bucket_size)])
 
 
 def upper_median(df: DataFrame, keys: list[str], value: str, bucket_size: float = BUCKET_SIZE) -> DataFrame:

@@ -12,45 +12,53 @@ from pyspark.sql import functions as F
 from callsift.functions.skew import rank_values
 from callsift.functions.words import LOW_CONFIDENCE, ratio
 
-CHUNK_WORDS = 65536
-BUCKETS_PER_UNIT = 1024
+# A fold sorts this many words of a call in one task; a longer call is folded chunk by chunk.
+CHUNK_WORDS = 1 << 20
+LEVELS = 1
+# Confidences lie in [0, 1]: at most a million counts per call, and a millionth of its words inside each.
+BUCKETS = (1 << 20,)
 
 
-def silence_features(words: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+def _fold(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Neighbouring parts of each group in ``pos`` order -> one part: inner silence plus the gaps
+    between them, and the outer times."""
+    zero = F.lit(0).cast("bigint")
+    before = F.lag("end").over(Window.partitionBy(*keys).orderBy("pos"))
+    return (
+        parts.withColumn("gap", F.coalesce(F.greatest(F.col("start") - before, zero), zero))
+        .groupBy(*keys)
+        .agg(
+            F.sum(F.col("total") + F.col("gap")).alias("total"),
+            F.max(F.greatest("longest", "gap")).alias("longest"),
+            F.min_by("start", "pos").alias("start"),
+            F.max_by("end", "pos").alias("end"),
+        )
+    )
+
+
+def silence_features(words: DataFrame, chunk_words: int = CHUNK_WORDS, levels: int = LEVELS) -> DataFrame:
     """silence_total_sec and silence_max_gap_sec per call.
 
-    Gaps inside a chunk of positions come from a window over the chunk; the gap between two chunks
-    from their outer words. ``pos`` orders the words and need not be contiguous.
+    Words fold into chunks of positions, chunks into larger chunks, and those into the call; no
+    fold but the last sees more than ``chunk_words`` parts of a call. ``pos`` orders the words and
+    need not be contiguous.
     """
     zero = F.lit(0).cast("bigint")
-    placed = words.select(
+    parts = words.filter(F.col("call_id").isNotNull()).select(
         "call_id",
         "pos",
         F.coalesce(F.col("start").cast("bigint"), zero).alias("start"),
         F.coalesce(F.col("end").cast("bigint"), zero).alias("end"),
-        F.floor(F.col("pos") / chunk_words).alias("chunk"),
+        zero.alias("total"),
+        zero.alias("longest"),
     )
-    in_chunk = Window.partitionBy("call_id", "chunk").orderBy("pos")
-    gap = F.greatest(F.col("start") - F.lag("end").over(in_chunk), zero)
-    chunks = (
-        placed.withColumn("gap", F.coalesce(gap, zero))
-        .groupBy("call_id", "chunk")
-        .agg(
-            F.sum("gap").alias("inner_total"),
-            F.max("gap").alias("inner_max"),
-            F.min_by("start", "pos").alias("first_start"),
-            F.max_by("end", "pos").alias("last_end"),
-        )
-    )
-    across = Window.partitionBy("call_id").orderBy("chunk")
-    border = F.greatest(F.col("first_start") - F.lag("last_end").over(across), zero)
-    return (
-        chunks.withColumn("border", F.coalesce(border, zero))
-        .groupBy("call_id")
-        .agg(
-            (F.sum(F.col("inner_total") + F.col("border")) / 1000.0).alias("silence_total_sec"),
-            (F.max(F.greatest("inner_max", "border")) / 1000.0).alias("silence_max_gap_sec"),
-        )
+    for _ in range(levels):
+        chunk = F.floor(F.col("pos") / chunk_words)
+        parts = _fold(parts.withColumn("chunk", chunk), ["call_id", "chunk"]).withColumnRenamed("chunk", "pos")
+    return _fold(parts, ["call_id"]).select(
+        "call_id",
+        (F.col("total") / 1000.0).alias("silence_total_sec"),
+        (F.col("longest") / 1000.0).alias("silence_max_gap_sec"),
     )
 
 
@@ -74,7 +82,7 @@ def confidence_features(words: DataFrame) -> DataFrame:
         ["call_id"],
         "confidence",
         {"low": below, "high": F.least(below + 1, F.col("group_rows") - 1)},
-        bucket=F.floor(F.col("confidence") * BUCKETS_PER_UNIT),
+        buckets=[F.floor(F.col("confidence") * n) for n in BUCKETS],
         weight="n",
     )
     part = (span % 100).cast("double")

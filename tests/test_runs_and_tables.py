@@ -81,12 +81,12 @@ def test_salted_join_is_null_safe_and_checks_its_type(spark):
         salted_join(left, right, ["k"], "full", ["n"])
 
 
-@pytest.mark.parametrize("step", [1.0, 50.0, 10000.0])
-def test_rank_values_any_bucket(spark, step):
+@pytest.mark.parametrize("steps", [[], [1.0], [50.0], [10000.0], [10.0, 2.0], [100.0, 20.0, 5.0]])
+def test_rank_values_any_buckets(spark, steps):
     data = [("a", v) for v in (5, 1, 9, 3)] + [("b", 7)] + [("c", i % 40) for i in range(1000)] + [(None, 2), (None, 4), ("a", None)]
     df = spark.createDataFrame(data, "k string, v int")
     ranks = {"mid": F.floor(F.col("group_rows") / 2), "first": F.lit(0)}
-    got = {r.k: (r.group_rows, r.mid, r.first) for r in rank_values(df, ["k"], "v", ranks, F.floor(F.col("v") / step)).collect()}
+    got = {r.k: (r.group_rows, r.mid, r.first) for r in rank_values(df, ["k"], "v", ranks, [F.floor(F.col("v") / s) for s in steps]).collect()}
     assert got == {"a": (4, 5, 1), "b": (1, 7, 7), "c": (1000, 20, 0), None: (2, 4, 2)}
 
 

@@ -103,14 +103,14 @@ def test_word_features_match_python(spark):
         assert row.words_per_minute == pytest.approx((row.word_count / duration * 60) if duration else 0.0)
 
 
-@pytest.mark.parametrize("chunk", [1, 7, 65536])
-def test_word_table_matches_arrays_for_any_chunk_size(spark, chunk):
+@pytest.mark.parametrize("chunk, levels", [(1, 1), (7, 2), (7, 3), (1 << 20, 1), (5, 0)])
+def test_word_table_matches_arrays_for_any_chunk_size(spark, chunk, levels):
     calls = {k: w for k, w in sample_calls().items() if w}
     rng = random.Random(3)
     calls["hot"] = [(float(i * 10), float(i * 10 + rng.randint(0, 30)), rng.random()) for i in range(3000)]
     data = [(k, i * 3, s, e, c) for k, words in calls.items() for i, (s, e, c) in enumerate(words)]
     words = spark.createDataFrame(data, "call_id string, pos bigint, start double, end double, confidence double")
-    silence = {r.call_id: r for r in word_table.silence_features(words, chunk).collect()}
+    silence = {r.call_id: r for r in word_table.silence_features(words, chunk, levels).collect()}
     scores = {r.call_id: r for r in word_table.confidence_features(words).collect()}
     assert set(silence) == set(scores) == set(calls)
     for key, content in calls.items():
