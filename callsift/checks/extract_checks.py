@@ -101,17 +101,19 @@ def stub_extraction(spark, sf_dir):
     )
 
 
+# Three documents share an id, so inputs repeat and a success of one covers the others.
 @check(
     fx.with_views(
-        """select d.doc_id, cast(d.doc_id % 2000 as varchar) call_id, d.lang from documents d
-        where cast(d.doc_id % 2000 as varchar) not in (select call_id from r where run_id = 'run_a' and extraction_status = 'success')""",
+        """select d.doc_id, cast(d.doc_id - d.doc_id % 3 as varchar) call_id, d.lang from documents d
+        where cast(d.doc_id - d.doc_id % 3 as varchar) not in (select call_id from r where run_id = 'run_a' and extraction_status = 'success')""",
         r=fx.ROWS,
     )
 )
 def resume_pending(spark, sf_dir):
     rows = fx.rows(spark, sf_dir)
+    number = F.col("doc_id")
     calls = fx.table(spark, sf_dir, "documents").select(
-        "doc_id", (F.col("doc_id") % 2000).cast("string").alias("call_id"), "lang", F.lit("run_a").alias("run_id")
+        "doc_id", (number - number % 3).cast("string").alias("call_id"), "lang", F.lit("run_a").alias("run_id")
     )
     return runs.resume(calls, runs.committed_ids(rows, "run_a")).drop("run_id")
 

@@ -113,6 +113,7 @@ from events
 """
 
 # --- extraction rows: three runs over all documents; run_a holds retries of its errors ---------
+# run_b and run_c each lack some calls, so that comparisons and audits meet calls of one run only.
 
 ROWS_FLAT = """
 select run_id, call_id, extraction_status, error_message,
@@ -172,7 +173,7 @@ def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- runs: every order is a run, every line item a measurement ---------------------------------
+# --- runs: every order is a run, every line item a measurement; a third of the runs has no end --
 
 RUN_UPDATES = """
 select concat('run_', cast(o_orderkey as varchar(20))) run_id, o_orderpriority test_name, 'running' status,

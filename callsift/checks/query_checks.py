@@ -298,6 +298,7 @@ def validity_rate(spark, sf_dir):
     return compare.schema_validity(runs.latest_rows(fx.rows(spark, sf_dir)))
 
 
+# The audited input lacks a tenth of the stored calls and names some that were never stored.
 EXPECTED_CALLS = """
 select cast(doc_id as varchar(20)) call_id from documents where doc_id % 10 <> 3
 union all select concat('lost-', cast(doc_id as varchar(20))) from documents where doc_id % 100 = 0

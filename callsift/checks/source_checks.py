@@ -37,7 +37,7 @@ def _parsed_shards(spark, sf_dir, purpose):
 
 @check(
     fx.with_views(
-        """select call_id, category_path, text, len(tokens) words, case when doc_id % 20 <> 19 or true then audio_duration end audio_duration, confidence
+        """select call_id, category_path, text, len(tokens) words, audio_duration, confidence
         from calls where doc_id % 20 not in (17, 18)""",
         calls=fx.CALLS,
     )
@@ -88,10 +88,9 @@ def transcripts(spark, sf_dir):
 
 
 PAGE_PATHS = """
-select page_id, concat(case when page_id % 5 = 0 then '/elsewhere' else '/data/calls' end, regexp_replace(url, '^https?:/', ''),
-  case page_id % 3 when 0 then '_transcript.json' when 1 then '.json' else '' end) path from pages where url not like '%/'
-union all
-select page_id, concat('/data/calls/', cast(page_id as varchar(20)), '.tar.json') from pages where url like '%/'
+select page_id, concat(case when page_id % 5 = 0 then '/elsewhere' else '/data/calls' end,
+  regexp_replace(regexp_replace(url, '^https?:/', ''), '/+$', ''),
+  case page_id % 4 when 0 then '_transcript.json' when 1 then '.json' when 2 then '.tar.json' else '' end) path from pages
 """  # SHARED
 
 
@@ -141,7 +140,8 @@ def parse_notifications(spark, sf_dir):
 
 
 RUN_KEYS = """
-select page_id, concat(url, case page_id % 6 when 0 then '.jsonl.gz' when 1 then '.json.jsonl.gz' when 2 then ' b+c.jsonl' when 3 then repeat('x', 150) when 4 then '/.jsonl.gz' else '.gz.gz' end) object_key from pages where url not like '%/'
+select page_id, concat(regexp_replace(url, '/+$', ''), case page_id % 6 when 0 then '.jsonl.gz' when 1 then '.json.jsonl.gz'
+  when 2 then ' b+c.jsonl' when 3 then repeat('x', 150) when 4 then '/.jsonl.gz' else '.gz.gz' end) object_key from pages
 """  # SHARED
 RUN_IDS = r"""
 select page_id, object_key, case when cleaned = '' then 'unknown' else cleaned end run_id from (

@@ -21,6 +21,11 @@ UNEVEN = 2
 BYTES_PER_PARTITION = 32 << 20
 
 
+def inbox_path(root: str) -> str:
+    """The folder below ``root`` that shards arrive in."""
+    return f"{root.rstrip('/')}/{INBOX}"
+
+
 def decoded_path(path: Column) -> Column:
     """File paths in metadata are percent-encoded; a plus sign in them is a plus sign."""
     return F.try_url_decode(F.regexp_replace(F.replace(path, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25"))
