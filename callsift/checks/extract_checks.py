@@ -49,8 +49,8 @@ def parse_json_strict(spark, sf_dir):
     fx.with_views(
         """select doc_id, case when expected = 'success' then 'success' else 'error' end extraction_status,
         case when expected <> 'success' then expected end error_class, summary,
-        case when expected = 'success' then 3 end empathy_score, case when expected = 'success' then 'neutral' end sentiment_end,
-        case when expected = 'success' then doc_id % 16 = 1 end profanity_or_abuse, case when expected = 'success' then 1 end quotes from responses""",
+        case when expected = 'success' then 3 else -1 end empathy_score, case when expected = 'success' then 'neutral' end sentiment_end,
+        case when expected = 'success' then cast(doc_id % 16 = 1 as varchar) end profanity_or_abuse, case when expected = 'success' then 1 else -1 end quotes from responses""",
         responses=fx.RESPONSES,
     )
 )
@@ -62,10 +62,10 @@ def validate_responses(spark, sf_dir):
         "extraction_status",
         F.split_part("error_message", F.lit(":"), F.lit(1)).alias("error_class"),
         F.col("extraction.summary").alias("summary"),
-        F.col("extraction.agent.empathy_score").cast("int").alias("empathy_score"),
+        F.coalesce(F.col("extraction.agent.empathy_score").cast("int"), F.lit(-1)).alias("empathy_score"),
         F.col("extraction.customer.sentiment_end").alias("sentiment_end"),
-        F.col("extraction.quality.profanity_or_abuse").alias("profanity_or_abuse"),
-        F.when(quotes.isNotNull(), F.size(quotes)).alias("quotes"),
+        F.col("extraction.quality.profanity_or_abuse").cast("string").alias("profanity_or_abuse"),
+        F.when(quotes.isNotNull(), F.size(quotes)).otherwise(-1).alias("quotes"),
     )
 
 
@@ -81,8 +81,8 @@ def error_taxonomy(spark, sf_dir):
 
 @check(
     fx.with_views(
-        """select call_id, extraction_status, error_class, attempts, case when error_class in ('api_error', 'unexpected_error') then null else n end prompt_token_count,
-        case when error_class in ('api_error', 'unexpected_error') then null else n % 50 + attempts end completion_token_count from expected""",
+        """select call_id, extraction_status, error_class, attempts, case when error_class in ('api_error', 'unexpected_error') then -1 else n end prompt_token_count,
+        case when error_class in ('api_error', 'unexpected_error') then -1 else n % 50 + attempts end completion_token_count from expected""",
         turns=fx.TURNS,
         expected=fx.STUB_EXPECTED,
     )
@@ -96,8 +96,8 @@ def stub_extraction(spark, sf_dir):
         "extraction_status",
         F.split_part("error_message", F.lit(":"), F.lit(1)).alias("error_class"),
         "attempts",
-        "prompt_token_count",
-        "completion_token_count",
+        F.coalesce("prompt_token_count", F.lit(-1)).alias("prompt_token_count"),
+        F.coalesce("completion_token_count", F.lit(-1)).alias("completion_token_count"),
     )
 
 
@@ -154,7 +154,7 @@ select * from r qualify row_number() over (partition by run_id, call_id order by
 
 @check(
     fx.with_views(
-        "select run_id, call_id, extraction_status, error_message, summary, cast(completion_token_count as int) completion_token_count from latest",
+        "select run_id, call_id, extraction_status, error_message, summary, coalesce(completion_token_count, -1) completion_token_count from latest",
         r=fx.ROWS,
         latest=LATEST,
     )
@@ -162,5 +162,5 @@ select * from r qualify row_number() over (partition by run_id, call_id order by
 def latest_rows(spark, sf_dir):
     return runs.latest_rows(fx.rows(spark, sf_dir)).select(
         "run_id", "call_id", "extraction_status", "error_message", F.col("extraction.summary").alias("summary"),
-        "completion_token_count",
+        F.coalesce("completion_token_count", F.lit(-1)).alias("completion_token_count"),
     )

@@ -92,14 +92,15 @@ def field_disagreement(spark, sf_dir):
 
 @check(
     fx.with_views(
-        """select a.call_id, cast(a.score as tinyint) run_a_value, cast(b.score as tinyint) run_b_value from (select * from latest where run_id = 'run_a') a
+        """select a.call_id, cast(a.score as varchar) run_a_value, cast(b.score as varchar) run_b_value from (select * from latest where run_id = 'run_a') a
         join (select * from latest where run_id = 'run_b') b using (call_id) where a.score is distinct from b.score""",
         r=fx.ROWS,
         latest=LATEST,
     )
 )
 def field_disagreement_after_retries(spark, sf_dir):
-    return api.field_disagreement(fx.rows(spark, sf_dir), "run_a", "run_b", "extraction.agent.empathy_score")
+    out = api.field_disagreement(fx.rows(spark, sf_dir), "run_a", "run_b", "extraction.agent.empathy_score")
+    return out.withColumns({name: F.col(name).cast("string") for name in ("run_a_value", "run_b_value")})
 
 
 @check(

@@ -37,7 +37,7 @@ def _parsed_shards(spark, sf_dir, purpose):
 
 @check(
     fx.with_views(
-        """select call_id, category_path, text, len(tokens) words, audio_duration, confidence
+        """select call_id, category_path, text, coalesce(len(tokens), -1) words, audio_duration, confidence
         from calls where doc_id % 20 not in (17, 18)""",
         calls=fx.CALLS,
     )
@@ -46,7 +46,7 @@ def read_calls(spark, sf_dir):
     usable = src.usable_calls(_parsed_shards(spark, sf_dir, "shards"))
     return usable.select(
         "call_id", "category_path", "text",
-        F.when(F.col("words").isNotNull(), F.size("words")).cast("bigint").alias("words"),
+        F.when(F.col("words").isNotNull(), F.size("words")).otherwise(-1).cast("bigint").alias("words"),
         "audio_duration", "confidence",
     )
 
@@ -64,7 +64,7 @@ def read_calls_bad_lines(spark, sf_dir):
 
 @check(
     """select cast(conv_id as varchar) || '-' || cast(turn as varchar) call_id,
-    case when turn % 4 = 2 then '' when turn % 4 = 3 then '{"text": 1}' else text end as text, case when turn % 4 = 1 then 2 end words,
+    case when turn % 4 = 2 then '' when turn % 4 = 3 then '{"text": 1}' else text end as text, case when turn % 4 = 1 then 2 else -1 end words,
     case when turn % 4 = 1 then 1.5::double end audio_duration from conversations"""
 )
 def transcripts(spark, sf_dir):
@@ -83,7 +83,7 @@ def transcripts(spark, sf_dir):
     )
     out = prepare.normalize_transcript(calls)
     return out.select(
-        "call_id", "text", F.when(F.col("words").isNotNull(), F.size("words")).cast("bigint").alias("words"), "audio_duration"
+        "call_id", "text", F.when(F.col("words").isNotNull(), F.size("words")).otherwise(-1).cast("bigint").alias("words"), "audio_duration"
     )
 
 
