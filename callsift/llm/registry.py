@@ -1,0 +1,20 @@
+"""Queries of this subpackage and, where SQL can express one, its DuckDB text."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def register(build: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[build.__name__] = build
+        if oracle is not None:
+            ORACLES[build.__name__] = oracle
+        return build
+
+    return register
