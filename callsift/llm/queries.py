@@ -1,3 +1,3 @@
 """Importing this module registers every query of the subpackage."""
 
-from callsift.llm import exact_dedup  # noqa: F401
+from callsift.llm import embedding_dedup, exact_dedup  # noqa: F401
