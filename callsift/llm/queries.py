@@ -1,3 +1,7 @@
 """Importing this module registers every query of the subpackage."""
 
-from callsift.llm import embedding_dedup, exact_dedup  # noqa: F401
+from callsift.llm import (  # noqa: F401
+    embedding_dedup,
+    exact_dedup,
+    html_extraction,
+)
