@@ -4,4 +4,6 @@ from callsift.llm import (  # noqa: F401
     embedding_dedup,
     exact_dedup,
     html_extraction,
+    quality,
+    toxicity,
 )
