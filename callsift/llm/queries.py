@@ -1,6 +1,7 @@
 """Importing this module registers every query of the subpackage."""
 
 from callsift.llm import (  # noqa: F401
+    bpe,
     embedding_dedup,
     exact_dedup,
     html_extraction,
