@@ -135,7 +135,7 @@ class Encoder:
         words = [w for x in split for w in x]
         if len(self.at) > self.limit:
             self._reset()
-        fresh = list(dict.fromkeys(w for w in words if w not in self.at))
+        fresh = list(set(words).difference(self.at))
         if fresh:
             ids, counts = self.model.encode_words([w.encode() for w in fresh])
             first = len(self.counts)

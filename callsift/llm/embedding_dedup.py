@@ -73,7 +73,7 @@ def _verified(threshold: float):
     (copies counted) that it meets in no earlier table, and the root of its partners as an edge."""
     from callsift.llm.common import local_roots
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key, rows):
         _, tab, _, low, high = key
         own = rows["block"].to_numpy()
         left, right = (np.arange(len(rows)),) * 2 if low == high else (np.flatnonzero(own == low), np.flatnonzero(own == high))
