@@ -49,11 +49,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             at = to
 
 
-def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text or binary column in one array, and where each row starts (one more than rows); null is empty."""
     column = pc.fill_null(column.cast(pa.binary()), b"")
     if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
+        column = column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks or [pa.array([], pa.binary())])
     _, offsets, data = column.buffers()
     starts = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) if len(column) else np.zeros(1, np.int64)
     whole = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
