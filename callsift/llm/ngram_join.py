@@ -79,7 +79,7 @@ def _prefixes(width: int):
     """
     shingler = Shingler(width)
 
-    def make(documents, codes):
+    def make(documents, codes, _):
         sets = shingler.sets(documents.column("text"))
         keys = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
         rows = []

@@ -5,6 +5,7 @@ from callsift.llm import (  # noqa: F401
     embedding_dedup,
     exact_dedup,
     html_extraction,
+    line_dedup,
     ngram_join,
     packing,
     quality,

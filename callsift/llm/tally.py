@@ -14,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from callsift.llm.common import slices, stage
 
@@ -106,16 +105,20 @@ def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], keys_per
     return questions.groupBy("bucket").applyInArrow(answered, "chunk long, bucket int, codes binary")
 
 
-def with_codes(chunks: DataFrame, codes: DataFrame, make: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
-    """``make(documents of a chunk, codes of its distinct keys)`` for every chunk."""
+def with_codes(chunks: DataFrame, codes: DataFrame, make: Callable[[pa.Table, np.ndarray, int], pa.Table], schema) -> DataFrame:
+    """``make(documents of a chunk, codes of its distinct keys, chunk)`` for every chunk."""
 
     def run(left, right):
         parts = right.sort_by("bucket").column("codes").to_pylist()
-        return make(opened(left.column("payload")[0].as_py()), np.frombuffer(b"".join(parts), np.uint8))
+        return make(opened(left.column("payload")[0].as_py()), np.frombuffer(b"".join(parts), np.uint8), left.column("chunk")[0].as_py())
 
     return chunks.groupBy("chunk").cogroup(codes.groupBy("chunk")).applyInArrow(run, schema)
 
 
-def shared_once(df: DataFrame, key: str) -> DataFrame:
-    """Keys of ``df`` that occur in several rows."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
+def with_rows(chunks: DataFrame, rows: DataFrame, make: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
+    """``make(documents of a chunk, the rows that name it)`` for every chunk; no rows is an empty table."""
+
+    def run(left, right):
+        return make(opened(left.column("payload")[0].as_py()), right)
+
+    return chunks.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(run, schema)
