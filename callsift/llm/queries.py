@@ -9,5 +9,6 @@ from callsift.llm import (  # noqa: F401
     ngram_join,
     packing,
     quality,
+    suffix_dedup,
     toxicity,
 )
