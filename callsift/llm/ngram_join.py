@@ -230,6 +230,13 @@ def near_duplicates(docs: DataFrame, width: int = WORDS) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def keep_one(docs: DataFrame, width: int = WORDS) -> DataFrame:
+    """Of each component of similar documents the one with the smallest id, with all its columns. Rows that repeat that id
+    are the same document and stay; rows without an id can't be told apart and stay."""
+    kept = near_duplicates(docs, width).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
 @query()
 def op1_ngram_jaccard_join(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -190,6 +190,20 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFra
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Rows of ``docs`` whose text scores ``threshold`` or more, with all their columns; scored where they are read."""
+    rows = stage(with_statistics(docs).join(learnable(labels, "quality"), "doc_id").select("doc_id", "x", "y"), "labelled")
+    model = fit(rows)
+    if model is None:
+        return docs
+
+    def run(batches):
+        for batch in slices(batches):
+            yield batch.filter(pa.array(model.score(statistics(batch.column("text"))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 @query()
 def op9_quality_classifier(spark, sf_dir):
     return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -245,10 +245,13 @@ def _cut(documents, rows):
 
 def _answers(docs: DataFrame, hot_code: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(chunks of first copies, answers for them, ids and digests of all rows)``."""
-    named = docs.withColumn("digest_", F.sha2(F.coalesce("text", F.lit("")), 256))
-    known = stage(named.select("doc_id", "digest_", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")), "known")
+    fresh = "digest_"
+    while fresh in docs.columns:
+        fresh += "_"
+    named = docs.withColumn(fresh, F.sha2(F.coalesce("text", F.lit("")), 256))
+    known = stage(named.select("doc_id", F.col(fresh).alias("digest_"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")), "known")
     firsts = stage(known.where("doc_id is not null").groupBy("digest_").agg(F.min("doc_id").alias("doc_id")), "firsts")
-    chunks = chunked(named.where("octet_length(text) > 0").join(firsts, ["digest_", "doc_id"], "left_semi").drop("digest_").select(*docs.columns))
+    chunks = chunked(named.where("octet_length(text) > 0").join(firsts.withColumnRenamed("digest_", fresh), [fresh, "doc_id"], "left_semi").select(*docs.columns))
     count = chunks.count()
     codes = tally(chunks, _keys, 640 << 10)
     bits = max(127, count * (160 << 10) // BUCKET_FRAMES).bit_length()
@@ -279,6 +282,19 @@ def repeats(docs: DataFrame, hot_code: int = HOT_CODE) -> DataFrame:
     return first.unionByName(rest)
 
 
+def remove_repeats(docs: DataFrame, hot_code: int = HOT_CODE) -> DataFrame:
+    """``docs`` without the bytes that ``repeats`` counts as removed; a character that loses some of its bytes goes whole.
+
+    Texts equal to that of a smaller id lose everything and are left out, as are others with nothing left. Empty texts,
+    texts below 50 bytes and rows without an id stay as they are.
+    """
+    chunks, rows, _ = _answers(docs, hot_code)
+    cut = with_rows(chunks, rows, _cut, docs.schema).where("octet_length(text) > 0")
+    firsts = docs.where(f"octet_length(text) > 0 and octet_length(text) < {LENGTH} and doc_id is not null").groupBy("text").agg(F.min("doc_id").alias("doc_id"))
+    short = docs.where(f"octet_length(text) > 0 and octet_length(text) < {LENGTH} and doc_id is not null").join(firsts, ["text", "doc_id"], "left_anti").select(*docs.columns)
+    return cut.unionByName(short).unionByName(docs.where("doc_id is null or text is null or octet_length(text) = 0"))
+
+
 @query()
 def op8_suffix_array_dedup(spark, sf_dir):
     return repeats(table(spark, sf_dir, "documents"))
