@@ -81,8 +81,8 @@ def error_taxonomy(spark, sf_dir):
 
 @check(
     fx.with_views(
-        """select call_id, extraction_status, error_class, attempts, case when error_class in ('api_error', 'unexpected_error') then -1 else n end prompt_token_count,
-        case when error_class in ('api_error', 'unexpected_error') then -1 else n % 50 + attempts end completion_token_count from expected""",
+        """select call_id, extraction_status, error_class, attempts, case when error_class in ('api_error', 'unexpected_error') and n % 12 <> 10 then -1 else n end prompt_token_count,
+        case when error_class in ('api_error', 'unexpected_error') and n % 12 <> 10 then -1 else n % 50 + attempts end completion_token_count from expected""",
         turns=fx.TURNS,
         expected=fx.STUB_EXPECTED,
     )

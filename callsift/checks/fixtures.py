@@ -299,8 +299,8 @@ select concat(cast(conv_id as varchar(20)), '-', cast(turn as varchar(20))) call
 
 STUB_EXPECTED = """
 select call_id, conv_id, n,
-  case when n % 12 in (3, 6, 7, 8, 9) then 'error' else 'success' end extraction_status,
-  case n % 12 when 3 then 'json_parse_error' when 6 then 'api_error' when 7 then 'validation_error' when 8 then 'unexpected_error' when 9 then 'missing_content' end error_class,
-  case when n % 12 in (3, 5, 6, 7, 8, 9) then 3 when n % 12 = 2 then 2 else 1 end attempts
+  case when n % 12 in (3, 6, 7, 8, 9, 10) then 'error' else 'success' end extraction_status,
+  case n % 12 when 3 then 'json_parse_error' when 6 then 'api_error' when 7 then 'validation_error' when 8 then 'unexpected_error' when 9 then 'missing_content' when 10 then 'unexpected_error' end error_class,
+  case when n % 12 in (3, 5, 6, 7, 8, 9, 10) then 3 when n % 12 = 2 then 2 else 1 end attempts
 from (select call_id, conv_id, least(length(text), 5000) n from turns)
 """

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from callsift.checks import fixtures as fx
 from callsift.checks.extract_checks import SETTINGS, turn_calls
 from callsift.checks.registry import check
-from callsift.checks.stub import stub_model
+from callsift.checks.stub import always_right, stub_model
 from callsift.functions import paths
 from callsift.operators import prepare
 from callsift.operators.runs import run_collisions as collisions
@@ -17,7 +19,7 @@ from callsift.sources import calls as src
 from callsift.sources import notifications
 from callsift.sources.tables import MEASUREMENTS, Warehouse
 from callsift.streaming import ingest
-from callsift.streaming.metrics import metrics_stream
+from callsift.streaming.metrics import close_windows, metrics_stream
 
 GZ = "*.gz"
 
@@ -259,9 +261,9 @@ def run_and_resume(spark, sf_dir):
     """A batch run, then the same input again: only the failed calls are tried a second time."""
     warehouse = Warehouse(spark, work_dir(spark, "tables"))
     calls = turn_calls(spark, sf_dir).drop("run_id")
-    SETTINGS.model_options["backoff_seconds"] = 0.0
+    settings = replace(SETTINGS, model_options={"backoff_seconds": 0.0})
     steps = [
-        run_extraction(warehouse, calls, "run_stub", stub_model, SETTINGS, f"step-{step}").withColumn("step", F.lit(step))
+        run_extraction(warehouse, calls, "run_stub", stub_model, settings, f"step-{step}").withColumn("step", F.lit(step))
         for step in (1, 2)
     ]
     return steps[0].unionByName(steps[1]).drop("run_id")
@@ -279,10 +281,10 @@ def _ingest(spark, sf_dir):
     shards = lines.repartitionByRange(4, "conv_id").select("value")
     shards.write.option("compression", "gzip").text(f"{root}/inbox")
     warehouse = Warehouse(spark, f"{root}/tables")
-    SETTINGS.model_options["backoff_seconds"] = 0.0
+    settings = replace(SETTINGS, model_options={"backoff_seconds": 0.0})
     for _ in range(2):  # the second pass finds nothing new
         query = ingest.ingest_stream(
-            warehouse, f"{root}/inbox", f"{root}/checkpoint", stub_model, SETTINGS, max_files=3, glob=GZ
+            warehouse, f"{root}/inbox", f"{root}/checkpoint", stub_model, settings, max_files=3, glob=GZ
         )
         query.awaitTermination()
         if query.exception():
@@ -319,18 +321,79 @@ def ingest_quarantine(spark, sf_dir):
 
 @check(
     fx.with_views(
-        """select run_id, period_start, requests, req_per_sec from (select run_id, time_bucket(interval '60 seconds', ts) period_start, count(*) requests,
-        count(*) filter (ok) / 60.0::double req_per_sec from requests group by 1, 2)
-        where period_start + interval '60 seconds' <= (select max(ts) from events) - interval '60 seconds'""",
+        """select run_id, time_bucket(interval '60 seconds', ts) period_start, count(*) requests, count(*) filter (ok) / 60.0::double req_per_sec, 0::bigint late_requests
+        from requests group by 1, 2""",
         requests=fx.REQUESTS,
     )
 )
 def metrics_stream_60s(spark, sf_dir):
-    """The windows the stream has closed: those that end a minute before the last request."""
+    """All windows: those that the stream has closed, and the last ones from the closing pass."""
     root = work_dir(spark, "stream")
     fx.requests(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{root}/in")
     schema = spark.read.parquet(f"{root}/in").schema
     source = spark.readStream.schema(schema).parquet(f"{root}/in")
     metrics_stream(source, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    out = spark.read.parquet(f"{root}/out")
-    return out.select("run_id", "period_start", "requests", "req_per_sec")
+    out = close_windows(spark.read.parquet(f"{root}/in"), f"{root}/out")
+    return out.select("run_id", "period_start", "requests", "req_per_sec", "late_requests")
+
+
+def _turn_lines(spark, sf_dir):
+    return fx.shared(spark, sf_dir, fx.TURNS).select("conv_id", F.to_json(F.struct("call_id", F.col("text").alias("transcript"))).alias("value"))
+
+
+@check(
+    """select stream, count(*) n from (select * from conversations cross join (values ('one'), ('two')) s(stream)) group by stream
+    union all select stream || ' aside', 1 from (values ('one'), ('two')) s(stream)"""
+)
+def ingest_two_streams(spark, sf_dir):
+    """Two streams with checkpoints of their own and shards of the same name: rows and quarantine of both stay."""
+    root = work_dir(spark, "stream")
+    warehouse = Warehouse(spark, f"{root}/tables")
+    settings = replace(SETTINGS, model_options={"backoff_seconds": 0.0})
+    for stream in ("one", "two"):
+        lines = _turn_lines(spark, sf_dir).withColumn("value", F.regexp_replace("value", '"call_id":"', f'"call_id":"{stream}-'))
+        bad = spark.range(1).select(F.lit(-1).cast("bigint").alias("conv_id"), F.lit("{broken").alias("value"))
+        lines.unionByName(bad.select(*[F.col(c).cast(t) for c, t in lines.dtypes])).coalesce(1).select("value").write.text(f"{root}/{stream}")
+        query = ingest.ingest_stream(warehouse, f"{root}/{stream}", f"{root}/checkpoint-{stream}", always_right, settings, glob="*.txt")
+        query.awaitTermination()
+    rows = warehouse.calls().select("call_id").distinct().groupBy(F.split_part("call_id", F.lit("-"), F.lit(1)).alias("stream")).agg(F.count(F.lit(1)).alias("n"))
+    aside = ingest.read_quarantine(warehouse).filter("item = '{broken'").select(F.regexp_extract("source_file", "/(one|two)/", 1).alias("stream"))
+    return rows.unionByName(aside.groupBy(F.concat("stream", F.lit(" aside")).alias("stream")).agg(F.count(F.lit(1)).alias("n")))
+
+
+@check(
+    fx.with_views(
+        """select run_id, count(*) n from r where run_id = 'run_a' group by run_id""",
+        r=fx.ROWS,
+    )
+)
+def append_replaced(spark, sf_dir):
+    """A batch written again without one of its runs: that run's rows go."""
+    warehouse = Warehouse(spark, work_dir(spark, "tables"))
+    rows = fx.rows(spark, sf_dir).select("run_id", "call_id", "extraction_status", "error_message", "extracted_at")
+    warehouse.append_extractions(rows, "b1", many_runs=True)
+    warehouse.append_extractions(rows.filter("run_id = 'run_a'"), "b1", many_runs=True)
+    return warehouse.calls().groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@check("select 'success' extraction_status, count(*) n, 0::bigint set_aside from conversations")
+def ingest_redone_batch(spark, sf_dir):
+    """A micro-batch that is done again with a model that now succeeds: no error row and nothing set aside remains."""
+    warehouse = Warehouse(spark, work_dir(spark, "tables"))
+    settings = replace(SETTINGS, model_options={"backoff_seconds": 0.0})
+    lines = _turn_lines(spark, sf_dir).select("value", F.concat(F.lit("shard-"), (F.col("conv_id") % 3).cast("string"), F.lit(".jsonl.gz")).alias("source_file"))
+    for model in (stub_model, always_right):
+        ingest.process_shards(warehouse, lines, model, settings, "batch-0")
+    aside = ingest.read_quarantine(warehouse).count()
+    return warehouse.calls().groupBy("extraction_status").agg(F.count(F.lit(1)).alias("n"), F.lit(aside).cast("bigint").alias("set_aside"))
+
+
+@check(fx.with_views("select count(*) n, true within_limit from r", r=fx.ROWS))
+def commit_limits(spark, sf_dir):
+    """The row limit of the commit policy holds for every file that a batch writes."""
+    warehouse = Warehouse(spark, work_dir(spark, "tables"))
+    rows = fx.rows(spark, sf_dir).select("run_id", "call_id", "extraction_status", "error_message", "extracted_at")
+    limit = ingest.commit_policy(rows=500)["write"]["maxRecordsPerFile"]
+    warehouse.append_extractions(rows, "b1", max_records_per_file=limit)
+    files = spark.read.parquet(warehouse.path("calls_extractions")).groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(F.sum("n").alias("n"), (F.max("n") <= limit).alias("within_limit"))

@@ -57,8 +57,14 @@ def stub_reply(request: dict):
         return RuntimeError("broken")
     if kind == 9:
         return {"usage": usage}
+    if kind == 10:
+        return {**good, "content": document()}
     return good
 
 
 def stub_model(requests: list[dict]) -> list:
     return [stub_reply(request) for request in requests]
+
+
+def always_right(requests: list[dict]) -> list:
+    return [{"content": json.dumps(document()), "usage": {"prompt_tokens": "many"}} for _ in requests]

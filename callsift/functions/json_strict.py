@@ -2,8 +2,12 @@
 
 The native parser stops at the end of the first value and refuses duplicate keys and NaN. Wrapping
 the text in an array with a closing sentinel makes it read the whole text; the few documents it
-still refuses go through Python's json module, which decides and words the error. Documents that
-parse natively never leave the JVM: the Python function sees null for them.
+still refuses, and those that hold the sentinel themselves, go through Python's json module, which
+decides and words the error. Documents that parse natively never leave the JVM: the Python function
+sees null for them.
+
+A document nested deeper than ``MAX_DEPTH`` is an error (json_depth_error) on either way, and a valid
+one that the variant type can't hold is one of its own (document_too_large): neither is cut.
 """
 
 from __future__ import annotations
@@ -23,8 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SENTINEL = "~end-of-document~"
 # Stands for NaN, infinities and broken strings, wrapped in a list: no field rule accepts it.
 NOT_STORABLE = "~not-storable~"
-# The native parser stops at a nesting of 1000; no field of ours lies deeper than a few levels.
-MAX_DEPTH = 100
+# The native parser reads 1000 levels, of which the wrapping array is one.
+MAX_DEPTH = 999
 DETAIL_CHARS = 300
 
 
@@ -33,12 +37,12 @@ def _finite(text: str):
     return value if value - value == 0 else [NOT_STORABLE]
 
 
-def _storable(value, depth: int = 0):
-    """Strings that are no valid UTF-8, and levels deeper than any field, become the stand-in."""
-    if depth > MAX_DEPTH and isinstance(value, (dict, list)):
-        return [NOT_STORABLE]
+def _storable(value, depth: int = 1):
+    """Strings that are no valid UTF-8 become the stand-in; keys that are not are kept in escaped form."""
+    if isinstance(value, (dict, list)) and depth > MAX_DEPTH:
+        raise OverflowError
     if isinstance(value, dict):
-        return {k: _storable(v, depth + 1) for k, v in value.items() if not _lone_surrogate(k)}
+        return {k.encode("utf-8", "backslashreplace").decode(): _storable(v, depth + 1) for k, v in value.items()}
     if isinstance(value, list):
         return [_storable(v, depth + 1) for v in value]
     if isinstance(value, str) and _lone_surrogate(value):
@@ -51,10 +55,14 @@ def _lone_surrogate(text: str) -> bool:
 
 
 def canonical_or_error(text: str) -> tuple[str | None, str | None]:
+    # Room for the deepest document allowed, which takes a few frames per level.
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 10 * MAX_DEPTH))
     try:
         value = json.loads(text, parse_float=_finite, parse_constant=lambda _: [NOT_STORABLE])
         return json.dumps(_storable(value)), None
-    except (ValueError, RecursionError) as error:
+    except (OverflowError, RecursionError):
+        return None, f"json_depth_error: nested deeper than {MAX_DEPTH} levels"
+    except ValueError as error:
         return None, f"json_parse_error: {type(error).__name__}: {str(error)[:DETAIL_CHARS]}"
 
 
@@ -73,24 +81,27 @@ def variant_kind(value: Column) -> Column:
     return F.when(is_object, F.lit("OBJECT")).otherwise(F.schema_of_variant(value))
 
 
-def parse_json_strict(df: DataFrame, column: str, doc: str = "doc", error: str = "parse_error") -> DataFrame:
-    """Adds ``doc`` (variant) and ``error`` (null when the text is one valid document)."""
+def parse_json_strict(df: DataFrame, column: str, doc: str = "doc", error: str = "parse_error", required: bool = True) -> DataFrame:
+    """Adds ``doc`` (variant) and ``error`` (null when the text is one valid document).
+
+    A null text is an empty document, which is an error; without ``required`` it has neither document nor error.
+    """
     text = F.coalesce(F.col(column), F.lit(""))
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{SENTINEL}"]')))
-    complete = (
-        F.try_variant_get(F.col("_whole"), "$[1]", "string") == SENTINEL
-    ) & F.try_variant_get(F.col("_whole"), "$[2]", "string").isNull()
+    # Exactly two elements: the document and the sentinel.
+    complete = (F.try_variant_get(F.col("_whole"), "$[1]", "string") == SENTINEL) & F.try_variant_get(F.col("_whole"), "$[2]", "variant").isNull()
+    complete &= ~F.contains(text, F.lit(SENTINEL))
     parsed = df.withColumn("_whole", wrapped).withColumn(
         "_native", F.when(complete, F.try_variant_get(F.col("_whole"), "$[0]", "variant"))
     )
-    judged = parsed.withColumn("_second", _second_opinion(F.when(F.col("_native").isNull(), text)))
+    judged = parsed.withColumn("_second", _second_opinion(F.when(F.col("_native").isNull() & (F.lit(required) | F.col(column).isNotNull()), text)))
     canonical = F.try_parse_json(F.col("_second.canonical"))
     return (
         judged.withColumn(doc, F.coalesce(F.col("_native"), canonical))
         .withColumn(
             error,
-            F.when(F.col(doc).isNotNull(), F.lit(None).cast("string")).otherwise(
-                F.coalesce(F.col("_second.error"), F.lit("json_parse_error: document too large"))
+            F.when(F.col(doc).isNotNull() | (F.lit(not required) & F.col(column).isNull()), F.lit(None).cast("string")).otherwise(
+                F.coalesce(F.col("_second.error"), F.lit("document_too_large: valid JSON above the limit of the variant type"))
             ),
         )
         .drop("_whole", "_native", "_second")

@@ -1,53 +1,55 @@
-"""Gauges and counters read from metrics scrapes (text exposition format)."""
+"""Gauges and counters read from metrics scrapes (text exposition format).
+
+A scrape is taken apart once, into the name and value of each sample line; everything else selects by name.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Metric names and line formats; lines end at \n only.
-NUMBER = r"([0-9eE.+-]+)"
-LABELS = r"(?:\{[^}]*\})?"
-GPU_GAUGES = (
-    rf"(?md)^vllm:gpu_cache_usage_perc{LABELS}\s+{NUMBER}\s*$",
-    rf"(?md)^vllm:gpu_cache_usage{LABELS}\s+{NUMBER}\s*$",
-)
+# Metric names and the gate.
+GPU_GAUGES = ("vllm:gpu_cache_usage_perc", "vllm:gpu_cache_usage")
 HIT_RATE_GAUGES = ("vllm:gpu_prefix_cache_hit_rate", "vllm:prefix_cache_hit_rate")
-HIT_COUNTER = rf"(?md)^vllm:[a-z_]*prefix[a-z_]*hit[a-z_]*{LABELS}\s+{NUMBER}"
-QUERY_COUNTER = rf"(?md)^vllm:[a-z_]*prefix[a-z_]*quer(?:y|ies)[a-z_]*{LABELS}\s+{NUMBER}"
 HIT_RATIO_GATE = 0.7
 
+#: A sample line: name, labels in braces or none, white space, value; a timestamp may follow.
+SAMPLE = r"^([A-Za-z_:][A-Za-z0-9_:]*)(?:\{.*\})?\s+([-+0-9.eE]+)(?:\s|$)"
 
-def _number(text: Column) -> Column:
-    return text.try_cast("double")
 
+def samples(scrape: Column) -> Column:
+    """Array of (name, value) of the lines that carry a number, in their order."""
+    lines = F.filter(F.split(scrape, "\n"), lambda line: line.rlike(SAMPLE))
+    parsed = F.transform(
+        lines, lambda line: F.struct(F.regexp_extract(line, SAMPLE, 1).alias("name"), F.regexp_extract(line, SAMPLE, 2).try_cast("double").alias("value"))
+    )
+    return F.filter(parsed, lambda s: s["value"].isNotNull())
 
-def gpu_util(scrape: Column) -> Column:
-    """First gauge that is present and numeric, by name priority; 0.0 without one."""
-    found = [_number(F.regexp_extract(scrape, pattern, 1)) for pattern in GPU_GAUGES]
-    return F.coalesce(*found, F.lit(0.0))
 
+def _first(found: Column, wanted) -> Column:
+    return F.get(F.filter(found, lambda s: wanted(s["name"])), F.lit(0))["value"]
 
-def hit_rate_gauge(scrape: Column) -> Column:
-    """Value of the first gauge line that carries a number; null without one."""
-    lines = F.filter(
-        F.split(scrape, "\n"),
-        lambda line: line.startswith(HIT_RATE_GAUGES[0]) | line.startswith(HIT_RATE_GAUGES[1]),
-    )
-    values = F.transform(lines, lambda line: _number(F.regexp_extract(line, r"\s(\S+)\s*$", 1)))
-    return F.get(F.filter(values, lambda v: v.isNotNull()), F.lit(0))
+
+def _named(name: str):
+    return lambda own: own == name
+
+
+def gpu_util(found: Column) -> Column:
+    """First gauge that is present and numeric, by name priority; 0.0 without one."""
+    return F.coalesce(*[_first(found, _named(name)) for name in GPU_GAUGES], F.lit(0.0))
 
 
-def _counter_sum(scrape: Column, pattern: str) -> Column:
-    values = F.transform(F.regexp_extract_all(scrape, F.lit(pattern), F.lit(1)), _number)
-    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0)))
+def _total(found: Column, parts: str) -> Column:
+    """Sum over the samples whose name has the given parts, in this order."""
+    own = F.filter(found, lambda s: s["name"].startswith("vllm:") & s["name"].rlike(parts))
+    return F.aggregate(own, F.lit(0.0), lambda total, s: total + s["value"])
 
 
-def prefix_hit_ratio(scrape: Column) -> Column:
-    """The gauge if exposed, else summed hits over summed queries; null when neither is there."""
-    queries = _counter_sum(scrape, QUERY_COUNTER)
-    counted = F.when(queries > 0, _counter_sum(scrape, HIT_COUNTER) / queries)
-    return F.coalesce(hit_rate_gauge(scrape), counted)
+def prefix_hit_ratio(found: Column) -> Column:
+    """The first hit rate gauge if one is exposed, else summed hits over summed queries; null when neither is there."""
+    gauge = _first(found, lambda name: name.startswith(HIT_RATE_GAUGES[0]) | name.startswith(HIT_RATE_GAUGES[1]))
+    queries = _total(found, "prefix.*quer(y|ies)")
+    return F.coalesce(gauge, F.when(queries > 0, _total(found, "prefix.*hit") / queries))
 
 
 def passes_gate(ratio: Column) -> Column:

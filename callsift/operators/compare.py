@@ -7,7 +7,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from callsift.functions.json_strict import parse_json_strict
 from callsift.functions.skew import rank_values, salted_join
+from callsift.functions.stages import settle
 
 # Fixed value: an output longer than this many medians is a runaway.
 RUNAWAY_FACTOR = 10
@@ -17,7 +19,7 @@ BUCKET_SIZE = 1024
 def _length_ranks(df: DataFrame, keys: list[str], value: str, bucket_size: float) -> DataFrame:
     n = F.col("group_rows")
     ranks = {"upper_median": F.floor(n / 2), "longest": n - 1}
-    return rank_values(df, keys, value, ranks, buckets=[F.floor(F.col(value) / bucket_size)])
+    return rank_values(df, keys, value, ranks, buckets=[F.floor(F.col(value) / (bucket_size * bucket_size)), F.floor(F.col(value) / bucket_size)])
 
 
 def upper_median(df: DataFrame, keys: list[str], value: str, bucket_size: float = BUCKET_SIZE) -> DataFrame:
@@ -25,12 +27,17 @@ def upper_median(df: DataFrame, keys: list[str], value: str, bucket_size: float
     return _length_ranks(df, keys, value, bucket_size).drop("longest")
 
 
-def response_length(raw: Column) -> Column:
-    """Bytes of the first choice's content; of the whole reply if it has none."""
-    reply = F.try_parse_json(raw)
+def response_lengths(df: DataFrame, raw: str = "raw", length: str = "length") -> DataFrame:
+    """Adds the bytes of the first choice's content: 0 if that is null or missing, those of the whole reply if the reply is
+    no single JSON document, has no choices, or holds something else than a text there."""
+    parsed = parse_json_strict(df, raw, doc="_reply", error="_reply_error")
+    reply = F.col("_reply")
     first = F.try_variant_get(reply, "$.choices[0]", "variant")
-    content = F.coalesce(F.try_variant_get(reply, "$.choices[0].message.content", "string"), F.lit(""))
-    return F.when(first.isNotNull(), F.octet_length(content)).otherwise(F.octet_length(raw)).cast("bigint")
+    content = F.try_variant_get(reply, "$.choices[0].message.content", "variant")
+    kind = F.coalesce(F.schema_of_variant(content), F.lit("VOID"))
+    usable = first.isNotNull() & kind.isin("STRING", "VOID")
+    size = F.when(usable, F.octet_length(F.coalesce(F.try_variant_get(content, "$", "string"), F.lit("")))).otherwise(F.octet_length(raw))
+    return settle(parsed, {length: size.cast("bigint")}, drop=["_reply", "_reply_error"])
 
 
 def runaway_outputs(df: DataFrame, keys: list[str], id_column: str, factor: int = RUNAWAY_FACTOR) -> DataFrame:

@@ -31,16 +31,24 @@ ModelFn = Callable[[list[dict]], list]
 BuildRequests = Callable[[DataFrame], DataFrame]
 
 
+def _count(value) -> int | None:
+    return value if isinstance(value, int) and not isinstance(value, bool) and 0 <= value < 1 << 31 else None
+
+
 def reply_row(reply) -> tuple:
-    """One model reply (a dict or an exception) as the fields of ``REPLY``."""
+    """One model reply (a dict or an exception) as the fields of ``REPLY``; what has no such form is that call's error."""
     if isinstance(reply, BaseException):
         kind = "api_error" if isinstance(reply, CONNECTION_ERRORS) else "unexpected_error"
         return None, f"{kind}: {type(reply).__name__}: {reply}", False, None, None
     usage = reply.get("usage") if isinstance(reply, dict) else None
-    tokens = (usage.get("prompt_tokens"), usage.get("completion_tokens")) if usage else (None, None)
+    usage = usage if isinstance(usage, dict) else None
+    tokens = (_count(usage.get("prompt_tokens")), _count(usage.get("completion_tokens"))) if usage else (None, None)
     if not isinstance(reply, dict) or "content" not in reply:
         return None, "missing_content: reply carries no content", bool(usage), *tokens
-    return reply["content"] or "", None, bool(usage), *tokens
+    content = reply["content"]
+    if content is not None and not isinstance(content, str):
+        return None, f"unexpected_error: content is a {type(content).__name__}", bool(usage), *tokens
+    return content or "", None, bool(usage), *tokens
 
 
 def call_batch(model_fn: ModelFn, requests: list[dict]) -> list[tuple]:
@@ -135,10 +143,10 @@ def extract_batch(
     """
     empty = F.lit(None).cast("int")
     pending = calls.withColumns({"prompt_token_count": empty, "completion_token_count": empty})
-    if concurrency:
-        pending = pending.repartition(concurrency)
     finished = []
     for attempt in range(1, max_attempts + 1):
+        if concurrency:
+            pending = pending.repartition(concurrency)
         judged = materialize(attempt_once(pending, build_requests, model_fn, attempt, **options), f"attempt-{attempt}")
         failed = judged.filter(F.col("extraction_status") == "error")
         if attempt == max_attempts or failed.isEmpty():

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callsift.functions import scrape as sc
+from callsift.functions.stages import settle
 
 # Publishing period; alarm threshold and consecutive periods.
 PERIOD_SECONDS = 60
@@ -15,10 +16,10 @@ ALARM_PERIODS = 70
 
 def scrape_metrics(scrapes: DataFrame, column: str = "scrape") -> DataFrame:
     """Adds gpu_util, prefix_cache_hit_ratio (null if absent) and the gate flag."""
-    text = F.col(column)
-    return scrapes.withColumns(
-        {"gpu_util": sc.gpu_util(text), "prefix_cache_hit_ratio": sc.prefix_hit_ratio(text)}
-    ).withColumn("passes_gate", sc.passes_gate(F.col("prefix_cache_hit_ratio")))
+    found = F.col("_samples")
+    values = {"gpu_util": sc.gpu_util(found), "prefix_cache_hit_ratio": sc.prefix_hit_ratio(found)}
+    read = settle(scrapes, {"_samples": sc.samples(F.col(column))}).withColumns(values).drop("_samples")
+    return read.withColumn("passes_gate", sc.passes_gate(F.col("prefix_cache_hit_ratio")))
 
 
 def request_windows(
@@ -54,10 +55,44 @@ def metrics_60s(requests: DataFrame, scrapes: DataFrame, period_seconds: int = P
     return request_windows(requests, period_seconds).join(scraped, ["run_id", "period_start"], "full_outer")
 
 
+def metric_windows(requests: DataFrame, scrapes: DataFrame, period_seconds: int = PERIOD_SECONDS, watermark: str | None = None) -> DataFrame:
+    """The four published metrics per run and period, both logs in one aggregation, so that it also runs as a stream.
+
+    A period without requests has null rates, one without scrapes null gauges.
+    """
+    asked = requests.select("run_id", "ts", "ok")
+    seen = scrape_metrics(scrapes).select("run_id", "ts", "prefix_cache_hit_ratio", "gpu_util")
+    rows = asked.unionByName(seen, allowMissingColumns=True)
+    rows = rows.withWatermark("ts", watermark) if watermark else rows
+    count = F.count("ok")
+    return (
+        rows.groupBy("run_id", F.window("ts", f"{period_seconds} seconds").alias("period"))
+        .agg(
+            F.when(count > 0, F.count_if("ok") / float(period_seconds)).alias("req_per_sec"),
+            F.when(count > 0, F.count_if(~F.col("ok")) / count).alias("error_rate"),
+            count.alias("requests"),
+            F.avg("prefix_cache_hit_ratio").alias("prefix_cache_hit_ratio"),
+            F.avg("gpu_util").alias("gpu_util"),
+        )
+        .select("run_id", F.col("period.start").alias("period_start"), "req_per_sec", "error_rate", "requests", "prefix_cache_hit_ratio", "gpu_util")
+    )
+
+
+def sweep_measurements(requests: DataFrame, scrapes: DataFrame) -> DataFrame:
+    """Rows for the measurement table: the sweep with the mean hit ratio and gpu use of the scrapes of each run and level.
+
+    ``scrapes`` has run_id, concurrency and scrape. Both logs are aggregated before they meet.
+    """
+    gauges = scrape_metrics(scrapes).groupBy("run_id", "concurrency").agg(
+        F.avg("prefix_cache_hit_ratio").alias("prefix_cache_hit_ratio"), F.avg("gpu_util").alias("gpu_util_mean")
+    )
+    return bench_sweep(requests).join(gauges, ["run_id", "concurrency"], "left")
+
+
 def bench_sweep(requests: DataFrame) -> DataFrame:
     """Throughput and error rate per run and concurrency level.
 
-    ``us`` is the request's start in microseconds; a level lasts from its first to its last request.
+    ``us`` is the request's start in microseconds; a level lasts from its first start until its last request is done.
     """
     seconds = F.col("duration_seconds")
     return (
@@ -65,7 +100,7 @@ def bench_sweep(requests: DataFrame) -> DataFrame:
         .agg(
             F.count_if("ok").alias("ok_calls"),
             F.count(F.lit(1)).alias("total_calls"),
-            ((F.max("us") - F.min("us")) / 1e6).alias("duration_seconds"),
+            ((F.max(F.col("us") + F.col("latency_s") * 1e6) - F.min("us")) / 1e6).alias("duration_seconds"),
         )
         .withColumns(
             {

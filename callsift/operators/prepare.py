@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import functools
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callsift import schemas
@@ -21,6 +22,25 @@ USER_PREFIX = "TRANSCRIPT:\n"
 FEATURE_NAMES = tuple(field.name for field in schemas.FEATURES_TYPE.fields)
 
 
+def mistyped_member(raw: Column) -> Column:
+    """Name of the first member of a transcript object that is there, is not null and has the wrong type, else null."""
+
+    def wrong(name: str, target: str) -> Column:
+        there = F.try_variant_get(raw, f"$.{name}", "variant")
+        known = F.coalesce(F.schema_of_variant(there), F.lit("VOID")) != "VOID"
+        return F.when(known & F.try_variant_get(raw, f"$.{name}", target).isNull(), F.lit(name))
+
+    fields = [f.name for f in schemas.WORDS_TYPE.elementType.fields]
+    members = F.try_variant_get(raw, "$.words", f"array<struct<{', '.join(f'{f}: variant' for f in fields)}>>")
+
+    def odd(word: Column) -> Column:
+        """A word whose member is there, is not null and has the wrong type, which the cast of the whole array lets pass."""
+        return reduce(lambda a, b: a | b, [(F.coalesce(F.schema_of_variant(word[f]), F.lit("VOID")) != "VOID") & F.try_variant_get(word[f], "$", "double").isNull() for f in fields])
+
+    odd_word = F.when(F.exists(members, odd), F.lit("words"))
+    return F.coalesce(wrong("text", "string"), wrong("words", schemas.WORDS_TYPE.simpleString()), odd_word, wrong("audio_duration", "double"), wrong("confidence", "double"))
+
+
 def normalize_transcript(df: DataFrame, column: str = "transcript") -> DataFrame:
     """Variant transcript (a string or an object) -> text, words, audio_duration, confidence."""
     raw = F.col(column)

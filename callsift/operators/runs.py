@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callsift.functions.skew import salted_join
+from callsift.functions.skew import null_safe_match, salted_join
 
 
 def _rows_with(status: str) -> Column:
@@ -20,11 +20,18 @@ def committed_ids(rows: DataFrame, run_id: str | None = None) -> DataFrame:
     return done.select("run_id", "call_id").distinct()
 
 
-def resume(calls: DataFrame, committed: DataFrame, spread_by: list[str] | None = None) -> DataFrame:
-    """Calls without a committed success; error rows do not count, repeated input ids all stay."""
+def resume(calls: DataFrame, committed: DataFrame, hot_keys: bool = False) -> DataFrame:
+    """Calls without a committed success; error rows do not count, repeated input ids all stay.
+
+    Ids are nearly unique, so the join is a plain one: broadcast while Spark sizes the committed side small, else
+    split by adaptive execution. ``hot_keys`` salts it for inputs that repeat single ids very often.
+    """
     keys = ["run_id", "call_id"]
-    columns = spread_by or [c for c, kind in calls.dtypes if kind in ("string", "bigint", "int")]
-    return salted_join(calls, committed.select(*keys).distinct(), keys, "left_anti", columns)
+    done = committed.select(*keys).distinct()
+    if hot_keys:
+        return salted_join(calls, done, keys, "left_anti", keys + [c for c in ("source_path",) if c in calls.columns])
+    renamed = done.withColumnsRenamed({name: f"_r_{name}" for name in keys})
+    return calls.join(renamed, null_safe_match(keys, "_r_"), "left_anti")
 
 
 def run_stats(outcomes: DataFrame) -> DataFrame:
@@ -55,14 +62,17 @@ def final_status(stats: DataFrame, interrupted: Column | None = None) -> DataFra
 
 
 def latest_rows(rows: DataFrame) -> DataFrame:
-    """One row per (run_id, call_id): a success if there is one, then the newest.
+    """One row per (run_id, call_id): a success if there is one, then the newest; of rows written at the same time the one
+    with the least error text, then by a hash of the whole row, so the order of rows never decides.
 
     The rank filter lets Spark drop all but the best row per key before the shuffle.
     """
+    whole = F.xxhash64(*[F.to_json(F.struct(c)) if kind.startswith(("struct", "array", "map")) else F.col(c) for c, kind in rows.dtypes if kind != "variant"])
     best_first = Window.partitionBy("run_id", "call_id").orderBy(
         (F.col("extraction_status") == "success").desc(),
         F.col("extracted_at").desc(),
         F.coalesce(F.col("error_message"), F.lit("")),
+        whole,
     )
     return rows.withColumn("_rank", F.row_number().over(best_first)).filter("_rank = 1").drop("_rank")
 

@@ -24,6 +24,7 @@ class RunSettings:
     system_prompt: str | None = None
     enable_thinking: bool = False
     concurrency: int | None = None
+    test_name: str = "inbox"
     model_options: dict = field(default_factory=dict)
 
 
@@ -75,7 +76,7 @@ def run_extraction(
         pending = tagged
         if skip_committed:
             done = materialize(warehouse.committed_ids([run_id], but_not=[ingest_batch]), "committed")
-            pending = resume(tagged, done)
+            pending = tagged if done.isEmpty() else resume(tagged, done)
         rows = extract_rows(pending, model_fn, settings)
         warehouse.append_extractions(rows, ingest_batch)
         stats = final_status(_batch_stats(tagged, rows, run_id))

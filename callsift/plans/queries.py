@@ -64,7 +64,18 @@ def failed_calls(rows: DataFrame, run_id: str, limit: int = 100) -> DataFrame:
 
 
 def run_sql(spark: SparkSession, text: str, views: dict[str, DataFrame], args: dict[str, Any] | None = None) -> DataFrame:
-    """Free-form SQL with named parameters over the given tables."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text, args=args or {})
+    """Free-form SQL with named parameters over the given tables.
+
+    The names hold for this text only: temporary views of the caller that have one of them are put back.
+    """
+    before = {name: spark.table(name) for name in views if any(t.isTemporary for t in spark.catalog.listTables(pattern=name) if t.name == name)}
+    try:
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(text, args=args or {})
+    finally:
+        for name in views:
+            if name in before:
+                before[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)

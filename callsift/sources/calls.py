@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from callsift.functions.json_strict import parse_json_strict, variant_kind
 from callsift.functions.paths import call_id_from_path, category_from_path
 from callsift.functions.stages import settle
-from callsift.operators.prepare import normalize_transcript
+from callsift.operators.prepare import mistyped_member, normalize_transcript
 from callsift.session import spread
 
 # Where shards arrive, how they are named, and the size of the smoke set.
@@ -61,7 +61,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     """One normalized row per line; ``line_error`` is null for usable calls.
 
     A line is usable when it is one JSON object with a string call_id and a transcript that is
-    absent, null, a string or an object. Columns next to ``value`` pass through.
+    absent, null, empty, a string or an object whose members have their types. Columns next to ``value`` pass through.
     """
     doc = F.col("doc")
     parsed = parse_json_strict(lines, "value").withColumns(
@@ -76,10 +76,16 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         }
     )
     kind = F.coalesce(variant_kind(F.col("transcript")), F.lit("VOID"))
+    raw = F.col("transcript")
+    # Empty, zero and false stand for no text.
+    number = F.try_variant_get(raw, "$", "double")
+    nothing = F.when(kind.startswith("ARRAY"), F.try_variant_get(raw, "$[0]", "variant").isNull()).when(kind == "BOOLEAN", ~F.try_variant_get(raw, "$", "boolean")).otherwise(number == 0)
+    mistyped = F.when(kind == "OBJECT", mistyped_member(raw))
     problem = (
         F.when(F.col("parse_error").isNotNull(), F.col("parse_error"))
         .when(F.col("call_id").isNull(), F.lit("missing call_id"))
-        .when(~kind.isin("STRING", "VOID", "OBJECT"), F.lit("unusable transcript"))
+        .when(~kind.isin("STRING", "VOID", "OBJECT") & ~F.coalesce(nothing, F.lit(False)), F.lit("unusable transcript"))
+        .when(mistyped.isNotNull(), F.concat(F.lit("unusable transcript: "), mistyped))
     )
     judged = parsed.withColumn("line_error", problem).withColumn(
         "value", F.when(F.col("line_error").isNotNull(), F.col("value"))
@@ -156,18 +162,22 @@ def read_transcript_files(spark: SparkSession, root: str, glob: str = "*.json")
 
 
 def build_corpus(spark: SparkSession, root: str, out: str, glob: str = CORPUS_SHARDS) -> DataFrame:
-    """All shards as one line corpus, written once: an existing corpus is left alone."""
+    """All shards as one line corpus, written once: a finished corpus is left alone."""
     lines = (
         spark.read.option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
         .text(root)
         .select(
             "value",
-            F.col("_metadata.file_path").alias("source_file"),
+            decoded_path(F.col("_metadata.file_path")).alias("source_file"),
             F.col("_metadata.file_block_start").alias("block_start"),
             F.monotonically_increasing_id().alias("line_no"),
         )
     )
-    lines.write.mode("ignore").parquet(out)
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/_SUCCESS")
+    if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
+        # What a write that died has left is no corpus.
+        lines.write.mode("overwrite").parquet(out)
     return spark.read.schema(lines.schema).parquet(out)
 
 

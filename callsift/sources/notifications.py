@@ -33,7 +33,7 @@ def parse_notifications(messages: DataFrame, body: str = "body") -> DataFrame:
             "_message": _text(F.col("_outer"), "$.Message"),
         }
     )
-    opened = parse_json_strict(inner, "_message", doc="_inner", error="_inner_error").withColumn(
+    opened = parse_json_strict(inner, "_message", doc="_inner", error="_inner_error", required=False).withColumn(
         "_event", F.when(F.col("_wrapped"), F.col("_inner")).otherwise(F.col("_outer"))
     )
     event = F.col("_event")

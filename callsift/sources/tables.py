@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from callsift import schemas
 from callsift.operators.runs import committed_ids
+from callsift.session import materialize
 
 UPDATED_AT = T.StructField("updated_at", T.TimestampType())
 INGEST_BATCH = T.StructField("ingest_batch", T.StringType())
@@ -87,33 +88,80 @@ class Warehouse:
     def runs(self) -> DataFrame:
         return latest_runs(self.read(RUNS))
 
-    def append_extractions(self, rows: DataFrame, ingest_batch: str, many_runs: bool = False) -> None:
-        """Commit rows under run_id / ingest_batch. Writing a batch again replaces it, so a retried
-        batch leaves its rows once.
+    def _folders(self, name: str, run_ids: list[str], ingest_batch: str = "") -> list[str]:
+        """Existing folders of the given runs, or of one batch in them; nothing else is listed."""
+        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        batch = f"/ingest_batch={escape(ingest_batch)}" if ingest_batch else ""
+        return [path for run in run_ids if self._fs_of(path := f"{self.path(name)}/run_id={escape(run)}{batch}")[0].exists(self._fs_of(path)[1])]
+
+    def _fs_of(self, path: str):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
+
+    def drop_batch(self, name: str, ingest_batch: str, run_ids: list[str] | None = None) -> None:
+        """Remove what an earlier try of a batch wrote; without ``run_ids`` all runs' folders are looked through."""
+        if run_ids is None:
+            escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+            pattern = f"{self.path(name)}/run_id=*/ingest_batch={escape(ingest_batch)}"
+            fs, glob = self._fs_of(pattern)
+            paths = [status.getPath().toString() for status in fs.globStatus(glob) or []]
+        else:
+            paths = self._folders(name, run_ids, ingest_batch)
+        for path in paths:
+            fs, folder = self._fs_of(path)
+            fs.delete(folder, True)
+
+    def append_extractions(self, rows: DataFrame, ingest_batch: str, many_runs: bool = False, run_ids: list[str] | None = None, max_records_per_file: int = 0) -> None:
+        """Commit rows under run_id / ingest_batch. Writing a batch again replaces it: its older rows go first, also those of
+        runs that it no longer fills, so a retried batch leaves its rows once.
 
         With ``many_runs`` rows are first gathered by run; the rebalance splits a large run over
-        several files instead of one task.
+        several files instead of one task. ``run_ids`` names all runs that the batch can hold. ``max_records_per_file``
+        (0: no limit) is the row limit of ``commit_policy``; ``compact`` undoes its small files.
         """
         out = conform(rows.withColumn("ingest_batch", F.lit(ingest_batch)), STORED[CALLS])
         if many_runs:
             out = out.hint("rebalance", "run_id")
+        self.drop_batch(CALLS, ingest_batch, run_ids)
         (
             out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", max_records_per_file)
             .partitionBy("run_id", "ingest_batch")
             .parquet(self.path(CALLS))
         )
 
+    def compact(self, run_ids: list[str], into: str = "compacted") -> None:
+        """Rewrite the given runs as one batch each, in files of the session's usual size."""
+        rows = materialize(self._of_runs(run_ids).drop("ingest_batch"), "compact", self.spark)
+        older = [path for path in self._folders(CALLS, run_ids)]
+        for path in older:
+            fs, folder = self._fs_of(path)
+            fs.delete(folder, True)
+        self.append_extractions(rows, into, many_runs=True, run_ids=run_ids)
+
+    def _of_runs(self, run_ids: list[str]) -> DataFrame:
+        """Stored rows of some runs; only their folders are listed, whatever else the table holds."""
+        schema = STORED[CALLS]
+        paths = self._folders(CALLS, run_ids)
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path(CALLS)).parquet(*paths).select(*schema.fieldNames())
+
+    def sql(self, text: str, args: dict | None = None) -> DataFrame:
+        """Free-form SQL over the stored tables by their names."""
+        from callsift.plans.queries import run_sql
+
+        return run_sql(self.spark, text, {CALLS: self.calls(), MEASUREMENTS: self.read(MEASUREMENTS), RUNS: self.runs()}, args)
+
     def append(self, df: DataFrame, name: str) -> None:
         """One or many rows to the run log or the measurements, cast to the declared types."""
         conform(df, STORED[name]).write.mode("append").parquet(self.path(name))
 
     def committed_ids(self, run_ids: list[str] | None = None, but_not: list[str] = ()) -> DataFrame:
-        """Successful (run_id, call_id); ``run_ids`` prunes partitions, ``but_not`` names batches to
+        """Successful (run_id, call_id); ``run_ids`` reads only their folders, ``but_not`` names batches to
         leave out: what an earlier try of the same work wrote."""
-        rows = self.read(CALLS)
-        if run_ids is not None:
-            rows = rows.filter(F.col("run_id").isin(run_ids))
+        rows = self.read(CALLS) if run_ids is None else self._of_runs(run_ids)
         if but_not:
             rows = rows.filter(~F.col("ingest_batch").isin(list(but_not)))
         return committed_ids(rows)

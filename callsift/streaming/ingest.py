@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,7 +48,13 @@ def dead_letters(receives: DataFrame, max_receives: int = MAX_RECEIVES) -> DataF
 
 
 def read_quarantine(warehouse: Warehouse) -> DataFrame:
-    return warehouse.spark.read.schema(QUARANTINE_SCHEMA).parquet(warehouse.path(QUARANTINE))
+    """What was set aside; an empty frame before anything was."""
+    try:
+        return warehouse.spark.read.schema(QUARANTINE_SCHEMA).parquet(warehouse.path(QUARANTINE))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return warehouse.spark.createDataFrame([], QUARANTINE_SCHEMA)
 
 
 def process_shards(
@@ -59,7 +69,10 @@ def process_shards(
 
     A first pass handles all calls without a committed success, each further pass only the calls
     that ended in an error. What is left after ``max_receives`` passes, and unusable lines, go to
-    the quarantine table. All writes are named by batch and pass, so a repeated batch replaces them.
+    the quarantine table. All writes are named by batch and pass, and what an earlier try of the batch wrote goes first, so
+    a repeated batch replaces it whatever the model answers now. ``batch`` must be unique among all batches of the
+    warehouse. Only the folders of the batch's own runs are listed, and its outcome is taken from the rows it has just
+    made, so the cost does not depend on the size of the table.
     """
     spark = warehouse.spark
     tagged = parse_lines(lines).withColumn("run_id", derive_run_id(F.col("source_file")))
@@ -68,21 +81,26 @@ def process_shards(
     run_ids = [row.run_id for row in parsed.select("run_id").distinct().collect()]
     if not run_ids:
         return
-    warehouse.start_runs(parsed.select("run_id").distinct().withColumn("test_name", F.lit("inbox")))
+    warehouse.start_runs(parsed.select("run_id").distinct().withColumn("test_name", F.lit(settings.test_name)))
 
     passes = [f"{batch}-{receive}" for receive in range(1, max_receives + 1)]
-    done = materialize(warehouse.committed_ids(run_ids, but_not=passes), "committed")
+    for name in passes:
+        warehouse.drop_batch(CALLS, name, run_ids)
+    done = materialize(warehouse.committed_ids(run_ids), "committed")
     calls = usable_calls(parsed).withColumn("source_path", F.coalesce("source_path", "source_file"))
-    pending = resume(calls, done)
+    pending = calls if done.isEmpty() else resume(calls, done)
+    succeeded = []
     for name in passes:
         rows = extract_rows(pending, model_fn, settings)
-        warehouse.append_extractions(rows, name, many_runs=True)
-        done = _written(warehouse, run_ids, [name], "success").select("run_id", "call_id")
-        if _written(warehouse, run_ids, [name], "error").isEmpty():
+        warehouse.append_extractions(rows, name, many_runs=True, run_ids=run_ids)
+        good = rows.filter(F.col("extraction_status") == "success").select("run_id", "call_id")
+        in_error = rows.filter(F.col("extraction_status") == "error")
+        succeeded.append(good)
+        if in_error.isEmpty():
             break
-        pending = resume(pending, done)
+        pending = resume(pending, good)
 
-    in_error = _written(warehouse, run_ids, [name], "error").select(
+    in_error = in_error.select(
         "run_id",
         F.col("source_path").alias("source_file"),
         F.col("call_id").alias("item"),
@@ -92,6 +110,8 @@ def process_shards(
         "run_id", "source_file", F.col("value").alias("item"), F.col("line_error").alias("reason")
     )
     aside = materialize(in_error.unionByName(unusable), "aside")
+    fs, folder = warehouse._fs_of(f"{warehouse.path(QUARANTINE)}/ingest_batch={batch}")
+    fs.delete(folder, True)
     (
         aside.withColumns({"receives": F.lit(max_receives), "ingest_batch": F.lit(batch)})
         .write.mode("overwrite")
@@ -99,19 +119,15 @@ def process_shards(
         .partitionBy("ingest_batch")
         .parquet(warehouse.path(QUARANTINE))
     )
-    good = _written(warehouse, run_ids, passes, "success").groupBy("run_id").agg(F.count(F.lit(1)).alias("succeeded"))
+    good = reduce(DataFrame.unionByName, succeeded).groupBy("run_id").agg(F.count(F.lit(1)).alias("succeeded"))
     bad = aside.groupBy("run_id").agg(F.count(F.lit(1)).alias("errors"))
     outcome = parsed.select("run_id").distinct().join(good, "run_id", "left").join(bad, "run_id", "left")
     warehouse.finish_runs(final_status(outcome.na.fill(0, ["succeeded", "errors"])))
 
 
-def _written(warehouse: Warehouse, run_ids: list[str], batches: list[str], status: str) -> DataFrame:
-    """Rows of the given runs and batches; both columns are partitions, so only those files are read."""
-    return warehouse.read(CALLS).filter(
-        F.col("run_id").isin(run_ids)
-        & F.col("ingest_batch").isin(batches)
-        & (F.col("extraction_status") == status)
-    )
+def query_id(warehouse: Warehouse, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint, whatever it is called and however often it is started."""
+    return json.loads(warehouse.spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
 
 
 def ingest_stream(
@@ -128,6 +144,8 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Starts the stream. The default trigger takes what is there and stops, costing nothing while
     the inbox is idle; ``commit_policy()["trigger"]`` keeps it running."""
+    # Gz shards are one split each: their lines are dealt out before the costly steps.
+    slots = max(warehouse.spark.sparkContext.defaultParallelism, 1)
     lines = (
         warehouse.spark.readStream.format("text")
         .option("pathGlobFilter", glob)
@@ -139,7 +157,8 @@ def ingest_stream(
     )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        process_shards(warehouse, batch, model_fn, settings, f"{name}-{batch_id:09d}", max_receives)
+        unique = f"{name}-{query_id(warehouse, checkpoint)}-{batch_id:09d}"
+        process_shards(warehouse, batch.repartition(slots), model_fn, settings, unique, max_receives)
 
     return (
         lines.writeStream.foreachBatch(handle)

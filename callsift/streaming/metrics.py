@@ -1,11 +1,15 @@
-"""Windowed request metrics as a stream."""
+"""Windowed metrics as a stream."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from callsift.operators.metrics import PERIOD_SECONDS, request_windows
+from callsift.operators.metrics import PERIOD_SECONDS, metric_windows, request_windows
+
+KEYS = ["run_id", "period_start"]
 
 
 def metrics_stream(
@@ -15,17 +19,37 @@ def metrics_stream(
     period_seconds: int = PERIOD_SECONDS,
     watermark: str = "60 seconds",
     trigger: dict | None = None,
+    scrapes: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Appends each window to ``out`` once the watermark has passed it.
+    """Appends each window to ``out`` once the watermark has passed it; with a stream of ``scrapes``, all four metrics.
 
-    The last open windows stay in state until later requests close them.
+    The last open windows stay in state until later requests close them, or ``close_windows`` does at the end.
     """
+    windows = request_windows(requests, period_seconds, watermark) if scrapes is None else metric_windows(requests, scrapes, period_seconds, watermark)
     return (
-        request_windows(requests, period_seconds, watermark)
-        .writeStream.outputMode("append")
+        windows.writeStream.outputMode("append")
         .format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def close_windows(requests: DataFrame, out: str, period_seconds: int = PERIOD_SECONDS, scrapes: DataFrame | None = None) -> DataFrame:
+    """All windows of a stream that has ended, from ``out`` and the same logs as batches: (windows, late_requests).
+
+    Windows that the stream has not written are computed from the logs. ``late_requests`` is how many requests of a
+    written window came after the watermark and so are not in it.
+    """
+    spark = requests.sparkSession
+    every = request_windows(requests, period_seconds) if scrapes is None else metric_windows(requests, scrapes, period_seconds)
+    try:
+        written = spark.read.schema(every.schema).parquet(out)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        written = spark.createDataFrame([], every.schema)
+    counts = every.select(*KEYS, F.col("requests").alias("_all"))
+    kept = written.join(counts, KEYS, "left").withColumn("late_requests", F.coalesce(F.col("_all") - F.col("requests"), F.lit(0))).drop("_all")
+    return kept.unionByName(every.join(written.select(*KEYS), KEYS, "left_anti").withColumn("late_requests", F.lit(0).cast("bigint")))

@@ -49,8 +49,8 @@ def test_sweep_and_arms(spark):
     data = [("r", 16, True, 1.0, 0), ("r", 16, False, 9.0, 2_000_000), ("r", 24, False, 5.0, 7)]
     df = spark.createDataFrame(data, "run_id string, concurrency int, ok boolean, latency_s double, us long")
     rows = {r.concurrency: r for r in metrics.bench_sweep(df).collect()}
-    assert (rows[16].req_per_sec, rows[16].error_rate, rows[16].duration_seconds, rows[16].total_calls) == (0.5, 0.5, 2.0, 2)
-    assert rows[24].req_per_sec is None and rows[24].error_rate == 1.0
+    assert (rows[16].req_per_sec, rows[16].error_rate, rows[16].duration_seconds, rows[16].total_calls) == (1 / 11, 0.5, 11.0, 2)
+    assert (rows[24].req_per_sec, rows[24].duration_seconds, rows[24].error_rate) == (0.0, 5.0, 1.0)
     arms = {r.concurrency: (r.ok_calls, r.mean_latency_s) for r in compare.ab_latency(df, "concurrency").collect()}
     assert arms == {16: (1, 1.0), 24: (0, 0.0)}
 
@@ -69,14 +69,18 @@ def test_runaway(spark):
     data = [("a", i, n) for i, n in enumerate([1, 3, 5, 9, 51])] + [("b", i, 0) for i in range(3)] + [("b", 9, 100), ("c", 0, 10), ("c", 1, 100)]
     df = spark.createDataFrame(data, "arm string, id int, length long")
     assert {r.arm: r.upper_median for r in compare.upper_median(df, ["arm"], "length").collect()} == {"a": 5, "b": 0, "c": 100}
+    wide = spark.range(0, 2001).selectExpr("'w' arm", "id * id * 977 length")
+    assert compare.upper_median(wide, ["arm"], "length").first().upper_median == 1000 * 1000 * 977
     assert [(r.arm, r.id) for r in compare.runaway_outputs(df, ["arm"], "id").collect()] == [("a", 4)]
     assert {r.arm: r.runaway for r in compare.runaway_verdict(df, ["arm"]).collect()} == {"a": True, "b": False, "c": False}
 
 
 def test_response_length_is_in_bytes(spark):
     replies = {'{"choices":[{"message":{"content":"éé"}}]}': 4, '{"choices":[{"message":{"content":null}}]}': 0, '{"choices":[{"message":{}}]}': 0, '{"choices":[]}': 14, "é": 2, "": 0}
+    good = '{"choices":[{"message":{"content":"abc"}}]}'
+    replies |= {good + " trailing": len(good) + 9, good[:-1] + ',"choices":[{"message":{"content":"xyzw"}}]}': 4, '{"choices":[{"message":{"content":5}}]}': 39}
     df = spark.createDataFrame([(r,) for r in replies], "raw string")
-    assert {r.raw: r.n for r in df.select("raw", compare.response_length(F.col("raw")).alias("n")).collect()} == replies
+    assert {r.raw: r.n for r in compare.response_lengths(df, length="n").collect()} == replies
 
 
 @pytest.fixture(scope="module")

@@ -55,7 +55,7 @@ def test_resume_on_a_hot_key_is_cut_by_adaptive_execution(spark):
             F.sha2(F.col("id").cast("string"), 512).alias("text"),
         )
         done = spark.range(0, 40000, 1, 4).filter("id % 4 = 1").select(F.lit("r").alias("run_id"), F.col("id").cast("string").alias("call_id"))
-        counted = runs.resume(calls, done, spread_by=["call_id"]).agg(F.count("text").alias("n"), F.max("text"))
+        counted = runs.resume(calls, done).agg(F.count("text").alias("n"), F.max("text"))
         assert counted.collect()[0].n == 20000 + 10000
         plan = counted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
         assert "skew=true" in plan and "skewed" in plan
@@ -148,9 +148,21 @@ def test_a_repeated_batch_replaces_its_rows(spark, tmp_path):
 def test_run_filter_prunes_partitions_and_columns(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     warehouse.append_extractions(extraction_rows(spark, [("r", "a", "success", 1), ("q", "b", "success", 1)]), "b1")
-    plan = warehouse.committed_ids(["r"])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(run_id" in plan or "run_id#" in plan.split("PartitionFilters")[1][:80]
-    assert "ReadSchema: struct<call_id:string,extraction_status:string>" in plan
+    for i in range(30):
+        warehouse.append_extractions(extraction_rows(spark, [(f"old-{i}", "a", "success", 1)]), "b0", run_ids=[f"old-{i}"])
+    # Only the run's own folder is listed, however many others there are.
+    rows = warehouse.committed_ids(["r", "absent"])
+    assert [r.call_id for r in rows.collect()] == ["a"] and all("run_id=r/" in f for f in warehouse._of_runs(["r"]).inputFiles())
+    assert "ReadSchema: struct<call_id:string,extraction_status:string>" in rows._jdf.queryExecution().executedPlan().toString()
+    warehouse.compact(["r", "q"])
+    assert warehouse.calls().filter("run_id in ('r', 'q')").count() == 2
+    assert warehouse.sql("select count(*) n from calls_extractions where run_id = :r", {"r": "q"}).first().n == 1
+
+
+def test_rows_of_one_time_have_a_fixed_winner(spark):
+    rows = extraction_rows(spark, [("r", "a", "success", 1)] * 3).withColumn("n", F.monotonically_increasing_id())
+    shuffled = rows.orderBy(F.desc("n"))
+    assert runs.latest_rows(rows).first().n == runs.latest_rows(shuffled).first().n
 
 
 def test_run_log(spark, tmp_path):

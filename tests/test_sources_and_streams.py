@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from callsift.checks.stub import stub_model
+from callsift.functions import json_strict
 from callsift.functions import paths as p
 from callsift.plans.pipeline import RunSettings
 from callsift.sources import calls as src
@@ -198,3 +199,35 @@ def test_metric_windows_close_with_the_watermark(spark, tmp_path):
     metrics_stream(source, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     out = spark.read.parquet(str(tmp_path / "out")).orderBy("period_start").collect()
     assert [(r.requests, r.req_per_sec, r.error_rate) for r in out] == [(2, 2 / 60, 0.0), (1, 0.0, 1.0)]
+
+
+def test_hard_json(spark):
+    deep = "[" * 150 + "]" * 150
+    cases = {
+        deep: None, f'{{"x": {deep}, "y": NaN}}': None, "[" * 1200 + "]" * 1200: "json_depth_error", '{"\\ud800": 1, "b": 2}': None,
+        '{"a":1},"~end-of-document~"] garbage': "json_parse_error", '{"a":1},"~end-of-document~",null': "json_parse_error",
+        '{"a":1},"\\u007eend-of-document~",null': "json_parse_error", '{"a":"~end-of-document~"}': None, '{"a":1} x': "json_parse_error", "": "json_parse_error",
+    }
+    df = json_strict.parse_json_strict(spark.createDataFrame([(t,) for t in cases], "value string"), "value")
+    got = {r.value: (r.error, r.text) for r in df.selectExpr("value", "split_part(parse_error, ':', 1) error", "to_json(doc) text").collect()}
+    assert {t: e for t, (e, _) in got.items()} == cases
+    assert got[deep][1] == deep and deep in got[f'{{"x": {deep}, "y": NaN}}'][1] and "b" in got['{"\\ud800": 1, "b": 2}'][1]
+
+
+def test_mistyped_members_are_told(spark):
+    lines = {
+        '{"call_id":"a","transcript":{"text":"t","words":{"x":1}}}': "words", '{"call_id":"b","transcript":{"text":"t","audio_duration":"n/a"}}': "audio_duration",
+        '{"call_id":"c","transcript":{"words":[{"start":"x","end":2}]}}': "words", '{"call_id":"d","transcript":{"confidence":NaN}}': "confidence",
+        '{"call_id":"e","transcript":[]}': None, '{"call_id":"f","transcript":0}': None, '{"call_id":"g","transcript":false}': None, '{"call_id":"h","transcript":7}': "",
+        '{"call_id":"i","transcript":{"words":null,"audio_duration":null}}': None,
+    }
+    parsed = src.parse_lines(spark.createDataFrame([(t, "f") for t in lines], "value string, source_file string").withColumn("line", F.col("value")))
+    want = {t: None if e is None else "unusable transcript" + (f": {e}" if e else "") for t, e in lines.items()}
+    assert {r.line: r.line_error for r in parsed.collect()} == want
+
+
+def test_leftover_of_a_dead_write_is_no_corpus(spark, tmp_path):
+    (tmp_path / "corpus").mkdir()
+    (tmp_path / "in").mkdir()
+    spark.createDataFrame([("{}",)], "value string").write.mode("overwrite").option("compression", "gzip").text(str(tmp_path / "in"))
+    assert src.build_corpus(spark, str(tmp_path / "in"), str(tmp_path / "corpus"), glob="*.gz").count() == 1
