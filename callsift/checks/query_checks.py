@@ -18,11 +18,15 @@ select run_id, max(test_name) test_name, arg_max(status, updated_at) status, max
 _RUNS = {"updates": fx.RUN_UPDATES, "runs": LATEST_RUNS}
 
 
-def _latest_runs(spark, sf_dir):
+def _updates(spark, sf_dir):
     updates = fx.shared(spark, sf_dir, fx.RUN_UPDATES)
     absent = ["git_sha", "model_manifest_hash", "vllm_image_uri", "instance_type", "use_spot", "region",
               "enable_thinking", "max_model_len", "max_num_seqs", "notes"]
-    return latest_runs(updates.withColumns({name: F.lit(None).cast("string") for name in absent}))
+    return updates.withColumns({name: F.lit(None).cast("string") for name in absent})
+
+
+def _latest_runs(spark, sf_dir):
+    return latest_runs(_updates(spark, sf_dir))
 
 
 @check(fx.with_views("select run_id, test_name, status, started_at, ended_at from runs", **_RUNS))
@@ -34,7 +38,7 @@ def run_registry_latest(spark, sf_dir):
     fx.with_views("select run_id, test_name, status, started_at from runs order by started_at desc, run_id limit 20", **_RUNS)
 )
 def list_runs(spark, sf_dir):
-    return api.list_runs(_latest_runs(spark, sf_dir)).select("run_id", "test_name", "status", "started_at")
+    return api.recent_runs(_updates(spark, sf_dir)).select("run_id", "test_name", "status", "started_at")
 
 
 @check(

@@ -397,3 +397,24 @@ def commit_limits(spark, sf_dir):
     warehouse.append_extractions(rows, "b1", max_records_per_file=limit)
     files = spark.read.parquet(warehouse.path("calls_extractions")).groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
     return files.agg(F.sum("n").alias("n"), (F.max("n") <= limit).alias("within_limit"))
+
+
+@check(
+    """select 'rows' what, count(*) n from conversations where conv_id % 3 < 2 union all select 'dead object', 1 union all select 'dead unknown', 1"""
+)
+def ingest_notifications(spark, sf_dir):
+    """Messages for two of three shards, an absent one and an unknown message, each received twice; and a ping."""
+    root = work_dir(spark, "notified")
+    warehouse = Warehouse(spark, f"{root}/tables")
+    settings = replace(SETTINGS, model_options={"backoff_seconds": 0.0})
+    lines = _turn_lines(spark, sf_dir).withColumn("shard", F.col("conv_id") % 3)
+    names = []
+    for shard in range(3):
+        lines.filter(F.col("shard") == shard).coalesce(1).select("value").write.text(f"{root}/inbox/part-{shard}")
+        names.append(src.read_lines(spark, f"{root}/inbox/part-{shard}", "*.txt").select("source_file").first().source_file.split("/inbox/")[1])
+    body = '{"Records":[{"s3":{"bucket":{"name":"b"},"object":{"key":"%s"}}}]}'
+    messages = [body % names[0], body % names[1], body % "absent.jsonl", '{"hello": 1}', '{"Service":"Amazon S3","Event":"s3:TestEvent"}']
+    for receive in (1, 2):
+        dead = ingest.ingest_notifications(warehouse, spark.createDataFrame([(m,) for m in messages], "body string"), f"{root}/inbox", always_right, settings, f"messages-{receive}")
+    rows = warehouse.calls().groupBy(F.lit("rows").alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.unionByName(dead.groupBy(F.concat(F.lit("dead "), "kind").alias("what")).agg(F.count(F.lit(1)).alias("n")))

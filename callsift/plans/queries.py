@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from callsift.functions.skew import salted_join
 from callsift.operators.compare import field_disagreement
+from callsift.operators.runs import latest_runs
 
-__all__ = ["compare_concurrency", "failed_calls", "field_disagreement", "list_runs", "run_sql", "summarize_run"]
+__all__ = ["compare_concurrency", "failed_calls", "field_disagreement", "list_runs", "recent_runs", "run_sql", "summarize_run"]
 
 
 def list_runs(runs: DataFrame, limit: int = 20) -> DataFrame:
@@ -18,6 +19,14 @@ def list_runs(runs: DataFrame, limit: int = 20) -> DataFrame:
     return runs.orderBy(F.desc("started_at"), "run_id").limit(limit)
 
 
+def recent_runs(updates: DataFrame, limit: int = 20) -> DataFrame:
+    """``list_runs`` straight from the run log: the newest starts are found by a plain maximum per run, and only
+    the runs among them are put together."""
+    newest = updates.groupBy("run_id").agg(F.max("started_at").alias("started_at")).orderBy(F.desc("started_at"), "run_id").limit(limit)
+    # ``limit`` rows.
+    return list_runs(latest_runs(updates.join(F.broadcast(newest.select("run_id")), "run_id", "left_semi")), limit)
+
+
 def summarize_run(rows: DataFrame, run_id: str) -> DataFrame:
     """Calls and mean token counts per status."""
     return (

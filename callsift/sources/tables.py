@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callsift import schemas
-from callsift.operators.runs import committed_ids
+from callsift.operators.runs import committed_ids, latest_runs
 from callsift.session import materialize
 
 UPDATED_AT = T.StructField("updated_at", T.TimestampType())
@@ -46,22 +46,6 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def latest_runs(updates: DataFrame) -> DataFrame:
-    """Current state per run from its log of updates.
-
-    Status and end come from the newest update, the description from the newest start, so finishing
-    a run needs only its id.
-    """
-    order = F.struct(F.col("updated_at"), F.col("status") != "running")
-    state = ["ended_at", "status"]
-    described = [f.name for f in schemas.EXPERIMENT_RUNS.fields if f.name not in ("run_id", *state)]
-    newest = updates.groupBy("run_id").agg(
-        F.max_by(F.struct(*state), order).alias("state"),
-        F.max_by(F.struct(*described), F.when(F.col("started_at").isNotNull(), order)).alias("start"),
-    )
-    return newest.select("run_id", "start.*", "state.*").select(*schemas.EXPERIMENT_RUNS.fieldNames())
-
-
 class Warehouse:
     """Reads and writes the tables below one root folder."""
 

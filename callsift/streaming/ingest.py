@@ -14,13 +14,15 @@ from callsift.functions.paths import derive_run_id
 from callsift.operators.inference import ModelFn
 from callsift.operators.runs import final_status, resume
 from callsift.plans.pipeline import RunSettings, extract_rows
-from callsift.session import materialize
+from callsift.session import materialize, spread
 from callsift.sources.calls import SHARD_SUFFIX, decoded_path, parse_lines, usable_calls
+from callsift.sources.notifications import parse_notifications
 from callsift.sources.tables import CALLS, COMMIT_ROWS, COMMIT_SECONDS, Warehouse
 
 # Fixed value: tries per shard before what still fails is set aside.
 MAX_RECEIVES = 2
 QUARANTINE = "quarantine"
+RECEIVES = "receives"
 QUARANTINE_SCHEMA = "run_id string, source_file string, item string, reason string, receives int, ingest_batch string"
 
 
@@ -125,6 +127,37 @@ def process_shards(
     warehouse.finish_runs(final_status(outcome.na.fill(0, ["succeeded", "errors"])))
 
 
+def ingest_notifications(
+    warehouse: Warehouse, messages: DataFrame, root: str, model_fn: ModelFn, settings: RunSettings, batch: str, max_receives: int = MAX_RECEIVES
+) -> DataFrame:
+    """Process exactly the shards that a batch of messages names, and return the dead letters of all messages so far.
+
+    ``messages(body)``. Pings are dropped; a message that names no object, or an object that is not below ``root`` or that
+    leaves errors, counts as a receive without success in the table of receives. A message that comes again
+    processes its shard again, which touches only calls without a committed success. Object names of one batch of
+    messages fit the driver; their content is read by Spark.
+    """
+    spark = warehouse.spark
+    parsed = materialize(parse_notifications(messages), "messages", spark)
+    keys = [r.object_key for r in parsed.filter("kind = 'object'").select("object_key").distinct().collect()]
+    there = {key: path for key in keys if (at := warehouse._fs_of(path := f"{root.rstrip('/')}/{key}"))[0].exists(at[1])}
+    if there:
+        lines = spark.read.text(list(there.values())).select("value", decoded_path(F.col("_metadata.file_path")).alias("source_file")).filter(F.col("value").rlike(r"\S"))
+        process_shards(warehouse, spread(lines), model_fn, settings, batch, max_receives)
+    failed = read_quarantine(warehouse).filter(F.col("ingest_batch") == batch).select(F.regexp_extract("source_file", "([^/]+)$", 1).alias("_name")).distinct()
+    known = spark.createDataFrame([(key,) for key in there], "_there string")
+    received = (
+        parsed.withColumn("_name", F.regexp_extract("object_key", "([^/]+)$", 1))
+        .join(failed.withColumn("_failed", F.lit(True)), "_name", "left")
+        .join(known, F.col("object_key") == F.col("_there"), "left")
+        .select(F.coalesce("object_key", "body").alias("item"), "kind", (F.col("_there").isNotNull() & F.col("_failed").isNull()).alias("ok"), F.lit(batch).alias("ingest_batch"))
+    )
+    fs, folder = warehouse._fs_of(f"{warehouse.path(RECEIVES)}/ingest_batch={batch}")
+    fs.delete(folder, True)
+    received.write.mode("append").partitionBy("ingest_batch").parquet(warehouse.path(RECEIVES))
+    return dead_letters(spark.read.schema("item string, kind string, ok boolean, ingest_batch string").parquet(warehouse.path(RECEIVES)), max_receives)
+
+
 def query_id(warehouse: Warehouse, checkpoint: str) -> str:
     """The id that a stream keeps in its checkpoint, whatever it is called and however often it is started."""
     return json.loads(warehouse.spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
