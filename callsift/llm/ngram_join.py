@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callsift.llm.common import discard, flat, mix, slices, stage, table
+from callsift.llm.common import SLICE_BYTES, discard, flat, mix, slices, stage, table
 from callsift.llm.components import components
 from callsift.llm.registry import query
 from callsift.llm.rtree import CountTree
@@ -19,44 +19,76 @@ WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 DIMENSIONS = 128
 #: Sets that one task compares with one another at most, and sets of a group that all others are compared with first.
 BLOCK, LEADERS = 2048, 4
-REMEMBERED = 500_000
 MULTIPLIERS = np.random.default_rng(23).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: Multiplier of the words' polynomial hash and its inverse modulo 2^64.
+BASE = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+#: Words of more bytes are hashed one by one: the polynomial is only trusted with short ones.
+LONG_WORD = 256
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word of some texts, A-Z lowered, and where each text's words begin (one more than texts).
+
+    A word's hash is a difference of running sums of byte values times powers, divided by the power at its start.
+    """
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(starts), np.int64)
+    inside = ~SPACE[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    edges = starts[:-1][starts[:-1] < len(data)]
+    first[edges] = inside[edges]
+    begin = np.flatnonzero(first)
+    last = inside.copy()
+    last[:-1] &= ~inside[1:] | first[1:]
+    end = np.flatnonzero(last) + 1
+    values = np.random.default_rng(29).integers(1, 1 << 63, 256, dtype=np.uint64)[LOWER[data]]
+    powers = np.full(len(data), BASE)
+    powers[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(values * powers)])
+    back = np.full(len(data), INVERSE)
+    back[0] = 1
+    np.multiply.accumulate(back, out=back)
+    hashes = mix((sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64))
+    for i in np.flatnonzero(end - begin > LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(LOWER[data[begin[i] : end[i]]].tobytes())
+    return hashes, np.searchsorted(begin, starts)
+
+
 class Shingler:
-    """Sets of hashed word n-grams; hashes of words are remembered, up to ``REMEMBERED`` of them."""
+    """Sets of hashed word n-grams."""
 
     def __init__(self, width: int = WORDS):
-        self.width, self.known = width, {}
-
-    def _word(self, word: bytes) -> int:
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        value = self.known[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+        self.width = width
 
-    def sets(self, texts: pa.Array) -> list[np.ndarray]:
+    def sets(self, texts: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
         """Ascending distinct hashes per text: A-Z lowered, words between ASCII white space, ``width`` words each; a text of
         fewer words is one member, without words none."""
         data, starts = flat(texts)
-        whole = data.tobytes()
-        get, make = self.known.get, self._word
-        words = [whole[a:b].lower().split() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
-        hashes = np.array([get(w) or make(w) for x in words for w in x], np.uint64)
-        grams = np.zeros(max(0, len(hashes) - self.width + 1), np.uint64)
-        for i in range(self.width):
-            grams += hashes[i : i + len(grams)] * MULTIPLIERS[i]
-        grams = mix(grams)
-        out, at = [], 0
-        for x in words:
-            if len(x) >= self.width:
-                out.append(np.unique(grams[at : at + len(x) - self.width + 1]))
-            elif x:
-                own = hashes[at : at + len(x)] * MULTIPLIERS[8 : 8 + len(x)]
-                out.append(mix(own.sum(keepdims=True, dtype=np.uint64) + np.uint64(len(x))))
-            else:
-                out.append(np.zeros(0, np.uint64))
-            at += len(x)
+        out: list[np.ndarray] = []
+        at = 0
+        while at < len(starts) - 1:
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + SLICE_BYTES, side="right")) - 1)
+            hashes, edge = word_hashes(data[starts[at] : starts[to]], starts[at : to + 1] - starts[at])
+            grams = np.zeros(max(0, len(hashes) - self.width + 1), np.uint64)
+            for i in range(self.width):
+                grams += hashes[i : i + len(grams)] * MULTIPLIERS[i]
+            grams = mix(grams)
+            for x, y in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                if y - x >= self.width:
+                    out.append(np.unique(grams[x : y - self.width + 1]))
+                elif y > x:
+                    out.append(mix((hashes[x:y] * MULTIPLIERS[8 : 8 + y - x]).sum(keepdims=True, dtype=np.uint64) + np.uint64(y - x)))
+                else:
+                    out.append(np.zeros(0, np.uint64))
+            at = to
         return out
 
 
@@ -81,12 +113,13 @@ def _prefixes(width: int):
 
     def make(documents, codes, _):
         sets = shingler.sets(documents.column("text"))
-        keys = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
+        ends = np.cumsum([0, *map(len, sets)])
+        every = codes[np.unique(np.concatenate(sets), return_inverse=True)[1]] if ends[-1] else codes
         rows = []
-        for doc, own in zip(documents.column("doc_id").to_pylist(), sets):
+        for doc, own, at, to in zip(documents.column("doc_id").to_pylist(), sets, ends[:-1].tolist(), ends[1:].tolist()):
             if not len(own):
                 continue
-            code = codes[np.searchsorted(keys, own)]
+            code = every[at:to]
             need = len(own) - -(-NUMERATOR * len(own) // DENOMINATOR) + 1
             if int((code == 0).sum()) >= need:
                 continue
@@ -169,46 +202,52 @@ def _links(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
     return stage(both.select("a", "b", "one", "other").mapInArrow(_verified, "a long, b long"), "links")
 
 
-def _classes(links: DataFrame, docs: DataFrame) -> DataFrame:
-    found = components(links).withColumnRenamed("node", "doc_id")
-    return docs.join(found, "doc_id", "left").withColumn("class", F.coalesce("component", "doc_id")).drop("component")
-
+def _groups(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(candidates with the features that are to be compared by, pairs of groups of two)``.
 
-def near_links(docs: DataFrame, width: int = WORDS) -> tuple[DataFrame, DataFrame]:
-    """Links between different sets, and the documents they are between.
-
-    ``docs(doc_id, text)``: one document per set. Gives ``(links(a, b), ...)`` such that the links connect exactly what all
-    similar pairs connect: sets that an earlier link connects are not compared again.
+    Features that the same documents have stand for one another: of each such class (by count and two 64-bit sums of the
+    documents) one is kept. Most are had by two documents only, which are a pair as they are.
     """
+    tokens = candidates.select("doc_id", F.explode("prefix").alias("token"))
+    met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    met = stage(met.where("n > 1").groupBy("n", "x", "y").agg(F.min("token").alias("token"), F.min("a").alias("a"), F.max("b").alias("b")), "tokens")
+    kept = tokens.join(met.where("n > 2").select("token", "n"), "token").groupBy("doc_id").agg(F.collect_list(F.struct("token", "n")).alias("groups"))
+    rows = candidates.drop("members").join(kept, "doc_id")
+    rows = rows.select("doc_id", "size", "centrality", "point", F.col("groups.token").alias("prefix"), "groups")
+    return stage(rows, "groups"), met.where("n = 2").select("a", "b")
+
+
+def near_links(docs: DataFrame, width: int = WORDS) -> DataFrame:
+    """``links(a, b)`` between ``docs(doc_id, text)``, one document per set, such that they connect exactly what all similar
+    pairs connect: sets that an earlier link connects are not compared again."""
     share = NUMERATOR / DENOMINATOR
     chunks = chunked(docs)
-    codes = tally(chunks, lambda documents: np.concatenate([np.zeros(0, np.uint64), *Shingler(width).sets(documents.column("text"))]) if documents.num_rows else np.zeros(0, np.uint64), 1 << 20)
+    codes = tally(chunks, lambda documents: np.concatenate([np.zeros(0, np.uint64), *Shingler(width).sets(documents.column("text"))]), 1 / 6)
     make, schema = _prefixes(width)
     candidates = stage(with_codes(chunks, codes, make, schema), "candidates")
-    rows = candidates.select("doc_id", "size", "centrality", "prefix", "point", F.explode("prefix").alias("token"))
-    several = stage(rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "tokens")
-    kinds = "a long, b long"
-    columns = ("token", "doc_id", "size", "centrality", "prefix", "point")
-
-    def dealt(groups: DataFrame, classes: DataFrame, leaders: int | None) -> DataFrame:
-        own = classes.select("doc_id", "size", "centrality", "prefix", "point", "class", F.explode("prefix").alias("token")).join(groups, "token")
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    groups, twos = _groups(candidates)
+
+    def dealt(classes: DataFrame, leaders: int | None) -> DataFrame:
+        own = classes.select("doc_id", "size", "centrality", "prefix", "point", "class", F.explode("groups").alias("group"))
+        own = own.withColumn("token", F.col("group.token"))
+        blocks = F.ceil(F.col("group.n") / BLOCK).cast("int")
         own = own.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
         if leaders is None:
-            own = own.withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            own = own.withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with"))
+            closed = classes.select("class", F.explode("groups.token").alias("token")).groupBy("token").agg(F.min("class").alias("least"), F.max("class").alias("most"))
+            own = own.join(stage(closed.where("least != most").select("token"), "open"), "token", "left_semi")
+            own = own.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            own = own.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
         else:
             own = own.withColumn("low", F.col("block")).withColumn("high", F.col("block"))
-        own = own.select(*columns, "class", "block", "low", "high")
-        return own.groupBy("token", "low", "high").applyInArrow(_grouped(share, leaders), kinds)
+        own = own.select("token", "doc_id", "size", "centrality", "prefix", "point", "class", "block", "low", "high")
+        return own.groupBy("token", "low", "high").applyInArrow(_grouped(share, leaders), "a long, b long")
 
-    first = _links(dealt(several, candidates.withColumn("class", F.col("doc_id")), LEADERS), candidates)
-    classes = stage(_classes(first, candidates.drop("members")), "classes")
-    open_ = classes.select("class", F.explode("prefix").alias("token")).groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("n"))
-    open_ = stage(open_.where("low != high").select("token", "n"), "tokens")
-    second = _links(dealt(open_, classes, None), candidates)
-    discard(several, open_, classes)
-    return first.unionByName(second), candidates
+    first = _links(dealt(groups.withColumn("class", F.col("doc_id")), LEADERS).unionByName(twos), candidates)
+    found = components(first).withColumnRenamed("node", "doc_id")
+    classes = stage(groups.join(found, "doc_id", "left").withColumn("class", F.coalesce("component", "doc_id")).drop("component"), "classes")
+    second = _links(dealt(classes, None), candidates)
+    discard(groups, classes, chunks)
+    return first.unionByName(second)
 
 
 def near_duplicates(docs: DataFrame, width: int = WORDS) -> DataFrame:
@@ -223,7 +262,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS) -> DataFrame:
     known = stage(texts.mapInArrow(_known(width), "doc_id long, signature binary, n_shingles long"), "known")
     classes = stage(known.where("signature is not null and doc_id is not null").groupBy("signature").agg(F.min("doc_id").alias("first")), "classes")
     kept = classes.select(F.col("first").alias("doc_id")).distinct()
-    links, _ = near_links(texts.where("text is not null").join(kept, "doc_id", "left_semi"), width)
+    links = near_links(texts.where("text is not null").join(kept, "doc_id", "left_semi"), width)
     found = components(links)
     classes = stage(classes.join(found.withColumnRenamed("node", "first"), "first", "left").select("signature", F.coalesce("component", "first").alias("component")), "classes")
     out = known.join(classes, "signature", "left")

@@ -12,8 +12,10 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from callsift.llm.common import slices, stage
 
@@ -34,13 +36,13 @@ def opened(payload: bytes) -> pa.Table:
 
 
 def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """``docs`` (with a column text) staged as ``(chunk long, payload binary)``; a longer text has a chunk of its own."""
+    """``docs`` (with a column text) staged as ``(chunk long, size long, payload binary)``; a longer text has a chunk of its own."""
 
     def run(batches):
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
 
         def made():
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([pickled(pa.Table.from_batches(held))], pa.binary())], names=["chunk", "payload"])
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([size]), pa.array([pickled(pa.Table.from_batches(held))], pa.binary())], names=["chunk", "size", "payload"])
 
         for batch in slices(batches, limit=chunk_bytes // 4):
             more = batch.column("text").nbytes
@@ -52,17 +54,21 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         if held:
             yield made()
 
-    return stage(docs.mapInArrow(run, "chunk long, payload binary"), "chunks")
+    return stage(docs.mapInArrow(run, "chunk long, size long, payload binary"), "chunks")
 
 
-def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], keys_per_chunk: int) -> DataFrame:
+def text_bytes(chunks: DataFrame) -> int:
+    return chunks.agg(F.sum("size")).first()[0] or 0
+
+
+def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], keys_per_byte: float) -> DataFrame:
     """``(chunk, bucket, codes binary)``: for the distinct keys of ``keys_of`` of a chunk, ascending, a byte each.
 
     ``keys_of`` gives the 64-bit keys of a chunk, one for each document that holds it. The byte is the bit length of n - 1
     for n documents: 0 only for a key that no other document has. Keys are compared by bucket and 32 more bits, so
     a code may be too high, in the same way for every holder, never too low.
     """
-    total = chunks.count() * keys_per_chunk
+    total = int(text_bytes(chunks) * keys_per_byte)
     bits = max(LEAST_BUCKETS - 1, total // BUCKET_KEYS).bit_length()
 
     def asked(batches):
@@ -101,18 +107,26 @@ def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], keys_per
         back = [codes[b - n : b].tobytes() for n, b in zip(sizes, ends)]
         return pa.table({"chunk": rows.column("chunk"), "bucket": pa.array([bucket[0].as_py()] * len(back), pa.int32()), "codes": pa.array(back, pa.binary())})
 
-    questions = chunks.mapInArrow(asked, "bucket int, chunk long, keys binary, counts binary")
+    questions = chunks.select("chunk", "payload").mapInArrow(asked, "bucket int, chunk long, keys binary, counts binary")
     return questions.groupBy("bucket").applyInArrow(answered, "chunk long, bucket int, codes binary")
 
 
-def with_codes(chunks: DataFrame, codes: DataFrame, make: Callable[[pa.Table, np.ndarray, int], pa.Table], schema) -> DataFrame:
-    """``make(documents of a chunk, codes of its distinct keys, chunk)`` for every chunk."""
+def with_codes(chunks: DataFrame, codes: DataFrame, make: Callable, schema, rows: DataFrame | None = None) -> DataFrame:
+    """``make(documents of a chunk, codes of its distinct keys, chunk)`` for every chunk.
+
+    With ``rows(chunk, row)``, some of the chunks' documents by position, ``make`` also gets those positions.
+    """
+    placed = rows is not None
+    if placed:
+        codes = codes.unionByName(rows.groupBy("chunk").agg(F.collect_list("row").alias("rows")), allowMissingColumns=True)
 
     def run(left, right):
-        parts = right.sort_by("bucket").column("codes").to_pylist()
-        return make(opened(left.column("payload")[0].as_py()), np.frombuffer(b"".join(parts), np.uint8), left.column("chunk")[0].as_py())
+        blobs = right.filter(pc.is_valid(right.column("bucket"))).sort_by("bucket").column("codes").to_pylist()
+        known = np.frombuffer(b"".join(blobs), np.uint8)
+        more = () if not placed else ([i for x in right.column("rows").to_pylist() if x is not None for i in x],)
+        return make(opened(left.column("payload")[0].as_py()), known, left.column("chunk")[0].as_py(), *more)
 
-    return chunks.groupBy("chunk").cogroup(codes.groupBy("chunk")).applyInArrow(run, schema)
+    return chunks.select("chunk", "payload").groupBy("chunk").cogroup(codes.groupBy("chunk")).applyInArrow(run, schema)
 
 
 def with_rows(chunks: DataFrame, rows: DataFrame, make: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
@@ -121,4 +135,4 @@ def with_rows(chunks: DataFrame, rows: DataFrame, make: Callable[[pa.Table, pa.T
     def run(left, right):
         return make(opened(left.column("payload")[0].as_py()), right)
 
-    return chunks.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(run, schema)
+    return chunks.select("chunk", "payload").groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(run, schema)
