@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from callsift.llm.common import ramp, slices, table
 from callsift.llm.registry import query
@@ -183,7 +184,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "ids"])
 
     docs = docs.drop("ids")
-    return docs.mapInArrow(run, docs.schema.add("ids", "array<int>"))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
 
 
 def decode(rows: DataFrame, path: str | None = None) -> DataFrame:
@@ -196,7 +197,7 @@ def decode(rows: DataFrame, path: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     rows = rows.drop("decoded")
-    return rows.mapInArrow(run, rows.schema.add("decoded", "string"))
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("decoded", StringType())]))
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
