@@ -9,16 +9,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from callsift.llm.common import mix, stage, table
+from callsift.llm.common import cleaned, mix, stage, table
 from callsift.llm.components import components
 from callsift.llm.registry import query
 from callsift.llm.tally import chunked, tally, with_codes, with_rows
 
 SHINGLE, SHARE = 8, 0.75
-#: 128 bins of one permutation; 25 bands of 5: lines right at 0.75 meet in one with a probability above 0.998.
-BINS, BANDS, ROWS = 128, 25, 5
+#: 256 bins of one permutation; 36 bands of 7: lines right at 0.75 meet in one with a probability above 0.99, unrelated ones
+#: (below 0.1) with one below 4 in a million.
+BINS, BANDS, ROWS = 256, 36, 7
+MULTIPLIERS = np.random.default_rng(31).integers(1, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Lines that one task compares with one another at most.
 BLOCK = 1024
+#: Characters hashed at a time, and shingles that a task holds as sets.
+PART, HELD = 1 << 17, 1 << 20
 SEED = np.uint64(0x51ED270B9F3A7C15)
 
 
@@ -31,8 +35,19 @@ def shingles(line: str) -> frozenset[str]:
 
 
 def band_keys(lines: list[str]) -> np.ndarray:
-    """One 64-bit key per line and band. Each shingle is hashed once and competes in one bin; an empty bin borrows from
-    the next one that isn't, along with the distance, so short lines have whole signatures as well."""
+    """One 64-bit key per line and band, taken a part of the lines at a time."""
+    out, at, size = [], 0, 0
+    for i, line in enumerate(lines):
+        size += len(line)
+        if size >= PART or i == len(lines) - 1:
+            out.append(_band_keys(lines[at : i + 1]))
+            at, size = i + 1, 0
+    return np.concatenate(out) if out else np.zeros((0, BANDS), np.uint64)
+
+
+def _band_keys(lines: list[str]) -> np.ndarray:
+    """Each shingle is hashed once and competes in one bin; an empty bin borrows from the next one that isn't, along with
+    the distance, so short lines have whole signatures as well."""
     n = len(lines)
     lengths = np.fromiter(map(len, lines), np.int64, n)
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -49,7 +64,7 @@ def band_keys(lines: list[str]) -> np.ndarray:
     hashes = np.concatenate([hashes, np.array([xxhash.xxh3_64_intdigest(lines[i].encode("utf-8", "surrogatepass")) for i in short], np.uint64)])
     row = np.concatenate([row, short])
     least = np.full(n * BINS, np.uint64(0xFFFFFFFFFFFFFFFF))
-    np.minimum.at(least, row * BINS + (hashes & np.uint64(BINS - 1)).astype(np.int64), hashes >> np.uint64(7))
+    np.minimum.at(least, row * BINS + (hashes & np.uint64(BINS - 1)).astype(np.int64), hashes >> np.uint64(8))
     least = least.reshape(n, BINS)
     filled = least != np.uint64(0xFFFFFFFFFFFFFFFF)
     position = np.where(np.hstack([filled, filled]), np.arange(2 * BINS), 4 * BINS)
@@ -57,7 +72,7 @@ def band_keys(lines: list[str]) -> np.ndarray:
     values = np.take_along_axis(least, source % BINS, axis=1) * np.uint64(2 * BINS + 1) + (source - np.arange(BINS)).astype(np.uint64)
     keys = np.zeros((n, BANDS), np.uint64)
     for i in range(ROWS):
-        keys = mix(keys + values[:, i : BANDS * ROWS : ROWS])
+        keys += values[:, i : BANDS * ROWS : ROWS] * MULTIPLIERS[i]
     return mix(keys + np.arange(BANDS, dtype=np.uint64) * SEED)
 
 
@@ -79,8 +94,7 @@ def _keys(documents: pa.Table) -> np.ndarray:
     every, forms = _lines(documents)
     if not every:
         return np.zeros(0, np.uint64)
-    exact = _exact_keys(_digests(forms))
-    return np.concatenate([exact[[forms[x[2]] for x in every]], band_keys(list(forms)).ravel()])
+    return np.concatenate([_exact_keys(_digests(forms)), band_keys(list(forms)).ravel()])
 
 
 COUNTS = StructType([StructField("n_lines", LongType()), StructField("n_removed", LongType()), StructField("removed", ArrayType(IntegerType()))])
@@ -88,7 +102,8 @@ LINE = "chunk long, row int, line int, doc_id long, key binary, form string, ban
 
 
 def _marked(documents: pa.Table, codes: np.ndarray, chunk: int) -> pa.Table:
-    """Lines that occur elsewhere too or share a band with another; the first of a form in the chunk carries text and bands."""
+    """Lines that occur elsewhere too or share a band with another form; the first of such a form in the chunk carries text
+    and bands. Keys are counted once for each form and chunk, so a band that more chunks have than the form is another's too."""
     every, forms = _lines(documents)
     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.string(), pa.list_(pa.int64()))
     names = ["chunk", "row", "line", "doc_id", "key", "form", "bands"]
@@ -97,8 +112,10 @@ def _marked(documents: pa.Table, codes: np.ndarray, chunk: int) -> pa.Table:
         digests = _digests(forms)
         exact, bands = _exact_keys(digests), band_keys(list(forms))
         keys = np.unique(np.concatenate([exact, bands.ravel()]))
-        copied = codes[np.searchsorted(keys, exact)] > 0
-        met = codes[np.searchsorted(keys, bands)] > 0
+        chunks = codes[np.searchsorted(keys, exact)]
+        copied = (chunks > 1) | (np.bincount([forms[x[2]] for x in every], minlength=len(forms)) > 1)
+        sharers = codes[np.searchsorted(keys, bands)]
+        met = (sharers > chunks[:, None]) | (sharers == 0xFFFF)
         similar, seen = met.any(axis=1), set()
         docs = documents.column("doc_id").to_pylist()
         for i, j, form in every:
@@ -111,70 +128,126 @@ def _marked(documents: pa.Table, codes: np.ndarray, chunk: int) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
 
+def alike(a: frozenset[str], b: frozenset[str]) -> bool:
+    if min(len(a), len(b)) < SHARE * max(len(a), len(b)):
+        return False
+    common = len(a & b)
+    return common >= SHARE * (len(a) + len(b) - common)
+
+
+def _verified(batches):
+    for batch in batches:
+        keep = pa.array([alike(shingles(x), shingles(y)) for x, y in zip(batch.column("one").to_pylist(), batch.column("other").to_pylist())], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+
+
 def _compared(leaders: bool):
     """Verified links of one band's lines: with the longest line only, or between all of different classes."""
 
-    def run(key, rows):
-        nodes, classes = rows.column("node").to_numpy(), rows.column("class").to_numpy()
-        forms, block = rows.column("form").to_pylist(), rows.column("block").to_numpy()
+    def run(key: tuple[int, ...], rows: pa.Table) -> list[tuple[int, int]]:
+        nodes, classes, block = (rows.column(c).to_numpy() for c in ("node", "class", "block"))
+        forms = rows.column("form").to_pylist()
         sets: dict[int, frozenset] = {}
+        held = 0
+
+        def set_of(i: int) -> frozenset:
+            nonlocal held
+            found = sets.get(i)
+            if found is None:
+                if held > HELD:
+                    sets.clear()
+                    held = 0
+                found = sets[i] = shingles(forms[i])
+                held += len(found)
+            return found
 
-        def similar(x: int, y: int) -> bool:
-            for i in (x, y):
-                if i not in sets:
-                    sets[i] = shingles(forms[i])
-            a, b = sets[x], sets[y]
-            if min(len(a), len(b)) < SHARE * max(len(a), len(b)):
-                return False
-            common = len(a & b)
-            return common >= SHARE * (len(a) + len(b) - common)
-
-        links = []
         if leaders:
             lead = max(range(len(forms)), key=lambda i: (len(forms[i]), -nodes[i]))
-            links = [(nodes[lead], nodes[i]) for i in range(len(forms)) if i != lead and similar(lead, i)]
-        else:
-            low, high = key[1].as_py(), key[2].as_py()
-            _, own = np.unique(classes, return_inverse=True)
-            root = own.copy()
-            order = np.argsort(block, kind="stable")
-            for at, x in enumerate(order):
-                for y in order[at + 1 :][root[order[at + 1 :]] != root[x]]:
-                    if (low == high or block[x] != block[y]) and root[x] != root[y] and similar(x, y):
-                        links.append((nodes[x], nodes[y]))
-                        root[root == root[y]] = root[x]
-        return pa.table({"a": pa.array([int(a) for a, _ in links], pa.int64()), "b": pa.array([int(b) for _, b in links], pa.int64())})
+            return [(int(nodes[lead]), int(nodes[i])) for i in range(len(forms)) if i != lead and alike(set_of(lead), set_of(i))]
+        _, low, high = key
+        _, root = np.unique(classes, return_inverse=True)
+        links = []
+        order = np.argsort(block, kind="stable")
+        for at, x in enumerate(order):
+            for y in order[at + 1 :][root[order[at + 1 :]] != root[x]]:
+                if (low == high or block[x] != block[y]) and root[x] != root[y] and alike(set_of(x), set_of(y)):
+                    links.append((int(nodes[x]), int(nodes[y])))
+                    root[root == root[y]] = root[x]
+        return links
 
     return run
 
 
+def _by_group(rows: DataFrame, keys: list[str], links_of) -> DataFrame:
+    """``links_of(key, rows)`` of every group, as ``(a, b)``. Groups are many and small, so a task walks through its sorted
+    rows instead of being handed group by group."""
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        current, links = None, []
+
+        def made():
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in keys])
+            bounds = [0, *(np.flatnonzero((own[:, 1:] != own[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for at, to in zip(bounds, bounds[1:]):
+                key = tuple(own[:, at].tolist())
+                if held and key != current:
+                    links += links_of(current, pa.Table.from_batches(held))
+                    held = []
+                current = key
+                held.append(batch.slice(at, to - at))
+            yield made()
+            links = []
+        if held:
+            links += links_of(current, pa.Table.from_batches(held))
+            yield made()
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+
+
 def _line_links(lines: DataFrame) -> DataFrame:
     """``lines(node, form, bands)``, one row per distinct form -> links that connect what similar pairs connect.
 
-    First every line of a band is held against its longest. Then bands that still hold several components are compared in
-    full, block by block, skipping pairs that are connected already.
+    Bands that the same lines have stand for one another: of each such class (by count and two 64-bit sums of the lines)
+    one is kept. A band of two lines is a pair as it is. In larger ones every line is first held against the longest; then
+    bands that still hold several components are compared in full, block by block, skipping pairs that are connected already.
     """
-    lines = lines.withColumn("class", F.col("node"))
-
-    def dealt(classes: DataFrame, leaders: bool) -> DataFrame:
-        rows = classes.select("node", "class", "form", F.explode("bands").alias("band"))
-        counted = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("least"), F.max("class").alias("most")).where("n > 1 and least != most")
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        rows = rows.join(stage(counted.select("band", "n"), "bands"), "band").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        if leaders:
+    forms = lines.select("node", "form")
+    bands = lines.select("node", F.explode("bands").alias("band"))
+    sums = (F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    met = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), *sums, F.min("node").alias("a"), F.max("node").alias("b")).where("n > 1")
+    met = stage(met.groupBy("n", "x", "y").agg(F.min("band").alias("band"), F.min("a").alias("a"), F.max("b").alias("b")), "bands")
+    groups = stage(bands.join(met.where("n > 2").select("band", "n"), "band"), "groups")
+    pairs = met.where("n = 2").join(forms.select(F.col("node").alias("a"), F.col("form").alias("one")), "a").join(forms.select(F.col("node").alias("b"), F.col("form").alias("other")), "b")
+    twos = pairs.select("a", "b", "one", "other").mapInArrow(_verified, "a long, b long")
+
+    def dealt(classes: DataFrame | None) -> DataFrame:
+        rows, blocks = groups.withColumn("class", F.col("node")), F.ceil(F.col("n") / BLOCK).cast("int")
+        if classes is not None:
+            rows = groups.join(classes, "node")
+            open_ = rows.groupBy("band").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least != most").select("band")
+            rows = rows.join(stage(open_, "open"), "band", "left_semi")
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        if classes is None:
             rows = rows.withColumn("low", F.col("block")).withColumn("high", F.col("block"))
         else:
             rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-        return stage(rows.select("band", "low", "high", "node", "class", "form", "block").groupBy("band", "low", "high").applyInArrow(_compared(leaders), "a long, b long"), "links")
+        rows = rows.select("band", "low", "high", "node", "class", "block").join(forms, "node")
+        return _by_group(rows.select("band", "low", "high", "node", "class", "form", "block"), ["band", "low", "high"], _compared(classes is None))
 
-    first = dealt(lines, True)
+    first = stage(dealt(None).unionByName(twos), "links")
     found = components(first)
-    classes = stage(lines.drop("class").join(found, "node", "left").select("node", "form", "bands", F.coalesce("component", "node").alias("class")), "classes")
-    second = dealt(classes, False)
-    return first.unionByName(second)
+    classes = stage(groups.select("node").distinct().join(found, "node", "left").select("node", F.coalesce("component", "node").alias("class")), "classes")
+    return first.unionByName(stage(dealt(classes), "links"))
 
 
+@cleaned
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the text cut to the lines that stay, plus n_lines and n_removed (long) and removed (line numbers).
 
@@ -186,8 +259,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """
     docs = docs.drop("n_lines", "n_removed", "removed")
     chunks = chunked(docs)
-    codes = tally(chunks, _keys, 1 << 18)
-    lines = stage(with_codes(chunks, codes, _marked, LINE), "lines")
+    codes = tally(chunks, _keys, BANDS / 300)
+    lines = stage(with_codes(chunks, codes, _marked, LINE, counts=True), "lines")
     forms = lines.where("form is not null").select("key", "form", "bands").dropDuplicates(["key"])
     forms = stage(forms.withColumn("node", F.monotonically_increasing_id()), "forms")
     found = components(_line_links(forms.select("node", "form", "bands")))
