@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,15 +15,54 @@ from callsift.session import work_dir
 SLICE_BYTES = 4 << 20
 
 
+#: Staged frames of the operators at work, innermost last.
+_OPEN: list[list[DataFrame]] = []
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
-    """Write below ``spark.checkpoint.dir`` and read back: computed once, and a lost executor loses nothing."""
-    path = work_dir(df.sparkSession, purpose)
-    df.write.mode("error").parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write below ``spark.checkpoint.dir`` and read back: computed once, and a lost executor loses nothing.
+
+    The written table replaces the shuffles behind it, so their files go at the end of the write.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, purpose)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("error").option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    back = spark.read.schema(df.schema).parquet(path)
     back.staged_at = path
+    if _OPEN:
+        _OPEN[-1].append(back)
     return back
 
 
+def cleaned(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator whose result is staged, so that everything it has staged on the way can be deleted."""
+
+    @functools.wraps(operator)
+    def run(*args, **options) -> DataFrame:
+        _OPEN.append(frames := [])
+        try:
+            result = operator(*args, **options)
+            _OPEN.append([])
+            try:
+                out = stage(result, operator.__name__)
+            finally:
+                _OPEN.pop()
+        finally:
+            _OPEN.pop()
+            discard(*frames)
+        if _OPEN:
+            _OPEN[-1].append(out)
+        return out
+
+    return run
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete staged frames that nothing will read again."""
     for df in frames:

@@ -8,11 +8,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callsift.llm.common import SLICE_BYTES, discard, flat, mix, slices, stage, table
+from callsift.llm.common import SLICE_BYTES, cleaned, discard, flat, mix, stage, table
 from callsift.llm.components import components
 from callsift.llm.registry import query
 from callsift.llm.rtree import CountTree
-from callsift.llm.tally import chunked, tally, with_codes
+from callsift.llm.tally import chunked, opened, tally, with_codes
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 #: Groups that the members of a set are counted in: the coordinates of its point.
@@ -95,10 +95,21 @@ class Shingler:
 def _known(width: int):
     def run(batches):
         shingler = Shingler(width)
-        for batch in slices(batches):
-            sets = shingler.sets(batch.column("text"))
-            signatures = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(signatures, pa.binary()), pa.array([len(x) for x in sets], pa.int64())], names=["doc_id", "signature", "n_shingles"])
+        for batch in batches:
+            for chunk, payload in zip(batch.column("chunk").to_pylist(), batch.column("payload")):
+                documents = opened(payload.as_py())
+                sets = shingler.sets(documents.column("text"))
+                signatures = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(sets), chunk, np.int64)),
+                        pa.array(np.arange(len(sets), dtype=np.int32)),
+                        documents.column("doc_id").combine_chunks(),
+                        pa.array(signatures, pa.binary()),
+                        pa.array([len(x) for x in sets], pa.int64()),
+                    ],
+                    names=["chunk", "row", "doc_id", "signature", "n_shingles"],
+                )
 
     return run
 
@@ -111,13 +122,14 @@ def _prefixes(width: int):
     """
     shingler = Shingler(width)
 
-    def make(documents, codes, _):
+    def make(documents, codes, _, first):
+        first = set(first)
         sets = shingler.sets(documents.column("text"))
         ends = np.cumsum([0, *map(len, sets)])
         every = codes[np.unique(np.concatenate(sets), return_inverse=True)[1]] if ends[-1] else codes
         rows = []
-        for doc, own, at, to in zip(documents.column("doc_id").to_pylist(), sets, ends[:-1].tolist(), ends[1:].tolist()):
-            if not len(own):
+        for i, (doc, own, at, to) in enumerate(zip(documents.column("doc_id").to_pylist(), sets, ends[:-1].tolist(), ends[1:].tolist())):
+            if i not in first:
                 continue
             code = every[at:to]
             need = len(own) - -(-NUMERATOR * len(own) // DENOMINATOR) + 1
@@ -217,14 +229,17 @@ def _groups(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stage(rows, "groups"), met.where("n = 2").select("a", "b")
 
 
-def near_links(docs: DataFrame, width: int = WORDS) -> DataFrame:
-    """``links(a, b)`` between ``docs(doc_id, text)``, one document per set, such that they connect exactly what all similar
-    pairs connect: sets that an earlier link connects are not compared again."""
+def near_links(chunks: DataFrame, firsts: DataFrame, width: int = WORDS) -> DataFrame:
+    """``links(a, b)`` between documents, such that they connect exactly what all similar pairs connect: sets that an earlier
+    link connects are not compared again.
+
+    ``firsts(chunk, row)``: one document for each set. How often a feature occurs is counted over all documents, which
+    saves moving the texts once more: a set with copies at most keeps some features that only its copies have.
+    """
     share = NUMERATOR / DENOMINATOR
-    chunks = chunked(docs)
     codes = tally(chunks, lambda documents: np.concatenate([np.zeros(0, np.uint64), *Shingler(width).sets(documents.column("text"))]), 1 / 6)
     make, schema = _prefixes(width)
-    candidates = stage(with_codes(chunks, codes, make, schema), "candidates")
+    candidates = stage(with_codes(chunks, codes, make, schema, firsts), "candidates")
     groups, twos = _groups(candidates)
 
     def dealt(classes: DataFrame, leaders: int | None) -> DataFrame:
@@ -246,10 +261,11 @@ def near_links(docs: DataFrame, width: int = WORDS) -> DataFrame:
     found = components(first).withColumnRenamed("node", "doc_id")
     classes = stage(groups.join(found, "doc_id", "left").withColumn("class", F.coalesce("component", "doc_id")).drop("component"), "classes")
     second = _links(dealt(classes, None), candidates)
-    discard(groups, classes, chunks)
+    discard(groups, classes)
     return first.unionByName(second)
 
 
+@cleaned
 def near_duplicates(docs: DataFrame, width: int = WORDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
@@ -258,17 +274,19 @@ def near_duplicates(docs: DataFrame, width: int = WORDS) -> DataFrame:
     with nothing. Rows that repeat an id count as one node where their sets are equal; rows without an id are returned,
     and have the component of an equal set with an id, if there is one.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    known = stage(texts.mapInArrow(_known(width), "doc_id long, signature binary, n_shingles long"), "known")
+    chunks = chunked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    places = stage(chunks.select("chunk", "payload").mapInArrow(_known(width), "chunk long, row int, doc_id long, signature binary, n_shingles long"), "known")
+    known = places.select("doc_id", "signature", "n_shingles")
     classes = stage(known.where("signature is not null and doc_id is not null").groupBy("signature").agg(F.min("doc_id").alias("first")), "classes")
-    kept = classes.select(F.col("first").alias("doc_id")).distinct()
-    links = near_links(texts.where("text is not null").join(kept, "doc_id", "left_semi"), width)
+    firsts = places.join(classes.select("signature", F.col("first").alias("doc_id")), ["signature", "doc_id"]).groupBy("signature", "doc_id").agg(F.min(F.struct("chunk", "row")).alias("place"))
+    links = near_links(chunks, stage(firsts.select("place.chunk", "place.row"), "firsts"), width)
     found = components(links)
     classes = stage(classes.join(found.withColumnRenamed("node", "first"), "first", "left").select("signature", F.coalesce("component", "first").alias("component")), "classes")
     out = known.join(classes, "signature", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+@cleaned
 def keep_one(docs: DataFrame, width: int = WORDS) -> DataFrame:
     """Of each component of similar documents the one with the smallest id, with all its columns. Rows that repeat that id
     are the same document and stay; rows without an id can't be told apart and stay."""

@@ -2,7 +2,7 @@
 
 Texts are staged once as compressed chunks, each a few MB with a number of its own. A chunk sends its distinct
 feature hashes to the buckets of their leading bits; the task of a bucket sorts them and sends back, in the order they
-came, one byte for each: how often the feature occurs, as a power of two. Nothing is broadcast or
+came, how many documents have each. Nothing is broadcast or
 collected; a feature that is everywhere is sent once by each chunk.
 """
 
@@ -62,11 +62,11 @@ def text_bytes(chunks: DataFrame) -> int:
 
 
 def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], keys_per_byte: float) -> DataFrame:
-    """``(chunk, bucket, codes binary)``: for the distinct keys of ``keys_of`` of a chunk, ascending, a byte each.
+    """``(chunk, bucket, codes binary)``: for the distinct keys of ``keys_of`` of a chunk, ascending, how many documents have them.
 
-    ``keys_of`` gives the 64-bit keys of a chunk, one for each document that holds it. The byte is the bit length of n - 1
-    for n documents: 0 only for a key that no other document has. Keys are compared by bucket and 32 more bits, so
-    a code may be too high, in the same way for every holder, never too low.
+    ``keys_of`` gives the 64-bit keys of a chunk, one for each document that holds it. Counts are 16 bits wide and stop at
+    65,535. Keys are compared by bucket and 32 more bits, so a count may be too high, in the same way for every
+    holder, never too low.
     """
     total = int(text_bytes(chunks) * keys_per_byte)
     bits = max(LEAST_BUCKETS - 1, total // BUCKET_KEYS).bit_length()
@@ -100,9 +100,8 @@ def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], keys_per
         ordered >>= np.uint64(32)
         starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         times = np.add.reduceat(counts[order], starts, dtype=np.int64)
-        code = np.ceil(np.log2(times)).astype(np.uint8)
-        codes = np.empty(len(low), np.uint8)
-        codes[order] = np.repeat(code, np.diff(np.append(starts, len(low))))
+        codes = np.empty(len(low), np.uint16)
+        codes[order] = np.repeat(np.minimum(times, 0xFFFF).astype(np.uint16), np.diff(np.append(starts, len(low))))
         ends = np.cumsum(sizes)
         back = [codes[b - n : b].tobytes() for n, b in zip(sizes, ends)]
         return pa.table({"chunk": rows.column("chunk"), "bucket": pa.array([bucket[0].as_py()] * len(back), pa.int32()), "codes": pa.array(back, pa.binary())})
@@ -111,9 +110,10 @@ def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], keys_per
     return questions.groupBy("bucket").applyInArrow(answered, "chunk long, bucket int, codes binary")
 
 
-def with_codes(chunks: DataFrame, codes: DataFrame, make: Callable, schema, rows: DataFrame | None = None) -> DataFrame:
+def with_codes(chunks: DataFrame, codes: DataFrame, make: Callable, schema, rows: DataFrame | None = None, counts: bool = False) -> DataFrame:
     """``make(documents of a chunk, codes of its distinct keys, chunk)`` for every chunk.
 
+    A code is the count (``counts``), or the bit length of n - 1 for a count n: 0 only for a key that no other document has.
     With ``rows(chunk, row)``, some of the chunks' documents by position, ``make`` also gets those positions.
     """
     placed = rows is not None
@@ -122,7 +122,8 @@ def with_codes(chunks: DataFrame, codes: DataFrame, make: Callable, schema, rows
 
     def run(left, right):
         blobs = right.filter(pc.is_valid(right.column("bucket"))).sort_by("bucket").column("codes").to_pylist()
-        known = np.frombuffer(b"".join(blobs), np.uint8)
+        known = np.frombuffer(b"".join(blobs), np.uint16)
+        known = known if counts else np.ceil(np.log2(known, dtype=np.float32)).astype(np.uint8)
         more = () if not placed else ([i for x in right.column("rows").to_pylist() if x is not None for i in x],)
         return make(opened(left.column("payload")[0].as_py()), known, left.column("chunk")[0].as_py(), *more)
 
