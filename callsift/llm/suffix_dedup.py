@@ -17,10 +17,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callsift.llm.common import flat, mix, ramp, stage, table
+from callsift.llm.common import cleaned, flat, mix, ramp, stage, table
 from callsift.llm.registry import query
 from callsift.llm.suffix_array import suffix_order
-from callsift.llm.tally import chunked, tally, with_codes, with_rows
+from callsift.llm.tally import chunked, tally, text_bytes, with_codes, with_rows
 
 LENGTH, GRAM = 50, 24
 #: Grams in a string; a frame has as many bytes on either side of its gram as a string through it can span.
@@ -29,8 +29,8 @@ SIDE = PLACES - 1
 FRAME = GRAM + 2 * SIDE
 #: Codes from which a gram's strings travel one by one to the buckets of their own hashes: some 2,000 documents.
 HOT_CODE = 12
-#: Frames (about) that the task of a bucket sorts.
-BUCKET_FRAMES = 16_384
+#: Bytes of text per bucket of frames, which come to some 16,000 frames where a quarter of the anchors matter.
+BUCKET_BYTES = 900_000
 PART = 2 << 20
 PLACE_BITS = np.uint64(24)
 
@@ -252,9 +252,8 @@ def _answers(docs: DataFrame, hot_code: int) -> tuple[DataFrame, DataFrame, Data
     known = stage(named.select("doc_id", F.col(fresh).alias("digest_"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")), "known")
     firsts = stage(known.where("doc_id is not null").groupBy("digest_").agg(F.min("doc_id").alias("doc_id")), "firsts")
     chunks = chunked(named.where("octet_length(text) > 0").join(firsts.withColumnRenamed("digest_", fresh), [fresh, "doc_id"], "left_semi").select(*docs.columns))
-    count = chunks.count()
-    codes = tally(chunks, _keys, 640 << 10)
-    bits = max(127, count * (160 << 10) // BUCKET_FRAMES).bit_length()
+    codes = tally(chunks, _keys, 2 / (PLACES + 1))
+    bits = max(127, text_bytes(chunks) // BUCKET_BYTES).bit_length()
     asked = stage(with_codes(chunks, codes, _asked(bits, hot_code), SENT), "frames")
     answered = asked.where("bucket is not null").select("chunk", "bucket", "frames", "docs").groupBy("bucket").applyInArrow(_answered, "chunk long, bucket int, bits binary")
     none = F.lit(None).cast("binary")
@@ -264,6 +263,7 @@ def _answers(docs: DataFrame, hot_code: int) -> tuple[DataFrame, DataFrame, Data
     return chunks, rows, others
 
 
+@cleaned
 def repeats(docs: DataFrame, hot_code: int = HOT_CODE) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
@@ -282,6 +282,7 @@ def repeats(docs: DataFrame, hot_code: int = HOT_CODE) -> DataFrame:
     return first.unionByName(rest)
 
 
+@cleaned
 def remove_repeats(docs: DataFrame, hot_code: int = HOT_CODE) -> DataFrame:
     """``docs`` without the bytes that ``repeats`` counts as removed; a character that loses some of its bytes goes whole.
 
