@@ -90,11 +90,11 @@ def _exact_keys(digests: list[bytes]) -> np.ndarray:
     return mix(np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)[:, 0] ^ SEED)
 
 
-def _keys(documents: pa.Table) -> np.ndarray:
-    every, forms = _lines(documents)
-    if not every:
-        return np.zeros(0, np.uint64)
-    return np.concatenate([_exact_keys(_digests(forms)), band_keys(list(forms)).ravel()])
+def _keys(documents: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the bands, and of the forms themselves: counts of bands may be too high, a form's own count must not be, as
+    bands are held against it."""
+    _, forms = _lines(documents)
+    return band_keys(list(forms)).ravel(), _exact_keys(_digests(forms))
 
 
 COUNTS = StructType([StructField("n_lines", LongType()), StructField("n_removed", LongType()), StructField("removed", ArrayType(IntegerType()))])
@@ -111,8 +111,8 @@ def _marked(documents: pa.Table, codes: np.ndarray, chunk: int) -> pa.Table:
     if every:
         digests = _digests(forms)
         exact, bands = _exact_keys(digests), band_keys(list(forms))
-        keys = np.unique(np.concatenate([exact, bands.ravel()]))
-        chunks = codes[np.searchsorted(keys, exact)]
+        keys, own = np.unique(bands), np.unique(exact)
+        chunks = codes[len(keys) :][np.searchsorted(own, exact)]
         copied = (chunks > 1) | (np.bincount([forms[x[2]] for x in every], minlength=len(forms)) > 1)
         sharers = codes[np.searchsorted(keys, bands)]
         met = (sharers > chunks[:, None]) | (sharers == 0xFFFF)

@@ -22,6 +22,8 @@ from callsift.llm.common import slices, stage
 CHUNK_BYTES = 8 << 20
 #: Keys (about) that the task of a bucket sorts, and the fewest buckets.
 BUCKET_KEYS, LEAST_BUCKETS = 2 << 20, 128
+#: Keys that are compared in full are few beside the others: their buckets are fewer by so many bits.
+WHOLE_BITS = 4
 
 
 def pickled(table: pa.Table) -> bytes:
@@ -61,12 +63,13 @@ def text_bytes(chunks: DataFrame) -> int:
     return chunks.agg(F.sum("size")).first()[0] or 0
 
 
-def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], keys_per_byte: float) -> DataFrame:
+def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray | tuple[np.ndarray, np.ndarray]], keys_per_byte: float) -> DataFrame:
     """``(chunk, bucket, codes binary)``: for the distinct keys of ``keys_of`` of a chunk, ascending, how many documents have them.
 
     ``keys_of`` gives the 64-bit keys of a chunk, one for each document that holds it. Counts are 16 bits wide and stop at
     65,535. Keys are compared by bucket and 32 more bits, so a count may be too high, in the same way for every
-    holder, never too low.
+    holder, never too low. A second array of ``keys_of`` holds keys that are compared with one another only and in all their
+    bits, so different ones are never counted together; their codes come after those of the first.
     """
     total = int(text_bytes(chunks) * keys_per_byte)
     bits = max(LEAST_BUCKETS - 1, total // BUCKET_KEYS).bit_length()
@@ -74,30 +77,37 @@ def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], keys_per
     def asked(batches):
         for batch in batches:
             for chunk, payload in zip(batch.column("chunk").to_pylist(), batch.column("payload")):
-                keys, counts = np.unique(keys_of(opened(payload.as_py())), return_counts=True)
-                bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
-                low = (keys >> np.uint64(32 - bits)).astype(np.uint32)
-                counts = np.minimum(counts, 0xFFFF).astype(np.uint16)
-                numbers, at = np.unique(bucket, return_index=True)
-                to = np.append(at[1:], len(keys))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(numbers.astype(np.int32)),
-                        pa.array(np.full(len(numbers), chunk, np.int64)),
-                        pa.array([low[a:b].tobytes() for a, b in zip(at, to)], pa.binary()),
-                        pa.array([counts[a:b].tobytes() for a, b in zip(at, to)], pa.binary()),
-                    ],
-                    names=["bucket", "chunk", "keys", "counts"],
-                )
+                given = keys_of(opened(payload.as_py()))
+                for whole, own in enumerate(given if isinstance(given, tuple) else (given,)):
+                    keys, counts = np.unique(own, return_counts=True)
+                    bucket = (keys >> np.uint64(64 - bits + WHOLE_BITS * whole)).astype(np.int64) + (whole << bits)
+                    sent = keys if whole else (keys >> np.uint64(32 - bits)).astype(np.uint32)
+                    counts = np.minimum(counts, 0xFFFF).astype(np.uint16)
+                    numbers, at = np.unique(bucket, return_index=True)
+                    to = np.append(at[1:], len(keys))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(numbers.astype(np.int32)),
+                            pa.array(np.full(len(numbers), chunk, np.int64)),
+                            pa.array([sent[a:b].tobytes() for a, b in zip(at, to)], pa.binary()),
+                            pa.array([counts[a:b].tobytes() for a, b in zip(at, to)], pa.binary()),
+                        ],
+                        names=["bucket", "chunk", "keys", "counts"],
+                    )
 
     def answered(bucket, rows):
+        whole = bucket[0].as_py() >> bits
         blobs = rows.column("keys").to_pylist()
-        sizes = [len(x) // 4 for x in blobs]
-        low = np.frombuffer(b"".join(blobs), np.uint32)
+        low = np.frombuffer(b"".join(blobs), np.uint64 if whole else np.uint32)
+        sizes = [len(x) // low.itemsize for x in blobs]
         counts = np.frombuffer(b"".join(rows.column("counts").to_pylist()), np.uint16)
-        ordered = np.sort(low.astype(np.uint64) << np.uint64(32) | np.arange(len(low), dtype=np.uint64))
-        order = (ordered & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        ordered >>= np.uint64(32)
+        if whole:
+            order = np.argsort(low)
+            ordered = low[order]
+        else:
+            ordered = np.sort(low.astype(np.uint64) << np.uint64(32) | np.arange(len(low), dtype=np.uint64))
+            order = (ordered & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            ordered >>= np.uint64(32)
         starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         times = np.add.reduceat(counts[order], starts, dtype=np.int64)
         codes = np.empty(len(low), np.uint16)

@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from callsift.llm import line_dedup, ngram_join, suffix_dedup
@@ -11,6 +12,7 @@ from callsift.llm.components import components
 from callsift.llm.exact_dedup import cut_points, exact_dedup
 from callsift.llm.rtree import CountTree
 from callsift.llm.suffix_array import suffix_order
+from callsift.llm.tally import chunked, tally, with_codes
 
 
 def roots(n, links):
@@ -170,6 +172,27 @@ def test_line_blocks(spark, monkeypatch):
     assert {r.doc_id for r in line_dedup.dedup_lines(docs).where("n_removed = 0").collect()} == {0}
 
 
+def test_lines_whose_key_collides_in_its_first_39_bits(spark):
+    lines = {i: hashlib.sha256(b"%d" % i).hexdigest() for i in (265402, 1736327)}
+    one, other = line_dedup._exact_keys(line_dedup._digests(lines.values())).tolist()
+    assert one != other and one >> 25 == other >> 25
+    for i in lines:
+        near = lines[i][:-1] + "x"
+        docs = spark.createDataFrame([(1, lines[i]), (2, near), (3, lines[265402 + 1736327 - i])], "doc_id long, text string").repartition(3)
+        assert Counter((r.doc_id, tuple(r.removed), r.n_lines, r.text) for r in line_dedup.dedup_lines(docs).collect()) == plain_lines(rows_of(docs))
+
+
+def test_tally_compares_whole_keys_in_full(spark):
+    def keys_of(documents):
+        n = np.array([int(x) for x in documents.column("text").to_pylist()], np.uint64)
+        return n, n
+
+    chunks = chunked(spark.createDataFrame([(t,) for t in ("0", "1", "1", str(1 << 63))], "text string").repartition(1))
+    made = with_codes(chunks, tally(chunks, keys_of, 1), lambda documents, codes, chunk: pa.table({"codes": pa.array([codes.tolist()], pa.list_(pa.int32()))}), "codes array<int>", counts=True)
+    # 0 and 1 differ in their last 25 bits only: the loose counts can't tell them apart.
+    assert [r.codes for r in made.collect()] == [[3, 3, 1, 1, 2, 1]]
+
+
 # --- suffixes
 
 def plain_repeats(rows):
