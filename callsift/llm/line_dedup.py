@@ -15,9 +15,9 @@ from callsift.llm.registry import query
 from callsift.llm.tally import chunked, tally, with_codes, with_rows
 
 SHINGLE, SHARE = 8, 0.75
-#: 256 bins of one permutation; 36 bands of 7: lines right at 0.75 meet in one with a probability above 0.99, unrelated ones
-#: (below 0.1) with one below 4 in a million.
-BINS, BANDS, ROWS = 256, 36, 7
+#: 256 bins of one permutation; 25 bands of 5: lines right at 0.75 meet in one with a probability above 0.998, unrelated ones
+#: (below 0.1) with one below 3 in ten thousand.
+BINS, BANDS, ROWS = 256, 25, 5
 MULTIPLIERS = np.random.default_rng(31).integers(1, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Lines that one task compares with one another at most.
 BLOCK = 1024

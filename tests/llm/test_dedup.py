@@ -182,6 +182,19 @@ def test_lines_whose_key_collides_in_its_first_39_bits(spark):
         assert Counter((r.doc_id, tuple(r.removed), r.n_lines, r.text) for r in line_dedup.dedup_lines(docs).collect()) == plain_lines(rows_of(docs))
 
 
+def test_bands_bring_long_lines_right_at_the_threshold_together():
+    rng = np.random.default_rng(5)
+    tail, n = 400, 3000
+    one = rng.integers(97, 123, (n, 7 * tail + 7), dtype=np.uint8)
+    other = one.copy()
+    other[:, 6 * tail + 7 :] = (one[:, 6 * tail + 7 :] - 96 + rng.integers(0, 25, (n, tail), dtype=np.uint8)) % 26 + 97
+    one, other = ([x.tobytes().decode() for x in lines] for lines in (one, other))
+    a, b = line_dedup.shingles(one[0]), line_dedup.shingles(other[0])
+    assert len(a & b) == 0.75 * len(a | b)
+    met = (line_dedup.band_keys(one) == line_dedup.band_keys(other)).any(axis=1)
+    assert met.mean() >= 0.998
+
+
 def test_tally_compares_whole_keys_in_full(spark):
     def keys_of(documents):
         n = np.array([int(x) for x in documents.column("text").to_pylist()], np.uint64)
