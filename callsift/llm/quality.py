@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,6 +122,21 @@ def _sum_blobs(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [int(rows["part"].iloc[0]) // 16], "sums": [total.tobytes()]})
 
 
+def _equations(rows: DataFrame, model: QualityModel) -> DataFrame:
+    """``(part, sums)``: the normal equations of each partition. A task that is done again gives its row the same part, so
+    the row goes to the same sum again."""
+    width, size = len(STATISTICS), len(model.weights)
+
+    def run(batches):
+        total = np.zeros((size, size + 1))
+        for frame in batches:
+            z = model.fourier(_matrix(frame["x"], width))
+            total += z.T @ np.hstack([z, frame["y"].to_numpy()[:, None]])
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "sums": [total.tobytes()]})
+
+    return rows.mapInPandas(run, "part long, sums binary")
+
+
 def fit(rows: DataFrame, features: int = FOURIER, ridge: float = RIDGE, gamma: float | None = None) -> QualityModel | None:
     """Model from ``(doc_id, x, y)``, null without rows.
 
@@ -140,15 +156,8 @@ def fit(rows: DataFrame, features: int = FOURIER, ridge: float = RIDGE, gamma: f
     )
     calibrates = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)) == 0
 
-    def equations(batches):
-        total = np.zeros((features + 1, features + 2))
-        for frame in batches:
-            z = model.fourier(_matrix(frame["x"], width))
-            total += z.T @ np.hstack([z, frame["y"].to_numpy()[:, None]])
-        yield pd.DataFrame({"part": [np.random.default_rng().integers(0, 1 << 20)], "sums": [total.tobytes()]})
-
     parts = max(1, min(rows.rdd.getNumPartitions(), moments[0].n // 4096 + 1))
-    sums = rows.where(~calibrates).coalesce(parts).mapInPandas(equations, "part long, sums binary")
+    sums = _equations(rows.where(~calibrates).coalesce(parts), model)
     while parts > 1:
         parts = -(-parts // 16)
         sums = sums.withColumn("part", F.pmod("part", F.lit(parts))).groupBy("part").applyInPandas(_sum_blobs, "part long, sums binary")

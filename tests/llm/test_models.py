@@ -53,6 +53,14 @@ def test_filter_keeps_columns(spark, odd):
     assert quality.keep_good(odd, labels).columns == odd.columns
 
 
+def test_normal_equations_of_a_task_done_again_have_the_same_part(spark):
+    width = len(quality.STATISTICS)
+    rows = spark.createDataFrame([(i, [float(i * j % 7) for j in range(width)], float(i % 2)) for i in range(60)], "doc_id long, x array<double>, y double").repartition(5)
+    model = quality.QualityModel(np.zeros(width), np.ones(width), np.ones((width, 3)), np.zeros(3), np.zeros(4))
+    one, again = ([(r.part, bytes(r.sums)) for r in quality._equations(rows, model).collect()] for _ in range(2))
+    assert one == again and [part for part, _ in one] == list(range(5))
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var x = "</p><p>no";</script></head><body>
 <nav><ul><li><a href="/a">Home</a><li><a href="/b">News of the day</a></ul></nav><div class="cookie-banner">We use cookies. Accept?</div>
 <article><h1>Title &amp; more</h1><p>First   <b>bold</b> text that says a thing or two, with a link to <a href=x>somewhere</a>. It goes on.<p>Second &#8212; para&shy;graph
