@@ -217,12 +217,15 @@ def _links(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
 def _groups(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(candidates with the features that are to be compared by, pairs of groups of two)``.
 
-    Features that the same documents have stand for one another: of each such class (by count and two 64-bit sums of the
-    documents) one is kept. Most are had by two documents only, which are a pair as they are.
+    Features that the same documents have stand for one another: of each such class (by count and three sums of 32 bits of
+    the documents' hashes, in which ids that are repeated don't cancel) one is kept. Most are had by two documents only,
+    which are a pair as they are.
     """
     tokens = candidates.select("doc_id", F.explode("prefix").alias("token"))
-    met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-    met = stage(met.where("n > 1").groupBy("n", "x", "y").agg(F.min("token").alias("token"), F.min("a").alias("a"), F.max("b").alias("b")), "tokens")
+    one, other = F.xxhash64("doc_id"), F.xxhash64("doc_id", F.lit(1))
+    sums = (F.sum(F.shiftrightunsigned(one, 32)).alias("x"), F.sum(one.bitwiseAND(F.lit(0xFFFFFFFF))).alias("y"), F.sum(F.shiftrightunsigned(other, 32)).alias("z"))
+    met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), *sums, F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    met = stage(met.where("n > 1").groupBy("n", "x", "y", "z").agg(F.min("token").alias("token"), F.min("a").alias("a"), F.max("b").alias("b")), "tokens")
     kept = tokens.join(met.where("n > 2").select("token", "n"), "token").groupBy("doc_id").agg(F.collect_list(F.struct("token", "n")).alias("groups"))
     rows = candidates.drop("members").join(kept, "doc_id")
     rows = rows.select("doc_id", "size", "centrality", "point", F.col("groups.token").alias("prefix"), "groups")

@@ -116,6 +116,13 @@ def test_near_duplicates_in_blocks(documents, monkeypatch):
     assert got == plain_near(rows_of(documents))
 
 
+def test_near_duplicates_of_repeated_ids_with_differing_texts(spark):
+    rows = [(i, f"{text} end{i} of{n}") for text, ids in ((" ".join(f"{w}{k}" for k in range(200)), ids) for w, ids in (("one", (1, 2)), ("other", (3, 4)))) for i in ids for n in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs).collect()) == plain_near(rows)
+    assert {(i, c) for i, _, c in plain_near(rows)} == {(1, 1), (2, 1), (3, 3), (4, 3)}
+
+
 def test_near_duplicates_of_nothing(nothing, odd):
     assert ngram_join.near_duplicates(nothing).count() == 0
     assert ngram_join.keep_one(odd).columns == odd.columns
