@@ -20,6 +20,10 @@ TRAINING_PAGES = 4000
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 NAMED = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 RAW = frozenset("script style noscript template iframe textarea title svg math object select option button".split())
+#: Of these, a missing end tag leaves the rest of the page hidden; the others without one are left out alone.
+HIDING = frozenset("script style noscript template iframe textarea title".split())
+#: What an opening tag of these ends them, as their own end tag does.
+ENDED_BY = {"button": "button", "select": "select", "option": "option|optgroup|select|datalist"}
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 GROUPS = {name: i for i, names in enumerate(("p", "h1 h2 h3 h4 h5 h6", "li dd dt", "ul ol dl", "td th tr table tbody thead tfoot caption", "article main", "nav menu", "header", "footer", "aside", "form fieldset", "figure figcaption", "blockquote pre", "body html head")) for name in names.split()}
@@ -49,6 +53,7 @@ def parse(page: str) -> list[tuple[int, int, int, str | None, int]]:
     run: list[str] = []
     linked = in_link = 0
     at, to = 0, len(page)
+    endless: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
@@ -87,9 +92,11 @@ def parse(page: str) -> list[tuple[int, int, int, str | None, int]]:
             continue
         name, closing = name.lower(), tag[1] or tag[4]
         if name in RAW:
-            if not closing and not tag[0].endswith("/>"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else to
+            if not closing and not tag[0].endswith("/>") and name not in endless:
+                end = _end_of(name, page, at)
+                if end is None and name not in ENDED_BY:
+                    endless.add(name)
+                at = at if end is None else end
         elif name in INLINE:
             if name == "a":
                 in_link = 0 if closing else 1
@@ -117,6 +124,18 @@ def parse(page: str) -> list[tuple[int, int, int, str | None, int]]:
     return nodes
 
 
+def _end_of(name: str, page: str, at: int) -> int | None:
+    """Where an element of ``RAW`` that opened before ``at`` ends, null if it doesn't. An option without an end tag of its own
+    is the text up to the next tag."""
+    names = ENDED_BY.get(name, name)
+    end = re.compile(rf"<(/?)({names})\b[^>]*>" if name in ENDED_BY else rf"<(/)({re.escape(name)})\b[^>]*>", re.I).search(page, at)
+    if end and end[1] and end[2].lower() == name:
+        return end.end()
+    if name == "option" and (tag := TAG.search(page, at)):
+        return tag.start()
+    return len(page) if name in HIDING else None
+
+
 def clean(text: str) -> str:
     return " ".join(html.unescape(text).split())
 

@@ -81,6 +81,21 @@ def test_page(spark):
     assert html_extraction.extract(pages.limit(0), html_extraction.train(pages.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("tag", "stays"),
+    [("<button>", True), ("<object data=x>", True), ("<svg>", True), ("<math>", True), ("<select>", True), ("<option>", True), ("<button>" * 3, True)]
+    + [(f"<{x}>", False) for x in ("script", "style", "title", "textarea", "template", "iframe", "noscript")],
+)
+def test_elements_without_an_end_tag(tag, stays):
+    texts = [x[3].strip() for x in html_extraction.parse(f"<body><p>before</p>{tag}<p>after</p><button>no</button><select><option>no<option>no</select><p>last</p>") if x[3]]
+    assert texts == (["before", "after", "last"] if stays else ["before"])
+
+
+def test_options_without_end_tags_leave_what_follows():
+    page = "<datalist><option value=a><option>b</datalist><p>text</p><select><optgroup><option>c</option><option>d</optgroup></select><p>more</p>"
+    assert [x[3] for x in html_extraction.parse(page) if x[3]] == ["text", "more"]
+
+
 def test_marginals_are_those_of_full_enumeration():
     forest = html_extraction.Forest(["<body><div><p>One text here. It is.</p><p>two</p></div><nav><a>x</a></nav></body>"])
     model = html_extraction.Potentials()
