@@ -54,7 +54,8 @@ STAGES = [
     ("best-fit packing", packing),
 ]
 
-#: Classifiers, similarity and packing are beyond SQL; tests hold each stage against a plain version.
+#: Classifiers, similarity and packing are beyond SQL; tests hold the three dedup stages against plain versions row by row, the
+#: quality stage against the scores of its own classifier, and packing against its bounds.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from callsift.llm import line_dedup, ngram_join, suffix_dedup
+import corpus_pipeline
+from callsift.llm import line_dedup, ngram_join, quality, suffix_dedup
+from callsift.llm.common import stage
 from callsift.llm.components import components
 from callsift.llm.exact_dedup import cut_points, exact_dedup
 from callsift.llm.rtree import CountTree
@@ -249,6 +251,51 @@ def test_suffix_dedup_texts(odd, nothing):
     assert ids[1] == 1 and ids[2] == 0 and ids[6] == ids[7] == 1 and ids[None] == 2
 
 
+def plain_removed(rows):
+    first, least, out = {}, {}, []
+    for i, t in rows:
+        data = (t or "").encode()
+        if i is not None:
+            least[t] = min(least.get(t, i), i)
+            for k in range(len(data) - 49):
+                first[data[k : k + 50]] = min(first.get(data[k : k + 50], i), i)
+    for i, t in rows:
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        if i is not None and t:
+            for k in range(len(data) - 49):
+                if first[data[k : k + 50]] < i:
+                    gone[k : k + 50] = b"\1" * 50
+            ends = np.cumsum([len(c.encode()) for c in t]).tolist()
+            left = "".join(c for c, x, y in zip(t, [0, *ends], ends) if not any(gone[x:y]))
+            if not left or len(data) < 50 and least[t] < i:
+                continue
+            t = left
+        out.append((i, t))
+    return out
+
+
+def plain_kept(rows):
+    kept = {i for i, _, component in plain_near(rows) if i == component}
+    return [x for x in rows if x[0] in kept]
+
+
+def test_pipeline_stages_row_by_row(spark, documents):
+    sf = "/root/testdata/sf0.001"
+    scored = {r.doc_id: r.predicted for r in quality.score(documents, spark.read.parquet(f"{sf}/labels.parquet")).collect()}
+    plain = {
+        "quality classifier": lambda rows: [x for x in rows if scored[x[0]]],
+        "line dedup": lambda rows: [(i, t) for i, gone, _, t in plain_lines(rows).elements() if not gone or t.strip()],
+        "n-gram Jaccard join": lambda rows: plain_kept(rows),
+        "suffix-array dedup": plain_removed,
+    }
+    docs = documents
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        out = stage(function(spark, docs, sf), "test")
+        assert Counter(rows_of(out)) == Counter(plain[name](rows_of(docs))), name
+        docs = out
+
+
 def test_suffix_order():
     rng = np.random.default_rng(1)
     for n in [1, 2, 3, 4, 5, *rng.integers(6, 80, 200)]:
