@@ -2,6 +2,8 @@
 
 from callsift.llm import (  # noqa: F401
     bpe,
+    centroid_clustering,
+    chat_formatting,
     embedding_dedup,
     exact_dedup,
     html_extraction,
@@ -11,4 +13,5 @@ from callsift.llm import (  # noqa: F401
     quality,
     suffix_dedup,
     toxicity,
+    vector_codes,
 )
