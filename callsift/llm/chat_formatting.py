@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callsift.llm.common import cleaned, discard, stage, table
+from callsift.llm.common import cleaned, stage, table
 from callsift.llm.registry import query
 
 OPEN, MIDDLE, CLOSE = "### ", ": ", "</turn>\n"
@@ -80,7 +80,7 @@ def _blocks(limit: int):
                     own, size, block = [], 0, block + 1
                 conv = c
                 own.append((turn, role, digest, text))
-                size += len(text) + len(role)
+                size += len(text) + len(role) + len(OPEN + MIDDLE + CLOSE)
         if own:
             yield rows(block, conv, own)
 
@@ -215,9 +215,7 @@ def digests(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
     so they pass through one task, as a sorted stream of which it keeps the running digest alone.
     """
     read = prefix_examples(conversations, block).mapInArrow(_read, "conv_id long, example long, part long, chars long, loss string, said string, n long")
-    # Parts without a reply or turns of their own only add characters.
-    told = read.where("loss is not null or said is not null or chars > 0")
-    ordered = told.repartition("conv_id").sortWithinPartitions("conv_id", "part", "example")
+    ordered = read.repartition("conv_id").sortWithinPartitions("conv_id", "part", "example")
     return ordered.mapInArrow(_digested, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
