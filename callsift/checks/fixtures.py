@@ -216,7 +216,7 @@ select event_id, concat('run_', cast(user_id % 25 as varchar(9))) run_id, ts, hu
   concat('# HELP x', nl, case event_id % 7
     when 0 then concat('vllm:gpu_cache_usage_perc{model="m"} 0.', hundredths, nl, 'vllm:prefix_cache_hit_rate{model="m"} 0.', hundredths)
     when 1 then concat('vllm:gpu_cache_usage 0.', hundredths, nl, 'vllm:gpu_prefix_cache_hit_rate 0.', hundredths)
-    when 2 then concat('vllm:prefix_cache_hits_total ', hundredths, nl, 'vllm:prefix_cache_queries_total 200')
+    when 2 then concat('vllm:prefix_cache_hits_total ', hundredths, nl, 'vllm:prefix_cache_hits_created 1.7e9', nl, 'vllm:prefix_cache_queries_total 200', nl, 'vllm:prefix_cache_queries_created 1.7e9')
     when 3 then concat('vllm:gpu_cache_usage 0.99', nl, 'vllm:gpu_cache_usage_perc 0.', hundredths, nl, 'vllm:prefix_cache_hits{a="b"} ', hundredths, nl, 'vllm:prefix_cache_hits{a="c"} 50', nl, 'vllm:prefix_cache_queries{a="b"} 160')
     when 4 then concat('vllm:gpu_cache_usage_perc 2.5e-1', nl, '# vllm:prefix_cache_hit_rate 0.5')
     when 5 then concat('vllm:prefix_cache_hit_rate none', nl, 'vllm:gpu_prefix_cache_hit_rate 0.', hundredths)
@@ -247,7 +247,7 @@ select doc_id, case doc_id % 16
     when 9 then ''
     when 10 then replace(j, '"empathy_score":3', '"empathy_score":9,"empathy_score":3')
     when 11 then replace(j, '"events":{}', '"events":{"upsell_attempted":null}')
-    when 12 then replace(j, '"events":{}', '"events":{},"note":NaN')
+    when 12 then replace(j, '"events":{}', concat('"events":{},"note":', case when doc_id % 64 = 12 then concat(repeat('[', 2000), repeat(']', 2000)) else 'NaN' end))
     when 13 then replace(j, '"empathy_score":3', '"empathy_score":NaN')
     when 14 then concat(j, ',', j)
     when 15 then concat(replace(j, '"ok"', concat('"', lang, '"')), ' ')

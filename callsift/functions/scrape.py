@@ -40,8 +40,8 @@ def gpu_util(found: Column) -> Column:
 
 
 def _total(found: Column, parts: str) -> Column:
-    """Sum over the samples whose name has the given parts, in this order."""
-    own = F.filter(found, lambda s: s["name"].startswith("vllm:") & s["name"].rlike(parts))
+    """Sum over the samples whose name has the given parts, in this order; times of creation beside a counter are no counts."""
+    own = F.filter(found, lambda s: s["name"].startswith("vllm:") & s["name"].rlike(parts) & ~s["name"].endswith("_created"))
     return F.aggregate(own, F.lit(0.0), lambda total, s: total + s["value"])
 
 

@@ -21,6 +21,7 @@ SCRAPES = {
     "vllm:prefix_cache_hits_total 30\nvllm:prefix_cache_queries_total 40": (0.0, 0.75),
     "vllm:prefix_cache_hits{a=\"1\"} 10\nvllm:prefix_cache_hits{a=\"2\"} 5\nvllm:prefix_query_total{a=\"1\"} 2e1": (0.0, 0.75),
     "vllm:prefix_cache_hits 1\nvllm:prefix_cache_queries 0": (0.0, None),
+    "vllm:prefix_cache_hits_total{a=\"1\"} 100\nvllm:prefix_cache_hits_created{a=\"1\"} 1.7e9\nvllm:prefix_cache_queries_total{a=\"1\"} 1000\nvllm:prefix_cache_queries_created{a=\"1\"} 1.7e9": (0.0, 0.1),
 }
 
 

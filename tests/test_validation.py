@@ -4,10 +4,13 @@ import json
 from typing import Literal, Optional
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from callsift import schemas
 from callsift.checks.stub import document
+from callsift.functions import json_strict
 from callsift.functions.json_strict import parse_json_strict
 from callsift.operators.validation import error_taxonomy, judge_responses
 
@@ -108,3 +111,41 @@ def test_type_of_the_stored_document(spark):
 def test_taxonomy_uses_the_text_before_the_colon(spark):
     df = spark.createDataFrame([("api_error: T: x",), ("api_error: y",), ("exhausted retries",), (None,)], "error_message string")
     assert {tuple(r) for r in error_taxonomy(df).collect()} == {("api_error", 2), ("exhausted retries", 1)}
+
+
+def same_as_json(text):
+    def outcome(read):
+        try:
+            return "value", read(text)
+        except ValueError as error:
+            return "error", str(error)
+
+    expected = outcome(lambda t: json.loads(t, parse_float=json_strict._finite, parse_constant=lambda _: [json_strict.NOT_STORABLE]))
+    assert outcome(json_strict.loads_any_depth) == expected, text
+
+
+@given(st.recursive(st.none() | st.booleans() | st.integers() | st.floats() | st.text(), lambda x: st.lists(x) | st.dictionaries(st.text(), x)), st.integers(0, 200), st.sampled_from(["", ",", "]", "}", '"', ":", " ", "[", "{", "1", "\\"]))
+def test_reading_with_a_stack_matches_json(value, cut, odd):
+    text = json.dumps(value, indent=1)
+    at = cut % (len(text) + 1)
+    for t in (text, text[:at] + odd + text[at:], text[:at] + odd, text[:at] + odd + text[at + 1 :]):
+        same_as_json(t)
+
+
+def test_stack_reader_on_known_texts():
+    for text in TEXTS:
+        if len(text) < 1000 and not text.startswith("﻿"):
+            same_as_json(text)
+
+
+def test_deep_documents_keep_their_depth_as_text(spark):
+    levels = 1500
+    unknown = json.dumps({**document(), "unknown": 1}).replace('"unknown": 1', '"unknown": ' + "[" * levels + "7" + "]" * levels)
+    rows = judge_responses(spark.createDataFrame([(unknown,), (unknown + "]",)], "raw string"), "raw").collect()
+    assert [r.extraction_status for r in rows] == ["success", "error"]
+    canonical, error = json_strict.canonical_or_error("[" * levels + "7" + "]" * levels)
+    inner = json.loads(canonical)
+    for _ in range(json_strict.KEPT_DEPTH):
+        (inner,) = inner
+    below = levels - json_strict.KEPT_DEPTH
+    assert error is None and inner == "[" * below + "7" + "]" * below
