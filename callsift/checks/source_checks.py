@@ -17,8 +17,8 @@ from callsift.plans.pipeline import run_extraction
 from callsift.session import work_dir
 from callsift.sources import calls as src
 from callsift.sources import notifications
-from callsift.sources.tables import MEASUREMENTS, Warehouse
-from callsift.streaming import ingest
+from callsift.sources.tables import CALLS, MEASUREMENTS, Warehouse
+from callsift.streaming import ingest, receives
 from callsift.streaming.metrics import close_windows, metrics_stream
 
 GZ = "*.gz"
@@ -45,7 +45,8 @@ def _parsed_shards(spark, sf_dir, purpose):
     )
 )
 def read_calls(spark, sf_dir):
-    usable = src.usable_calls(_parsed_shards(spark, sf_dir, "shards"))
+    path = write_shards(fx.call_lines(spark, sf_dir), spark, "shards")
+    usable = src.read_calls(spark, path, mode="quarantine", glob=GZ)
     return usable.select(
         "call_id", "category_path", "text",
         F.when(F.col("words").isNotNull(), F.size("words")).otherwise(-1).cast("bigint").alias("words"),
@@ -115,19 +116,25 @@ def path_ids(spark, sf_dir):
 
 
 @check(
-    """select cast(page_id as varchar) call_id, 'cat' || (page_id % 7) category_path, case when page_id % 6 < 4 then html else '' end as text,
+    """select page_id, 'cat=' || (page_id % 7) category_path, true named, case when page_id % 6 < 4 then html else '' end as text,
     case when page_id % 6 = 4 then 'transcript is not an object' when page_id % 6 = 5 then 'json_parse_error' end document_error from pages"""
 )
 def transcript_files(spark, sf_dir):
+    """Every page as a file of its own, in folders by category and page."""
     number = F.col("page_id")
     body = F.to_json(F.struct(F.col("html").alias("text")))
+    root = work_dir(spark, "files")
     documents = fx.table(spark, sf_dir, "pages").select(
-        F.concat(F.lit("/data/cat"), (number % 7).cast("string"), F.lit("/x/"), number.cast("string"), F.lit("_transcript.json")).alias("path"),
-        F.when(number % 6 < 4, body).when(number % 6 == 4, F.lit("[]")).otherwise(F.concat(body, F.lit("}"))).alias("value"),
+        (number % 7).alias("cat"), number.alias("page"), F.when(number % 6 < 4, body).when(number % 6 == 4, F.lit("[]")).otherwise(F.concat(body, F.lit("}"))).alias("value")
     )
-    out = src.calls_from_documents(documents, "/data")
+    documents.repartition("page").write.partitionBy("cat", "page").text(root)
+    out = src.read_transcript_files(spark, root, "*.txt")
     return out.select(
-        "call_id", "category_path", "text", F.split_part("document_error", F.lit(":"), F.lit(1)).alias("document_error")
+        F.regexp_extract("source_path", "/page=([0-9]+)/", 1).cast("bigint").alias("page_id"),
+        "category_path",
+        (F.col("call_id") == F.regexp_extract("source_path", r"([^/]+)\.txt$", 1)).alias("named"),
+        "text",
+        F.split_part("document_error", F.lit(":"), F.lit(1)).alias("document_error"),
     )
 
 
@@ -189,7 +196,7 @@ def smoke_sample(spark, sf_dir):
 
 
 RECEIVES = """
-select concat('shard-', cast(user_id as varchar(9)), '-', cast(event_id % 40 as varchar(9))) item,
+select event_id, concat('shard-', cast(user_id as varchar(9)), '-', cast(event_id % 40 as varchar(9))) item,
   case when (user_id + event_id % 40) % 10 = 0 then 'test' when (user_id + event_id % 40) % 10 = 1 then 'unknown' else 'object' end kind,
   event_type in ('purchase', 'error') ok from events
 """  # SHARED
@@ -206,6 +213,27 @@ def quarantine(spark, sf_dir):
     return ingest.dead_letters(fx.shared(spark, sf_dir, RECEIVES))
 
 
+@check(
+    fx.with_views(
+        """select item, kind, cast(received as bigint) receives from (
+          select *, row_number() over (partition by item, kind order by slice) k from (
+            select *, sum(n) over w received, bool_or(good) over w settled from (
+              select item, kind, event_id % 3 slice, count(*) n, bool_or(ok and kind = 'object') good from receives where kind <> 'test' group by all)
+            window w as (partition by item, kind order by slice)) where received >= 2 or settled) where k = 1 and not settled""",
+        receives=RECEIVES,
+    )
+)
+def dead_letters_stream(spark, sf_dir):
+    """The log of receives in three batches, the first of them written and followed twice."""
+    root = work_dir(spark, "receives")
+    log = fx.shared(spark, sf_dir, RECEIVES).withColumns({"slice": F.col("event_id") % 3, "n": F.lit(1)})
+    for batch in (0, 0, 1, 2):
+        rows = log.filter(F.col("slice") == batch).withColumn("ingest_batch", F.lit(f"batch-{batch}"))
+        rows.select("item", "kind", "ingest_batch", "ok", F.col("n").cast("long").alias("n")).write.mode("overwrite").parquet(f"{root}/log/batch-{batch}")
+        receives.dead_letters_stream(spark, f"{root}/log", f"{root}/dead", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(receives.DEAD_SCHEMA).parquet(f"{root}/dead")
+
+
 @check(
     fx.with_views(
         """select run_id, extraction_status, count(*) n, cast(sum(seq) as bigint) checksum from r where not (run_id = 'run_a' and seq >= 2000000) group by all""",
@@ -338,7 +366,7 @@ def metrics_stream_60s(spark, sf_dir):
 
 
 def _turn_lines(spark, sf_dir):
-    return fx.shared(spark, sf_dir, fx.TURNS).select("conv_id", F.to_json(F.struct("call_id", F.col("text").alias("transcript"))).alias("value"))
+    return fx.shared(spark, sf_dir, fx.TURNS).select("conv_id", "turn", F.to_json(F.struct("call_id", F.col("text").alias("transcript"))).alias("value"))
 
 
 @check(
@@ -346,34 +374,64 @@ def _turn_lines(spark, sf_dir):
     union all select stream || ' aside', 1 from (values ('one'), ('two')) s(stream)"""
 )
 def ingest_two_streams(spark, sf_dir):
-    """Two streams with checkpoints of their own and shards of the same name: rows and quarantine of both stay."""
+    """Two streams with checkpoints of their own and shards of the same names: rows and quarantine of both stay, each once."""
     root = work_dir(spark, "stream")
     warehouse = Warehouse(spark, f"{root}/tables")
     settings = replace(SETTINGS, model_options={"backoff_seconds": 0.0})
+    bad = spark.range(1).select(F.lit(-1).cast("bigint").alias("conv_id"), F.lit("{broken").alias("value"))
+    lines = _turn_lines(spark, sf_dir).select("conv_id", "value").unionByName(bad)
+    lines = lines.withColumn("stream", F.explode(F.array(F.lit("one"), F.lit("two"))))
+    lines = lines.withColumn("value", F.regexp_replace("value", F.lit('"call_id":"'), F.concat(F.lit('"call_id":"'), "stream", F.lit("-"))))
+    # A task writes its lines of both streams under one name.
+    lines.repartition(3, "conv_id").select("stream", "value").write.partitionBy("stream").text(f"{root}/in")
     for stream in ("one", "two"):
-        lines = _turn_lines(spark, sf_dir).withColumn("value", F.regexp_replace("value", '"call_id":"', f'"call_id":"{stream}-'))
-        bad = spark.range(1).select(F.lit(-1).cast("bigint").alias("conv_id"), F.lit("{broken").alias("value"))
-        lines.unionByName(bad.select(*[F.col(c).cast(t) for c, t in lines.dtypes])).coalesce(1).select("value").write.text(f"{root}/{stream}")
-        query = ingest.ingest_stream(warehouse, f"{root}/{stream}", f"{root}/checkpoint-{stream}", always_right, settings, glob="*.txt")
+        query = ingest.ingest_stream(warehouse, f"{root}/in/stream={stream}", f"{root}/checkpoint-{stream}", always_right, settings, glob="*.txt")
         query.awaitTermination()
-    rows = warehouse.calls().select("call_id").distinct().groupBy(F.split_part("call_id", F.lit("-"), F.lit(1)).alias("stream")).agg(F.count(F.lit(1)).alias("n"))
-    aside = ingest.read_quarantine(warehouse).filter("item = '{broken'").select(F.regexp_extract("source_file", "/(one|two)/", 1).alias("stream"))
+    rows = warehouse.calls().groupBy(F.split_part("call_id", F.lit("-"), F.lit(1)).alias("stream")).agg(F.count(F.lit(1)).alias("n"))
+    aside = ingest.read_quarantine(warehouse).filter("item = '{broken'").select(F.regexp_extract("source_file", "stream=(one|two)/", 1).alias("stream"))
     return rows.unionByName(aside.groupBy(F.concat("stream", F.lit(" aside")).alias("stream")).agg(F.count(F.lit(1)).alias("n")))
 
 
 @check(
     fx.with_views(
-        """select run_id, count(*) n from r where run_id = 'run_a' group by run_id""",
+        """select step, run_id, count(*) n from r, (values ('before'), ('written'), ('committed')) s(step) where step <> 'committed' or run_id = 'run_a' group by step, run_id""",
         r=fx.ROWS,
     )
 )
 def append_replaced(spark, sf_dir):
-    """A batch written again without one of its runs: that run's rows go."""
-    warehouse = Warehouse(spark, work_dir(spark, "tables"))
+    """A batch written again without some of its runs: a reader sees its old rows until the commit, then its new ones."""
+    root = work_dir(spark, "tables")
+    warehouse, reader = Warehouse(spark, root), Warehouse(spark, root)
     rows = fx.rows(spark, sf_dir).select("run_id", "call_id", "extraction_status", "error_message", "extracted_at")
+
+    def seen(step):
+        return reader.calls().groupBy("run_id").agg(F.count(F.lit(1)).alias("n")).withColumn("step", F.lit(step))
+
     warehouse.append_extractions(rows, "b1", many_runs=True)
-    warehouse.append_extractions(rows.filter("run_id = 'run_a'"), "b1", many_runs=True)
-    return warehouse.calls().groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+    steps = [seen("before")]
+    attempt = warehouse.new_attempt()
+    warehouse.write_extractions(rows.filter("run_id = 'run_a'"), "b1", attempt, many_runs=True)
+    steps.append(seen("written"))
+    warehouse.log.commit({"set": {CALLS: {"b1": attempt}}})
+    return steps[0].unionByName(steps[1]).unionByName(seen("committed"))
+
+
+@check(fx.with_views("select run_id, extraction_status, count(*) n, true few_files from r where run_id <> 'run_a' or extraction_status <> 'error' group by all", r=fx.ROWS))
+def compact_tables(spark, sf_dir):
+    """Rows in five batches, merged by file size; then a batch that was merged is written again without some of its rows."""
+    warehouse = Warehouse(spark, work_dir(spark, "tables"))
+    rows = fx.rows(spark, sf_dir).select("run_id", "call_id", "extraction_status", "error_message", "extracted_at")
+    dropped = (F.col("run_id") == "run_a") & (F.col("extraction_status") == "error")
+    batch = F.when(dropped, 4).otherwise(F.pmod(F.xxhash64("call_id"), F.lit(4)))
+    for number in range(5):
+        warehouse.append_extractions(rows.filter(batch == number), f"b{number}", many_runs=True)
+    before = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(warehouse.path(CALLS)).count()
+    warehouse.compact()
+    warehouse.vacuum(0)
+    after = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(warehouse.path(CALLS)).count()
+    warehouse.append_extractions(rows.limit(0), "b4")
+    few = F.lit(after < before)
+    return warehouse.calls().groupBy("run_id", "extraction_status").agg(F.count(F.lit(1)).alias("n")).withColumn("few_files", few)
 
 
 @check("select 'success' extraction_status, count(*) n, 0::bigint set_aside from conversations")
@@ -400,21 +458,28 @@ def commit_limits(spark, sf_dir):
 
 
 @check(
-    """select 'rows' what, count(*) n from conversations where conv_id % 3 < 2 union all select 'dead object', 1 union all select 'dead unknown', 1"""
+    """select 'rows' what, count(*) n from conversations where conv_id % 3 < 2
+    union all select 'dead object', 1 + least(count(*), 1) from conversations where conv_id % 12 = 4 and turn = 0 union all select 'dead unknown', 1"""
 )
 def ingest_notifications(spark, sf_dir):
-    """Messages for two of three shards, an absent one and an unknown message, each received twice; and a ping."""
+    """A message per shard of two of three folders, for an absent shard and an unknown one, each received twice; and a ping.
+
+    Shards of different folders have the same names; one of them holds lines that are no calls.
+    """
     root = work_dir(spark, "notified")
     warehouse = Warehouse(spark, f"{root}/tables")
     settings = replace(SETTINGS, model_options={"backoff_seconds": 0.0})
-    lines = _turn_lines(spark, sf_dir).withColumn("shard", F.col("conv_id") % 3)
-    names = []
-    for shard in range(3):
-        lines.filter(F.col("shard") == shard).coalesce(1).select("value").write.text(f"{root}/inbox/part-{shard}")
-        names.append(src.read_lines(spark, f"{root}/inbox/part-{shard}", "*.txt").select("source_file").first().source_file.split("/inbox/")[1])
-    body = '{"Records":[{"s3":{"bucket":{"name":"b"},"object":{"key":"%s"}}}]}'
-    messages = [body % names[0], body % names[1], body % "absent.jsonl", '{"hello": 1}', '{"Service":"Amazon S3","Event":"s3:TestEvent"}']
+    conv = F.col("conv_id")
+    broken = F.when((conv % 12 == 4) & (F.col("turn") == 0), F.lit("\n{broken")).otherwise(F.lit(""))
+    lines = _turn_lines(spark, sf_dir).select((conv % 3).alias("folder"), (conv % 4).alias("piece"), F.concat("value", broken).alias("value"))
+    lines.repartition(4, "piece").write.partitionBy("folder", "piece").text(f"{root}/inbox")
+    key = F.col("object_key")
+    shards = ingest.list_objects(spark, f"{root}/inbox").filter(key.endswith(".txt") & ~key.startswith("folder=2/"))
+    body = [F.concat(F.lit('{"Records":[{"s3":{"bucket":{"name":"b"},"object":{"key":"'), F.replace(key, F.lit("="), F.lit("%3D")), F.lit('"}}}]}'))]
+    messages = shards.select(*[b.alias("body") for b in body])
+    others = ['{"Records":[{"s3":{"bucket":{"name":"b"},"object":{"key":"absent.jsonl"}}}]}', '{"hello": 1}', '{"Service":"Amazon S3","Event":"s3:TestEvent"}']
+    messages = messages.union(spark.createDataFrame([(m,) for m in others], "body string"))
     for receive in (1, 2):
-        dead = ingest.ingest_notifications(warehouse, spark.createDataFrame([(m,) for m in messages], "body string"), f"{root}/inbox", always_right, settings, f"messages-{receive}")
+        dead = ingest.ingest_notifications(warehouse, messages, f"{root}/inbox", always_right, settings, f"messages-{receive}", shards_per_round=5)
     rows = warehouse.calls().groupBy(F.lit("rows").alias("what")).agg(F.count(F.lit(1)).alias("n"))
     return rows.unionByName(dead.groupBy(F.concat(F.lit("dead "), "kind").alias("what")).agg(F.count(F.lit(1)).alias("n")))

@@ -25,6 +25,8 @@ class RunSettings:
     enable_thinking: bool = False
     concurrency: int | None = None
     test_name: str = "inbox"
+    #: Rows a written file holds at most (0: no limit), as in ``commit_policy``.
+    commit_rows: int = 0
     model_options: dict = field(default_factory=dict)
 
 
@@ -78,7 +80,7 @@ def run_extraction(
             done = materialize(warehouse.committed_ids([run_id], but_not=[ingest_batch]), "committed")
             pending = tagged if done.isEmpty() else resume(tagged, done)
         rows = extract_rows(pending, model_fn, settings)
-        warehouse.append_extractions(rows, ingest_batch)
+        warehouse.append_extractions(rows, ingest_batch, max_records_per_file=settings.commit_rows)
         stats = final_status(_batch_stats(tagged, rows, run_id))
         totals = materialize(stats, "stats")
         warehouse.finish_runs(totals)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,13 +18,15 @@ from callsift.plans.pipeline import RunSettings, extract_rows
 from callsift.session import materialize, spread
 from callsift.sources.calls import SHARD_SUFFIX, decoded_path, parse_lines, usable_calls
 from callsift.sources.notifications import parse_notifications
-from callsift.sources.tables import CALLS, COMMIT_ROWS, COMMIT_SECONDS, Warehouse
+from callsift.sources.tables import CALLS, COMMIT_ROWS, COMMIT_SECONDS, QUARANTINE, Warehouse
+from callsift.streaming.receives import DEAD_SCHEMA, dead_letters_stream
 
 # Fixed value: tries per shard before what still fails is set aside.
 MAX_RECEIVES = 2
-QUARANTINE = "quarantine"
 RECEIVES = "receives"
-QUARANTINE_SCHEMA = "run_id string, source_file string, item string, reason string, receives int, ingest_batch string"
+DEAD_LETTERS = "dead_letters"
+# Shards whose names the driver holds at once.
+SHARDS_PER_ROUND = 1000
 
 
 def commit_policy(rows: int = COMMIT_ROWS, seconds: int = COMMIT_SECONDS) -> dict[str, dict]:
@@ -51,12 +54,7 @@ def dead_letters(receives: DataFrame, max_receives: int = MAX_RECEIVES) -> DataF
 
 def read_quarantine(warehouse: Warehouse) -> DataFrame:
     """What was set aside; an empty frame before anything was."""
-    try:
-        return warehouse.spark.read.schema(QUARANTINE_SCHEMA).parquet(warehouse.path(QUARANTINE))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return warehouse.spark.createDataFrame([], QUARANTINE_SCHEMA)
+    return warehouse.read(QUARANTINE)
 
 
 def process_shards(
@@ -66,15 +64,15 @@ def process_shards(
     settings: RunSettings,
     batch: str,
     max_receives: int = MAX_RECEIVES,
-) -> None:
-    """One micro-batch of lines (value, source_file): one run per shard name.
+) -> DataFrame:
+    """One micro-batch of lines (value, source_file): one run per shard name. Returns the shards (source_file) that left something aside.
 
     A first pass handles all calls without a committed success, each further pass only the calls
     that ended in an error. What is left after ``max_receives`` passes, and unusable lines, go to
-    the quarantine table. All writes are named by batch and pass, and what an earlier try of the batch wrote goes first, so
-    a repeated batch replaces it whatever the model answers now. ``batch`` must be unique among all batches of the
-    warehouse. Only the folders of the batch's own runs are listed, and its outcome is taken from the rows it has just
-    made, so the cost does not depend on the size of the table.
+    the quarantine table. Rows and quarantine of all passes become visible by one commit under the batch's name, which
+    replaces what an earlier try of the batch has committed, whatever the model answers now. ``batch`` must be unique among
+    all batches of the warehouse. Only the folders of the batch's own runs are listed, and its outcome is taken from the
+    rows it has just made, so the cost does not depend on the size of the table.
     """
     spark = warehouse.spark
     tagged = parse_lines(lines).withColumn("run_id", derive_run_id(F.col("source_file")))
@@ -82,19 +80,18 @@ def process_shards(
     # One micro-batch holds at most maxFilesPerTrigger shards, so these names fit the driver.
     run_ids = [row.run_id for row in parsed.select("run_id").distinct().collect()]
     if not run_ids:
-        return
+        return parsed.select("source_file").limit(0)
     warehouse.start_runs(parsed.select("run_id").distinct().withColumn("test_name", F.lit(settings.test_name)))
 
     passes = [f"{batch}-{receive}" for receive in range(1, max_receives + 1)]
-    for name in passes:
-        warehouse.drop_batch(CALLS, name, run_ids)
-    done = materialize(warehouse.committed_ids(run_ids), "committed")
+    attempt = warehouse.new_attempt()
+    done = materialize(warehouse.committed_ids(run_ids, but_not=[batch]), "committed")
     calls = usable_calls(parsed).withColumn("source_path", F.coalesce("source_path", "source_file"))
     pending = calls if done.isEmpty() else resume(calls, done)
     succeeded = []
     for name in passes:
         rows = extract_rows(pending, model_fn, settings)
-        warehouse.append_extractions(rows, name, many_runs=True, run_ids=run_ids)
+        warehouse.write_extractions(rows, name, attempt, many_runs=True, max_records_per_file=settings.commit_rows)
         good = rows.filter(F.col("extraction_status") == "success").select("run_id", "call_id")
         in_error = rows.filter(F.col("extraction_status") == "error")
         succeeded.append(good)
@@ -112,50 +109,93 @@ def process_shards(
         "run_id", "source_file", F.col("value").alias("item"), F.col("line_error").alias("reason")
     )
     aside = materialize(in_error.unionByName(unusable), "aside")
-    fs, folder = warehouse._fs_of(f"{warehouse.path(QUARANTINE)}/ingest_batch={batch}")
-    fs.delete(folder, True)
-    (
-        aside.withColumns({"receives": F.lit(max_receives), "ingest_batch": F.lit(batch)})
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingest_batch")
-        .parquet(warehouse.path(QUARANTINE))
-    )
+    # An error row names the path that its call gives for itself; the shard is the one that holds such a call.
+    held = calls.select("run_id", F.col("call_id").alias("item"), "source_path", F.col("source_file").alias("_shard")).distinct()
+    failing = in_error.select("run_id", "item", F.col("source_file").alias("source_path")).distinct().join(held, ["run_id", "item", "source_path"])
+    failed = failing.select(F.col("_shard").alias("source_file")).union(unusable.select("source_file")).distinct()
+    warehouse.write_rows(aside.withColumns({"receives": F.lit(max_receives), "ingest_batch": F.lit(batch)}), QUARANTINE, attempt)
+    warehouse.log.commit({"set": {CALLS: {batch: attempt}, QUARANTINE: {batch: attempt}}})
     good = reduce(DataFrame.unionByName, succeeded).groupBy("run_id").agg(F.count(F.lit(1)).alias("succeeded"))
     bad = aside.groupBy("run_id").agg(F.count(F.lit(1)).alias("errors"))
     outcome = parsed.select("run_id").distinct().join(good, "run_id", "left").join(bad, "run_id", "left")
     warehouse.finish_runs(final_status(outcome.na.fill(0, ["succeeded", "errors"])))
+    return failed
+
+
+def _plain(path: Column) -> Column:
+    """One form for local paths, which come with one or three slashes."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def list_objects(spark: SparkSession, root: str) -> DataFrame:
+    """(object_key, path) of all files below ``root``, from a listing that Spark does; no file is opened."""
+    from callsift.sources.commits import Files
+
+    base = re.sub("^file:/+", "file:/", Files(spark).at(root)[1].toString()).rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    path = _plain(decoded_path(F.col("_metadata.file_path")))
+    return files.select(path.alias("path")).select(F.substring("path", F.lit(len(base) + 2), F.length("path")).alias("object_key"), "path")
+
+
+def read_shards(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines of exactly these files; characters with a meaning in patterns stand for themselves."""
+    names = [re.sub(r"([{}\[\]*?\\])", r"\\\1", path) for path in paths]
+    lines = spark.read.text(names).select("value", _plain(decoded_path(F.col("_metadata.file_path"))).alias("source_file"))
+    return lines.filter(F.col("value").rlike(r"\S"))
+
+
+def read_dead_letters(warehouse: Warehouse) -> DataFrame:
+    try:
+        return warehouse.spark.read.schema(DEAD_SCHEMA).parquet(warehouse.path(DEAD_LETTERS))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return warehouse.spark.createDataFrame([], DEAD_SCHEMA)
 
 
 def ingest_notifications(
-    warehouse: Warehouse, messages: DataFrame, root: str, model_fn: ModelFn, settings: RunSettings, batch: str, max_receives: int = MAX_RECEIVES
+    warehouse: Warehouse,
+    messages: DataFrame,
+    root: str,
+    model_fn: ModelFn,
+    settings: RunSettings,
+    batch: str,
+    max_receives: int = MAX_RECEIVES,
+    shards_per_round: int = SHARDS_PER_ROUND,
 ) -> DataFrame:
-    """Process exactly the shards that a batch of messages names, and return the dead letters of all messages so far.
+    """Process exactly the shards that a batch of messages names, and return the dead letters so far.
+
+    ``messages(body)``. A message is received well when the object that it names is below ``root`` and leaves no error, told by
+    the object's full path. A message that names no object or an absent one, or whose shard leaves errors, is a
+    receive without success; so many receives make a dead letter (``count_receives``). Pings are dropped. A message
+    that comes again processes its shard again, which touches only calls without a committed success.
 
-    ``messages(body)``. Pings are dropped; a message that names no object, or an object that is not below ``root`` or that
-    leaves errors, counts as a receive without success in the table of receives. A message that comes again
-    processes its shard again, which touches only calls without a committed success. Object names of one batch of
-    messages fit the driver; their content is read by Spark.
+    Keys meet a listing of the files in a join; the driver holds the names of about ``shards_per_round`` shards at a
+    time, however many the messages name. A batch done again under its name replaces what it wrote and counts once.
     """
     spark = warehouse.spark
     parsed = materialize(parse_notifications(messages), "messages", spark)
-    keys = [r.object_key for r in parsed.filter("kind = 'object'").select("object_key").distinct().collect()]
-    there = {key: path for key in keys if (at := warehouse._fs_of(path := f"{root.rstrip('/')}/{key}"))[0].exists(at[1])}
-    if there:
-        lines = spark.read.text(list(there.values())).select("value", decoded_path(F.col("_metadata.file_path")).alias("source_file")).filter(F.col("value").rlike(r"\S"))
-        process_shards(warehouse, spread(lines), model_fn, settings, batch, max_receives)
-    failed = read_quarantine(warehouse).filter(F.col("ingest_batch") == batch).select(F.regexp_extract("source_file", "([^/]+)$", 1).alias("_name")).distinct()
-    known = spark.createDataFrame([(key,) for key in there], "_there string")
+    keys = parsed.filter("kind = 'object'").select("object_key").distinct()
+    there = materialize(keys.join(list_objects(spark, root), "object_key"), "objects", spark)
+    rounds = -(-there.count() // shards_per_round)
+    failed = []
+    for number in range(rounds):
+        own = there.filter(F.pmod(F.xxhash64("object_key"), F.lit(rounds)) == number)
+        if paths := [row.path for row in own.select("path").collect()]:
+            failed.append(process_shards(warehouse, spread(read_shards(spark, paths)), model_fn, settings, f"{batch}-{number}", max_receives))
+    bad = reduce(DataFrame.union, failed) if failed else there.select(F.col("path").alias("source_file")).limit(0)
+    known = there.join(bad.select(F.col("source_file").alias("path"), F.lit(True).alias("_failed")).distinct(), "path", "left")
     received = (
-        parsed.withColumn("_name", F.regexp_extract("object_key", "([^/]+)$", 1))
-        .join(failed.withColumn("_failed", F.lit(True)), "_name", "left")
-        .join(known, F.col("object_key") == F.col("_there"), "left")
-        .select(F.coalesce("object_key", "body").alias("item"), "kind", (F.col("_there").isNotNull() & F.col("_failed").isNull()).alias("ok"), F.lit(batch).alias("ingest_batch"))
+        parsed.select("object_key", "body", "kind")
+        .join(known, "object_key", "left")
+        .select(F.coalesce("object_key", "body").alias("item"), "kind", (F.col("path").isNotNull() & F.col("_failed").isNull()).alias("ok"))
+        .groupBy("item", "kind")
+        .agg(F.max("ok").alias("ok"), F.count(F.lit(1)).alias("n"))
     )
-    fs, folder = warehouse._fs_of(f"{warehouse.path(RECEIVES)}/ingest_batch={batch}")
-    fs.delete(folder, True)
-    received.write.mode("append").partitionBy("ingest_batch").parquet(warehouse.path(RECEIVES))
-    return dead_letters(spark.read.schema("item string, kind string, ok boolean, ingest_batch string").parquet(warehouse.path(RECEIVES)), max_receives)
+    log = warehouse.path(RECEIVES)
+    received.select("item", "kind", F.lit(batch).alias("ingest_batch"), "ok", "n").write.mode("overwrite").parquet(f"{log}/{batch}")
+    dead_letters_stream(spark, log, warehouse.path(DEAD_LETTERS), f"{warehouse.path(DEAD_LETTERS)}-checkpoint", max_receives).awaitTermination()
+    return read_dead_letters(warehouse)
 
 
 def query_id(warehouse: Warehouse, checkpoint: str) -> str:

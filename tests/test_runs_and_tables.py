@@ -1,6 +1,7 @@
 """Resume, statistics, audits, tables, and the batch run."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from callsift.functions.skew import rank_values, salted_join
 from callsift.operators import inference, prepare, runs
 from callsift.plans.pipeline import RunSettings, request_builder, run_extraction
 from callsift.session import materialize, spread, work_dir
+from callsift.sources.commits import RECORDS_PER_CHECKPOINT, CommitLog, Conflict
 from callsift.sources.tables import CALLS, MEASUREMENTS, RUNS, Warehouse, conform, latest_runs
 
 FAST = RunSettings("m", model_options={"backoff_seconds": 0.0})
@@ -149,12 +151,12 @@ def test_run_filter_prunes_partitions_and_columns(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     warehouse.append_extractions(extraction_rows(spark, [("r", "a", "success", 1), ("q", "b", "success", 1)]), "b1")
     for i in range(30):
-        warehouse.append_extractions(extraction_rows(spark, [(f"old-{i}", "a", "success", 1)]), "b0", run_ids=[f"old-{i}"])
+        warehouse.append_extractions(extraction_rows(spark, [(f"old-{i}", "a", "success", 1)]), f"old-{i}")
     # Only the run's own folder is listed, however many others there are.
     rows = warehouse.committed_ids(["r", "absent"])
     assert [r.call_id for r in rows.collect()] == ["a"] and all("run_id=r/" in f for f in warehouse._of_runs(["r"]).inputFiles())
     assert "ReadSchema: struct<call_id:string,extraction_status:string>" in rows._jdf.queryExecution().executedPlan().toString()
-    warehouse.compact(["r", "q"])
+    assert warehouse.compact(run_ids=["r", "q"]) == 0
     assert warehouse.calls().filter("run_id in ('r', 'q')").count() == 2
     assert warehouse.sql("select count(*) n from calls_extractions where run_id = :r", {"r": "q"}).first().n == 1
 
@@ -260,3 +262,102 @@ def test_materialize_and_spread(spark):
     assert df.count() == 10 and work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert spread(spark.range(0, 10, 1, 2), 6).rdd.getNumPartitions() == 6
     assert spread(spark.range(0, 10, 1, 8), 6).rdd.getNumPartitions() == 8
+
+
+def committed(warehouse):
+    return sorted((r.run_id, r.call_id) for r in warehouse.calls().collect())
+
+
+def test_readers_see_old_or_new_rows_and_a_killed_writer_nothing(spark, tmp_path, monkeypatch):
+    warehouse = Warehouse(spark, str(tmp_path))
+    reader = Warehouse(spark, str(tmp_path))
+    warehouse.append_extractions(extraction_rows(spark, [("r", "a", "success", 1), ("q", "b", "success", 1)]), "b1")
+    before = reader.calls()
+    seen = []
+
+    def killed(record, check=None):
+        seen.append(committed(reader))
+        raise KeyboardInterrupt
+
+    newer = extraction_rows(spark, [("r", "c", "success", 1)])
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse.log, "commit", killed)
+        with pytest.raises(KeyboardInterrupt):
+            warehouse.append_extractions(newer, "b1")
+    # The files of the killed writer are there, and nobody reads them.
+    assert seen == [[("q", "b"), ("r", "a")]] and committed(reader) == seen[0] and len(list(tmp_path.glob(f"{CALLS}/run_id=r/*/attempt=*"))) == 2
+    warehouse.append_extractions(newer, "b1")
+    assert committed(reader) == [("r", "c")]
+    # A frame taken before the commit still reads its own snapshot.
+    assert sorted(r.call_id for r in before.collect()) == ["a", "b"]
+    assert warehouse.vacuum(3600) == 0 and warehouse.vacuum(0) == 3 and committed(reader) == [("r", "c")]
+
+
+def test_commits_have_one_order_and_are_summed_up(spark, tmp_path):
+    one, two = CommitLog(spark, str(tmp_path / "log")), CommitLog(spark, str(tmp_path / "log"))
+    assert one.snapshot().version == 0
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(lambda i: (one, two)[i % 2].commit({"set": {"t": {f"b{i}": f"a{i}"}}}), range(24)))
+    assert sorted(numbers) == list(range(1, 25)) and one.snapshot() == two.snapshot()
+    for i in range(24, 130):
+        one.commit({"set": {"t": {f"b{i % 40}": f"a{i}"}}, "unset": {"t": ["b3"]}})
+    fresh = CommitLog(spark, str(tmp_path / "log"))
+    assert fresh.snapshot() == one.snapshot() and fresh.snapshot().version == 130 and "a112" in fresh.snapshot().attempts("t") and "b3" not in fresh.snapshot().live["t"]
+    assert len([p for p in (tmp_path / "log").iterdir() if not p.name.startswith(".")]) <= 2 * (RECORDS_PER_CHECKPOINT + 1) + 1
+    # A reader that has not looked for a while starts from the sum.
+    assert two.snapshot() == one.snapshot()
+
+
+def test_small_files_are_merged_by_their_sizes(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    odd = "a%41+b c:d"
+    for i in range(4):
+        warehouse.append_extractions(extraction_rows(spark, [(odd, f"{i}", "success", 1), ("q", f"{i}", "error", 1)]), f"b {i}")
+    warehouse.append_extractions(extraction_rows(spark, [("lone", "x", "success", 1)]), "lone")
+    want = committed(warehouse)
+    before = warehouse.calls()
+    assert warehouse.compact(small_bytes=10) == 0
+    assert warehouse.compact() == 8 and committed(warehouse) == want and before.count() == len(want)
+    assert len(warehouse._of_runs([odd]).inputFiles()) == 1 and warehouse._of_runs([odd]).count() == 4
+    # A batch that is written again after it was merged: its rows come from the newer try as well.
+    assert warehouse.compact() == 0
+    assert warehouse.vacuum(0) == 8 and committed(warehouse) == want and not warehouse.log.snapshot().merged
+    for i in range(12):
+        warehouse.finish_runs(spark.createDataFrame([(f"r{i % 5}", f"s{i}")], "run_id string, status string"))
+    state = sorted(map(tuple, warehouse.runs().collect()), key=str)
+    assert warehouse.compact(RUNS) == 12 and sorted(map(tuple, warehouse.runs().collect()), key=str) == state
+    assert warehouse.vacuum(0) == 12 and len(list((tmp_path / RUNS).glob("attempt=*"))) == 1 and len(warehouse.log.snapshot().live[RUNS]) == 1
+    assert warehouse.compact(MEASUREMENTS) == 0
+
+
+def test_merging_gives_way_to_a_newer_batch(spark, tmp_path, monkeypatch):
+    warehouse, other = Warehouse(spark, str(tmp_path)), Warehouse(spark, str(tmp_path))
+    for i in range(2):
+        warehouse.append_extractions(extraction_rows(spark, [("r", f"{i}", "error", 1)]), f"b{i}")
+    write = warehouse.write_extractions
+
+    def meanwhile(*args, **options):
+        write(*args, **options)
+        other.append_extractions(extraction_rows(spark, [("r", "1", "success", 2)]), "b1")
+
+    monkeypatch.setattr(warehouse, "write_extractions", meanwhile)
+    with pytest.raises(Conflict):
+        warehouse.compact()
+    assert sorted((r.call_id, r.extraction_status) for r in warehouse.calls().collect()) == [("0", "error"), ("1", "success")]
+
+
+def test_a_batch_written_again_after_merging_replaces_its_rows(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    for i in range(2):
+        warehouse.append_extractions(extraction_rows(spark, [("r", f"{i}", "error", 1)]), f"b{i}")
+    assert warehouse.compact() == 2
+    warehouse.append_extractions(extraction_rows(spark, [("r", "1", "success", 2)]), "b1")
+    assert sorted((r.call_id, r.extraction_status) for r in warehouse.calls().collect()) == [("0", "error"), ("1", "success")]
+
+
+def test_the_row_limit_of_commits_is_handed_on(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    calls = plain_calls(spark, [(f"{i}", "x" * 12) for i in range(25)]).coalesce(1)
+    run_extraction(warehouse, calls, "r", stub_model, RunSettings("m", commit_rows=10, model_options={"backoff_seconds": 0.0}), "b1")
+    files = warehouse.calls().groupBy(F.input_file_name().alias("f")).count().collect()
+    assert sum(r["count"] for r in files) == 25 and max(r["count"] for r in files) <= 10

@@ -15,7 +15,7 @@ from callsift.plans.pipeline import RunSettings
 from callsift.sources import calls as src
 from callsift.sources.notifications import parse_notifications
 from callsift.sources.tables import CALLS, Warehouse
-from callsift.streaming import ingest
+from callsift.streaming import ingest, receives
 from callsift.streaming.metrics import metrics_stream
 
 FAST = RunSettings("m", model_options={"backoff_seconds": 0.0})
@@ -231,3 +231,58 @@ def test_leftover_of_a_dead_write_is_no_corpus(spark, tmp_path):
     (tmp_path / "in").mkdir()
     spark.createDataFrame([("{}",)], "value string").write.mode("overwrite").option("compression", "gzip").text(str(tmp_path / "in"))
     assert src.build_corpus(spark, str(tmp_path / "in"), str(tmp_path / "corpus"), glob="*.gz").count() == 1
+
+
+def test_shards_are_told_apart_by_their_whole_path(spark, tmp_path):
+    """Two folders with shards of one name, one of them with a line that is no call; names with pattern characters."""
+    inbox = tmp_path / "in box"
+    write_shard(inbox / "a" / "s[1]+x.jsonl.gz", [line("good", "x" * 12)])
+    write_shard(inbox / "b" / "s[1]+x.jsonl.gz", [line("fine", "x" * 12), "{broken"])
+    write_shard(inbox / "b" / "s1+x.jsonl.gz", [line("unasked", "x" * 12)])
+    warehouse = Warehouse(spark, str(tmp_path / "tables"))
+    keys = ["a/s[1]+x.jsonl.gz", "b/s[1]+x.jsonl.gz", "a/absent"]
+    bodies = [json.dumps(record(urllib.parse.quote_plus(k))) for k in keys] + ["what"]
+    messages = spark.createDataFrame([(b,) for b in bodies], "body string")
+    letters = []
+    for receive in (1, 1, 2, 3):
+        dead = ingest.ingest_notifications(warehouse, messages, str(inbox), stub_model, FAST, f"m-{receive}", shards_per_round=1)
+        letters.append(sorted(map(tuple, dead.collect())))
+    after = [("a/absent", "object", 2), ("b/s[1]+x.jsonl.gz", "object", 2), ("what", "unknown", 2)]
+    assert letters == [[], [], after, after]
+    assert sorted(r.call_id for r in warehouse.calls().collect()) == ["fine", "good"]
+
+
+def test_receives_are_counted_in_state(spark, tmp_path):
+    def follow(batch, rows):
+        df = spark.createDataFrame([(item, kind, batch, ok, n) for item, kind, ok, n in rows], receives.RECEIVES_SCHEMA)
+        df.repartition(3).write.mode("overwrite").parquet(str(tmp_path / "log" / batch))
+        receives.dead_letters_stream(spark, str(tmp_path / "log"), str(tmp_path / "dead"), str(tmp_path / "cp"), max_receives=3).awaitTermination()
+        return sorted(((r.item, r.receives) for r in spark.read.schema(receives.DEAD_SCHEMA).parquet(str(tmp_path / "dead")).collect()), key=str)
+
+    one = [("hot", "object", False, 1)] * 200 + [("late", "object", False, 2), ("good", "object", True, 1), ("ping", "test", False, 9), ("odd", "unknown", True, None), (None, "unknown", None, 1)]
+    assert follow("b1", one) == [("hot", 200)]
+    assert follow("b1", one) == [("hot", 200)]
+    assert follow("b2", [("late", "object", True, 1), ("good", "object", False, 5), ("odd", "unknown", True, 1)]) == [("hot", 200)]
+    assert follow("b3", [("late", "object", False, 9), ("hot", "object", False, 9), ("odd", "unknown", True, 1), (None, "unknown", False, 2)]) == [("hot", 200), ("odd", 3), (None, 3)]
+    assert follow("b4", [("odd", "unknown", False, 1)]) == [("hot", 200), ("odd", 3), (None, 3)]
+
+
+def test_a_micro_batch_becomes_visible_at_once(spark, tmp_path, monkeypatch):
+    """A batch that dies before its commit has changed nothing; done again, all of its passes and its quarantine are there."""
+    warehouse, reader = Warehouse(spark, str(tmp_path / "tables")), Warehouse(spark, str(tmp_path / "tables"))
+    lines = spark.createDataFrame([(line("a", "x" * 12), "in/s.jsonl.gz"), (line("b", "x" * 15), "in/s.jsonl.gz")], "value string, source_file string")
+    commit = warehouse.log.commit
+
+    def killed(rec, check=None):
+        if CALLS in rec.get("set", {}):
+            raise KeyboardInterrupt
+        return commit(rec, check)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse.log, "commit", killed)
+        with pytest.raises(KeyboardInterrupt):
+            ingest.process_shards(warehouse, lines, stub_model, FAST, "inbox-1")
+    assert reader.calls().count() == 0 and ingest.read_quarantine(reader).count() == 0
+    failed = ingest.process_shards(warehouse, lines, stub_model, FAST, "inbox-1")
+    assert [r.source_file for r in failed.collect()] == ["in/s.jsonl.gz"]
+    assert reader.calls().count() == 3 and ingest.read_quarantine(reader).count() == 1
