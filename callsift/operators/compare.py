@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callsift.functions.json_strict import parse_json_strict
+from callsift.functions.order import packed, whole_hash, wide_hash
 from callsift.functions.skew import rank_values, salted_join
 from callsift.functions.stages import settle
 
@@ -63,12 +62,18 @@ def ab_latency(requests: DataFrame, arm: str = "arm") -> DataFrame:
     )
 
 
+def _best(values: list[Column]) -> Column:
+    """The larger, the better a row: success, then time, then a hash of the values."""
+    return packed(F.col("extraction_status") == "success", F.col("extracted_at"), whole_hash(*values))
+
+
 def _one_row_per_call(rows: DataFrame, runs: list[str], values: list[Column]) -> DataFrame:
-    """call_id and one struct per run, ``run_0`` ...: that run's best row, success first, then newest.
+    """call_id and one struct per run, ``run_0`` ...: that run's best row, success first, then newest; of rows of one time the
+    values decide by their hash, so the order of rows never does.
 
-    One partial aggregation brings all runs side by side, instead of one self-join per pair.
+    One partial aggregation brings the runs side by side, instead of a self-join.
     """
-    order = F.struct((F.col("extraction_status") == "success"), F.col("extracted_at"))
+    order = _best(values)
     picked = [
         F.max_by(F.struct(F.lit(True).alias("present"), *values), F.when(F.col("run_id") == run, order)).alias(
             f"run_{i}"
@@ -90,30 +95,40 @@ def field_disagreement(rows: DataFrame, run_a: str, run_b: str, field: str) -> D
     ).select("call_id", a.alias("run_a_value"), b.alias("run_b_value"))
 
 
-def disagreement_matrix(rows: DataFrame, runs: list[str], fields: list[str]) -> DataFrame:
-    """Every pair of runs and every field: calls compared, calls that differ, rate."""
-    named = [F.col(field).alias(f"field_{i}") for i, field in enumerate(fields)]
-    sides = _one_row_per_call(rows, runs, named)
-    counts, cells = [], []
-    for a, b in combinations(range(len(runs)), 2):
-        both = F.col(f"run_{a}.present") & F.col(f"run_{b}.present")
-        counts.append(F.count_if(both).alias(f"both_{a}_{b}"))
-        for i, field in enumerate(fields):
-            differs = both & ~F.col(f"run_{a}.field_{i}").eqNullSafe(F.col(f"run_{b}.field_{i}"))
-            counts.append(F.count_if(differs).alias(f"differ_{a}_{b}_{i}"))
-            cells.append(
-                F.struct(
-                    F.lit(runs[a]).alias("run_a"),
-                    F.lit(runs[b]).alias("run_b"),
-                    F.lit(field).alias("field"),
-                    F.col(f"both_{a}_{b}").alias("compared"),
-                    F.col(f"differ_{a}_{b}_{i}").alias("differing"),
-                )
-            )
-    rate = F.when(F.col("compared") > 0, F.col("differing") / F.col("compared")).otherwise(0.0)
-    return (
-        sides.agg(*counts).select(F.inline(F.array(*cells))).withColumn("disagreement_rate", rate)
+def disagreement_matrix(rows: DataFrame, runs: list[str], fields: list[str], against_first: bool = False) -> DataFrame:
+    """Every pair of runs and every field: calls compared, calls that differ, rate. With ``against_first`` only the pairs
+    of the first run with each other one.
+
+    A run's best row of a call counts, as in ``field_disagreement``. Values travel as hashes of fixed width (119 bits of
+    their JSON text), so a maximum per run and call picks them in a hash aggregation. A call's runs then form one
+    pattern per field: which runs hold it, and which of them agree. Calls with the same pattern are counted together and only the
+    distinct patterns are unfolded into pairs of runs. The plan does not grow with the number of runs.
+    """
+    names, paths = F.array(*map(F.lit, runs)), F.array(*map(F.lit, fields))
+    values = [F.col(field) for field in fields]
+    hashes = [wide_hash(value).alias(f"field_{i}") for i, value in enumerate(values)]
+    known = rows.filter(F.col("run_id").isin(runs)).select("call_id", (F.array_position(names, F.col("run_id")) - 1).cast("int").alias("place"), _best(values).alias("best"), *hashes)
+    sides = known.groupBy("call_id", "place").agg(*[F.max_by(f"field_{i}", "best").alias(f"field_{i}") for i in range(len(fields))])
+    held = sides.groupBy("call_id").agg(F.sort_array(F.collect_list(F.struct("place", F.array(*[f"field_{i}" for i in range(len(fields))]).alias("v")))).alias("held"))
+    held = held.filter(F.size("held") > 1).select(F.col("held.place").alias("places"), "held", F.explode(F.sequence(F.lit(0), F.lit(len(fields) - 1))).alias("field_no"))
+    own = held.select("field_no", "places", F.transform("held", lambda x: F.get(x["v"], F.col("field_no"))).alias("v")).withColumn("kinds", F.array_distinct("v"))
+    patterns = own.select("field_no", "places", F.transform("v", lambda x: F.array_position("kinds", x)).alias("kinds")).groupBy("field_no", "places", "kinds").agg(F.count(F.lit(1)).alias("n"))
+    ends = F.when(F.lit(against_first), F.when(F.get("places", F.lit(0)) == 0, F.array(F.lit(0)))).otherwise(F.sequence(F.lit(0), F.size("places") - 2))
+    pairs = patterns.withColumn("i", F.explode(ends)).withColumn("j", F.explode(F.sequence(F.col("i") + 1, F.size("places") - 1)))
+    differs = F.get("kinds", F.col("i")) != F.get("kinds", F.col("j"))
+    counted = pairs.groupBy("field_no", F.get("places", F.col("i")).alias("a"), F.get("places", F.col("j")).alias("b")).agg(
+        F.sum("n").alias("compared"), F.sum(F.when(differs, F.col("n")).otherwise(0)).alias("differing")
     )
+    # Pairs without a common call are told too.
+    firsts = F.sequence(F.lit(0), F.lit(0 if against_first else len(runs) - 2))
+    every = rows.sparkSession.range(1 if len(runs) > 1 else 0).select(F.explode(firsts).alias("a"))
+    every = every.withColumn("b", F.explode(F.sequence(F.col("a") + 1, F.lit(len(runs) - 1)))).withColumn("field_no", F.explode(F.sequence(F.lit(0), F.lit(len(fields) - 1))))
+    compared, differing = (F.coalesce(name, F.lit(0).cast("bigint")).alias(name) for name in ("compared", "differing"))
+    cells = every.join(counted, ["a", "b", "field_no"], "left").select(
+        F.get(names, F.col("a")).alias("run_a"), F.get(names, F.col("b")).alias("run_b"), F.get(paths, F.col("field_no")).alias("field"), compared, differing
+    )
+    rate = F.when(F.col("compared") > 0, F.col("differing") / F.col("compared")).otherwise(0.0)
+    return cells.withColumn("disagreement_rate", rate)
 
 
 def schema_validity(rows: DataFrame) -> DataFrame:
@@ -131,8 +146,7 @@ def schema_validity(rows: DataFrame) -> DataFrame:
 
 def reference_agreement(rows: DataFrame, reference_run: str, runs: list[str], fields: list[str]) -> DataFrame:
     """Share of compared calls on which each run agrees with the reference run, per field."""
-    matrix = disagreement_matrix(rows, [reference_run, *runs], fields)
-    return matrix.filter(F.col("run_a") == reference_run).select(
+    return disagreement_matrix(rows, [reference_run, *runs], fields, against_first=True).select(
         F.col("run_b").alias("run_id"),
         "field",
         "compared",

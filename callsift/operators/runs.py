@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callsift import schemas
+from callsift.functions.order import packed, whole_hash
 from callsift.functions.skew import null_safe_match, salted_join
 
 
@@ -82,10 +83,10 @@ def latest_runs(updates: DataFrame) -> DataFrame:
     """Current state per run from its log of updates.
 
     Status and end come from the newest update, the description from the newest start, so finishing
-    a run needs only its id.
+    a run needs only its id. Of updates of one time an end comes after a start, then a hash of the update decides.
     """
-    order = F.struct(F.col("updated_at"), F.col("status") != "running")
     state = ["ended_at", "status"]
+    order = packed(F.lit(False), F.col("updated_at"), whole_hash(*[F.col(c) for c in updates.columns]), F.col("status") != "running")
     described = [f.name for f in schemas.EXPERIMENT_RUNS.fields if f.name not in ("run_id", *state)]
     newest = updates.groupBy("run_id").agg(
         F.max_by(F.struct(*state), order).alias("state"),

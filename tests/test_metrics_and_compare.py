@@ -5,8 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from callsift import schemas
 from callsift.functions import scrape as sc
 from callsift.operators import compare, metrics
+from callsift.operators.runs import latest_runs
 from callsift.plans import queries as api
 
 SCRAPES = {
@@ -106,9 +108,52 @@ def test_disagreement(rows):
     assert agreement == {"b": pytest.approx(2 / 3), "c": 0.0}
 
 
-def test_disagreement_reads_the_table_once(rows):
-    plan = compare.disagreement_matrix(rows, ["a", "b", "c"], ["extraction.score"])._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and plan.count("hashpartitioning") == 1
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_disagreement_reads_the_table_once_and_does_not_grow_with_the_runs(spark, rows, tmp_path):
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    few, many = (plan_of(compare.disagreement_matrix(stored, runs, ["extraction.score"])) for runs in (["a", "b", "c"], [f"run-{i}" for i in range(100)]))
+    assert few.count("FileScan") == many.count("FileScan") == 1 and "SortAggregate" not in few
+    assert many.count("\n") == few.count("\n") and len(many) < len(few) + 100 * 60
+
+
+def test_disagreement_of_many_runs_and_fields(spark):
+    runs, fields = [f"r{i}" for i in range(50)], [f"doc.f{j}" for j in range(37)]
+    data = []
+    for r in range(50):
+        for call in range(12):
+            if (r + call) % 5:
+                values = tuple(None if (call + j) % 7 == 0 and r % 2 else (call * j + r // 10) % 3 for j in range(37))
+                data.append((f"r{r}", f"{call}", "success", at(0), values))
+    schema = f"run_id string, call_id string, extraction_status string, extracted_at timestamp, doc struct<{', '.join(f'f{j}: int' for j in range(37))}>"
+    got = {(r.run_a, r.run_b, r.field): (r.compared, r.differing) for r in compare.disagreement_matrix(spark.createDataFrame(data, schema), runs, fields).collect()}
+    held = {(r, c): v for r, c, _, _, v in data}
+    want = {}
+    for a in range(50):
+        for b in range(a + 1, 50):
+            both = [(held[f"r{a}", f"{c}"], held[f"r{b}", f"{c}"]) for c in range(12) if (f"r{a}", f"{c}") in held and (f"r{b}", f"{c}") in held]
+            for j in range(37):
+                want[f"r{a}", f"r{b}", fields[j]] = (len(both), sum(x[j] != y[j] for x, y in both))
+    assert got == want
+
+
+def test_ties_do_not_fall_to_chance(spark):
+    data = [("a", "1", "success", None, (n,), at(0)) for n in range(20)] + [("b", "1", "success", None, (n,), at(0)) for n in range(5, 15)]
+    schema = "run_id string, call_id string, extraction_status string, error_message string, extraction struct<score: int>, extracted_at timestamp"
+    seen = set()
+    for order in ("n", "-n", "n % 7"):
+        df = spark.createDataFrame(data, schema).selectExpr("*", f"{order.replace('n', 'extraction.score')} k").repartition(3).sortWithinPartitions("k")
+        seen.add(tuple(map(tuple, compare.field_disagreement(df, "a", "b", "extraction.score").collect())) + tuple(map(tuple, compare.disagreement_matrix(df, ["a", "b"], ["extraction.score"]).collect())))
+    assert len(seen) == 1
+    starts = [("r", f"test {n}", at(1), None, "running", at(1)) for n in range(9)] + [("r", None, None, at(1), "failed", at(1)), ("r", None, None, at(1), "partial", at(1))]
+    log = spark.createDataFrame(starts, "run_id string, test_name string, started_at timestamp, ended_at timestamp, status string, updated_at timestamp")
+    absent = [f.name for f in schemas.EXPERIMENT_RUNS.fields if f.name not in log.columns]
+    log = log.withColumns({name: F.lit(None).cast("string") for name in absent})
+    found = {(r.test_name, r.status) for order in (F.asc("test_name"), F.desc("test_name"), F.desc("status")) for r in latest_runs(log.orderBy(order)).collect()}
+    assert len(found) == 1 and found.pop()[1] in ("failed", "partial")
 
 
 def test_validity(rows):
