@@ -9,7 +9,8 @@ from callsift.checks.extract_checks import LATEST
 from callsift.checks.registry import check
 from callsift.operators import compare, metrics, runs
 from callsift.plans import queries as api
-from callsift.sources.tables import latest_runs
+from callsift.session import work_dir
+from callsift.sources.tables import MEASUREMENTS, Warehouse, latest_runs
 
 LATEST_RUNS = """
 select run_id, max(test_name) test_name, arg_max(status, updated_at) status, max(started_at) started_at,
@@ -181,6 +182,30 @@ def bench_sweep(spark, sf_dir):
     return metrics.bench_sweep(fx.requests(spark, sf_dir))
 
 
+@check(
+    fx.with_views(
+        """select run_id, concurrency, total_calls, round(ok_calls / s, 9) req_per_sec, (total_calls - ok_calls) / total_calls error_rate, round(s, 6) duration_seconds,
+        round(ratio, 9) prefix_cache_hit_ratio, round(gpu, 9) gpu_util_mean, true measured
+        from (select run_id, concurrency, count(*) filter (ok) ok_calls, count(*) total_calls, (max(us + latency_s * 1000000) - min(us)) / 1000000.0::double s from requests group by all)
+        join (select run_id, event_id % 5 * 8 + 16 concurrency, avg(ratio) ratio, avg(gpu_util) gpu from v group by all) using (run_id, concurrency)""",
+        requests=fx.REQUESTS,
+        scrapes=fx.SCRAPES,
+        v=fx.SCRAPE_VALUES,
+    )
+)
+def sweep_measurements(spark, sf_dir):
+    """A sweep with its scrapes, recorded as measurements and read back."""
+    scrapes = fx.shared(spark, sf_dir, fx.SCRAPES, busy=("events",)).withColumn("concurrency", F.col("event_id") % 5 * 8 + 16)
+    warehouse = Warehouse(spark, work_dir(spark, "tables"))
+    warehouse.record_measurements(metrics.sweep_measurements(fx.requests(spark, sf_dir), scrapes))
+    stored = warehouse.read(MEASUREMENTS)
+    rounded = {"req_per_sec": 9, "duration_seconds": 6, "prefix_cache_hit_ratio": 9, "gpu_util_mean": 9}
+    return stored.select(
+        "run_id", "concurrency", "total_calls", "error_rate", *[F.round(name, digits).alias(name) for name, digits in rounded.items()],
+        F.col("measured_at").isNotNull().alias("measured"),
+    )
+
+
 ALARM = """
 with peaks as (select event_type series, time_bucket(interval '1 hour', ts) period_start, max(value) peak from events group by all),
 breaches as (select *, epoch(period_start) // 3600 - row_number() over (partition by series order by period_start) stretch from peaks where peak >= 60)

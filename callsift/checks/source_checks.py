@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from callsift.sources import calls as src
 from callsift.sources import notifications
 from callsift.sources.tables import CALLS, MEASUREMENTS, Warehouse
 from callsift.streaming import ingest, receives
-from callsift.streaming.metrics import close_windows, metrics_stream
+from callsift.streaming.metrics import close_windows, four_metrics_stream, heartbeat, metrics_stream, read_windows
 
 GZ = "*.gz"
 
@@ -365,6 +366,43 @@ def metrics_stream_60s(spark, sf_dir):
     return out.select("run_id", "period_start", "requests", "req_per_sec", "late_requests")
 
 
+_HALF = "(select min(ts) + (max(ts) - min(ts)) / 2 from events)"
+FOUR_METRICS = f"""
+with scrapes as ({fx.SCRAPES}), v as ({fx.SCRAPE_VALUES}),
+told as (select v.run_id, time_bucket(interval '60 seconds', e.ts) period_start, e.event_type <> 'error' ok, v.ratio, v.gpu_util, e.event_id % 97 = 0 and e.ts < {_HALF} late
+  from events e join v using (event_id)),
+closed as (select run_id, period_start, count(*) requests, count(*) filter (ok) / 60.0::double req_per_sec, count(*) filter (not ok) / count(*) error_rate,
+  round(avg(ratio), 10) prefix_cache_hit_ratio, round(avg(gpu_util), 10) gpu_util from told where not late group by all),
+late as (select run_id, period_start, count(*) late_requests from told where late group by all)
+select * replace (coalesce(late_requests, 0) as late_requests) from closed full outer join late using (run_id, period_start)
+"""
+
+
+@check(FOUR_METRICS)
+def metrics_stream_four(spark, sf_dir):
+    """Requests and scrapes in three steps: the first half, the second, and what of the first half comes late, with a heartbeat."""
+    root = work_dir(spark, "stream")
+    requests = fx.table(spark, sf_dir, "events").select(
+        "event_id", F.concat(F.lit("run_"), (F.col("user_id") % 25).cast("string")).alias("run_id"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") != "error").alias("ok")
+    )
+    scrapes = fx.shared(spark, sf_dir, fx.SCRAPES, busy=("events",)).withColumn("ts", F.col("ts").cast("timestamp"))
+    times = requests.agg(F.min(F.unix_micros("ts")).alias("first"), F.max(F.unix_micros("ts")).alias("last"), F.max("ts").alias("end")).first()
+    early = F.unix_micros("ts") * 2 < F.lit(times.first + times.last)
+    late = early & (F.col("event_id") % 97 == 0)
+    for step, own in enumerate((early & ~late, ~early, late)):
+        requests.filter(own).select("run_id", "ts", "ok").write.mode("append").parquet(f"{root}/requests")
+        scrapes.filter(own).select("run_id", "ts", "scrape").write.mode("append").parquet(f"{root}/scrapes")
+        if step == 2:
+            heartbeat(spark, times.end + timedelta(days=1)).write.mode("append").parquet(f"{root}/requests")
+        sources = [
+            spark.readStream.schema(schema).parquet(f"{root}/{name}")
+            for name, schema in (("requests", "run_id string, ts timestamp, ok boolean"), ("scrapes", "run_id string, ts timestamp, scrape string"))
+        ]
+        four_metrics_stream(*sources, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    out = read_windows(spark, f"{root}/out")
+    return out.withColumns({name: F.round(name, 10) for name in ("prefix_cache_hit_ratio", "gpu_util")})
+
+
 def _turn_lines(spark, sf_dir):
     return fx.shared(spark, sf_dir, fx.TURNS).select("conv_id", "turn", F.to_json(F.struct("call_id", F.col("text").alias("transcript"))).alias("value"))
 

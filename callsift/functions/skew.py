@@ -82,6 +82,22 @@ def rank_values(
     return found.groupBy(*keys).agg(F.max("group_rows").alias("group_rows"), *picks)
 
 
+def binary_levels(df: DataFrame, value: str) -> list[Column]:
+    """Buckets for ``rank_values`` over a numeric column of any range, by the leading bits of its whole part.
+
+    Whatever the values are, a group has at most 2^24 buckets on the first level, 2^20 in one of them on the second, and 2^20
+    distinct whole numbers in one of those, so no task ever orders more rows of a group. Fractions get a level more.
+    """
+    kind = df.schema[value].dataType.simpleString()
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        whole, more = F.col(value).cast("bigint"), []
+    else:
+        limit = F.lit(float(1 << 62))
+        whole = F.floor(F.greatest(-limit, F.least(limit, F.col(value).cast("double")))).cast("bigint")
+        more = [whole]
+    return [F.shiftright(whole, 40), F.shiftright(whole, 20), *more]
+
+
 def _holding_a_rank(
     df: DataFrame, inside: list[str], order: str, count: str, ranks: dict[str, Column], first: bool
 ) -> DataFrame:

@@ -7,23 +7,22 @@ from pyspark.sql import functions as F
 
 from callsift.functions.json_strict import parse_json_strict
 from callsift.functions.order import packed, whole_hash, wide_hash
-from callsift.functions.skew import rank_values, salted_join
+from callsift.functions.skew import binary_levels, rank_values, salted_join
 from callsift.functions.stages import settle
 
 # Fixed value: an output longer than this many medians is a runaway.
 RUNAWAY_FACTOR = 10
-BUCKET_SIZE = 1024
 
 
-def _length_ranks(df: DataFrame, keys: list[str], value: str, bucket_size: float) -> DataFrame:
+def _length_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     n = F.col("group_rows")
     ranks = {"upper_median": F.floor(n / 2), "longest": n - 1}
-    return rank_values(df, keys, value, ranks, buckets=[F.floor(F.col(value) / (bucket_size * bucket_size)), F.floor(F.col(value) / bucket_size)])
+    return rank_values(df, keys, value, ranks, buckets=binary_levels(df, value))
 
 
-def upper_median(df: DataFrame, keys: list[str], value: str, bucket_size: float = BUCKET_SIZE) -> DataFrame:
-    """The middle value of each sorted group, the upper one for even sizes; nulls do not count."""
-    return _length_ranks(df, keys, value, bucket_size).drop("longest")
+def upper_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The middle value of each sorted group, the upper one for even sizes; nulls do not count. Exact for values of any range."""
+    return _length_ranks(df, keys, value).drop("longest")
 
 
 def response_lengths(df: DataFrame, raw: str = "raw", length: str = "length") -> DataFrame:
@@ -51,7 +50,7 @@ def runaway_outputs(df: DataFrame, keys: list[str], id_column: str, factor: int
 def runaway_verdict(df: DataFrame, keys: list[str], factor: int = RUNAWAY_FACTOR) -> DataFrame:
     """Per group: median, longest output, and whether any output ran away."""
     over = (F.col("upper_median") > 0) & (F.col("longest") > F.col("upper_median") * factor)
-    return _length_ranks(df, keys, "length", BUCKET_SIZE).withColumn("runaway", over)
+    return _length_ranks(df, keys, "length").withColumn("runaway", over)
 
 
 def ab_latency(requests: DataFrame, arm: str = "arm") -> DataFrame:

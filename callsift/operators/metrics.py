@@ -55,29 +55,6 @@ def metrics_60s(requests: DataFrame, scrapes: DataFrame, period_seconds: int = P
     return request_windows(requests, period_seconds).join(scraped, ["run_id", "period_start"], "full_outer")
 
 
-def metric_windows(requests: DataFrame, scrapes: DataFrame, period_seconds: int = PERIOD_SECONDS, watermark: str | None = None) -> DataFrame:
-    """The four published metrics per run and period, both logs in one aggregation, so that it also runs as a stream.
-
-    A period without requests has null rates, one without scrapes null gauges.
-    """
-    asked = requests.select("run_id", "ts", "ok")
-    seen = scrape_metrics(scrapes).select("run_id", "ts", "prefix_cache_hit_ratio", "gpu_util")
-    rows = asked.unionByName(seen, allowMissingColumns=True)
-    rows = rows.withWatermark("ts", watermark) if watermark else rows
-    count = F.count("ok")
-    return (
-        rows.groupBy("run_id", F.window("ts", f"{period_seconds} seconds").alias("period"))
-        .agg(
-            F.when(count > 0, F.count_if("ok") / float(period_seconds)).alias("req_per_sec"),
-            F.when(count > 0, F.count_if(~F.col("ok")) / count).alias("error_rate"),
-            count.alias("requests"),
-            F.avg("prefix_cache_hit_ratio").alias("prefix_cache_hit_ratio"),
-            F.avg("gpu_util").alias("gpu_util"),
-        )
-        .select("run_id", F.col("period.start").alias("period_start"), "req_per_sec", "error_rate", "requests", "prefix_cache_hit_ratio", "gpu_util")
-    )
-
-
 def sweep_measurements(requests: DataFrame, scrapes: DataFrame) -> DataFrame:
     """Rows for the measurement table: the sweep with the mean hit ratio and gpu use of the scrapes of each run and level.
 

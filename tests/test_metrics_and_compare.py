@@ -1,6 +1,7 @@
 """Scrapes, alarms, medians, disagreement, and the query API."""
 
 import datetime as dt
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +79,19 @@ def test_runaway(spark):
     assert {r.arm: r.runaway for r in compare.runaway_verdict(df, ["arm"]).collect()} == {"a": True, "b": False, "c": False}
 
 
+def test_medians_over_any_range(spark):
+    random = Random(4)
+    wide = [int(10 ** random.uniform(0, 18)) * random.choice([1, 1, 1, -1]) for _ in range(3001)]
+    crowded = [5_000_000_000 + random.randrange(3000) for _ in range(2000)] + [7] * 1001
+    parts = [random.choice([1e-9, 0.25, 3.5, 1e15]) * random.random() for _ in range(2000)]
+    ends = [-(2**63), 2**63 - 1, 0, 1]
+    whole = spark.createDataFrame([(k, v) for k, own in (("wide", wide), ("crowded", crowded), ("ends", ends)) for v in own], "k string, v long")
+    got = {r.k: r.upper_median for r in compare.upper_median(whole, ["k"], "v").collect()}
+    assert got == {k: sorted(own)[len(own) // 2] for k, own in (("wide", wide), ("crowded", crowded), ("ends", ends))}
+    fractions = spark.createDataFrame([("p", v) for v in parts], "k string, v double")
+    assert compare.upper_median(fractions, ["k"], "v").first().upper_median == sorted(parts)[1000]
+
+
 def test_response_length_is_in_bytes(spark):
     replies = {'{"choices":[{"message":{"content":"éé"}}]}': 4, '{"choices":[{"message":{"content":null}}]}': 0, '{"choices":[{"message":{}}]}': 0, '{"choices":[]}': 14, "é": 2, "": 0}
     good = '{"choices":[{"message":{"content":"abc"}}]}'

@@ -3,6 +3,7 @@
 import gzip
 import json
 import urllib.parse
+from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
@@ -16,7 +17,7 @@ from callsift.sources import calls as src
 from callsift.sources.notifications import parse_notifications
 from callsift.sources.tables import CALLS, Warehouse
 from callsift.streaming import ingest, receives
-from callsift.streaming.metrics import metrics_stream
+from callsift.streaming.metrics import four_metrics_stream, heartbeat, metrics_stream, read_windows
 
 FAST = RunSettings("m", model_options={"backoff_seconds": 0.0})
 
@@ -286,3 +287,30 @@ def test_a_micro_batch_becomes_visible_at_once(spark, tmp_path, monkeypatch):
     failed = ingest.process_shards(warehouse, lines, stub_model, FAST, "inbox-1")
     assert [r.source_file for r in failed.collect()] == ["in/s.jsonl.gz"]
     assert reader.calls().count() == 3 and ingest.read_quarantine(reader).count() == 1
+
+
+def test_four_metrics_with_late_rows_and_a_quiet_end(spark, tmp_path):
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+    def at(minute, second=0):
+        return start + timedelta(minutes=minute, seconds=second)
+
+    def follow(requests, scrapes=()):
+        spark.createDataFrame(requests, "run_id string, ts timestamp, ok boolean").write.mode("append").parquet(str(tmp_path / "requests"))
+        spark.createDataFrame(list(scrapes), "run_id string, ts timestamp, scrape string").write.mode("append").parquet(str(tmp_path / "scrapes"))
+        sources = [spark.readStream.schema(spark.read.parquet(str(tmp_path / n)).schema).parquet(str(tmp_path / n)) for n in ("requests", "scrapes")]
+        four_metrics_stream(*sources, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+        rows = read_windows(spark, str(tmp_path / "out")).collect()
+        return {(r.run_id, (r.period_start.replace(tzinfo=None) - datetime(2024, 1, 1)) // timedelta(minutes=1)): (r.requests, r.req_per_sec, r.error_rate, r.prefix_cache_hit_ratio, r.gpu_util, r.late_requests) for r in rows}
+
+    gauges = "vllm:gpu_cache_usage 0.5\nvllm:prefix_cache_hit_rate 0.25"
+    first = follow([("r", at(0, 1), True), ("r", at(0, 59), False), ("q", at(4), True)], [("r", at(0, 30), gauges), ("s", at(1), gauges)])
+    closed = {("r", 0): (2, 1 / 60, 0.5, 0.25, 0.5, 0), ("s", 1): (0, None, None, 0.25, 0.5, 0)}
+    assert first == closed
+    # Minute 0 is closed: late. Minute 3 is not.
+    second = follow([("r", at(0, 20), True), ("late only", at(1), True), ("r", at(3, 1), True), ("r", at(5), True)])
+    late = {("r", 0): (2, 1 / 60, 0.5, 0.25, 0.5, 1), ("late only", 1): (None, None, None, None, None, 1)}
+    assert second == closed | late | {("r", 3): (1, 1 / 60, 0.0, None, None, 0)}
+    beat = heartbeat(spark, at(60)).collect()
+    third = follow([tuple(r) for r in beat])
+    assert third == second | {("q", 4): (1, 1 / 60, 0.0, None, None, 0), ("r", 5): (1, 1 / 60, 0.0, None, None, 0)}
