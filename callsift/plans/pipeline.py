@@ -12,7 +12,7 @@ from callsift.operators import prepare
 from callsift.operators.inference import BuildRequests, ModelFn, extract_batch
 from callsift.operators.runs import final_status, resume
 from callsift.sources.tables import Warehouse
-from callsift.session import materialize
+from callsift.session import materialize, scratch
 
 
 @dataclass
@@ -74,15 +74,15 @@ def run_extraction(
         warehouse.finish_runs(spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit(status).alias("status")))
 
     try:
-        tagged = calls.withColumn("run_id", F.lit(run_id))
-        pending = tagged
-        if skip_committed:
-            done = materialize(warehouse.committed_ids([run_id], but_not=[ingest_batch]), "committed")
-            pending = tagged if done.isEmpty() else resume(tagged, done)
-        rows = extract_rows(pending, model_fn, settings)
-        warehouse.append_extractions(rows, ingest_batch, max_records_per_file=settings.commit_rows)
-        stats = final_status(_batch_stats(tagged, rows, run_id))
-        totals = materialize(stats, "stats")
+        with scratch(spark) as keep:
+            tagged = calls.withColumn("run_id", F.lit(run_id))
+            pending = tagged
+            if skip_committed:
+                done = materialize(warehouse.committed_ids([run_id], but_not=[ingest_batch]), "committed")
+                pending = tagged if done.isEmpty() else resume(tagged, done)
+            rows = extract_rows(pending, model_fn, settings)
+            warehouse.append_extractions(rows, ingest_batch, max_records_per_file=settings.commit_rows)
+            totals = keep(final_status(_batch_stats(tagged, rows, run_id)), "stats")
         warehouse.finish_runs(totals)
         return totals
     except KeyboardInterrupt:

@@ -15,7 +15,7 @@ from callsift.functions.paths import derive_run_id
 from callsift.operators.inference import ModelFn
 from callsift.operators.runs import final_status, resume
 from callsift.plans.pipeline import RunSettings, extract_rows
-from callsift.session import materialize, spread
+from callsift.session import materialize, scratch, spread
 from callsift.sources.calls import SHARD_SUFFIX, decoded_path, parse_lines, usable_calls
 from callsift.sources.notifications import parse_notifications
 from callsift.sources.tables import CALLS, COMMIT_ROWS, COMMIT_SECONDS, QUARANTINE, Warehouse
@@ -74,6 +74,11 @@ def process_shards(
     all batches of the warehouse. Only the folders of the batch's own runs are listed, and its outcome is taken from the
     rows it has just made, so the cost does not depend on the size of the table.
     """
+    with scratch(warehouse.spark) as keep:
+        return keep(_process(warehouse, lines, model_fn, settings, batch, max_receives), "failed")
+
+
+def _process(warehouse: Warehouse, lines: DataFrame, model_fn: ModelFn, settings: RunSettings, batch: str, max_receives: int) -> DataFrame:
     spark = warehouse.spark
     tagged = parse_lines(lines).withColumn("run_id", derive_run_id(F.col("source_file")))
     parsed = materialize(tagged, "lines", spark)
@@ -174,26 +179,27 @@ def ingest_notifications(
     time, however many the messages name. A batch done again under its name replaces what it wrote and counts once.
     """
     spark = warehouse.spark
-    parsed = materialize(parse_notifications(messages), "messages", spark)
-    keys = parsed.filter("kind = 'object'").select("object_key").distinct()
-    there = materialize(keys.join(list_objects(spark, root), "object_key"), "objects", spark)
-    rounds = -(-there.count() // shards_per_round)
-    failed = []
-    for number in range(rounds):
-        own = there.filter(F.pmod(F.xxhash64("object_key"), F.lit(rounds)) == number)
-        if paths := [row.path for row in own.select("path").collect()]:
-            failed.append(process_shards(warehouse, spread(read_shards(spark, paths)), model_fn, settings, f"{batch}-{number}", max_receives))
-    bad = reduce(DataFrame.union, failed) if failed else there.select(F.col("path").alias("source_file")).limit(0)
-    known = there.join(bad.select(F.col("source_file").alias("path"), F.lit(True).alias("_failed")).distinct(), "path", "left")
-    received = (
-        parsed.select("object_key", "body", "kind")
-        .join(known, "object_key", "left")
-        .select(F.coalesce("object_key", "body").alias("item"), "kind", (F.col("path").isNotNull() & F.col("_failed").isNull()).alias("ok"))
-        .groupBy("item", "kind")
-        .agg(F.max("ok").alias("ok"), F.count(F.lit(1)).alias("n"))
-    )
-    log = warehouse.path(RECEIVES)
-    received.select("item", "kind", F.lit(batch).alias("ingest_batch"), "ok", "n").write.mode("overwrite").parquet(f"{log}/{batch}")
+    with scratch(spark):
+        parsed = materialize(parse_notifications(messages), "messages", spark)
+        keys = parsed.filter("kind = 'object'").select("object_key").distinct()
+        there = materialize(keys.join(list_objects(spark, root), "object_key"), "objects", spark)
+        rounds = -(-there.count() // shards_per_round)
+        failed = []
+        for number in range(rounds):
+            own = there.filter(F.pmod(F.xxhash64("object_key"), F.lit(rounds)) == number)
+            if paths := [row.path for row in own.select("path").collect()]:
+                failed.append(process_shards(warehouse, spread(read_shards(spark, paths)), model_fn, settings, f"{batch}-{number}", max_receives))
+        bad = reduce(DataFrame.union, failed) if failed else there.select(F.col("path").alias("source_file")).limit(0)
+        known = there.join(bad.select(F.col("source_file").alias("path"), F.lit(True).alias("_failed")).distinct(), "path", "left")
+        received = (
+            parsed.select("object_key", "body", "kind")
+            .join(known, "object_key", "left")
+            .select(F.coalesce("object_key", "body").alias("item"), "kind", (F.col("path").isNotNull() & F.col("_failed").isNull()).alias("ok"))
+            .groupBy("item", "kind")
+            .agg(F.max("ok").alias("ok"), F.count(F.lit(1)).alias("n"))
+        )
+        log = warehouse.path(RECEIVES)
+        received.select("item", "kind", F.lit(batch).alias("ingest_batch"), "ok", "n").write.mode("overwrite").parquet(f"{log}/{batch}")
     dead_letters_stream(spark, log, warehouse.path(DEAD_LETTERS), f"{warehouse.path(DEAD_LETTERS)}-checkpoint", max_receives).awaitTermination()
     return read_dead_letters(warehouse)
 
@@ -231,7 +237,8 @@ def ingest_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         unique = f"{name}-{query_id(warehouse, checkpoint)}-{batch_id:09d}"
-        process_shards(warehouse, batch.repartition(slots), model_fn, settings, unique, max_receives)
+        with scratch(warehouse.spark):
+            process_shards(warehouse, batch.repartition(slots), model_fn, settings, unique, max_receives)
 
     return (
         lines.writeStream.foreachBatch(handle)

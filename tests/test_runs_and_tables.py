@@ -2,6 +2,7 @@
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from callsift.checks.stub import document, stub_model
 from callsift.functions.skew import rank_values, salted_join
 from callsift.operators import inference, prepare, runs
 from callsift.plans.pipeline import RunSettings, request_builder, run_extraction
-from callsift.session import materialize, spread, work_dir
+from callsift.session import materialize, scratch, spread, work_dir
 from callsift.sources.commits import RECORDS_PER_CHECKPOINT, CommitLog, Conflict
 from callsift.sources.tables import CALLS, MEASUREMENTS, RUNS, Warehouse, conform, latest_runs
 
@@ -361,3 +362,19 @@ def test_the_row_limit_of_commits_is_handed_on(spark, tmp_path):
     run_extraction(warehouse, calls, "r", stub_model, RunSettings("m", commit_rows=10, model_options={"backoff_seconds": 0.0}), "b1")
     files = warehouse.calls().groupBy(F.input_file_name().alias("f")).count().collect()
     assert sum(r["count"] for r in files) == 25 and max(r["count"] for r in files) <= 10
+
+
+def test_work_folders_have_an_owner(spark, tmp_path):
+    def folders():
+        return {p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir()}
+
+    before = folders()
+    warehouse = Warehouse(spark, str(tmp_path))
+    totals = run_extraction(warehouse, plain_calls(spark, [("a", "x" * 12), ("b", "x" * 15)]), "run1", stub_model, FAST, "b1")
+    left = {name.rsplit("-", 1)[0] for name in folders() - before}
+    assert left == {"stats"} and totals.first().errors == 1 and warehouse.calls().count() == 2
+    with pytest.raises(ZeroDivisionError), scratch(spark) as keep:
+        inner = materialize(spark.range(3), "inner")
+        kept = keep(inner, "kept")
+        raise ZeroDivisionError
+    assert kept.count() == 3 and not any(name.startswith("inner") for name in folders())
