@@ -17,6 +17,8 @@ from callsift.llm.registry import query
 SEED = 11
 #: Vectors that one task compares with one another at most.
 BLOCK = 1024
+#: Ids end here; what lies above stands for classes of vectors none of which has an id.
+NAMELESS = (1 << 63) - (1 << 60)
 
 
 def plan_tables(vectors: int, threshold: float, recall: float) -> tuple[int, int]:
@@ -100,18 +102,21 @@ def _verified(threshold: float):
 
 
 def near_dedup(vectors: DataFrame, threshold: float = 0.95, recall: float = 0.995, block: int = BLOCK) -> DataFrame:
-    """One row per vector with an id: vec_id, n_links, component_id, kept.
+    """One row per vector: vec_id, n_links, component_id, kept.
 
     Vectors with cosine >= ``threshold`` (in double precision) are linked. Equal vectors form one class first, so copies
     cost nothing and link with certainty. A pair of classes right at the threshold is found with probability
     ``recall``, closer pairs more often; no pair below it is linked. Null, empty, zero or non-finite vectors and
-    those of another length link with nothing. Rows without ``vec_id`` are left out; rows that repeat an id count as
+    those of another length link with nothing. Rows without ``vec_id`` are vectors like others, whose id comes after all others:
+    their component is null only if no vector with an id is in it. Rows that repeat an id (or have none) count as
     vectors of their own. Buckets above ``block`` vectors are compared block by block in different tasks, in full.
     Each pair counts in the first table in which it meets, so tasks return sums and local trees, never pairs.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where("vec_id is not null")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     rows = stage(rows.mapInArrow(_usable, "vec_id long, raw binary"), "vectors")
-    classes = stage(rows.where("raw is not null").groupBy("raw").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
+    classes = rows.where("raw is not null").groupBy("raw").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    # A class without any id gets a number beyond the ids.
+    classes = stage(classes.withColumn("rep", F.coalesce("rep", F.lit(NAMELESS) + F.monotonically_increasing_id())), "classes")
     bits, tables = plan_tables(classes.count(), threshold, recall)
     key = ["size", "tab", "key"]
     counted = classes.mapInPandas(_hashed(bits, tables, False), "size int, tab int, key long, rep long")
@@ -130,8 +135,8 @@ def near_dedup(vectors: DataFrame, threshold: float = 0.95, recall: float = 0.99
     )
     discard(large, found)
     out = rows.join(known, "raw", "left")
-    component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    component = F.when(F.col("component_id") < NAMELESS, F.col("component_id")).when(F.col("component_id").isNull(), F.col("vec_id"))
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
 @query()

@@ -19,12 +19,16 @@ TRAINING_PAGES = 4000
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 NAMED = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-RAW = frozenset("script style noscript template iframe textarea title svg math object select option button".split())
+RAW = frozenset("script style noscript template iframe textarea title select option button".split())
 #: Of these, a missing end tag leaves the rest of the page hidden; the others without one are left out alone.
 HIDING = frozenset("script style noscript template iframe textarea title".split())
 #: What an opening tag of these ends them, as their own end tag does.
 ENDED_BY = {"button": "button", "select": "select", "option": "option|optgroup|select|datalist"}
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "object svg g text tspan defs use path circle ellipse line polygon polyline rect "
+    "math mi mn mo ms mtext mspace mrow mstyle mfrac msqrt mroot msub msup msubsup mover munder munderover mfenced semantics annotation".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 GROUPS = {name: i for i, names in enumerate(("p", "h1 h2 h3 h4 h5 h6", "li dd dt", "ul ol dl", "td th tr table tbody thead tfoot caption", "article main", "nav menu", "header", "footer", "aside", "form fieldset", "figure figcaption", "blockquote pre", "body html head")) for name in names.split()}
 OTHER_GROUP, TEXT_GROUP, N_GROUPS = 14, 15, 16
@@ -50,6 +54,8 @@ def parse(page: str) -> list[tuple[int, int, int, str | None, int]]:
     """
     nodes: list[tuple[int, int, int, str | None, int]] = [(-1, OTHER_GROUP, 0, None, 0)]
     open_at: list[tuple[str, int]] = [("", 0)]
+    # Where in ``open_at`` the elements of each name are, so that none is looked for by walking through all.
+    places: dict[str, list[int]] = {}
     run: list[str] = []
     linked = in_link = 0
     at, to = 0, len(page)
@@ -71,13 +77,13 @@ def parse(page: str) -> list[tuple[int, int, int, str | None, int]]:
             linked += len(piece)
 
     def close(names, stop=()) -> None:
-        for i in range(len(open_at) - 1, 0, -1):
-            if open_at[i][0] in names:
-                flush()
-                del open_at[i:]
-                return
-            if open_at[i][0] in stop:
-                return
+        """End the innermost open element of these names and all inside it, unless one of ``stop`` lies between."""
+        innermost, barrier = (max((places[name][-1] for name in own if places.get(name)), default=0) for own in (names, stop))
+        if innermost > barrier:
+            flush()
+            for name, _ in open_at[innermost:]:
+                places[name].pop()
+            del open_at[innermost:]
 
     while at < to:
         tag = TAG.search(page, at)
@@ -119,6 +125,7 @@ def parse(page: str) -> list[tuple[int, int, int, str | None, int]]:
                 marks = " ".join(x.strip("\"'") for x in NAMED.findall(tag[3] or tag[6]))
                 hint = bool(GOOD.search(marks)) + 2 * bool(BAD.search(marks)) if marks else 0
             nodes.append((open_at[-1][1], GROUPS.get(name, OTHER_GROUP), hint, None, 0))
+            places.setdefault(name, []).append(len(open_at))
             open_at.append((name, len(nodes) - 1))
     flush()
     return nodes

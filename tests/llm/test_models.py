@@ -1,5 +1,9 @@
 """Classifiers and page extraction: held-out accuracy, calibration, odd input."""
 
+import html
+import re
+import time
+
 import numpy as np
 import pytest
 
@@ -116,5 +120,22 @@ def test_extraction_of_given_pages(spark):
     got = {r.page_id: r.text for r in html_extraction.extract(pages, html_extraction.train(pages)).collect()}
     for r in pages.collect():
         inside = r.html.split("<article>")[1].split("</article>")[0]
-        assert len(got[r.page_id]) <= len(inside) and got[r.page_id].count("\n") + 1 <= inside.count("<p>") + 1
-        assert "track(" not in got[r.page_id] and got[r.page_id]
+        blocks = [re.sub("<br>", " ", re.sub("</?b>", "", x)) for x in re.split("</?(?:p|h1)>", inside)]
+        assert got[r.page_id] == "\n".join(x for x in (" ".join(html.unescape(b).split()) for b in blocks) if x)
+
+
+def test_texts_of_formulas_and_objects_stay():
+    page = "<article><p>Before <math><mi>E</mi><mo>=</mo><mi>m</mi></math> and <object data=x>fallback</object> after <svg><text>shape</text></svg></p></article>"
+    assert [html_extraction.clean(x[3]) for x in html_extraction.parse(page) if x[3]] == ["Before E=m and fallback after shape"]
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "</x>" * 100_000, "<p><table>" + "<div>" * 100_000, "<li>" * 100_000 + "</ul>" * 100_000, "<p>a</b>" * 100_000])
+def test_parsing_takes_time_in_proportion(page):
+    start = time.process_time()
+    assert len(html_extraction.parse(page)) >= 100_000 and time.process_time() - start < 20
+
+
+def test_an_element_between_keeps_an_outer_one_open():
+    nodes = html_extraction.parse("<div>one<table><tr><td>cell<td>next<div>in</div></table>out<p>two</p></div>")
+    texts = {x[3]: x[0] for x in nodes if x[3]}
+    assert list(texts) == ["one", "cell", "next", "in", "out", "two"] and texts["one"] == texts["out"] != texts["two"] and texts["cell"] != texts["next"]

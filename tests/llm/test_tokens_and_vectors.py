@@ -28,6 +28,17 @@ def test_encoder_is_the_library():
             assert encoder.model.decode(ids[at:to]) == text
 
 
+def test_both_splits_are_the_same():
+    encoder = bpe.Encoder(bpe.load())
+    for c in map(chr, [*range(0x300), *range(0x1FF0, 0x2080)]):
+        for text in (c, f"a{c}b 1{c}2", f" {c}{c}  x{c}", f"'{c}s's {c}\n\n{c}"):
+            assert encoder._split(text) == encoder.words(text)
+    rng = np.random.default_rng(3)
+    for _ in range(500):
+        text = "".join(rng.choice(list("abé²1 \n\t'.!\x85\xa0\u2009—ž÷s"), 60))
+        assert not encoder.not_plain(text) and encoder.plain(text) == encoder.words(text)
+
+
 def test_encode_and_decode_tables(spark, odd, nothing):
     rows = bpe.decode(bpe.encode(odd))
     assert set(rows.columns) == {*odd.columns, "decoded"}
@@ -83,23 +94,31 @@ def test_embeddings(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((60, 24))
     rows = [base[i % 60] + rng.standard_normal(24) * rng.choice([0, 0.05, 0.2]) for i in range(400)] + [base[3]] * 50 + [base[3] * 2.0]
-    data = [(i, x.tolist(), 1) for i, x in enumerate(rows)]
-    n = len(data)
-    data += [(n, None, 1), (n + 1, [0.0] * 24, 1), (n + 2, [float("nan")] + [1.0] * 23, 1), (n + 3, [None] + [1.0] * 23, 1), (n + 4, [], 1), (n + 5, base[3][:12].tolist(), 1), (None, base[3].tolist(), 1)]
+    n = len(rows)
+    # Vectors without an id: copies, near ones, and a class of two that is alone.
+    lone = rng.standard_normal(24)
+    rows += [base[3], base[3] * 3.0, base[7] + 0.01, lone, lone]
+    data = [(i if i < n else None, x.tolist(), i) for i, x in enumerate(rows)]
+    odd = [None, [0.0] * 24, [float("nan")] + [1.0] * 23, [None] + [1.0] * 23, [], base[3][:12].tolist()]
+    data += [(n + i, x, -1) for i, x in enumerate(odd)] + [(None, None, -1)]
     frame = spark.createDataFrame(data, "vec_id long, embedding array<double>, kept int").repartition(5)
-    got = {r.vec_id: r for r in embedding_dedup.near_dedup(frame, block=7).collect()}
+    rows_out = embedding_dedup.near_dedup(frame, block=7).collect()
+    got = {r.vec_id: r for r in rows_out if r.vec_id is not None}
     unit = np.array(rows) / np.linalg.norm(rows, axis=1, keepdims=True)
     close = unit @ unit.T >= 0.95
     np.fill_diagonal(close, False)
     a, b = np.nonzero(close)
     nodes, roots = local_roots(a, b)
-    component = np.arange(n)
+    component = np.arange(len(rows))
     component[nodes] = roots
-    assert len(got) == n + 6 and None not in got
+    assert len(rows_out) == len(data) and len(got) == n + 6
     links = np.array([got[i].n_links for i in range(n)])
-    assert (links <= close.sum(axis=1)).all() and links.sum() >= 0.98 * close.sum()
+    assert (links <= close[:n].sum(axis=1)).all() and links.sum() >= 0.98 * close[:n].sum()
     assert np.mean([got[i].component_id == component[i] for i in range(n)]) >= 0.99
     assert all(got[i].n_links == 0 and got[i].kept and got[i].component_id == i for i in range(n, n + 6))
+    nameless = [(r.n_links, r.component_id, r.kept) for r in rows_out if r.vec_id is None]
+    want = [(int(close[i].sum()), int(component[i]) if component[i] < n else None, component[i] >= n) for i in range(n, len(rows))] + [(0, None, True)]
+    assert sorted(nameless, key=str) == sorted(want, key=str)
     assert embedding_dedup.near_dedup(frame.limit(0)).count() == 0
 
 
