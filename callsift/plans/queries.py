@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,11 +73,21 @@ def failed_calls(rows: DataFrame, run_id: str, limit: int = 100) -> DataFrame:
     )
 
 
+#: Held while a text's names are those of its own views.
+_NAMES = threading.RLock()
+
+
 def run_sql(spark: SparkSession, text: str, views: dict[str, DataFrame], args: dict[str, Any] | None = None) -> DataFrame:
     """Free-form SQL with named parameters over the given tables.
 
-    The names hold for this text only: temporary views of the caller that have one of them are put back.
+    The names hold for this text only: temporary views of the caller that have one of them are put back. Texts of several
+    threads take turns, as names are resolved before this returns.
     """
+    with _NAMES:
+        return _run_sql(spark, text, views, args)
+
+
+def _run_sql(spark: SparkSession, text: str, views: dict[str, DataFrame], args: dict[str, Any] | None) -> DataFrame:
     before = {name: spark.table(name) for name in views if any(t.isTemporary for t in spark.catalog.listTables(pattern=name) if t.name == name)}
     try:
         for name, df in views.items():
