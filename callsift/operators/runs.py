@@ -36,6 +36,15 @@ def resume(calls: DataFrame, committed: DataFrame, hot_keys: bool = False) -> Da
     return calls.join(renamed, null_safe_match(keys, "_r_"), "left_anti")
 
 
+def marked(calls: DataFrame, committed: DataFrame, heavy: tuple[str, ...] = ()) -> DataFrame:
+    """All calls with ``skipped``: true where a success is committed. Skipped calls keep their ids but not their ``heavy`` columns."""
+    keys = ["run_id", "call_id"]
+    done = committed.select(*keys).distinct().withColumnsRenamed({name: f"_r_{name}" for name in keys}).withColumn("skipped", F.lit(True))
+    told = calls.join(done, null_safe_match(keys, "_r_"), "left").drop(*[f"_r_{name}" for name in keys])
+    told = told.withColumn("skipped", F.coalesce("skipped", F.lit(False)))
+    return told.withColumns({name: F.when(~F.col("skipped"), F.col(name)) for name in heavy if name in calls.columns})
+
+
 def run_stats(outcomes: DataFrame) -> DataFrame:
     """Counts per run from one row per input call: skipped, success, error, or raised.
 

@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from callsift.functions.text import DEFAULT_MAX_CHARS
 from callsift.operators import prepare
 from callsift.operators.inference import BuildRequests, ModelFn, extract_batch
-from callsift.operators.runs import final_status, resume
+from callsift.operators.runs import final_status, marked
 from callsift.sources.tables import Warehouse
 from callsift.session import materialize, scratch
 
 
+# What a skipped call is not staged with.
+HEAVY = ("text", "words")
+
+
 @dataclass
 class RunSettings:
     """What stays the same for every call of a run."""
@@ -63,7 +67,7 @@ def run_extraction(
 ) -> DataFrame:
     """Runs one batch of calls under ``run_id`` and returns its statistics with the final status.
 
-    The set of committed ids is read once, before anything is written. The run is registered as
+    The calls and the set of committed ids are read once each, before anything is written. The run is registered as
     running and always finished, also when resumed; a stopped or failed run is marked as such.
     """
     spark = warehouse.spark
@@ -75,14 +79,16 @@ def run_extraction(
 
     try:
         with scratch(spark) as keep:
-            tagged = calls.withColumn("run_id", F.lit(run_id))
-            pending = tagged
+            pending, skipped = calls.withColumn("run_id", F.lit(run_id)), 0
             if skip_committed:
                 done = materialize(warehouse.committed_ids([run_id], but_not=[ingest_batch]), "committed")
-                pending = tagged if done.isEmpty() else resume(tagged, done)
+                if not done.isEmpty():
+                    # The input is read once: what is skipped is counted where it is found, without its text.
+                    told = materialize(marked(pending, done, HEAVY), "marked")
+                    pending, skipped = told.filter(~F.col("skipped")).drop("skipped"), told.filter("skipped").count()
             rows = extract_rows(pending, model_fn, settings)
             warehouse.append_extractions(rows, ingest_batch, max_records_per_file=settings.commit_rows)
-            totals = keep(final_status(_batch_stats(tagged, rows, run_id)), "stats")
+            totals = keep(final_status(_batch_stats(rows, run_id, skipped)), "stats")
         warehouse.finish_runs(totals)
         return totals
     except KeyboardInterrupt:
@@ -93,17 +99,16 @@ def run_extraction(
         raise
 
 
-def _batch_stats(calls: DataFrame, rows: DataFrame, run_id: str) -> DataFrame:
-    """The counters of ``run_stats`` from the input size and the written rows; no join needed."""
-    size = calls.agg(F.count(F.lit(1)).alias("calls"))
+def _batch_stats(rows: DataFrame, run_id: str, skipped: int) -> DataFrame:
+    """The counters of ``run_stats`` from the written rows, one per call that was not skipped."""
     done = rows.agg(
         F.count(F.lit(1)).alias("completed"),
         F.count_if(F.col("extraction_status") == "error").alias("errors"),
     )
-    return size.join(done, F.lit(True)).select(
+    return done.select(
         F.lit(run_id).alias("run_id"),
         F.col("completed").alias("submitted"),
-        (F.col("calls") - F.col("completed")).alias("skipped"),
+        F.lit(skipped).cast("bigint").alias("skipped"),
         "completed",
         "errors",
         (F.col("completed") - F.col("errors")).alias("succeeded"),

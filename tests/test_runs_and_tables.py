@@ -378,3 +378,25 @@ def test_work_folders_have_an_owner(spark, tmp_path):
         kept = keep(inner, "kept")
         raise ZeroDivisionError
     assert kept.count() == 3 and not any(name.startswith("inner") for name in folders())
+
+
+def test_the_input_of_a_run_is_read_once(spark, tmp_path):
+    warehouse, read = Warehouse(spark, str(tmp_path)), spark.sparkContext.accumulator(0)
+    texts = [(f"{i}", "x" * (15 if i % 3 == 0 else 12)) for i in range(9)] + [("8", "x" * 12)]
+
+    def told(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    source = plain_calls(spark, texts)
+    calls = source.mapInArrow(told, source.schema)
+    first = run_extraction(warehouse, calls, "run1", stub_model, FAST, "b1").first()
+    assert read.value == 10 and (first.submitted, first.skipped, first.errors) == (10, 0, 3)
+    second = run_extraction(warehouse, calls, "run1", stub_model, FAST, "b2").first()
+    assert read.value == 20 and (second.submitted, second.skipped, second.errors, second.status) == (3, 7, 3, "failed")
+    # Done again under its name, the second batch gives the same and replaces itself.
+    again = run_extraction(warehouse, calls, "run1", stub_model, FAST, "b2").first()
+    assert tuple(again) == tuple(second) and warehouse.calls().count() == 13
+    empty = run_extraction(warehouse, calls.limit(0), "run2", stub_model, FAST, "b1").first()
+    assert (empty.submitted, empty.skipped, empty.status) == (0, 0, "success")
