@@ -9,21 +9,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from callsift.llm.common import cleaned, mix, stage, table
+from callsift.llm.common import cleaned, discard, flat, mix, ramp, stage, table
 from callsift.llm.components import components
 from callsift.llm.registry import query
 from callsift.llm.tally import chunked, tally, with_codes, with_rows
 
 SHINGLE, SHARE = 8, 0.75
-#: 256 bins of one permutation; 25 bands of 5: lines right at 0.75 meet in one with a probability above 0.998, unrelated ones
+#: 128 bins of one permutation; 25 bands of 5: lines right at 0.75 meet in one with a probability above 0.998, unrelated ones
 #: (below 0.1) with one below 3 in ten thousand.
-BINS, BANDS, ROWS = 256, 25, 5
+BINS, BANDS, ROWS = 128, 25, 5
 MULTIPLIERS = np.random.default_rng(31).integers(1, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Lines that one task compares with one another at most.
-BLOCK = 1024
+#: Bands of so many lines at most are settled at once; in larger ones one task compares this many lines with one another at most.
+SMALL, BLOCK = 64, 1024
+#: Bits of the map of a line's shingles, and pairs of maps that a task holds at a time.
+BITS, PAIRS = 512, 1 << 18
 #: Characters hashed at a time, and shingles that a task holds as sets.
 PART, HELD = 1 << 17, 1 << 20
 SEED = np.uint64(0x51ED270B9F3A7C15)
+EMPTY = np.uint32(0xFFFFFFFF)
+#: White space other than the space and the line feed, as str.split() takes it.
+WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
 
 def normal(line: str) -> str:
@@ -34,51 +39,100 @@ def shingles(line: str) -> frozenset[str]:
     return frozenset(line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
-    """One 64-bit key per line and band, taken a part of the lines at a time."""
+def _normal_lines(text: str) -> list[str]:
+    """``normal`` of every line; a text without double or unusual white space needs no word split."""
+    if "  " in text or any(c in text for c in WHITE):
+        return [normal(line) for line in text.split("\n")]
+    return [line.strip() for line in text.lower().split("\n")]
+
+
+def _parts(lines: list[str], of) -> list[np.ndarray]:
+    """``of`` the lines, a part of them at a time."""
     out, at, size = [], 0, 0
     for i, line in enumerate(lines):
         size += len(line)
         if size >= PART or i == len(lines) - 1:
-            out.append(_band_keys(lines[at : i + 1]))
+            out.append(of(lines[at : i + 1]))
             at, size = i + 1, 0
-    return np.concatenate(out) if out else np.zeros((0, BANDS), np.uint64)
+    return out
+
+
+def band_keys(lines: list[str]) -> np.ndarray:
+    """One 64-bit key per line and band."""
+    return np.concatenate([np.zeros((0, BANDS), np.uint64), *_parts(lines, _band_keys)])
+
+
+def bit_maps(lines: list[str]) -> np.ndarray:
+    """One map of BITS bits per line, in which each of its shingles sets one."""
+    return np.concatenate([np.zeros((0, BITS // 8), np.uint8), *_parts(lines, _bit_maps)])
+
+
+def _mix32(x: np.ndarray) -> np.ndarray:
+    x ^= x >> np.uint32(16)
+    x *= np.uint32(0x85EBCA6B)
+    x ^= x >> np.uint32(13)
+    x *= np.uint32(0xC2B2AE35)
+    x ^= x >> np.uint32(16)
+    return x
+
+
+def _hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A 32-bit hash of each shingle at each place, and the line it lies in. Lines shorter than a shingle have one."""
+    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    long, short = np.flatnonzero(lengths >= SHINGLE), np.flatnonzero(lengths < SHINGLE)
+    lengths = lengths[long]
+    points = np.frombuffer("".join(lines if not len(short) else [lines[i] for i in long]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    rolled = _mix32(points + np.uint32(0x9F3A7C15))
+    for width in (1, 2, 4):
+        rolled = rolled[: max(0, len(rolled) - width)] * np.uint32(0x7F4A7C15 + 2 * width) + rolled[width:]
+        rolled ^= rolled >> np.uint32(15)
+    inside = np.ones(len(points), bool)
+    for back in range(1, SHINGLE):
+        inside[np.cumsum(lengths) - back] = False
+    hashes = _mix32(rolled[inside[: len(rolled)]])
+    row = np.repeat(long, lengths - SHINGLE + 1)
+    if len(short):
+        hashes = np.concatenate([hashes, np.array([xxhash.xxh32_intdigest(lines[i].encode("utf-8", "surrogatepass")) for i in short], np.uint32)])
+        row = np.concatenate([row, short])
+    return hashes, row
 
 
 def _band_keys(lines: list[str]) -> np.ndarray:
     """Each shingle is hashed once and competes in one bin; an empty bin borrows from the next one that isn't, along with
     the distance, so short lines have whole signatures as well."""
     n = len(lines)
-    lengths = np.fromiter(map(len, lines), np.int64, n)
-    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-    rolled = mix(points.astype(np.uint64) + SEED)
-    for width in (1, 2, 4):
-        rolled = rolled[: max(0, len(rolled) - width)] * np.uint64(0x9E3779B97F4A7C15 + 2 * width) + rolled[width:]
-        rolled ^= rolled >> np.uint64(29)
-    starts = np.cumsum(lengths) - lengths
-    row = np.repeat(np.arange(n), lengths)
-    inside = np.arange(len(points)) - starts[row] <= lengths[row] - SHINGLE
-    at = np.flatnonzero(inside)
-    hashes, row = mix(rolled[at]), row[at]
-    short = np.flatnonzero(lengths < SHINGLE)
-    hashes = np.concatenate([hashes, np.array([xxhash.xxh3_64_intdigest(lines[i].encode("utf-8", "surrogatepass")) for i in short], np.uint64)])
-    row = np.concatenate([row, short])
-    least = np.full(n * BINS, np.uint64(0xFFFFFFFFFFFFFFFF))
-    np.minimum.at(least, row * BINS + (hashes & np.uint64(BINS - 1)).astype(np.int64), hashes >> np.uint64(8))
+    hashes, row = _hashed(lines)
+    least = np.full(n * BINS, EMPTY)
+    np.minimum.at(least, row * BINS + (hashes & np.uint32(BINS - 1)), hashes >> np.uint32(7))
     least = least.reshape(n, BINS)
-    filled = least != np.uint64(0xFFFFFFFFFFFFFFFF)
-    position = np.where(np.hstack([filled, filled]), np.arange(2 * BINS), 4 * BINS)
+    position = np.where(least != EMPTY, np.arange(BINS, dtype=np.int16), np.int16(4 * BINS))
+    position = np.hstack([position, np.minimum(position + np.int16(BINS), np.int16(4 * BINS))])
     source = np.minimum.accumulate(position[:, ::-1], axis=1)[:, ::-1][:, :BINS]
-    values = np.take_along_axis(least, source % BINS, axis=1) * np.uint64(2 * BINS + 1) + (source - np.arange(BINS)).astype(np.uint64)
+    values = np.take_along_axis(least, (source % BINS).astype(np.int64), axis=1).astype(np.uint64) * np.uint64(2 * BINS + 1) + (source - np.arange(BINS)).astype(np.uint64)
     keys = np.zeros((n, BANDS), np.uint64)
     for i in range(ROWS):
         keys += values[:, i : BANDS * ROWS : ROWS] * MULTIPLIERS[i]
     return mix(keys + np.arange(BANDS, dtype=np.uint64) * SEED)
 
 
+def _bit_maps(lines: list[str]) -> np.ndarray:
+    hashes, row = _hashed(lines)
+    bits = np.zeros(len(lines) * BITS, bool)
+    bits[row * BITS + (hashes >> np.uint32(7)) % np.uint32(BITS)] = True
+    return np.packbits(bits.reshape(-1, BITS), axis=1)
+
+
+def possible(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """Which pairs may be similar, by their maps (as 64-bit words) and places of shingles: a bit of one line that the other
+    lacks is a shingle that the other lacks, so the bound never rules out a similar pair."""
+    more, less = (np.bitwise_count(x & ~y).sum(axis=-1, dtype=np.int64) for x, y in ((a, b), (b, a)))
+    common = np.minimum(size_a - more, size_b - less)
+    return common >= SHARE * (common + more + less)
+
+
 def _lines(documents: pa.Table) -> tuple[list[tuple[int, int, str]], dict[str, int]]:
     """Lines that are not blank as (row, line number, normal form), and the distinct forms."""
-    every = [(i, j, form) for i, text in enumerate(documents.column("text").to_pylist()) for j, line in enumerate((text or "").split("\n")) if (form := normal(line))]
+    every = [(i, j, form) for i, text in enumerate(documents.column("text").to_pylist()) for j, form in enumerate(_normal_lines(text or "")) if form]
     return every, {form: n for n, form in enumerate(dict.fromkeys(x[2] for x in every))}
 
 
@@ -98,34 +152,45 @@ def _keys(documents: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 COUNTS = StructType([StructField("n_lines", LongType()), StructField("n_removed", LongType()), StructField("removed", ArrayType(IntegerType()))])
-LINE = "chunk long, row int, line int, doc_id long, key binary, form string, bands array<long>"
+LINE = "chunk long, row int, line int, doc_id long, key binary, copied boolean, form string, size int, bits binary, bands array<long>"
 
 
 def _marked(documents: pa.Table, codes: np.ndarray, chunk: int) -> pa.Table:
-    """Lines that occur elsewhere too or share a band with another form; the first of such a form in the chunk carries text
-    and bands. Keys are counted once for each form and chunk, so a band that more chunks have than the form is another's too."""
+    """Lines that occur elsewhere too (copied) or share a band with another form; the first of such a form in the chunk carries
+    text, bit map and bands. Keys are counted once for each form and chunk, so a band that more chunks have than the form is another's too."""
     every, forms = _lines(documents)
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.string(), pa.list_(pa.int64()))
-    names = ["chunk", "row", "line", "doc_id", "key", "form", "bands"]
-    rows = []
-    if every:
-        digests = _digests(forms)
-        exact, bands = _exact_keys(digests), band_keys(list(forms))
-        keys, own = np.unique(bands), np.unique(exact)
-        chunks = codes[len(keys) :][np.searchsorted(own, exact)]
-        copied = (chunks > 1) | (np.bincount([forms[x[2]] for x in every], minlength=len(forms)) > 1)
-        sharers = codes[np.searchsorted(keys, bands)]
-        met = (sharers > chunks[:, None]) | (sharers == 0xFFFF)
-        similar, seen = met.any(axis=1), set()
-        docs = documents.column("doc_id").to_pylist()
-        for i, j, form in every:
-            n = forms[form]
-            if copied[n] or similar[n]:
-                first = similar[n] and n not in seen
-                seen.add(n)
-                rows.append((chunk, i, j, docs[i], digests[n], form if first else None, bands[n][met[n]].view(np.int64).tolist() if first else None))
-    columns = list(zip(*rows)) or [[]] * len(kinds)
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+    lines, n = list(forms), len(forms)
+    digests, bands = _digests(forms), band_keys(lines)
+    exact = _exact_keys(digests)
+    keys, own = np.unique(bands), np.unique(exact)
+    row, line, form = (np.array(x, np.int64) for x in (([x[0] for x in every], [x[1] for x in every], [forms[x[2]] for x in every])))
+    chunks = codes[len(keys) :][np.searchsorted(own, exact)]
+    copied = (chunks > 1) | (np.bincount(form, minlength=n) > 1)
+    sharers = codes[np.searchsorted(keys, bands)]
+    met = (sharers > chunks[:, None]) | (sharers == 0xFFFF)
+    similar = met.any(axis=1)
+    first = np.zeros(len(form), bool)
+    first[np.unique(form, return_index=True)[1]] = True
+    kept = np.flatnonzero(copied[form] | similar[form])
+    row, line, form, first = row[kept], line[kept], form[kept], (first & similar[form])[kept]
+    texts = [lines[i] if x else None for i, x in zip(form.tolist(), first.tolist())]
+    maps = iter(bit_maps([x for x in texts if x is not None]))
+    met[~similar] = False
+    shared = np.where(first, met.sum(axis=1)[form], 0)
+    values = bands[form[first]][met[form[first]]].view(np.int64)
+    columns = {
+        "chunk": pa.array(np.full(len(kept), chunk)),
+        "row": pa.array(row.astype(np.int32)),
+        "line": pa.array(line.astype(np.int32)),
+        "doc_id": documents.column("doc_id").cast(pa.int64()).take(pa.array(row)),
+        "key": pa.array([digests[i] for i in form.tolist()], pa.binary()),
+        "copied": pa.array(copied[form]),
+        "form": pa.array(texts, pa.string()),
+        "size": pa.array([None if x is None else max(1, len(x) - SHINGLE + 1) for x in texts], pa.int32()),
+        "bits": pa.array([None if x is None else next(maps).tobytes() for x in texts], pa.binary()),
+        "bands": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(shared)]).astype(np.int32)), pa.array(values)),
+    }
+    return pa.table(columns)
 
 
 def alike(a: frozenset[str], b: frozenset[str]) -> bool:
@@ -141,12 +206,48 @@ def _verified(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
 
+def _words(column) -> np.ndarray:
+    return flat(column)[0].view(np.uint64).reshape(-1, BITS // 64)
+
+
+def _met(batches):
+    """Possible pairs of the lines of each band, as ``(a, b)``; rows come sorted by band."""
+
+    def pairs(rows: pa.Table):
+        band, node, size = (rows.column(c).to_numpy() for c in ("band", "node", "size"))
+        maps = _words(rows.column("bits"))
+        starts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
+        widths = np.diff(np.append(starts, len(band)))
+        later = np.repeat(starts + widths, widths) - np.arange(len(band)) - 1
+        done, at = np.concatenate([[0], np.cumsum(later)]), 0
+        while at < len(band):
+            to = max(at + 1, int(np.searchsorted(done, done[at] + PAIRS, side="right")) - 1)
+            x = np.repeat(np.arange(at, to), later[at:to])
+            y = x + 1 + ramp(later[at:to])
+            kept = possible(maps[x], maps[y], size[x], size[y]) & (node[x] != node[y])
+            x, y = node[x[kept]], node[y[kept]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+            at = to
+
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = (rows if held is None else pa.concat_tables([held, rows])).combine_chunks()
+        if rows.num_rows:
+            band = rows.column("band").to_numpy()
+            cut = int(np.searchsorted(band, band[-1]))
+            yield from pairs(rows.slice(0, cut))
+            held = rows.slice(cut)
+    if held is not None:
+        yield from pairs(held)
+
+
 def _compared(leaders: bool):
     """Verified links of one band's lines: with the longest line only, or between all of different classes."""
 
     def run(key: tuple[int, ...], rows: pa.Table) -> list[tuple[int, int]]:
         nodes, classes, block = (rows.column(c).to_numpy() for c in ("node", "class", "block"))
-        forms = rows.column("form").to_pylist()
+        forms, size, maps = rows.column("form").to_pylist(), rows.column("size").to_numpy(), _words(rows.column("bits"))
         sets: dict[int, frozenset] = {}
         held = 0
 
@@ -163,13 +264,15 @@ def _compared(leaders: bool):
 
         if leaders:
             lead = max(range(len(forms)), key=lambda i: (len(forms[i]), -nodes[i]))
-            return [(int(nodes[lead]), int(nodes[i])) for i in range(len(forms)) if i != lead and alike(set_of(lead), set_of(i))]
+            near = np.flatnonzero(possible(maps[lead], maps, size[lead], size)).tolist()
+            return [(int(nodes[lead]), int(nodes[i])) for i in near if i != lead and alike(set_of(lead), set_of(i))]
         _, low, high = key
         _, root = np.unique(classes, return_inverse=True)
         links = []
         order = np.argsort(block, kind="stable")
         for at, x in enumerate(order):
-            for y in order[at + 1 :][root[order[at + 1 :]] != root[x]]:
+            others = order[at + 1 :][root[order[at + 1 :]] != root[x]]
+            for y in others[possible(maps[x], maps[others], size[x], size[others])]:
                 if (low == high or block[x] != block[y]) and root[x] != root[y] and alike(set_of(x), set_of(y)):
                     links.append((int(nodes[x]), int(nodes[y])))
                     root[root == root[y]] = root[x]
@@ -211,20 +314,24 @@ def _by_group(rows: DataFrame, keys: list[str], links_of) -> DataFrame:
 
 
 def _line_links(lines: DataFrame) -> DataFrame:
-    """``lines(node, form, bands)``, one row per distinct form -> links that connect what similar pairs connect.
+    """``lines(node, form, size, bits, bands)``, one row per distinct form -> links that connect what similar pairs connect.
 
-    Bands that the same lines have stand for one another: of each such class (by count and two 64-bit sums of the lines)
-    one is kept. A band of two lines is a pair as it is. In larger ones every line is first held against the longest; then
-    bands that still hold several components are compared in full, block by block, skipping pairs that are connected already.
+    In bands of up to SMALL lines, pairs that the bit maps don't rule out go on as ids; each pair is verified once, by its texts.
+    Larger bands that the same lines have stand for one another: of each such class (by count and two 64-bit sums of the lines)
+    one is kept. There every line is first held against the longest; then bands that still hold several components are
+    compared in full, block by block, skipping pairs that are connected already.
     """
-    forms = lines.select("node", "form")
+    forms = lines.select("node", "form", "size", "bits")
     bands = lines.select("node", F.explode("bands").alias("band"))
     sums = (F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
-    met = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), *sums, F.min("node").alias("a"), F.max("node").alias("b")).where("n > 1")
-    met = stage(met.groupBy("n", "x", "y").agg(F.min("band").alias("band"), F.min("a").alias("a"), F.max("b").alias("b")), "bands")
-    groups = stage(bands.join(met.where("n > 2").select("band", "n"), "band"), "groups")
-    pairs = met.where("n = 2").join(forms.select(F.col("node").alias("a"), F.col("form").alias("one")), "a").join(forms.select(F.col("node").alias("b"), F.col("form").alias("other")), "b")
-    twos = pairs.select("a", "b", "one", "other").mapInArrow(_verified, "a long, b long")
+    large = stage(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") > SMALL), "large")
+    small = lines.select("node", "size", "bits", F.explode("bands").alias("band")).join(large.select("band"), "band", "left_anti")
+    pairs = stage(small.repartition("band").sortWithinPartitions("band").mapInArrow(_met, "a long, b long").distinct(), "pairs")
+    text = lines.select(F.col("node").alias("a"), F.col("form").alias("one")), lines.select(F.col("node").alias("b"), F.col("form").alias("other"))
+    near = stage(pairs.join(text[0], "a").join(text[1], "b").select("a", "b", "one", "other").mapInArrow(_verified, "a long, b long"), "links")
+    discard(pairs)
+    met = large.groupBy("n", "x", "y").agg(F.min("band").alias("band"))
+    groups = stage(bands.join(met.select("band", "n"), "band"), "groups")
 
     def dealt(classes: DataFrame | None) -> DataFrame:
         rows, blocks = groups.withColumn("class", F.col("node")), F.ceil(F.col("n") / BLOCK).cast("int")
@@ -239,9 +346,9 @@ def _line_links(lines: DataFrame) -> DataFrame:
             rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
         rows = rows.select("band", "low", "high", "node", "class", "block").join(forms, "node")
-        return _by_group(rows.select("band", "low", "high", "node", "class", "form", "block"), ["band", "low", "high"], _compared(classes is None))
+        return _by_group(rows.select("band", "low", "high", "node", "class", "form", "size", "bits", "block"), ["band", "low", "high"], _compared(classes is None))
 
-    first = stage(dealt(None).unionByName(twos), "links")
+    first = stage(dealt(None).unionByName(near), "links")
     found = components(first)
     classes = stage(groups.select("node").distinct().join(found, "node", "left").select("node", F.coalesce("component", "node").alias("class")), "classes")
     return first.unionByName(stage(dealt(classes), "links"))
@@ -261,12 +368,17 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     chunks = chunked(docs)
     codes = tally(chunks, _keys, BANDS / 300)
     lines = stage(with_codes(chunks, codes, _marked, LINE, counts=True), "lines")
-    forms = lines.where("form is not null").select("key", "form", "bands").dropDuplicates(["key"])
-    forms = stage(forms.withColumn("node", F.monotonically_increasing_id()), "forms")
-    found = components(_line_links(forms.select("node", "form", "bands")))
-    classes = stage(forms.select("key", "node").join(found, "node", "left").select("key", F.coalesce("component", "node").alias("component")), "classes")
+    # A chunk carries a form once; of the chunks that do, the least is found by a hash aggregation of short columns.
+    forms = lines.where("form is not null").select("key", "chunk", "form", "size", "bits", "bands")
+    one = forms.groupBy("key").agg(F.min("chunk").alias("chunk"))
+    forms = stage(forms.join(one, ["key", "chunk"], "left_semi").drop("chunk").withColumn("node", F.monotonically_increasing_id()), "forms")
+    found = components(_line_links(forms))
+    classes = stage(forms.select("key", "node").join(found, "node").select("key", "component"), "classes")
+    discard(forms)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line", "chunk", "row")
-    placed = stage(lines.select("key", "chunk", "row", "line", place.alias("place")).join(classes, "key", "left").withColumn("class", F.coalesce(F.col("component").cast("string"), F.hex("key"))).drop("component", "key"), "places")
+    placed = lines.select("key", "copied", "chunk", "row", "line", place.alias("place")).join(classes, "key", "left").where("copied or component is not null")
+    placed = stage(placed.withColumn("class", F.coalesce(F.col("component").cast("string"), F.hex("key"))).drop("component", "key", "copied"), "places")
+    discard(lines)
     first = stage(placed.groupBy("class").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("class", "first"), "firsts")
     gone = placed.join(first, "class").where("place != first").select("chunk", "row", "line")
 

@@ -1,6 +1,7 @@
 """Exact, near, line and passage dedup against plain versions."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -204,6 +205,41 @@ def test_bands_bring_long_lines_right_at_the_threshold_together():
     assert met.mean() >= 0.998
 
 
+def test_bit_maps_never_rule_out_similar_lines():
+    rng = random.Random(8)
+    lines = []
+    for n in (1, 5, 8, 9, 12, 30, 80, 300, 900, 4000):
+        for _ in range(12):
+            line = "".join(rng.choice("abc d") for _ in range(n)).strip() or "a"
+            lines += [line, *(line[:at] + rng.choice(["", "x", "yz"]) + line[at:] for at in (0, len(line) // 3, len(line)))]
+    maps = line_dedup.bit_maps(lines).view(np.uint64)
+    size = np.array([max(1, len(x) - line_dedup.SHINGLE + 1) for x in lines])
+    sets = [line_dedup.shingles(x) for x in lines]
+    ruled_out = 0
+    for i in range(len(lines)):
+        possible = line_dedup.possible(maps[i], maps, size[i], size)
+        assert all(possible[j] for j in range(len(lines)) if line_dedup.alike(sets[i], sets[j]))
+        ruled_out += (~possible).sum()
+    assert ruled_out > 0.8 * len(lines) ** 2
+
+
+def test_lines_of_a_text_equal_lines_normalized_one_by_one(odd, documents):
+    texts = ["", " ", "A  b\n c\td \n", "\u00a0x\u2003Y z\n", "\u039f\u03a3\n\u03a3 \u03a3a\n  ", " a b \nC"]
+    texts += [r.text for r in [*odd.collect(), *documents.collect()] if r.text]
+    for text in texts:
+        assert line_dedup._normal_lines(text) == [line_dedup.normal(x) for x in text.split("\n")]
+
+
+def test_lines_in_large_and_small_bands(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SMALL", 4)
+    monkeypatch.setattr(line_dedup, "BLOCK", 3)
+    rng = random.Random(3)
+    bases = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (70, 90, 200)]
+    texts = ["\n".join(b[:at] + str(rng.randint(0, 9)) + b[at:] for b in bases for at in (rng.randrange(len(b)), rng.randrange(len(b)))) for _ in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert Counter((r.doc_id, tuple(r.removed), r.n_lines, r.text) for r in line_dedup.dedup_lines(docs).collect()) == plain_lines(rows_of(docs))
+
+
 def test_tally_compares_whole_keys_in_full(spark):
     def keys_of(documents):
         n = np.array([int(x) for x in documents.column("text").to_pylist()], np.uint64)
