@@ -20,7 +20,7 @@ SHINGLE, SHARE = 8, 0.75
 BINS, BANDS, ROWS = 128, 25, 5
 MULTIPLIERS = np.random.default_rng(31).integers(1, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Bands of so many lines at most are settled at once; in larger ones one task compares this many lines with one another at most.
-SMALL, BLOCK = 64, 1024
+SMALL, BLOCK = 128, 1024
 #: Bits of the map of a line's shingles, and pairs of maps that a task holds at a time.
 BITS, PAIRS = 512, 1 << 18
 #: Characters hashed at a time, and shingles that a task holds as sets.
@@ -211,23 +211,42 @@ def _words(column) -> np.ndarray:
 
 
 def _met(batches):
-    """Possible pairs of the lines of each band, as ``(a, b)``; rows come sorted by band."""
+    """Possible pairs of the lines of each band, sorted by band, as ``(a, b, band)``.
+
+    Without classes each line is paired with the first possible one before it only (no band); lines that have further
+    possible pairs come out as ``(node, node, band)``. With classes all possible pairs of different classes come out.
+    """
 
     def pairs(rows: pa.Table):
         band, node, size = (rows.column(c).to_numpy() for c in ("band", "node", "size"))
+        classes = rows.column("class").to_numpy() if "class" in rows.column_names else None
         maps = _words(rows.column("bits"))
         starts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
         widths = np.diff(np.append(starts, len(band)))
         later = np.repeat(starts + widths, widths) - np.arange(len(band)) - 1
         done, at = np.concatenate([[0], np.cumsum(later)]), 0
+        paired, more = np.zeros(len(band), bool), np.zeros(len(band), bool)
         while at < len(band):
             to = max(at + 1, int(np.searchsorted(done, done[at] + PAIRS, side="right")) - 1)
             x = np.repeat(np.arange(at, to), later[at:to])
             y = x + 1 + ramp(later[at:to])
-            kept = possible(maps[x], maps[y], size[x], size[y]) & (node[x] != node[y])
-            x, y = node[x[kept]], node[y[kept]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+            apart = np.flatnonzero(node[x] != node[y] if classes is None else classes[x] != classes[y])
+            x, y = x[apart], y[apart]
+            kept = possible(maps[x], maps[y], size[x], size[y])
+            x, y = x[kept], y[kept]
+            if classes is None:
+                first = np.zeros(len(y), bool)
+                first[np.unique(y, return_index=True)[1]] = True
+                first &= ~paired[y]
+                paired[y] = True
+                more[x[~first]] = more[y[~first]] = True
+                x, y = x[first], y[first]
+            yield made(np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), pa.nulls(len(x), pa.int64()))
             at = to
+        yield made(node[more], node[more], pa.array(band[more]))
+
+    def made(a, b, band):
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), band], names=["a", "b", "band"])
 
     held = None
     for batch in batches:
@@ -316,7 +335,8 @@ def _by_group(rows: DataFrame, keys: list[str], links_of) -> DataFrame:
 def _line_links(lines: DataFrame) -> DataFrame:
     """``lines(node, form, size, bits, bands)``, one row per distinct form -> links that connect what similar pairs connect.
 
-    In bands of up to SMALL lines, pairs that the bit maps don't rule out go on as ids; each pair is verified once, by its texts.
+    In bands of up to SMALL lines, bit maps tell the possible pairs: each line and the first possible one before it go on as ids
+    and are verified once, by their texts; the other pairs follow where these left lines of a band in several components.
     Larger bands that the same lines have stand for one another: of each such class (by count and two 64-bit sums of the lines)
     one is kept. There every line is first held against the longest; then bands that still hold several components are
     compared in full, block by block, skipping pairs that are connected already.
@@ -326,19 +346,29 @@ def _line_links(lines: DataFrame) -> DataFrame:
     sums = (F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     large = stage(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") > SMALL), "large")
     small = lines.select("node", "size", "bits", F.explode("bands").alias("band")).join(large.select("band"), "band", "left_anti")
-    pairs = stage(small.repartition("band").sortWithinPartitions("band").mapInArrow(_met, "a long, b long").distinct(), "pairs")
     text = lines.select(F.col("node").alias("a"), F.col("form").alias("one")), lines.select(F.col("node").alias("b"), F.col("form").alias("other"))
-    near = stage(pairs.join(text[0], "a").join(text[1], "b").select("a", "b", "one", "other").mapInArrow(_verified, "a long, b long"), "links")
-    discard(pairs)
+
+    def met_in(rows: DataFrame) -> DataFrame:
+        return rows.repartition("band").sortWithinPartitions("band").mapInArrow(_met, "a long, b long, band long")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return pairs.join(text[0], "a").join(text[1], "b").select("a", "b", "one", "other").mapInArrow(_verified, "a long, b long")
+
+    def still_open(rows: DataFrame) -> DataFrame:
+        """``rows`` of the bands that hold several classes."""
+        several = rows.groupBy("band").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least != most").select("band")
+        return rows.join(stage(several, "open"), "band", "left_semi")
+
+    pairs = stage(met_in(small).distinct(), "pairs")
+    near = verified(pairs.where("band is null").select("a", "b"))
+    rest = pairs.where("band is not null").select("band", F.col("a").alias("node"))
     met = large.groupBy("n", "x", "y").agg(F.min("band").alias("band"))
     groups = stage(bands.join(met.select("band", "n"), "band"), "groups")
 
     def dealt(classes: DataFrame | None) -> DataFrame:
         rows, blocks = groups.withColumn("class", F.col("node")), F.ceil(F.col("n") / BLOCK).cast("int")
         if classes is not None:
-            rows = groups.join(classes, "node")
-            open_ = rows.groupBy("band").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least != most").select("band")
-            rows = rows.join(stage(open_, "open"), "band", "left_semi")
+            rows = still_open(groups.join(classes, "node"))
         rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         if classes is None:
             rows = rows.withColumn("low", F.col("block")).withColumn("high", F.col("block"))
@@ -350,8 +380,11 @@ def _line_links(lines: DataFrame) -> DataFrame:
 
     first = stage(dealt(None).unionByName(near), "links")
     found = components(first)
-    classes = stage(groups.select("node").distinct().join(found, "node", "left").select("node", F.coalesce("component", "node").alias("class")), "classes")
-    return first.unionByName(stage(dealt(classes), "links"))
+    nodes = groups.select("node").unionByName(rest.select("node")).distinct()
+    classes = stage(nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("class")), "classes")
+    others = still_open(rest.join(classes, "node")).join(forms.drop("form"), "node")
+    later = verified(met_in(others).select("a", "b").distinct())
+    return first.unionByName(stage(dealt(classes).unionByName(later), "links"))
 
 
 @cleaned
