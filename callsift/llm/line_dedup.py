@@ -23,6 +23,8 @@ MULTIPLIERS = np.random.default_rng(31).integers(1, 1 << 63, ROWS, dtype=np.uint
 SMALL, BLOCK = 128, 1024
 #: Bits of the map of a line's shingles, and pairs of maps that a task holds at a time.
 BITS, PAIRS = 512, 1 << 18
+#: Bits of a shingle's hash beside the number of its pair, and how near to the threshold counts of hashes are not trusted.
+HASHED, SLACK = 52, 4
 #: Characters hashed at a time, and shingles that a task holds as sets.
 PART, HELD = 1 << 17, 1 << 20
 SEED = np.uint64(0x51ED270B9F3A7C15)
@@ -76,23 +78,38 @@ def _mix32(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """A 32-bit hash of each shingle at each place, and the line it lies in. Lines shorter than a shingle have one."""
-    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
-    long, short = np.flatnonzero(lengths >= SHINGLE), np.flatnonzero(lengths < SHINGLE)
-    lengths = lengths[long]
-    points = np.frombuffer("".join(lines if not len(short) else [lines[i] for i in long]).encode("utf-32-le", "surrogatepass"), np.uint32)
+def _rolled(points: np.ndarray) -> np.ndarray:
+    """A 32-bit hash of the shingle that starts at each character."""
     rolled = _mix32(points + np.uint32(0x9F3A7C15))
     for width in (1, 2, 4):
         rolled = rolled[: max(0, len(rolled) - width)] * np.uint32(0x7F4A7C15 + 2 * width) + rolled[width:]
         rolled ^= rolled >> np.uint32(15)
+    return _mix32(rolled)
+
+
+def _rolled_wide(points: np.ndarray) -> np.ndarray:
+    """The same with 64 bits."""
+    rolled = mix(points.astype(np.uint64) + SEED)
+    for i, width in enumerate((1, 2, 4)):
+        rolled = rolled[: max(0, len(rolled) - width)] * MULTIPLIERS[i] + rolled[width:]
+        rolled ^= rolled >> np.uint64(32)
+    return mix(rolled)
+
+
+def _hashed(lines: list[str], rolled=_rolled, short_hash=xxhash.xxh32_intdigest) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each shingle at each place, and the line it lies in. Lines shorter than a shingle have one."""
+    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    long, short = np.flatnonzero(lengths >= SHINGLE), np.flatnonzero(lengths < SHINGLE)
+    lengths = lengths[long]
+    points = np.frombuffer("".join(lines if not len(short) else [lines[i] for i in long]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    every = rolled(points)
     inside = np.ones(len(points), bool)
     for back in range(1, SHINGLE):
         inside[np.cumsum(lengths) - back] = False
-    hashes = _mix32(rolled[inside[: len(rolled)]])
+    hashes = every[inside[: len(every)]]
     row = np.repeat(long, lengths - SHINGLE + 1)
     if len(short):
-        hashes = np.concatenate([hashes, np.array([xxhash.xxh32_intdigest(lines[i].encode("utf-8", "surrogatepass")) for i in short], np.uint32)])
+        hashes = np.concatenate([hashes, np.array([short_hash(lines[i].encode("utf-8", "surrogatepass")) for i in short], every.dtype)])
         row = np.concatenate([row, short])
     return hashes, row
 
@@ -155,6 +172,16 @@ COUNTS = StructType([StructField("n_lines", LongType()), StructField("n_removed"
 LINE = "chunk long, row int, line int, doc_id long, key binary, copied boolean, form string, size int, bits binary, bands array<long>"
 
 
+def _answers(keys: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, int]:
+    """The code of each key, given the codes of the distinct keys in ascending order, and how many these are."""
+    order = np.argsort(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    out = np.empty(len(keys), codes.dtype)
+    out[order] = codes[np.cumsum(new) - 1]
+    return out, int(new.sum())
+
+
 def _marked(documents: pa.Table, codes: np.ndarray, chunk: int) -> pa.Table:
     """Lines that occur elsewhere too (copied) or share a band with another form; the first of such a form in the chunk carries
     text, bit map and bands. Keys are counted once for each form and chunk, so a band that more chunks have than the form is another's too."""
@@ -162,11 +189,11 @@ def _marked(documents: pa.Table, codes: np.ndarray, chunk: int) -> pa.Table:
     lines, n = list(forms), len(forms)
     digests, bands = _digests(forms), band_keys(lines)
     exact = _exact_keys(digests)
-    keys, own = np.unique(bands), np.unique(exact)
     row, line, form = (np.array(x, np.int64) for x in (([x[0] for x in every], [x[1] for x in every], [forms[x[2]] for x in every])))
-    chunks = codes[len(keys) :][np.searchsorted(own, exact)]
+    sharers, known = _answers(bands.ravel(), codes)
+    sharers = sharers.reshape(bands.shape)
+    chunks, _ = _answers(exact, codes[known:])
     copied = (chunks > 1) | (np.bincount(form, minlength=n) > 1)
-    sharers = codes[np.searchsorted(keys, bands)]
     met = (sharers > chunks[:, None]) | (sharers == 0xFFFF)
     similar = met.any(axis=1)
     first = np.zeros(len(form), bool)
@@ -200,9 +227,40 @@ def alike(a: frozenset[str], b: frozenset[str]) -> bool:
     return common >= SHARE * (len(a) + len(b) - common)
 
 
+def _members(lines: list[str]) -> np.ndarray:
+    """The distinct shingles of every line as ascending numbers: the line in the upper bits, a hash in the lower ones."""
+    hashes, row = _hashed(lines, _rolled_wide, xxhash.xxh3_64_intdigest)
+    every = np.sort(row.astype(np.uint64) << np.uint64(HASHED) | hashes >> np.uint64(64 - HASHED))
+    new = np.ones(len(every), bool)
+    new[1:] = every[1:] != every[:-1]
+    return every[new]
+
+
+def similar(one: list[str], other: list[str]) -> np.ndarray:
+    """Which pairs of lines are similar.
+
+    Shingles are counted by hashes, which tells pairs that are clearly similar or not: a collision moves the difference of
+    both sides by less than two. Whatever lies within SLACK of the threshold is decided by the shingles themselves.
+    """
+    keep, at, size = np.zeros(len(one), bool), 0, 0
+    for to in range(1, len(one) + 1):
+        size += len(one[to - 1]) + len(other[to - 1])
+        if size < PART and to - at < 1 << (64 - HASHED) and to < len(one):
+            continue
+        a, b = _members(one[at:to]), _members(other[at:to])
+        both = np.sort(np.concatenate([a, b]))
+        common, *sizes = (np.bincount((x >> np.uint64(HASHED)).astype(np.int64), minlength=to - at) for x in (both[1:][both[1:] == both[:-1]], a, b))
+        over = common - SHARE * (sizes[0] + sizes[1] - common)
+        keep[at:to] = over >= 0
+        for i in (at + np.flatnonzero(np.abs(over) <= SLACK)).tolist():
+            keep[i] = alike(shingles(one[i]), shingles(other[i]))
+        at, size = to, 0
+    return keep
+
+
 def _verified(batches):
     for batch in batches:
-        keep = pa.array([alike(shingles(x), shingles(y)) for x, y in zip(batch.column("one").to_pylist(), batch.column("other").to_pylist())], pa.bool_())
+        keep = pa.array(similar(batch.column("one").to_pylist(), batch.column("other").to_pylist()))
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
 

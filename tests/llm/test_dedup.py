@@ -223,6 +223,27 @@ def test_bit_maps_never_rule_out_similar_lines():
     assert ruled_out > 0.8 * len(lines) ** 2
 
 
+@pytest.mark.parametrize("hashed, slack", [(52, 4), (52, 0), (20, 4)])
+def test_similar_lines_are_those_with_similar_sets(monkeypatch, hashed, slack):
+    # Few bits make hashes collide, which must only matter where the slack is too small for it.
+    monkeypatch.setattr(line_dedup, "HASHED", hashed)
+    monkeypatch.setattr(line_dedup, "SLACK", slack)
+    monkeypatch.setattr(line_dedup, "PART", 2000)
+    rng = random.Random(12)
+    one, other = [], []
+    for n in (1, 3, 7, 8, 9, 20, 60, 61, 350, 900):
+        for edits in range(30):
+            line = "".join(rng.choice("abcde \u00e9\u65e5\U0001f469") for _ in range(n)).strip() or "a"
+            near = list(line)
+            for _ in range(edits * n // 300):
+                near[rng.randrange(len(near))] = rng.choice("xyz")
+            one.append(line)
+            other.append("".join(near) if edits else line[: n // 2] or "b")
+    wanted = [line_dedup.alike(line_dedup.shingles(x), line_dedup.shingles(y)) for x, y in zip(one, other)]
+    assert line_dedup.similar(one, other).tolist() == wanted and 30 < sum(wanted) < len(wanted) - 30
+    assert line_dedup.similar([], []).tolist() == []
+
+
 def test_lines_of_a_text_equal_lines_normalized_one_by_one(odd, documents):
     texts = ["", " ", "A  b\n c\td \n", "\u00a0x\u2003Y z\n", "\u039f\u03a3\n\u03a3 \u03a3a\n  ", " a b \nC"]
     texts += [r.text for r in [*odd.collect(), *documents.collect()] if r.text]
