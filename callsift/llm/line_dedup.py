@@ -25,7 +25,7 @@ SMALL, BLOCK = 128, 1024
 BITS, PAIRS = 512, 1 << 18
 #: Bits of a shingle's hash beside the number of its pair, and how near to the threshold counts of hashes are not trusted.
 HASHED, SLACK = 52, 4
-#: Characters hashed at a time, and shingles that a task holds as sets.
+#: Characters hashed at a time, and shingles that a task numbers at a time.
 PART, HELD = 1 << 17, 1 << 20
 SEED = np.uint64(0x51ED270B9F3A7C15)
 EMPTY = np.uint32(0xFFFFFFFF)
@@ -320,39 +320,54 @@ def _met(batches):
 
 
 def _compared(leaders: bool):
-    """Verified links of one band's lines: with the longest line only, or between all of different classes."""
+    """Verified links of one band's lines: with the longest line only, or between all of different classes.
+
+    The lines of two tiles are numbered by their shingles at a time, so that a line is held against all others by one gather;
+    as in ``similar``, the shingles themselves decide near the threshold.
+    """
 
     def run(key: tuple[int, ...], rows: pa.Table) -> list[tuple[int, int]]:
         nodes, classes, block = (rows.column(c).to_numpy() for c in ("node", "class", "block"))
         forms, size, maps = rows.column("form").to_pylist(), rows.column("size").to_numpy(), _words(rows.column("bits"))
-        sets: dict[int, frozenset] = {}
-        held = 0
-
-        def set_of(i: int) -> frozenset:
-            nonlocal held
-            found = sets.get(i)
-            if found is None:
-                if held > HELD:
-                    sets.clear()
-                    held = 0
-                found = sets[i] = shingles(forms[i])
-                held += len(found)
-            return found
-
         if leaders:
             lead = max(range(len(forms)), key=lambda i: (len(forms[i]), -nodes[i]))
-            near = np.flatnonzero(possible(maps[lead], maps, size[lead], size)).tolist()
-            return [(int(nodes[lead]), int(nodes[i])) for i in near if i != lead and alike(set_of(lead), set_of(i))]
+            near = np.flatnonzero(possible(maps[lead], maps, size[lead], size) & (np.arange(len(forms)) != lead))
+            near = near[similar([forms[lead]] * len(near), [forms[i] for i in near])]
+            return [(int(nodes[lead]), int(nodes[i])) for i in near]
         _, low, high = key
         _, root = np.unique(classes, return_inverse=True)
         links = []
         order = np.argsort(block, kind="stable")
-        for at, x in enumerate(order):
-            others = order[at + 1 :][root[order[at + 1 :]] != root[x]]
-            for y in others[possible(maps[x], maps[others], size[x], size[others])]:
-                if (low == high or block[x] != block[y]) and root[x] != root[y] and alike(set_of(x), set_of(y)):
-                    links.append((int(nodes[x]), int(nodes[y])))
-                    root[root == root[y]] = root[x]
+        tile = np.maximum(np.cumsum(size[order]) // (HELD // 2), np.arange(len(order)) // (1 << (63 - HASHED)))
+        tiles = np.split(order, np.flatnonzero(np.diff(tile)) + 1)
+        for i, xs in enumerate(tiles):
+            for ys in tiles[i:]:
+                one = ys is xs
+                own = xs if one else np.concatenate([xs, ys])
+                if (root[own] == root[own[0]]).all():
+                    continue
+                members = _members([forms[k] for k in own])
+                starts = np.searchsorted(members, np.arange(len(own), dtype=np.uint64) << np.uint64(HASHED))
+                starts, every = np.append(starts, len(members)), np.unique(members & np.uint64((1 << HASHED) - 1), return_inverse=True)[1]
+                mark = np.zeros(every.max() + 1, bool)
+                for at, x in enumerate(xs):
+                    places = np.arange(at + 1 if one else len(xs), len(own))
+                    y = own[places]
+                    met = (root[y] != root[x]) & ((block[y] != block[x]) | (low == high))
+                    places, y = places[met], y[met]
+                    places = places[possible(maps[x], maps[y], size[x], size[y])]
+                    if not len(places):
+                        continue
+                    n, lengths = starts[at + 1] - starts[at], starts[places + 1] - starts[places]
+                    mark[every[starts[at] : starts[at + 1]]] = True
+                    common = np.add.reduceat(mark[every[np.repeat(starts[places], lengths) + ramp(lengths)]], np.cumsum(lengths) - lengths, dtype=np.int64)
+                    mark[every[starts[at] : starts[at + 1]]] = False
+                    over = common - SHARE * (n + lengths - common)
+                    for k in np.flatnonzero(over >= -SLACK):
+                        other = own[places[k]]
+                        if root[x] != root[other] and (over[k] > SLACK or alike(shingles(forms[x]), shingles(forms[other]))):
+                            links.append((int(nodes[x]), int(nodes[other])))
+                            root[root == root[other]] = root[x]
         return links
 
     return run

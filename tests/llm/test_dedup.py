@@ -244,6 +244,35 @@ def test_similar_lines_are_those_with_similar_sets(monkeypatch, hashed, slack):
     assert line_dedup.similar([], []).tolist() == []
 
 
+@pytest.mark.parametrize("held", [line_dedup.HELD, 600])
+def test_groups_of_lines_connect_what_all_their_pairs_connect(monkeypatch, held):
+    monkeypatch.setattr(line_dedup, "HELD", held)
+    rng = random.Random(4)
+    forms = []
+    for _ in range(6):
+        base = "".join(rng.choice("abcdefg ") for _ in range(90)).strip() + "."
+        for _ in range(8):
+            base = base[: (at := rng.randrange(len(base)))] + rng.choice("xyz") + base[at + 1 :]
+            forms.append(base)
+    forms = list(dict.fromkeys([*forms, "short", "shorter", "a"]))
+    sets = [line_dedup.shingles(x) for x in forms]
+    pairs = [(a, b) for a in range(len(forms)) for b in range(a) if line_dedup.alike(sets[a], sets[b])]
+    maps = line_dedup.bit_maps(forms)
+
+    def links(block, low, high, of=line_dedup._compared(False)):
+        rows = {"node": pa.array(range(len(forms))), "class": pa.array(range(len(forms))), "block": pa.array(block), "form": pa.array(forms)}
+        rows |= {"size": pa.array([max(1, len(x) - 7) for x in forms], pa.int32()), "bits": pa.array([x.tobytes() for x in maps], pa.binary())}
+        return of((1, low, high), pa.table(rows).combine_chunks())
+
+    block = [i % 2 for i in range(len(forms))]
+    wanted = [p for p in pairs if block[p[0]] != block[p[1]]]
+    assert roots(len(forms), links([0] * len(forms), 0, 0)) == roots(len(forms), pairs) and len(pairs) > 20
+    assert roots(len(forms), links(block, 0, 1)) == roots(len(forms), wanted) and 5 < len(wanted) < len(pairs)
+    lead = max(range(len(forms)), key=lambda i: (len(forms[i]), -i))
+    found = links([0] * len(forms), 0, 0, line_dedup._compared(True))
+    assert {tuple(sorted(p)) for p in found} == {tuple(sorted(p)) for p in pairs if lead in p}
+
+
 def test_lines_of_a_text_equal_lines_normalized_one_by_one(odd, documents):
     texts = ["", " ", "A  b\n c\td \n", "\u00a0x\u2003Y z\n", "\u039f\u03a3\n\u03a3 \u03a3a\n  ", " a b \nC"]
     texts += [r.text for r in [*odd.collect(), *documents.collect()] if r.text]
