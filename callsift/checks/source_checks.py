@@ -23,12 +23,20 @@ from callsift.streaming import ingest, receives
 from callsift.streaming.metrics import close_windows, four_metrics_stream, heartbeat, metrics_stream, read_windows
 
 GZ = "*.gz"
+SHARDS = 8
+ROWS_PER_SHARD = 2000
+
+
+def in_doc_order(lines):
+    """Lines sorted by document, a partition per shard: more rows make more shards, not larger ones."""
+    shards = max(SHARDS, -(-lines.count() // ROWS_PER_SHARD))
+    return lines.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id")
 
 
 def write_shards(lines, spark, purpose: str) -> str:
     """Lines as gz shards in doc order, each followed by a blank line."""
     path = work_dir(spark, purpose)
-    ordered = lines.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id")
+    ordered = in_doc_order(lines)
     ordered.select(F.concat("value", F.lit("\n  ")).alias("value")).write.option("compression", "gzip").text(path)
     return path
 
@@ -189,7 +197,7 @@ def smoke_sample(spark, sf_dir):
         "doc_id", F.to_json(F.struct(F.col("doc_id").cast("string").alias("call_id"), F.col("text").alias("transcript"))).alias("value")
     )
     root = work_dir(spark, "corpus")
-    ordered = lines.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id")
+    ordered = in_doc_order(lines)
     ordered.select("value").write.option("compression", "gzip").text(f"{root}/shards")
     corpus = src.build_corpus(spark, f"{root}/shards", f"{root}/corpus", glob=GZ)
     calls = src.usable_calls(src.parse_lines(src.smoke_set(corpus)))

@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from callsift.checks import source_checks
 from callsift.checks.stub import stub_model
 from callsift.functions import json_strict
 from callsift.functions import paths as p
@@ -314,3 +315,11 @@ def test_four_metrics_with_late_rows_and_a_quiet_end(spark, tmp_path):
     beat = heartbeat(spark, at(60)).collect()
     third = follow([tuple(r) for r in beat])
     assert third == second | {("q", 4): (1, 1 / 60, 0.0, None, None, 0), ("r", 5): (1, 1 / 60, 0.0, None, None, 0)}
+
+
+def test_more_rows_make_more_shards(spark, monkeypatch):
+    monkeypatch.setattr(source_checks, "ROWS_PER_SHARD", 20)
+    lines = spark.range(1000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("value"))
+    shards = sorted(Path(source_checks.write_shards(lines, spark, "shards")).glob("*.gz"))
+    texts = [[int(t) for t in gzip.open(s, "rt").read().split()] for s in shards]
+    assert len(shards) == 50 and sum(texts, []) == list(range(1000)) and max(map(len, texts)) < 100
