@@ -19,39 +19,56 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 RECEIVES_SCHEMA = "item string, kind string, ingest_batch string, ok boolean, n long"
 DEAD_SCHEMA = "item string, kind string, receives long"
+#: Into how many states items are dealt; a micro-batch reads and writes those of its own items whole.
+BUCKETS = 1 << 16
 
 
 class _Letters(StatefulProcessor):
-    """Per item: the receives of each batch until it succeeds or has been received too often; then only that it is settled.
+    """A bucket of items. Per item: the receives of each batch until it succeeds or has been received too often; then only that
+    it is settled.
 
-    A batch that comes again replaces what it said before, so a repeated delivery of the log counts once.
+    A batch that comes again replaces what it said before, so a repeated delivery of the log counts once. The bucket's state is
+    read and written once per micro-batch; a settled item is the row that has no ``n``.
     """
 
     def __init__(self, max_receives: int):
         self.max_receives = max_receives
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.batches = handle.getMapState("batches", "ingest_batch string", "n long")
-        self.settled = handle.getValueState("settled", "settled boolean")
+        self.items = handle.getValueState("items", "item array<string>, kind array<string>, ingest_batch array<string>, n array<long>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        counts: dict[str, int] = {}
-        good = False
+        told: dict[tuple, dict[str, int]] = {}
+        good = set()
         for frame in rows:
-            good = good or bool(frame["ok"].any())
-            for batch, n in zip(frame["ingest_batch"], frame["n"]):
+            for item, kind, batch, ok, n in zip(*(frame[name].tolist() for name in ("item", "kind", "ingest_batch", "ok", "n"))):
+                counts = told.setdefault((item, kind), {})
                 counts[batch] = counts.get(batch, 0) + int(n)
-        if self.settled.exists():
-            return
-        for batch, n in counts.items():
-            self.batches.updateValue((batch,), (n,))
-        received = sum(n for (n,) in self.batches.values())
-        if good or received >= self.max_receives:
-            self.settled.update((True,))
-            self.batches.clear()
-            if not good:
-                item, kind = key
-                yield pd.DataFrame({"item": [item], "kind": [kind], "receives": [received]})
+                if ok:
+                    good.add((item, kind))
+        known: dict[tuple, dict[str, int] | None] = {}
+        for item, kind, batch, n in zip(*(self.items.get() or ((), (), (), ()))):
+            if n is None:
+                known[item, kind] = None
+            else:
+                known.setdefault((item, kind), {})[batch] = n
+        dead, changed = [], False
+        for who, counts in told.items():
+            batches = known.setdefault(who, {})
+            if batches is None:
+                continue
+            changed = True
+            batches.update(counts)
+            received = sum(batches.values())
+            if who in good or received >= self.max_receives:
+                known[who] = None
+                if who not in good:
+                    dead.append((*who, received))
+        if changed:
+            kept = [(*who, *entry) for who, batches in known.items() for entry in ([(None, None)] if batches is None else batches.items())]
+            self.items.update(tuple(list(column) for column in zip(*kept)))
+        if dead:
+            yield pd.DataFrame(dead, columns=["item", "kind", "receives"])
 
     def close(self) -> None:
         pass
@@ -78,17 +95,19 @@ def with_state_store(spark: SparkSession, start):
         spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
 
 
-def count_receives(receives: DataFrame, max_receives: int) -> DataFrame:
+def count_receives(receives: DataFrame, max_receives: int, buckets: int = BUCKETS) -> DataFrame:
     """Streaming receives (item, kind, ingest_batch, ok, n) -> dead letters (item, kind, receives).
 
     An item is settled by the first batch in which a receive of it succeeds, or, without one, in which its receives reach
     ``max_receives``; in that case it comes out here, once. What is received of a settled item later changes nothing.
-    Pings are dropped; unknown messages never succeed. State per item is at most ``max_receives`` small entries.
+    Pings are dropped; unknown messages never succeed. State per item is at most ``max_receives`` small entries. Items share a
+    call into Python and a state by a hash into ``buckets``, a number that stays for the life of a checkpoint.
     """
     told = receives.filter(F.coalesce(F.col("kind"), F.lit("unknown")) != "test").select(
         "item", "kind", "ingest_batch", (F.coalesce("ok", F.lit(False)) & (F.col("kind") == "object")).alias("ok"), F.coalesce("n", F.lit(1)).cast("long").alias("n")
     )
-    keyed = told.mapInArrow(_combined, RECEIVES_SCHEMA).groupBy("item", "kind")
+    bucket = F.pmod(F.xxhash64("item", "kind"), F.lit(buckets))
+    keyed = told.mapInArrow(_combined, RECEIVES_SCHEMA).withColumn("bucket", bucket).groupBy("bucket")
     return keyed.transformWithStateInPandas(_Letters(max_receives), DEAD_SCHEMA, "Append", "None")
 
 
@@ -97,8 +116,8 @@ def dead_letters_stream(
 ) -> StreamingQuery:
     """Follow a log of receives and append dead letters to ``out``.
 
-    What a batch of messages costs depends on its own receives and not on the log: earlier ones are in the state, and files that
-    are done with move to ``<receives_path>-done``. The default trigger takes what is there and stops.
+    What a batch of messages costs depends on its own receives and the items that share their buckets, not on the log: earlier
+    receives are in the state, and files that are done with move to ``<receives_path>-done``. The default trigger takes what is there and stops.
     """
     source = (
         spark.readStream.schema(RECEIVES_SCHEMA)

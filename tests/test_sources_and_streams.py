@@ -6,6 +6,7 @@ import urllib.parse
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -323,3 +324,41 @@ def test_more_rows_make_more_shards(spark, monkeypatch):
     shards = sorted(Path(source_checks.write_shards(lines, spark, "shards")).glob("*.gz"))
     texts = [[int(t) for t in gzip.open(s, "rt").read().split()] for s in shards]
     assert len(shards) == 50 and sum(texts, []) == list(range(1000)) and max(map(len, texts)) < 100
+
+
+class FakeState:
+    """A value state and its handle that count the calls."""
+
+    def __init__(self):
+        self.value, self.calls, self.timers = None, [], []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_items_of_a_bucket_share_their_state_calls():
+    letters, state = receives._Letters(3), FakeState()
+    letters.init(state)
+    rows = pd.DataFrame([(f"i{n}", "object", "b1", n % 4 == 0, 1 + n % 3) for n in range(1000)], columns=["item", "kind", "ingest_batch", "ok", "n"])
+    dead = [frame for frame in letters.handleInputRows((0,), iter([rows[:400], rows[400:]]), None)]
+    assert [len(f) for f in dead] == [sum(n % 4 > 0 and n % 3 == 2 for n in range(1000))] and state.calls == ["get", "update"]
+    again = rows.assign(ingest_batch="b2", ok=False)
+    dead = [frame for frame in letters.handleInputRows((0,), iter([again]), None)]
+    assert sorted(dead[0]["receives"].unique()) == [4] and len(dead[0]) == sum(n % 4 > 0 and n % 3 == 1 for n in range(1000))
