@@ -70,7 +70,9 @@ def close_windows(requests: DataFrame, out: str, period_seconds: int = PERIOD_SE
 
 SUMS = ("n", "ok", "ratio", "ratios", "gpu", "gpus")
 PARTS_SCHEMA = "run_id string, period_ms long, n long, ok long, ratio double, ratios long, gpu double, gpus long"
-STATE_SCHEMA = "n long, ok long, ratio double, ratios long, gpu double, gpus long"
+STATE_SCHEMA = "timer long, period_ms array<long>, n array<long>, ok array<long>, ratio array<double>, ratios array<long>, gpu array<double>, gpus array<long>"
+#: Windows in a row that share a call into Python and a state.
+BLOCK_WINDOWS = 64
 WINDOWS_SCHEMA = "kind string, run_id string, period_ms long, requests long, req_per_sec double, error_rate double, prefix_cache_hit_ratio double, gpu_util double"
 
 
@@ -101,40 +103,74 @@ PARTS = pa.schema(
 
 
 class _Windows(StatefulProcessor):
-    """One run's window: sums until a timer at its end, then its metrics. What comes after the watermark has passed
-    the end is told as late instead."""
+    """A block of one run's windows: sums of each until a timer at its end, then its metrics. What comes after the watermark
+    has passed a window's end is told as late instead. The block's state is read and written once per call."""
 
     def __init__(self, period_ms: int):
         self.period_ms = period_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.sums = handle.getValueState("sums", STATE_SCHEMA)
+        self.open = handle.getValueState("open", STATE_SCHEMA)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        run_id, period = key
-        sums = [sum(x) for x in zip(*([frame[name].sum() for name in SUMS] for frame in rows))]
-        end = int(period) + self.period_ms
-        if end <= timerValues.getCurrentWatermarkInMs():
-            yield self._row("late", run_id, period, int(sums[0]), None, None, None, None)
-            return
-        if self.sums.exists():
-            sums = [a + b for a, b in zip(self.sums.get(), sums)]
-        else:
-            self.handle.registerTimer(end)
-        self.sums.update(tuple(float(x) if name in ("ratio", "gpu") else int(x) for name, x in zip(SUMS, sums)))
+        watermark = timerValues.getCurrentWatermarkInMs()
+        windows, timer = self._read()
+        late: dict[int, int] = {}
+        for frame in rows:
+            for period, *sums in zip(*(frame[name].tolist() for name in ("period_ms", *SUMS))):
+                if period + self.period_ms <= watermark:
+                    late[period] = late.get(period, 0) + sums[0]
+                elif period in windows:
+                    windows[period] = [a + b for a, b in zip(windows[period], sums)]
+                else:
+                    windows[period] = sums
+        self._write(windows, timer)
+        if late:
+            yield self._rows("late", key[0], [(period, n, None, None, None, None) for period, n in late.items()])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        run_id, period = key
-        n, ok, ratio, ratios, gpu, gpus = self.sums.get()
-        self.sums.clear()
-        rates = (ok / (self.period_ms / 1000), (n - ok) / n) if n else (None, None)
-        yield self._row("window", run_id, period, int(n), *rates, ratio / ratios if ratios else None, gpu / gpus if gpus else None)
-
-    def _row(self, kind, run_id, period, requests, *values) -> pd.DataFrame:
+        windows, _ = self._read()
+        last = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+        over = [period for period in windows if period + self.period_ms <= last]
+        closed = []
+        for period in over:
+            n, ok, ratio, ratios, gpu, gpus = windows.pop(period)
+            rates = (ok / (self.period_ms / 1000), (n - ok) / n) if n else (None, None)
+            closed.append((period, n, *rates, ratio / ratios if ratios else None, gpu / gpus if gpus else None))
+        self._write(windows, None)
+        if closed:
+            yield self._rows("window", key[0], closed)
+
+    def _read(self) -> tuple[dict[int, list], int | None]:
+        """Sums by window, and the time of the block's timer."""
+        state = self.open.get()
+        if state is None:
+            return {}, None
+        timer, periods, *sums = state
+        return {period: list(values) for period, *values in zip(periods, *sums)}, timer
+
+    def _write(self, windows: dict[int, list], timer: int | None) -> None:
+        """A block has one timer, at the end of its first open window; without open windows it has no state."""
+        if not windows:
+            self.open.clear()
+            return
+        first = min(windows) + self.period_ms
+        if timer is None or first < timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(first)
+            timer = first
+        columns = zip(*windows.values())
+        kinds = (float if name in ("ratio", "gpu") else int for name in SUMS)
+        self.open.update((timer, list(windows), *([kind(x) for x in column] for kind, column in zip(kinds, columns))))
+
+    def _rows(self, kind, run_id, rows) -> pd.DataFrame:
         names = ("req_per_sec", "error_rate", "prefix_cache_hit_ratio", "gpu_util")
-        floats = {name: pd.Series([value], dtype="float64") for name, value in zip(names, values)}
-        return pd.DataFrame({"kind": [kind], "run_id": [run_id], "period_ms": [int(period)], "requests": [requests], **floats})
+        frame = pd.DataFrame(rows, columns=["period_ms", "requests", *names]).astype(dict.fromkeys(names, "float64"))
+        frame.insert(0, "run_id", run_id)
+        frame.insert(0, "kind", kind)
+        return frame
 
     def close(self) -> None:
         pass
@@ -152,15 +188,16 @@ def four_metrics_stream(
     """Follows a stream of requests (run_id, ts, ok) and one of scrapes (run_id, ts, scrape); each window's four metrics go to
     ``out`` once the watermark has passed its end, and so does, apart, a count of every late request.
 
-    Rows of a run and window are summed before the shuffle, and runs and windows have states of their own, so a run
-    with most of the rows costs a row per task and window. A quiet stream is closed by a ``heartbeat`` in one of its sources.
+    Rows of a run and window are summed before the shuffle, and each ``BLOCK_WINDOWS`` windows of a run in a row have a state of
+    their own, so a run with most of the rows costs a row per task and window. A quiet stream is closed by a ``heartbeat`` in one of its sources.
     Read the result with ``read_windows``.
     """
     asked = requests.select("run_id", F.col("ts").cast("timestamp").alias("ts"), "ok")
     seen = scrape_metrics(scrapes).select("run_id", F.col("ts").cast("timestamp").alias("ts"), F.col("prefix_cache_hit_ratio").alias("ratio"), F.col("gpu_util").alias("gpu"))
     rows = asked.unionByName(seen, allowMissingColumns=True).withWatermark("ts", watermark)
     parts = rows.select("run_id", F.unix_micros("ts").alias("us"), "ok", "ratio", "gpu").mapInArrow(_parts(period_seconds * 1000), PARTS_SCHEMA)
-    windows = parts.groupBy("run_id", "period_ms").transformWithStateInPandas(_Windows(period_seconds * 1000), WINDOWS_SCHEMA, "Append", "EventTime")
+    block = F.floor(F.col("period_ms") / (period_seconds * 1000 * BLOCK_WINDOWS))
+    windows = parts.withColumn("block", block).groupBy("run_id", "block").transformWithStateInPandas(_Windows(period_seconds * 1000), WINDOWS_SCHEMA, "Append", "EventTime")
     writer = (
         windows.writeStream.outputMode("append")
         .format("parquet")

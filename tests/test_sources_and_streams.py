@@ -5,6 +5,7 @@ import json
 import urllib.parse
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
+from types import SimpleNamespace
 
 import pandas as pd
 import pytest
@@ -18,7 +19,7 @@ from callsift.plans.pipeline import RunSettings
 from callsift.sources import calls as src
 from callsift.sources.notifications import parse_notifications
 from callsift.sources.tables import CALLS, Warehouse
-from callsift.streaming import ingest, receives
+from callsift.streaming import ingest, metrics, receives
 from callsift.streaming.metrics import four_metrics_stream, heartbeat, metrics_stream, read_windows
 
 FAST = RunSettings("m", model_options={"backoff_seconds": 0.0})
@@ -362,3 +363,18 @@ def test_items_of_a_bucket_share_their_state_calls():
     again = rows.assign(ingest_batch="b2", ok=False)
     dead = [frame for frame in letters.handleInputRows((0,), iter([again]), None)]
     assert sorted(dead[0]["receives"].unique()) == [4] and len(dead[0]) == sum(n % 4 > 0 and n % 3 == 1 for n in range(1000))
+
+
+def test_windows_of_a_block_share_their_state_calls():
+    windows, state = metrics._Windows(60_000), FakeState()
+    windows.init(state)
+    rows = pd.DataFrame([(60_000 * n, 2, 1, 0.5, 1, 0.25, 1) for n in range(64)], columns=["period_ms", *metrics.SUMS])
+    clock = SimpleNamespace(getCurrentWatermarkInMs=lambda: 60_000 * 4)
+    late = list(windows.handleInputRows(("r", 0), iter([rows, rows]), clock))
+    assert late[0][["period_ms", "requests"]].values.tolist() == [[60_000 * n, 4] for n in range(4)]
+    assert state.calls == ["get", "update"] and state.timers == [60_000 * 5]
+    clock = SimpleNamespace(getCurrentWatermarkInMs=lambda: 60_000 * 60 + 1)
+    state.timers.clear()
+    closed = list(windows.handleExpiredTimer(("r", 0), clock, SimpleNamespace(getExpiryTimeInMs=lambda: 60_000 * 5)))
+    assert closed[0]["period_ms"].tolist() == [60_000 * n for n in range(4, 60)] and set(closed[0]["requests"]) == {4} and set(closed[0]["error_rate"]) == {0.5}
+    assert state.timers == [60_000 * 61]
