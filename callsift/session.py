@@ -106,6 +106,18 @@ def scratch(spark: SparkSession):
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextlib.contextmanager
+def at_most(spark: SparkSession, key: str, limit: int):
+    """Holds a setting that is a count down to ``limit`` inside the block, then puts the session's own back."""
+    before = spark.conf.get(key)
+    own = int(before)
+    spark.conf.set(key, str(min(own, limit) if own > 0 else limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Round-robin a scan that has fewer splits than the cluster has slots.
 

@@ -378,3 +378,17 @@ def test_windows_of_a_block_share_their_state_calls():
     closed = list(windows.handleExpiredTimer(("r", 0), clock, SimpleNamespace(getExpiryTimeInMs=lambda: 60_000 * 5)))
     assert closed[0]["period_ms"].tolist() == [60_000 * n for n in range(4, 60)] and set(closed[0]["requests"]) == {4} and set(closed[0]["error_rate"]) == {0.5}
     assert state.timers == [60_000 * 61]
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    for n in range(120):
+        (tmp_path / f"c{n}").mkdir()
+        (tmp_path / f"c{n}" / "f.json").write_text('{"text": "x"}')
+    own = spark.conf.get(src.LISTING)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    files = src.read_transcript_files(spark, str(tmp_path))
+    spark.sparkContext.setJobGroup("other", "other")
+    told = spark.sparkContext.statusTracker()
+    tasks = [told.getStageInfo(s).numTasks for j in told.getJobIdsForGroup("listing") for s in told.getJobInfo(j).stageIds]
+    assert tasks and max(tasks) <= src.LISTING_TASKS * spark.sparkContext.defaultParallelism
+    assert files.count() == 120 and spark.conf.get(src.LISTING) == own
