@@ -400,3 +400,19 @@ def test_the_input_of_a_run_is_read_once(spark, tmp_path):
     assert tuple(again) == tuple(second) and warehouse.calls().count() == 13
     empty = run_extraction(warehouse, calls.limit(0), "run2", stub_model, FAST, "b1").first()
     assert (empty.submitted, empty.skipped, empty.status) == (0, 0, "success")
+
+
+def test_a_round_reaches_python_in_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(inference, "ROWS_AT_ONCE", 8)
+    own = spark.conf.get(inference.ARROW_ROWS)
+
+    def model(requests):
+        return [{"content": "{}", "usage": {"prompt_tokens": len(requests), "completion_tokens": 1}} for _ in requests]
+
+    def largest(**options):
+        calls = prepare.enrich(plain_calls(spark, [(f"c{n}", "text") for n in range(100)]))
+        rows = inference.extract_batch(calls, request_builder(FAST), model, max_attempts=1, concurrency=1, **options).collect()
+        return len(rows), max(r.prompt_token_count for r in rows)
+
+    assert largest() == (100, 8) and largest(batch_size=50) == (100, 50)
+    assert spark.conf.get(inference.ARROW_ROWS) == own
