@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -17,7 +18,7 @@ from callsift.llm.common import ramp, slices, table
 from callsift.llm.registry import query
 
 #: Distinct words that a worker remembers the ids of before it starts afresh.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 NO_RANK = np.int64(1) << 40
 #: Fixed value: how byte-level tokenizers split text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -27,6 +28,17 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 LETTERS, DIGITS = "A-Za-zªµºÀ-ÖØ-öø-\u024f", "0-9²³¹¼½¾"
 PLAIN_PATTERN = rf"'(?:s|t|re|ve|m|ll|d)| ?(?:[{LETTERS}]+|[{DIGITS}]+|[^\s{LETTERS}{DIGITS}]+)|\s+(?!\S)|\s+"
 NOT_PLAIN = r"[^\x00-\x1b\x20-\u024f\u2000-\u206f]"
+#: Classes of characters: others, letters, digits and white space.
+OTHER, LETTER, DIGIT, WHITE = range(4)
+
+
+def _kinds() -> np.ndarray:
+    """The class of every character, as PATTERN takes it."""
+    out, every = np.full(0x110000, OTHER, np.uint8), "".join(map(chr, range(0x110000)))
+    for kind, what in ((LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+"), (WHITE, r"\s+")):
+        for found in regex.finditer(what, every):
+            out[found.start() : found.end()] = kind
+    return out
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -53,11 +65,12 @@ class ByteBpe:
         for char, b in byte_of.items():
             self.first[b] = vocab.get(char, 0)
         merges = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
-        self.width = len(self.token_bytes)
+        self.width, self.kinds = len(self.token_bytes), _kinds()
         keys = np.array([vocab[a] * self.width + vocab[b] for a, b in merges], np.int64)
         order = np.argsort(keys)
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.merged = np.array([vocab[a + b] for a, b in merges], np.int64)
+        self.byte_ranks = self._rank(np.repeat(self.first, 256), np.tile(self.first, 256))
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.width + right
@@ -71,11 +84,12 @@ class ByteBpe:
         only pairs next to a merge are looked up anew, and words without a mergeable pair leave.
         """
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        symbol = self.first[np.frombuffer(b"".join(words), np.uint8)]
+        data = np.frombuffer(b"".join(words), np.uint8)
+        symbol = self.first[data]
         word = np.repeat(np.arange(len(words)), lengths)
         rank = np.full(len(symbol), NO_RANK)
         inner = np.flatnonzero(word[:-1] == word[1:])
-        rank[inner] = self._rank(symbol[inner], symbol[inner + 1])
+        rank[inner] = self.byte_ranks[data[inner].astype(np.int64) << 8 | data[inner + 1]]
         done: list[tuple[np.ndarray, np.ndarray]] = []
         while len(symbol):
             starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
@@ -117,6 +131,29 @@ class ByteBpe:
         return b"".join(map(self.token_bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
+def word_starts(points: np.ndarray, begins: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Which characters of some texts, of which the non-empty ones start at ``begins``, start a word of PATTERN."""
+    kind, border = kinds[points], np.zeros(len(points) + 1, bool)
+    border[begins] = border[-1] = True
+    start = border[:-1].copy()
+    start[1:] |= kind[1:] != kind[:-1]
+    # The last of some white space in front of other characters is a word of its own, or a space that opens theirs.
+    white = kind == WHITE
+    followed = white[:-1] & ~white[1:] & ~border[1:-1]
+    start[:-1] |= followed
+    start[1:] &= ~(followed & (points[:-1] == ord(" ")))
+    # 's and the like are words where no word has begun before them.
+    at = np.flatnonzero((points == ord("'")) & start)
+    at = at[~border[at + 1]]
+    one, two = points[at + 1], np.where(border[at + 2], 0, points[np.minimum(at + 2, len(points) - 1)])
+    short = np.isin(one, [ord(x) for x in "stmd"])
+    long = np.isin(one, [ord(x) for x in "rv"]) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    start[at[short | long] + 1] = False
+    ends = np.concatenate([at[short] + 2, at[long] + 3])
+    start[ends[ends < len(points)]] = True
+    return start
+
+
 class Encoder:
     """Encodes whole texts; remembers the ids of words in flat arrays."""
 
@@ -128,7 +165,7 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.at = {word: i for i, word in enumerate(self.model.special)}
+        self.at = {word.encode(): i for i, word in enumerate(self.model.special)}
         self.ids = np.array(list(self.model.special.values()), np.int64)
         self.counts = np.ones(len(self.at), np.int64)
         self.starts = np.arange(len(self.at))
@@ -139,23 +176,42 @@ class Encoder:
             return words(text)
         return [w for part in self.special.split(text) for w in ([part] if part in self.model.special else words(part))]
 
+    def _words(self, texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The words of all texts in one array, and where each text's begin (one more than texts)."""
+        whole, begins = "".join(texts), np.cumsum([0, *map(len, texts)])
+        points, blob = np.frombuffer(whole.encode("utf-32-le"), np.uint32), whole.encode()
+        start = word_starts(points, begins[:-1][begins[1:] > begins[:-1]], self.model.kinds)
+        if self.special is not None and self.special.search(whole):
+            for text, a, b in zip(texts, begins[:-1].tolist(), begins[1:].tolist()):
+                if self.special.search(text):
+                    start[a:b] = False
+                    start[a + np.cumsum([0, *(len(w) for w in self._split(text) if w)])[:-1]] = True
+        at = np.flatnonzero(start)
+        place = at if len(blob) == len(points) else np.flatnonzero((np.frombuffer(blob, np.uint8) & 0xC0) != 0x80)[at]
+        offsets = np.append(place, len(blob)).astype(np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(blob)])
+        return words.dictionary_encode(), np.searchsorted(at, begins)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text's begin (one more than texts)."""
-        split = [self._split(x) for x in texts]
-        words = [w for x in split for w in x]
+        words, begins = self._words(texts)
+        distinct = words.dictionary.to_pylist()
         if len(self.at) > self.limit:
             self._reset()
-        fresh = list(set(words).difference(self.at))
-        if fresh:
-            ids, counts = self.model.encode_words([w.encode() for w in fresh])
+        known = np.array([self.at.get(w, -1) for w in distinct], np.int64)
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            fresh = [distinct[i] for i in new.tolist()]
+            ids, counts = self.model.encode_words(fresh)
             first = len(self.counts)
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
             self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
+            known[new] = np.arange(first, first + len(fresh))
             self.at.update(zip(fresh, range(first, first + len(fresh))))
-        index = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+        index = known[words.indices.to_numpy()]
         counts = self.counts[index]
         ids = self.ids[np.repeat(self.starts[index], counts) + ramp(counts)]
-        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *map(len, split)])]
+        ends = np.concatenate([[0], np.cumsum(counts)])[begins]
         return ids, ends
 
 
@@ -168,9 +224,15 @@ def load(path: str | None = None) -> ByteBpe:
         return ByteBpe(file.read())
 
 
+@functools.lru_cache(1)
+def _encoder(model: ByteBpe) -> Encoder:
+    """A worker's encoder, so that its tasks share the words it remembers."""
+    return Encoder(model)
+
+
 def encoded(batches: Iterator[pa.RecordBatch], model: ByteBpe) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of a task's rows with the ids of their texts."""
-    encoder = Encoder(model)
+    encoder = _encoder(model)
     for batch in slices(batches):
         yield batch, *encoder.encode([x or "" for x in batch.column("text").to_pylist()])
 

@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -39,6 +40,26 @@ def test_both_splits_are_the_same():
         assert not encoder.not_plain(text) and encoder.plain(text) == encoder.words(text)
 
 
+def test_words_of_many_texts_at_once():
+    encoder = bpe.Encoder(bpe.load())
+    rng = np.random.default_rng(4)
+    signs = [*"abstrevmldLé²1 \n\t'.!\x1c\x00\x85\xa0\u2009—漢😀", "'s", " 's", "'re", "'ll", "  ", "\r\n", "<|endoftext|>"]
+    for _ in range(300):
+        texts = ["".join(rng.choice(signs, rng.integers(0, 25))) for _ in range(rng.integers(0, 9))]
+        words, begins = encoder._words(texts)
+        every = [x.decode() for x in words.to_pylist()]
+        assert [every[a:b] for a, b in zip(begins, begins[1:])] == [[w for w in encoder._split(x) if w] for x in texts]
+
+
+def test_tasks_of_a_worker_share_their_words():
+    model, merged = bpe.load(), []
+    encode_words = model.encode_words
+    model.encode_words = lambda words: merged.extend(words) or encode_words(words)
+    batch = pa.RecordBatch.from_pydict({"text": ["one two two", None, "two three"]})
+    first, second = ([(ids.tolist(), ends.tolist()) for _, ids, ends in bpe.encoded(iter([batch]), model)] for _ in range(2))
+    assert first == second and sorted(merged) == [b" three", b" two", b"one", b"two"]
+
+
 def test_encode_and_decode_tables(spark, odd, nothing):
     rows = bpe.decode(bpe.encode(odd))
     assert set(rows.columns) == {*odd.columns, "decoded"}
