@@ -18,7 +18,7 @@ def packed(*columns: np.ndarray) -> np.ndarray:
 
 def named(keys: np.ndarray) -> np.ndarray:
     """Dense ranks from 1; equal keys share one."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ordered = keys[order]
     names = np.empty(len(keys), np.int64)
     names[order] = np.cumsum(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(keys) else ordered
@@ -41,18 +41,16 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     sampled = np.concatenate([one, two])
     names = named(packed(padded[sampled], padded[sampled + 1], padded[sampled + 2]))
     if names.max() < len(names):
-        reduced = suffix_order(names)
-        ranks = np.empty(len(names), np.int64)
-        ranks[reduced] = np.arange(1, len(names) + 1)
+        in_order = sampled[suffix_order(names)]
     else:
-        ranks = names
+        in_order = np.empty_like(sampled)
+        in_order[names - 1] = sampled
     rank = np.zeros(n + 4, np.int64)
-    rank[sampled] = ranks
+    rank[in_order] = np.arange(1, len(in_order) + 1)
     rank[n:] = 0
     rest = np.arange(0, n, 3)
-    rest = rest[np.argsort(packed(padded[rest], rank[rest + 1]), kind="stable")]
-    own = sampled[sampled < n]
-    own = own[np.argsort(rank[own], kind="stable")]
+    rest = rest[np.argsort(packed(padded[rest], rank[rest + 1]))]
+    own = in_order[in_order < n]
     by_one, by_two = own[own % 3 == 1], own[own % 3 == 2]
     # Against remainder 1, one symbol reaches sampled positions on both sides; against remainder 2, two symbols do.
     first = packed(padded[np.concatenate([rest, by_one])], rank[np.concatenate([rest, by_one]) + 1])

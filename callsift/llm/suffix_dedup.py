@@ -31,15 +31,18 @@ FRAME = GRAM + 2 * SIDE
 HOT_CODE = 12
 #: Bytes of text per bucket of frames, which come to some 16,000 frames where a quarter of the anchors matter.
 BUCKET_BYTES = 900_000
-PART = 2 << 20
+#: Bytes of text whose grams are hashed at a time: their arrays stay in a core's cache.
+PART = 1 << 16
 PLACE_BITS = np.uint64(24)
+BYTES = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x9E37))
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
     """Hash of the gram at every place that has one."""
-    rolled = mix(data.astype(np.uint64) + np.uint64(0x9E37))
+    rolled = BYTES[data]
     for width in (1, 2, 4):
-        rolled = rolled[:-width] * np.uint64(0xC2B2AE3D27D4EB4F + 2 * width) + rolled[width:]
+        after, rolled = rolled[width:], rolled[:-width] * np.uint64(0xC2B2AE3D27D4EB4F + 2 * width)
+        rolled += after
         rolled ^= rolled >> np.uint64(31)
     out = rolled[:-16] * np.uint64(0x165667B19E3779F9) + rolled[8:-8] * np.uint64(0x27D4EB2F165667C5) + rolled[16:]
     return mix(out)
@@ -62,13 +65,15 @@ def anchors(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
             width *= 2
         value = np.minimum(value[: len(value) - (PLACES - width)], value[PLACES - width :])
         gram = (value & np.uint64((1 << int(PLACE_BITS)) - 1)).astype(np.int64)
-        string = np.arange(len(gram))
-        text = np.searchsorted(starts, string + at, side="right") - 1
-        whole = string + at + LENGTH <= starts[text + 1]
-        string, gram, text = string[whole], gram[whole], text[whole]
+        # Strings across the end of a text are none, which also sets those of different texts apart.
+        inside = np.ones(len(gram), bool)
+        for end in starts[np.searchsorted(starts, at + 1) : np.searchsorted(starts, at + len(own))].tolist():
+            inside[max(0, end - at - LENGTH + 1) : end - at] = False
+        string = np.flatnonzero(inside)
         if not len(string):
             continue
-        first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])]))
+        gram = gram[string]
+        first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (string[1:] != string[:-1] + 1)]))
         last = np.append(first[1:], len(string)) - 1
         found.append((gram[first] + at, hashes[gram[first]], string[first] + at, string[last] + at))
     if not found:
@@ -76,11 +81,16 @@ def anchors(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _texts(place: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The text of each of the ascending places."""
+    return np.repeat(np.arange(len(starts) - 1), np.diff(np.searchsorted(place, starts)))
+
+
 def _keys(documents: pa.Table) -> np.ndarray:
     data, starts = flat(documents.column("text"))
     place, hashes, _, _ = anchors(data, starts)
-    text = np.searchsorted(starts, place, side="right") - 1
-    order = np.lexsort((hashes, text))
+    text = _texts(place, starts)
+    order = np.argsort(hashes, kind="stable")
     hashes, text = hashes[order], text[order]
     fresh = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])]) if len(hashes) else np.zeros(0, bool)
     return hashes[fresh]
@@ -96,10 +106,11 @@ def _frames(data: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.nda
     return np.hstack([rows, left[:, None].astype(np.uint8), right[:, None].astype(np.uint8)])
 
 
-def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the distinct rows' first occurrences, and for each row the number of its distinct row."""
-    _, first, own = np.unique(np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").ravel(), return_index=True, return_inverse=True)
-    return first, own
+def _numbered(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the distinct rows' first occurrences, and for each row the number of its distinct row, in order of occurrence."""
+    rows = np.ascontiguousarray(rows)
+    own = pa.Array.from_buffers(pa.binary(rows.shape[1]), len(rows), [None, pa.py_buffer(rows)]).dictionary_encode().indices.to_numpy().astype(np.int64)
+    return np.flatnonzero(np.diff(np.maximum.accumulate(own), prepend=-1)), own
 
 
 SENT = "chunk long, bucket int, frames binary, docs binary, place binary, first binary, last binary, own binary, later binary"
@@ -113,20 +124,24 @@ def _asked(bits: int, hot_code: int):
     def make(documents, codes, chunk):
         data, starts = flat(documents.column("text"))
         place, hashes, first, last = anchors(data, starts)
-        keys = np.unique(hashes)
-        code = codes[np.searchsorted(keys, hashes)] if len(keys) else np.zeros(0, np.uint8)
+        order = np.argsort(hashes)
+        fresh = np.diff(hashes[order], prepend=~hashes[order[:1]]) != 0
+        code = np.empty(len(hashes), np.uint8)
+        code[order] = codes[np.cumsum(fresh) - 1]
+        text = _texts(place, starts)
         alone, hot = (code > 0) & (code < hot_code), code >= hot_code
         # Strings of a hot gram go one by one.
         times = (last[hot] - first[hot] + 1).astype(np.int64)
         single = np.repeat(first[hot], times) + ramp(times)
         place = np.concatenate([place[alone], np.repeat(place[hot], times)])
+        text = np.concatenate([text[alone], np.repeat(text[hot], times)])
         hashes = np.concatenate([hashes[alone], np.repeat(hashes[hot], times)])
         first, last = np.concatenate([first[alone], single]), np.concatenate([last[alone], single])
         rows = []
         if len(place):
-            doc = documents.column("doc_id").to_numpy()[np.searchsorted(starts, place, side="right") - 1]
+            doc = documents.column("doc_id").to_numpy()[text]
             frames = np.concatenate([_frames(data, place[i : i + 65536], first[i : i + 65536], last[i : i + 65536]) for i in range(0, len(place), 65536)])
-            sample, own = _distinct(frames)
+            sample, own = _numbered(frames)
             least = np.full(len(sample), np.iinfo(np.int64).max)
             np.minimum.at(least, own, doc)
             frames, key = frames[sample], hashes[sample]
@@ -186,13 +201,13 @@ def _answered(bucket, rows):
     sizes = [len(x) // (FRAME + 2) for x in blobs]
     frames = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, FRAME + 2)
     docs = np.frombuffer(b"".join(rows.column("docs").to_pylist()), np.int64)
-    sample, own = _distinct(frames)
+    sample, own = _numbered(frames)
     least = np.full(len(sample), np.iinfo(np.int64).max)
     np.minimum.at(least, own, docs)
     distinct = frames[sample]
     # A gram with one distinct frame needs no sorting: its strings differ from one another by their place.
-    gram, times = np.unique(np.ascontiguousarray(distinct[:, SIDE : SIDE + GRAM]).view(f"V{GRAM}").ravel(), return_inverse=True, return_counts=True)[1:]
-    several = np.flatnonzero(times[gram] > 1)
+    gram = _numbered(distinct[:, SIDE : SIDE + GRAM])[1]
+    several = np.flatnonzero(np.bincount(gram)[gram] > 1)
     bits = np.zeros(len(distinct), np.uint32)
     if len(several):
         bits[several] = repeated(distinct[several], least[several])
@@ -218,9 +233,11 @@ def _removed(documents: pa.Table, rows: pa.Table) -> tuple[np.ndarray, np.ndarra
         step = ramp(count)
         go = np.repeat(later, count) | ((np.repeat(bits, count) >> step.astype(np.uint32)) & 1).astype(bool)
         string = (np.repeat(first, count) + step)[go]
-        np.add.at(cover, string, 1)
-        np.add.at(cover, string + LENGTH, -1)
-    return data, starts, np.cumsum(cover[:-1]) > 0
+        starting = np.zeros(len(data) + 1, bool)
+        starting[string] = True
+        cover[:] = np.cumsum(starting)
+        cover[LENGTH:] -= np.cumsum(starting[: max(0, len(cover) - LENGTH)])
+    return data, starts, cover[:-1] > 0
 
 
 def _digests(documents, rows):

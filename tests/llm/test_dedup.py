@@ -401,3 +401,18 @@ def test_anchors_of_long_texts_do_not_depend_on_parts(monkeypatch):
         return {(s, p) for p, _, a, b in zip(*(x.tolist() for x in found)) for s in range(a, b + 1)}
 
     assert strings(whole) == strings(parts)
+
+
+def test_frames_and_grams_are_numbered():
+    rng = np.random.default_rng(8)
+    rows = rng.integers(0, 2, (300, 5)).astype(np.uint8)
+    first, own = suffix_dedup._numbered(rows[:, 1:4])
+    seen = list(dict.fromkeys(r.tobytes() for r in rows[:, 1:4]))
+    assert [rows[i, 1:4].tobytes() for i in first] == seen and [seen[i] for i in own] == [r.tobytes() for r in rows[:, 1:4]]
+    assert all(own[i] not in own[:i] for i in first)
+    texts = ["", "x" * 49, "ab" * 40, "y" * 200, "", "z" * 50, "ab" * 41]
+    data, starts = suffix_dedup.flat(pa.array(texts))
+    place, hashes, _, _ = suffix_dedup.anchors(data, starts)
+    text = suffix_dedup._texts(place, starts)
+    assert all(starts[i] <= at < starts[i + 1] for i, at in zip(text, place))
+    assert sorted(suffix_dedup._keys(pa.table({"text": texts})).tolist()) == sorted(h for _, h in set(zip(text.tolist(), hashes.tolist())))
