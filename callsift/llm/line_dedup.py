@@ -121,11 +121,16 @@ def _band_keys(lines: list[str]) -> np.ndarray:
     hashes, row = _hashed(lines)
     least = np.full(n * BINS, EMPTY)
     np.minimum.at(least, row * BINS + (hashes & np.uint32(BINS - 1)), hashes >> np.uint32(7))
-    least = least.reshape(n, BINS)
-    position = np.where(least != EMPTY, np.arange(BINS, dtype=np.int16), np.int16(4 * BINS))
-    position = np.hstack([position, np.minimum(position + np.int16(BINS), np.int16(4 * BINS))])
-    source = np.minimum.accumulate(position[:, ::-1], axis=1)[:, ::-1][:, :BINS]
-    values = np.take_along_axis(least, (source % BINS).astype(np.int64), axis=1).astype(np.uint64) * np.uint64(2 * BINS + 1) + (source - np.arange(BINS)).astype(np.uint64)
+    filled = least != EMPTY
+    values = least.astype(np.uint64) * np.uint64(2 * BINS + 1)
+    full, empty = np.flatnonzero(filled), np.flatnonzero(~filled)
+    before, line = np.cumsum(filled), empty // BINS
+    # Past the last bin of a line its first ones follow.
+    after, last = before[empty], before[line * BINS + BINS - 1]
+    after = np.where(after < last, after, (before - filled)[line * BINS])
+    source = full[after]
+    values[empty] = values[source] + ((source - empty) % BINS).astype(np.uint64)
+    values = values.reshape(n, BINS)
     keys = np.zeros((n, BANDS), np.uint64)
     for i in range(ROWS):
         keys += values[:, i : BANDS * ROWS : ROWS] * MULTIPLIERS[i]
@@ -236,25 +241,54 @@ def _members(lines: list[str]) -> np.ndarray:
     return every[new]
 
 
+def _same(one: str, other: str) -> bool:
+    """``alike`` of the lines' shingles; those of eight one-byte characters are compared as 64-bit words."""
+    try:
+        lines = [x.encode("latin-1") for x in (one, other)]
+    except UnicodeEncodeError:
+        lines = []
+    if not lines or min(map(len, lines)) < SHINGLE:
+        return alike(shingles(one), shingles(other))
+    a, b = (np.unique(np.ndarray(len(x) - SHINGLE + 1, np.uint64, x, strides=(1,))) for x in lines)
+    both = np.sort(np.concatenate([a, b]))
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return common >= SHARE * (len(a) + len(b) - common)
+
+
 def similar(one: list[str], other: list[str]) -> np.ndarray:
     """Which pairs of lines are similar.
 
-    Shingles are counted by hashes, which tells pairs that are clearly similar or not: a collision moves the difference of
-    both sides by less than two. Whatever lies within SLACK of the threshold is decided by the shingles themselves.
+    Shingles are counted by hashes, once for a line of several pairs, which tells pairs that are clearly similar or not: a
+    collision moves the difference of both sides by less than two. Whatever lies within SLACK of the threshold is decided by
+    the shingles themselves.
     """
-    keep, at, size = np.zeros(len(one), bool), 0, 0
+    keep, at, size, paired, own = np.zeros(len(one), bool), 0, 0, 0, {}
     for to in range(1, len(one) + 1):
-        size += len(one[to - 1]) + len(other[to - 1])
-        if size < PART and to - at < 1 << (64 - HASHED) and to < len(one):
+        for line in (one[to - 1], other[to - 1]):
+            paired += len(line)
+            if line not in own:
+                own[line] = len(own)
+                size += len(line)
+        if size < PART and paired < 4 * PART and len(own) < (1 << (64 - HASHED)) - 1 and to - at < 1 << (64 - HASHED) and to < len(one):
             continue
-        a, b = _members(one[at:to]), _members(other[at:to])
-        both = np.sort(np.concatenate([a, b]))
-        common, *sizes = (np.bincount((x >> np.uint64(HASHED)).astype(np.int64), minlength=to - at) for x in (both[1:][both[1:] == both[:-1]], a, b))
+        members = _members(list(own))
+        counts = np.bincount((members >> np.uint64(HASHED)).astype(np.int64), minlength=len(own))
+        starts, members = np.cumsum(counts) - counts, members & np.uint64((1 << HASHED) - 1)
+        sides, sizes = [], []
+        for lines in (one, other):
+            line = np.array([own[x] for x in lines[at:to]])
+            n = counts[line]
+            pair = np.repeat(np.arange(to - at, dtype=np.uint64) << np.uint64(HASHED), n)
+            sides.append(pair | members[np.repeat(starts[line], n) + ramp(n)])
+            sizes.append(n)
+        # Two ascending runs: a stable sort merges them.
+        both = np.sort(np.concatenate(sides), kind="stable")
+        common = np.bincount((both[1:][both[1:] == both[:-1]] >> np.uint64(HASHED)).astype(np.int64), minlength=to - at)
         over = common - SHARE * (sizes[0] + sizes[1] - common)
         keep[at:to] = over >= 0
         for i in (at + np.flatnonzero(np.abs(over) <= SLACK)).tolist():
-            keep[i] = alike(shingles(one[i]), shingles(other[i]))
-        at, size = to, 0
+            keep[i] = _same(one[i], other[i])
+        at, size, paired, own = to, 0, 0, {}
     return keep
 
 
@@ -365,7 +399,7 @@ def _compared(leaders: bool):
                     over = common - SHARE * (n + lengths - common)
                     for k in np.flatnonzero(over >= -SLACK):
                         other = own[places[k]]
-                        if root[x] != root[other] and (over[k] > SLACK or alike(shingles(forms[x]), shingles(forms[other]))):
+                        if root[x] != root[other] and (over[k] > SLACK or _same(forms[x], forms[other])):
                             links.append((int(nodes[x]), int(nodes[other])))
                             root[root == root[other]] = root[x]
         return links
@@ -405,14 +439,14 @@ def _by_group(rows: DataFrame, keys: list[str], links_of) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
-def _line_links(lines: DataFrame) -> DataFrame:
-    """``lines(node, form, size, bits, bands)``, one row per distinct form -> links that connect what similar pairs connect.
+def _line_components(lines: DataFrame) -> DataFrame:
+    """``lines(node, form, size, bits, bands)``, one row per distinct form -> ``(node, component)`` of what similar pairs connect.
 
     In bands of up to SMALL lines, bit maps tell the possible pairs: each line and the first possible one before it go on as ids
     and are verified once, by their texts; the other pairs follow where these left lines of a band in several components.
     Larger bands that the same lines have stand for one another: of each such class (by count and two 64-bit sums of the lines)
     one is kept. There every line is first held against the longest; then bands that still hold several components are
-    compared in full, block by block, skipping pairs that are connected already.
+    compared in full, block by block, skipping pairs that are connected already. Links found then join whole classes.
     """
     forms = lines.select("node", "form", "size", "bits")
     bands = lines.select("node", F.explode("bands").alias("band"))
@@ -457,7 +491,14 @@ def _line_links(lines: DataFrame) -> DataFrame:
     classes = stage(nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("class")), "classes")
     others = still_open(rest.join(classes, "node")).join(forms.drop("form"), "node")
     later = verified(met_in(others).select("a", "b").distinct())
-    return first.unionByName(stage(dealt(classes).unionByName(later), "links"))
+    links = stage(dealt(classes).unionByName(later), "links")
+    for end in ("a", "b"):
+        own = found.select(F.col("node").alias(end), F.col("component").alias("class"))
+        links = links.join(own, end, "left").withColumn(end, F.coalesce("class", end)).drop("class")
+    joined = components(links)
+    alone = joined.select("node").join(found, "node", "left_anti").select("node", F.col("node").alias("component"))
+    top = joined.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    return found.unionByName(alone).join(top, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
 
 
 @cleaned
@@ -478,7 +519,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     forms = lines.where("form is not null").select("key", "chunk", "form", "size", "bits", "bands")
     one = forms.groupBy("key").agg(F.min("chunk").alias("chunk"))
     forms = stage(forms.join(one, ["key", "chunk"], "left_semi").drop("chunk").withColumn("node", F.monotonically_increasing_id()), "forms")
-    found = components(_line_links(forms))
+    found = _line_components(forms)
     classes = stage(forms.select("key", "node").join(found, "node").select("key", "component"), "classes")
     discard(forms)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line", "chunk", "row")

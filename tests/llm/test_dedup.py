@@ -416,3 +416,30 @@ def test_frames_and_grams_are_numbered():
     text = suffix_dedup._texts(place, starts)
     assert all(starts[i] <= at < starts[i + 1] for i, at in zip(text, place))
     assert sorted(suffix_dedup._keys(pa.table({"text": texts})).tolist()) == sorted(h for _, h in set(zip(text.tolist(), hashes.tolist())))
+
+
+def test_lines_of_several_pairs_are_hashed_once(monkeypatch):
+    rng = np.random.default_rng(9)
+    lines = ["".join(rng.choice(list("abcé漢 "), rng.integers(1, 60))) for _ in range(40)]
+    one = [lines[i] for i in rng.integers(0, 40, 400)]
+    other = [x[: rng.integers(1, len(x) + 1)] for x in one]
+    plain = [line_dedup.alike(line_dedup.shingles(a), line_dedup.shingles(b)) for a, b in zip(one, other)]
+    assert [line_dedup._same(a, b) for a, b in zip(one, other)] == plain
+    for part in (1 << 17, 300):
+        hashed, members = [], line_dedup._members
+        monkeypatch.setattr(line_dedup, "PART", part)
+        with monkeypatch.context() as patch:
+            patch.setattr(line_dedup, "_members", lambda x: hashed.append(x) or members(x))
+            assert line_dedup.similar(one, other).tolist() == plain
+        assert all(len(x) == len(set(x)) for x in hashed)
+    assert len(hashed) > 1
+
+
+def test_later_links_join_whole_classes(spark):
+    base = "".join(np.random.default_rng(10).choice(list("abcdefgh"), 400))
+    chain = [base[i : i + 400 - 40] + "x" * i for i in (0, 12, 24, 36)] + ["lone line of its own", base[::-1]]
+    docs = spark.createDataFrame(list(enumerate(chain)), "doc_id long, text string")
+    near = [(a, b) for a in range(len(chain)) for b in range(a) if line_dedup.alike(line_dedup.shingles(chain[a]), line_dedup.shingles(chain[b]))]
+    root = roots(len(chain), near)
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {i: int(root[i] != i) for i in range(len(chain))} and sum(got.values()) >= 2
