@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -12,7 +14,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from callsift.llm.common import cleaned, discard, flat, mix, ramp, stage, table
 from callsift.llm.components import components
 from callsift.llm.registry import query
-from callsift.llm.tally import chunked, tally, with_codes, with_rows
+from callsift.llm.tally import FIRST, chunked, tally, with_codes, with_rows
 
 SHINGLE, SHARE = 8, 0.75
 #: 128 bins of one permutation; 25 bands of 5: lines right at 0.75 meet in one with a probability above 0.998, unrelated ones
@@ -70,11 +72,11 @@ def bit_maps(lines: list[str]) -> np.ndarray:
 
 
 def _mix32(x: np.ndarray) -> np.ndarray:
-    x ^= x >> np.uint32(16)
-    x *= np.uint32(0x85EBCA6B)
-    x ^= x >> np.uint32(13)
-    x *= np.uint32(0xC2B2AE35)
-    x ^= x >> np.uint32(16)
+    moved = np.empty_like(x)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        x ^= np.right_shift(x, np.uint32(shift), out=moved)
+        if factor > 1:
+            x *= np.uint32(factor)
     return x
 
 
@@ -82,17 +84,20 @@ def _rolled(points: np.ndarray) -> np.ndarray:
     """A 32-bit hash of the shingle that starts at each character."""
     rolled = _mix32(points + np.uint32(0x9F3A7C15))
     for width in (1, 2, 4):
-        rolled = rolled[: max(0, len(rolled) - width)] * np.uint32(0x7F4A7C15 + 2 * width) + rolled[width:]
+        later = rolled[width:]
+        rolled = rolled[: len(later)] * np.uint32(0x7F4A7C15 + 2 * width)
+        rolled += later
         rolled ^= rolled >> np.uint32(15)
     return _mix32(rolled)
 
 
 def _rolled_wide(points: np.ndarray) -> np.ndarray:
-    """The same with 64 bits."""
-    rolled = mix(points.astype(np.uint64) + SEED)
+    """The same with 64 bits, a sum of products of the characters that is mixed at the end."""
+    rolled = points.astype(np.uint64)
     for i, width in enumerate((1, 2, 4)):
-        rolled = rolled[: max(0, len(rolled) - width)] * MULTIPLIERS[i] + rolled[width:]
-        rolled ^= rolled >> np.uint64(32)
+        later = rolled[width:]
+        rolled = rolled[: len(later)] * MULTIPLIERS[i]
+        rolled += later
     return mix(rolled)
 
 
@@ -116,25 +121,25 @@ def _hashed(lines: list[str], rolled=_rolled, short_hash=xxhash.xxh32_intdigest)
 
 def _band_keys(lines: list[str]) -> np.ndarray:
     """Each shingle is hashed once and competes in one bin; an empty bin borrows from the next one that isn't, along with
-    the distance, so short lines have whole signatures as well."""
+    the distance, so short lines have whole signatures as well. A hash is turned so that its bin comes first: the least of
+    a bin and all later ones is then that of the next bin that isn't empty."""
     n = len(lines)
     hashes, row = _hashed(lines)
-    least = np.full(n * BINS, EMPTY)
-    np.minimum.at(least, row * BINS + (hashes & np.uint32(BINS - 1)), hashes >> np.uint32(7))
-    filled = least != EMPTY
-    values = least.astype(np.uint64) * np.uint64(2 * BINS + 1)
-    full, empty = np.flatnonzero(filled), np.flatnonzero(~filled)
-    before, line = np.cumsum(filled), empty // BINS
+    least = np.full((BINS, n), EMPTY)
+    places = (hashes & np.uint32(BINS - 1)).astype(np.int64)
+    places *= n
+    places += row
+    np.minimum.at(least.reshape(-1), places, hashes >> np.uint32(7) | hashes << np.uint32(25))
+    for i in range(BINS - 2, -1, -1):
+        np.minimum(least[i], least[i + 1], out=least[i])
     # Past the last bin of a line its first ones follow.
-    after, last = before[empty], before[line * BINS + BINS - 1]
-    after = np.where(after < last, after, (before - filled)[line * BINS])
-    source = full[after]
-    values[empty] = values[source] + ((source - empty) % BINS).astype(np.uint64)
-    values = values.reshape(n, BINS)
-    keys = np.zeros((n, BANDS), np.uint64)
+    least = np.where(least == EMPTY, least[0], least)
+    values = (least & np.uint32((1 << 25) - 1)).astype(np.uint64) * np.uint64(2 * BINS + 1)
+    values += ((least >> np.uint32(25)) - np.arange(BINS, dtype=np.uint32)[:, None]) & np.uint32(BINS - 1)
+    keys = np.zeros((BANDS, n), np.uint64)
     for i in range(ROWS):
-        keys += values[:, i : BANDS * ROWS : ROWS] * MULTIPLIERS[i]
-    return mix(keys + np.arange(BANDS, dtype=np.uint64) * SEED)
+        keys += values[i : BANDS * ROWS : ROWS] * MULTIPLIERS[i]
+    return np.ascontiguousarray(mix(keys + np.arange(BANDS, dtype=np.uint64)[:, None] * SEED).T)
 
 
 def _bit_maps(lines: list[str]) -> np.ndarray:
@@ -152,10 +157,16 @@ def possible(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
     return common >= SHARE * (common + more + less)
 
 
-def _lines(documents: pa.Table) -> tuple[list[tuple[int, int, str]], dict[str, int]]:
-    """Lines that are not blank as (row, line number, normal form), and the distinct forms."""
-    every = [(i, j, form) for i, text in enumerate(documents.column("text").to_pylist()) for j, form in enumerate(_normal_lines(text or "")) if form]
-    return every, {form: n for n, form in enumerate(dict.fromkeys(x[2] for x in every))}
+def _lines(documents: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """Row, line number and form (its number) of the lines that are not blank, and the distinct normal forms."""
+    texts = [_normal_lines(text or "") for text in documents.column("text").to_pylist()]
+    counts, every = np.array([len(x) for x in texts], np.int64), list(chain.from_iterable(texts))
+    numbers = dict.fromkeys(every)
+    numbers.pop("", None)
+    numbers = {form: n for n, form in enumerate(numbers)}
+    form = np.array([numbers.get(x, -1) for x in every], np.int64)
+    kept = np.flatnonzero(form >= 0)
+    return np.repeat(np.arange(len(texts)), counts)[kept], ramp(counts)[kept], form[kept], list(numbers)
 
 
 def _digests(forms) -> list[bytes]:
@@ -169,12 +180,12 @@ def _exact_keys(digests: list[bytes]) -> np.ndarray:
 def _keys(documents: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the bands, and of the forms themselves: counts of bands may be too high, a form's own count must not be, as
     bands are held against it."""
-    _, forms = _lines(documents)
-    return band_keys(list(forms)).ravel(), _exact_keys(_digests(forms))
+    *_, forms = _lines(documents)
+    return band_keys(forms).ravel(), _exact_keys(_digests(forms))
 
 
 COUNTS = StructType([StructField("n_lines", LongType()), StructField("n_removed", LongType()), StructField("removed", ArrayType(IntegerType()))])
-LINE = "chunk long, row int, line int, doc_id long, key binary, copied boolean, form string, size int, bits binary, bands array<long>"
+LINE = "chunk long, row int, line int, doc_id long, key binary, copied boolean, form string, size int, bits binary, bands array<long>, wide array<long>"
 
 
 def _answers(keys: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, int]:
@@ -188,28 +199,33 @@ def _answers(keys: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def _marked(documents: pa.Table, codes: np.ndarray, chunk: int) -> pa.Table:
-    """Lines that occur elsewhere too (copied) or share a band with another form; the first of such a form in the chunk carries
-    text, bit map and bands. Keys are counted once for each form and chunk, so a band that more chunks have than the form is another's too."""
-    every, forms = _lines(documents)
-    lines, n = list(forms), len(forms)
-    digests, bands = _digests(forms), band_keys(lines)
+    """Lines that occur elsewhere too (copied) or share a band with another form; the first of such a form in the first
+    chunk that has it carries text, bit map, bands and those that may have more than SMALL lines. Keys are counted once for each form and
+    chunk, so a band that more chunks have than the form is another's too, and none has more lines than its count."""
+    row, line, form, lines = _lines(documents)
+    n = len(lines)
+    digests, bands = _digests(lines), band_keys(lines)
     exact = _exact_keys(digests)
-    row, line, form = (np.array(x, np.int64) for x in (([x[0] for x in every], [x[1] for x in every], [forms[x[2]] for x in every])))
     sharers, known = _answers(bands.ravel(), codes)
     sharers = sharers.reshape(bands.shape)
-    chunks, _ = _answers(exact, codes[known:])
+    told, _ = _answers(exact, codes[known:])
+    chunks = told & np.uint16(FIRST - 1)
     copied = (chunks > 1) | (np.bincount(form, minlength=n) > 1)
     met = (sharers > chunks[:, None]) | (sharers == 0xFFFF)
     similar = met.any(axis=1)
     first = np.zeros(len(form), bool)
     first[np.unique(form, return_index=True)[1]] = True
     kept = np.flatnonzero(copied[form] | similar[form])
-    row, line, form, first = row[kept], line[kept], form[kept], (first & similar[form])[kept]
+    row, line, form, first = row[kept], line[kept], form[kept], (first & (similar & (told >= FIRST))[form])[kept]
     texts = [lines[i] if x else None for i, x in zip(form.tolist(), first.tolist())]
     maps = iter(bit_maps([x for x in texts if x is not None]))
     met[~similar] = False
-    shared = np.where(first, met.sum(axis=1)[form], 0)
-    values = bands[form[first]][met[form[first]]].view(np.int64)
+
+    def listed(which: np.ndarray) -> pa.Array:
+        ends = np.cumsum(np.where(first, which.sum(axis=1)[form], 0))
+        values = bands[form[first]][which[form[first]]].view(np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values))
+
     columns = {
         "chunk": pa.array(np.full(len(kept), chunk)),
         "row": pa.array(row.astype(np.int32)),
@@ -220,7 +236,8 @@ def _marked(documents: pa.Table, codes: np.ndarray, chunk: int) -> pa.Table:
         "form": pa.array(texts, pa.string()),
         "size": pa.array([None if x is None else max(1, len(x) - SHINGLE + 1) for x in texts], pa.int32()),
         "bits": pa.array([None if x is None else next(maps).tobytes() for x in texts], pa.binary()),
-        "bands": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(shared)]).astype(np.int32)), pa.array(values)),
+        "bands": listed(met),
+        "wide": listed(met & (sharers > SMALL)),
     }
     return pa.table(columns)
 
@@ -356,8 +373,8 @@ def _met(batches):
 def _compared(leaders: bool):
     """Verified links of one band's lines: with the longest line only, or between all of different classes.
 
-    The lines of two tiles are numbered by their shingles at a time, so that a line is held against all others by one gather;
-    as in ``similar``, the shingles themselves decide near the threshold.
+    The lines of two tiles are numbered by their shingles at a time, so that a line is held against all others by one gather
+    of their shingles, or of the lines that have its own; as in ``similar``, the shingles themselves decide near the threshold.
     """
 
     def run(key: tuple[int, ...], rows: pa.Table) -> list[tuple[int, int]]:
@@ -384,6 +401,11 @@ def _compared(leaders: bool):
                 starts = np.searchsorted(members, np.arange(len(own), dtype=np.uint64) << np.uint64(HASHED))
                 starts, every = np.append(starts, len(members)), np.unique(members & np.uint64((1 << HASHED) - 1), return_inverse=True)[1]
                 mark = np.zeros(every.max() + 1, bool)
+                # The lines of each shingle, ascending, and where each line stands among them.
+                holders, ends = np.argsort(every, kind="stable"), np.cumsum(np.bincount(every))
+                stands, after = np.empty(len(every), np.int64), ends[every]
+                stands[holders] = np.arange(len(every))
+                holders = np.repeat(np.arange(len(own)), np.diff(starts))[holders]
                 for at, x in enumerate(xs):
                     places = np.arange(at + 1 if one else len(xs), len(own))
                     y = own[places]
@@ -393,9 +415,15 @@ def _compared(leaders: bool):
                     if not len(places):
                         continue
                     n, lengths = starts[at + 1] - starts[at], starts[places + 1] - starts[places]
-                    mark[every[starts[at] : starts[at + 1]]] = True
-                    common = np.add.reduceat(mark[every[np.repeat(starts[places], lengths) + ramp(lengths)]], np.cumsum(lengths) - lengths, dtype=np.int64)
-                    mark[every[starts[at] : starts[at + 1]]] = False
+                    within = slice(starts[at], starts[at + 1])
+                    later = after[within] - stands[within] - 1
+                    # Of the shingles of the other lines and the other lines of its shingles, the fewer are gone through.
+                    if later.sum() < lengths.sum():
+                        common = np.bincount(holders[np.repeat(stands[within] + 1, later) + ramp(later)], minlength=len(own))[places]
+                    else:
+                        mark[every[within]] = True
+                        common = np.add.reduceat(mark[every[np.repeat(starts[places], lengths) + ramp(lengths)]], np.cumsum(lengths) - lengths, dtype=np.int64)
+                        mark[every[within]] = False
                     over = common - SHARE * (n + lengths - common)
                     for k in np.flatnonzero(over >= -SLACK):
                         other = own[places[k]]
@@ -440,16 +468,16 @@ def _by_group(rows: DataFrame, keys: list[str], links_of) -> DataFrame:
 
 
 def _line_components(lines: DataFrame) -> DataFrame:
-    """``lines(node, form, size, bits, bands)``, one row per distinct form -> ``(node, component)`` of what similar pairs connect.
+    """``lines(node, form, size, bits, bands, wide)``, one row per distinct form -> ``(node, component)`` of what similar pairs connect.
 
-    In bands of up to SMALL lines, bit maps tell the possible pairs: each line and the first possible one before it go on as ids
+    Bands that are not in ``wide`` have up to SMALL lines. In bands of up to SMALL lines, bit maps tell the possible pairs: each line and the first possible one before it go on as ids
     and are verified once, by their texts; the other pairs follow where these left lines of a band in several components.
     Larger bands that the same lines have stand for one another: of each such class (by count and two 64-bit sums of the lines)
     one is kept. There every line is first held against the longest; then bands that still hold several components are
     compared in full, block by block, skipping pairs that are connected already. Links found then join whole classes.
     """
     forms = lines.select("node", "form", "size", "bits")
-    bands = lines.select("node", F.explode("bands").alias("band"))
+    bands = lines.select("node", F.explode("wide").alias("band"))
     sums = (F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     large = stage(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") > SMALL), "large")
     small = lines.select("node", "size", "bits", F.explode("bands").alias("band")).join(large.select("band"), "band", "left_anti")
@@ -475,7 +503,7 @@ def _line_components(lines: DataFrame) -> DataFrame:
     def dealt(classes: DataFrame | None) -> DataFrame:
         rows, blocks = groups.withColumn("class", F.col("node")), F.ceil(F.col("n") / BLOCK).cast("int")
         if classes is not None:
-            rows = still_open(groups.join(classes, "node"))
+            rows = stage(still_open(groups.join(classes, "node")), "unsettled")
         rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         if classes is None:
             rows = rows.withColumn("low", F.col("block")).withColumn("high", F.col("block"))
@@ -490,7 +518,8 @@ def _line_components(lines: DataFrame) -> DataFrame:
     nodes = groups.select("node").unionByName(rest.select("node")).distinct()
     classes = stage(nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("class")), "classes")
     others = still_open(rest.join(classes, "node")).join(forms.drop("form"), "node")
-    later = verified(met_in(others).select("a", "b").distinct())
+    # Few are left: staged, their size is known, so that Spark need not shuffle all texts for them.
+    later = verified(stage(met_in(others).select("a", "b").distinct(), "later"))
     links = stage(dealt(classes).unionByName(later), "links")
     for end in ("a", "b"):
         own = found.select(F.col("node").alias(end), F.col("component").alias("class"))
@@ -513,15 +542,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """
     docs = docs.drop("n_lines", "n_removed", "removed")
     chunks = chunked(docs)
-    codes = tally(chunks, _keys, BANDS / 300)
-    lines = stage(with_codes(chunks, codes, _marked, LINE, counts=True), "lines")
-    # A chunk carries a form once; of the chunks that do, the least is found by a hash aggregation of short columns.
-    forms = lines.where("form is not null").select("key", "chunk", "form", "size", "bits", "bands")
-    one = forms.groupBy("key").agg(F.min("chunk").alias("chunk"))
-    forms = stage(forms.join(one, ["key", "chunk"], "left_semi").drop("chunk").withColumn("node", F.monotonically_increasing_id()), "forms")
+    codes = tally(chunks, _keys, BANDS / 300, firsts=True)
+    lines = stage(with_codes(chunks, codes, _marked, LINE, counts=True).withColumn("node", F.monotonically_increasing_id()), "lines")
+    forms = lines.where("form is not null").select("key", "node", "form", "size", "bits", "bands", "wide")
     found = _line_components(forms)
     classes = stage(forms.select("key", "node").join(found, "node").select("key", "component"), "classes")
-    discard(forms)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line", "chunk", "row")
     placed = lines.select("key", "copied", "chunk", "row", "line", place.alias("place")).join(classes, "key", "left").where("copied or component is not null")
     placed = stage(placed.withColumn("class", F.coalesce(F.col("component").cast("string"), F.hex("key"))).drop("component", "key", "copied"), "places")

@@ -24,6 +24,8 @@ CHUNK_BYTES = 8 << 20
 BUCKET_KEYS, LEAST_BUCKETS = 2 << 20, 128
 #: Keys that are compared in full are few beside the others: their buckets are fewer by so many bits.
 WHOLE_BITS = 4
+#: The bit of a code that tells the first of the chunks that have a key.
+FIRST = 1 << 15
 
 
 def pickled(table: pa.Table) -> bytes:
@@ -63,13 +65,14 @@ def text_bytes(chunks: DataFrame) -> int:
     return chunks.agg(F.sum("size")).first()[0] or 0
 
 
-def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray | tuple[np.ndarray, np.ndarray]], keys_per_byte: float) -> DataFrame:
+def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray | tuple[np.ndarray, np.ndarray]], keys_per_byte: float, firsts: bool = False) -> DataFrame:
     """``(chunk, bucket, codes binary)``: for the distinct keys of ``keys_of`` of a chunk, ascending, how many documents have them.
 
     ``keys_of`` gives the 64-bit keys of a chunk, one for each document that holds it. Counts are 16 bits wide and stop at
     65,535. Keys are compared by bucket and 32 more bits, so a count may be too high, in the same way for every
     holder, never too low. A second array of ``keys_of`` holds keys that are compared with one another only and in all their
-    bits, so different ones are never counted together; their codes come after those of the first.
+    bits, so different ones are never counted together; their codes come after those of the first. With ``firsts`` their counts
+    stop at 32,767, and the code of the smallest chunk that has a key carries FIRST as well.
     """
     total = int(text_bytes(chunks) * keys_per_byte)
     bits = max(LEAST_BUCKETS - 1, total // BUCKET_KEYS).bit_length()
@@ -97,6 +100,8 @@ def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray | tuple[np
 
     def answered(bucket, rows):
         whole = bucket[0].as_py() >> bits
+        if whole and firsts:
+            rows = rows.sort_by("chunk")
         blobs = rows.column("keys").to_pylist()
         low = np.frombuffer(b"".join(blobs), np.uint64 if whole else np.uint32)
         sizes = [len(x) // low.itemsize for x in blobs]
@@ -112,6 +117,9 @@ def tally(chunks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray | tuple[np
         times = np.add.reduceat(counts[order], starts, dtype=np.int64)
         codes = np.empty(len(low), np.uint16)
         codes[order] = np.repeat(np.minimum(times, 0xFFFF).astype(np.uint16), np.diff(np.append(starts, len(low))))
+        if whole and firsts:
+            codes = np.minimum(codes, FIRST - 1)
+            codes[np.minimum.reduceat(order, starts)] |= FIRST
         ends = np.cumsum(sizes)
         back = [codes[b - n : b].tobytes() for n, b in zip(sizes, ends)]
         return pa.table({"chunk": rows.column("chunk"), "bucket": pa.array([bucket[0].as_py()] * len(back), pa.int32()), "codes": pa.array(back, pa.binary())})

@@ -15,7 +15,7 @@ from callsift.llm.components import components
 from callsift.llm.exact_dedup import cut_points, exact_dedup
 from callsift.llm.rtree import CountTree
 from callsift.llm.suffix_array import suffix_order
-from callsift.llm.tally import chunked, tally, with_codes
+from callsift.llm.tally import FIRST, chunked, tally, with_codes
 
 
 def roots(n, links):
@@ -443,3 +443,64 @@ def test_later_links_join_whole_classes(spark):
     root = roots(len(chain), near)
     got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(docs).collect()}
     assert got == {i: int(root[i] != i) for i in range(len(chain))} and sum(got.values()) >= 2
+
+
+def test_first_chunk_of_a_key_is_told(spark):
+    def keys_of(documents):
+        n = np.array([int(x) for x in documents.column("text").to_pylist()], np.uint64)
+        return n, n
+
+    def counted(documents, codes, chunk):
+        return pa.table({"chunk": pa.array([chunk]), "texts": pa.array([documents.column("text").to_pylist()]), "codes": pa.array([codes.tolist()], pa.list_(pa.int32()))})
+
+    rows = [("1",), ("2",), ("2",), ("3",), ("1",), ("3",)]
+    chunks = chunked(spark.createDataFrame(rows, "text string").repartition(3))
+    made = with_codes(chunks, tally(chunks, keys_of, 1, firsts=True), counted, "chunk long, texts array<string>, codes array<int>", counts=True).collect()
+    seen = {}
+    for r in sorted(made, key=lambda r: r.chunk):
+        own = sorted({int(x) for x in r.texts})
+        for key, code in zip(own, r.codes[len(own) :]):
+            assert code == 2 + (0 if key in seen else FIRST)
+            seen[key] = r.chunk
+    assert set(seen) == {1, 2, 3}
+
+
+def test_a_form_is_told_once(spark):
+    """Only the first chunk that has a form carries its text, and only bands that may be large are told as wide."""
+    one = "a line that many documents of several chunks have in common"
+    texts = [one, one + " and more", "x" * 70 + one]
+    chunks = chunked(spark.createDataFrame([(i, texts[i % 3]) for i in range(12)], "doc_id long, text string").repartition(4))
+    codes = tally(chunks, line_dedup._keys, 1, firsts=True)
+    rows = with_codes(chunks, codes, line_dedup._marked, line_dedup.LINE, counts=True).collect()
+    told = [r.form for r in rows if r.form is not None]
+    assert len(told) == len(set(told)) and set(told) >= set(texts[:2]) and len(rows) == 12
+    assert all(r.bands and not r.wide for r in rows if r.form is not None)
+
+
+def test_long_lines_of_a_block_are_counted_by_shingle(monkeypatch):
+    rng = np.random.default_rng(12)
+    bases = ["".join(rng.choice(list("abcdefgh é漢"), 900)) for _ in range(6)]
+    forms = [b[:at] + "#" * int(n) + b[at:] for b in bases for at, n in zip(rng.integers(0, 900, 5), (1, 60, 120, 200, 300))]
+    near = [(i, j) for i in range(len(forms)) for j in range(i) if line_dedup.alike(line_dedup.shingles(forms[i]), line_dedup.shingles(forms[j]))]
+    maps = line_dedup.bit_maps(forms)
+    rows = pa.table(
+        {
+            "node": pa.array(range(len(forms)), pa.int64()),
+            "class": pa.array(range(len(forms)), pa.int64()),
+            "form": forms,
+            "size": pa.array([len(x) - line_dedup.SHINGLE + 1 for x in forms], pa.int32()),
+            "bits": pa.array([x.tobytes() for x in maps], pa.binary()),
+            "block": pa.array([0] * len(forms), pa.int32()),
+        }
+    )
+    gathered, line_dedup_ramp = [], line_dedup.ramp
+    for held in (line_dedup.HELD, 8000):
+        monkeypatch.setattr(line_dedup, "HELD", held)
+        links = line_dedup._compared(False)((0, 0, 0), rows)
+        assert roots(len(forms), links) == roots(len(forms), near)
+    monkeypatch.setattr(line_dedup, "possible", lambda a, b, *sizes: np.ones(len(b), bool))
+    with monkeypatch.context() as patch:
+        patch.setattr(line_dedup, "ramp", lambda counts: gathered.append(int(np.sum(counts))) or line_dedup_ramp(counts))
+        assert roots(len(forms), line_dedup._compared(False)((0, 0, 0), rows)) == roots(len(forms), near)
+    # 375 pairs of unrelated lines have 900 shingles or more each.
+    assert sum(gathered) < 200_000
