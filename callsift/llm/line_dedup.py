@@ -476,7 +476,7 @@ def _line_components(lines: DataFrame) -> DataFrame:
     one is kept. There every line is first held against the longest; then bands that still hold several components are
     compared in full, block by block, skipping pairs that are connected already. Links found then join whole classes.
     """
-    forms = lines.select("node", "form", "size", "bits")
+    maps, forms = lines.select("node", "size", "bits"), lines.where(F.size("wide") > 0).select("node", "form", "size", "bits")
     bands = lines.select("node", F.explode("wide").alias("band"))
     sums = (F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     large = stage(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") > SMALL), "large")
@@ -517,7 +517,7 @@ def _line_components(lines: DataFrame) -> DataFrame:
     found = components(first)
     nodes = groups.select("node").unionByName(rest.select("node")).distinct()
     classes = stage(nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("class")), "classes")
-    others = still_open(rest.join(classes, "node")).join(forms.drop("form"), "node")
+    others = still_open(rest.join(classes, "node")).join(maps, "node")
     # Few are left: staged, their size is known, so that Spark need not shuffle all texts for them.
     later = verified(stage(met_in(others).select("a", "b").distinct(), "later"))
     links = stage(dealt(classes).unionByName(later), "links")
