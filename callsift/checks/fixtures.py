@@ -5,12 +5,16 @@ Texts marked SHARED run unchanged in both engines.
 
 from __future__ import annotations
 
+import os
 import re
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.session import spread
+from callsift.operators.inference import ARROW_ROWS
+from callsift.session import at_most, spread
 
 TABLES = ("documents", "labels", "events", "pages", "conversations", "orders", "lineitem")
 
@@ -304,3 +308,55 @@ select call_id, conv_id, n,
   case when n % 12 in (3, 5, 6, 7, 8, 9, 10) then 3 when n % 12 = 2 then 2 else 1 end attempts
 from (select call_id, conv_id, least(length(text), 5000) n from turns)
 """
+
+
+# --- many small text files ----------------------------------------------------------------------
+
+FOLDERS = ("cat", "page")
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+ROWS_AT_ONCE = 256
+
+
+def file_writer(root: str):
+    """Function over the batches of a partition that is sorted by ``FOLDERS`` and value: a file per row, rows of one folder are numbered.
+
+    A file appears under its name when it is whole, and a task that is done again puts the same one in its place.
+    """
+
+    def write(batches):
+        task, last, number, files = TaskContext.get(), None, 0, 0
+        for batch in batches:
+            for *own, value in zip(*(batch.column(c).to_pylist() for c in FOLDERS), batch.column("value"), strict=True):
+                folder = os.path.join(root, *(f"{c}={NO_VALUE if v is None else v}" for c, v in zip(FOLDERS, own, strict=True)))
+                number = number + 1 if own == last else 0
+                if own != last:
+                    os.makedirs(folder, exist_ok=True)
+                name = f"part-{task.partitionId():05d}.c{number:03d}.txt"
+                unfinished = os.path.join(folder, f"_{name}.{task.taskAttemptId()}")
+                with open(unfinished, "wb") as file:
+                    file.write(value.as_buffer())
+                    file.write(b"\n")
+                os.replace(unfinished, os.path.join(folder, name))
+                last, files = own, files + 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})
+
+    return write
+
+
+def write_files(rows: DataFrame, root: str) -> None:
+    """Rows (cat, page, value), whole numbers and text, as text files of one row each, in folders by category and page.
+
+    On a local disk Spark's writer starts processes that set the mode of each file and folder, and its commit moves folders one by
+    one, so there tasks write the files themselves. A store that only Spark reaches is left to its writer.
+    """
+    spark = rows.sparkSession
+    dealt = rows.repartition("page")
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.getUri().getScheme() != "file":
+        dealt.write.option("maxRecordsPerFile", 1).partitionBy(*FOLDERS).text(root)
+        return
+    store.mkdirs(top)
+    ordered = dealt.sortWithinPartitions(*FOLDERS, "value").withColumn("value", F.col("value").cast("binary"))
+    with at_most(spark, ARROW_ROWS, ROWS_AT_ONCE):
+        ordered.mapInArrow(file_writer(top.toUri().getPath()), "files bigint").write.format("noop").mode("overwrite").save()

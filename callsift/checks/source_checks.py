@@ -136,7 +136,7 @@ def transcript_files(spark, sf_dir):
     documents = fx.table(spark, sf_dir, "pages").select(
         (number % 7).alias("cat"), number.alias("page"), F.when(number % 6 < 4, body).when(number % 6 == 4, F.lit("[]")).otherwise(F.concat(body, F.lit("}"))).alias("value")
     )
-    documents.repartition("page").write.partitionBy("cat", "page").text(root)
+    fx.write_files(documents, root)
     out = src.read_transcript_files(spark, root, "*.txt")
     return out.select(
         F.regexp_extract("source_path", "/page=([0-9]+)/", 1).cast("bigint").alias("page_id"),

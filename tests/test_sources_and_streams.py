@@ -11,7 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from callsift.checks import source_checks
+from callsift.checks import fixtures, source_checks
 from callsift.checks.stub import stub_model
 from callsift.functions import json_strict
 from callsift.functions import paths as p
@@ -392,3 +392,51 @@ def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
     tasks = [told.getStageInfo(s).numTasks for j in told.getJobIdsForGroup("listing") for s in told.getJobInfo(j).stageIds]
     assert tasks and max(tasks) <= src.LISTING_TASKS * spark.sparkContext.defaultParallelism
     assert files.count() == 120 and spark.conf.get(src.LISTING) == own
+
+
+def test_many_small_files_are_read_by_few_tasks(spark, tmp_path):
+    for n in range(80):
+        (tmp_path / f"{n}.json").write_text('{"text": "x"}')
+    (tmp_path / "packed.json.gz").write_bytes(gzip.compress(b'{"text": "x"}\n'))
+    own = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))
+    try:
+        for glob, want in {"*.json": 80, "*.json*": 81, "*.gz": 1}.items():
+            files = src.read_transcript_files(spark, str(tmp_path), glob)
+            assert files.rdd.getNumPartitions() <= src.READING_TASKS * spark.sparkContext.defaultParallelism
+            assert [(r.text, r.document_error) for r in files.collect()] == [("x", None)] * want
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", own)
+
+
+@pytest.mark.parametrize("glob", ["*.json", "*"])
+def test_lines_of_files_are_those_of_the_text_reader(spark, tmp_path, glob):
+    odd = [b"", b"\n", b"\r", b"a", b"a\n", b"a\n\n", b"\n\ra", b"a\r\nb\rc\n", b"\xef\xbb\xbfa\nb", b"\xef\xbb\xbf", b"\xef\xbb\xbf\n", "é\u2028\u0085x\x0b\x0c\n".encode(), b"a\x00b\n", "a\n\ufeffb".encode()]
+    for n, body in enumerate(odd):
+        (tmp_path / f"f{n}.json").write_bytes(body)
+    want = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path)).select("value", F.col("_metadata.file_path").alias("file_path"))
+    assert sorted(src.file_lines(spark, str(tmp_path), glob).collect()) == sorted(want.collect())
+
+
+def test_pages_are_files_of_their_own(spark, tmp_path):
+    pages = [(n, f"https://x/{n}", f"<p>{n}\né</p>" if n % 5 else None) for n in [*range(60), 7, 7, 10]]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    rows = source_checks.transcript_files(spark, str(tmp_path)).collect()
+    error = {4: "transcript is not an object", 5: "json_parse_error"}
+    want = [(n, f"cat={n % 7}", True, (html or "") if n % 6 < 4 else "", error.get(n % 6)) for n, _, html in pages]
+    assert sorted(map(tuple, rows), key=str) == sorted(want, key=str)
+
+
+def test_written_files(spark, tmp_path):
+    rows = [(1, 8, "b"), (1, 8, "a"), (1, 8, "a"), (2, 9, "é\nc"), (None, None, "n"), (0, 7, "")]
+    df = spark.createDataFrame(rows, "cat long, page long, value string")
+    own = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for root in (tmp_path / "a b", tmp_path / "again"):
+        fixtures.write_files(df, str(root) if root.name == "a b" else root.as_uri())
+        found = sorted((str(f.parent.relative_to(root)), f.read_text(encoding="utf-8")) for f in root.rglob("*.txt"))
+        none = fixtures.NO_VALUE
+        assert found == [("cat=0/page=7", "\n"), *[("cat=1/page=8", f"{v}\n") for v in "aab"], ("cat=2/page=9", "é\nc\n"), (f"cat={none}/page={none}", "n\n")]
+        assert not [f for f in root.rglob("_*") if f.is_file()]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == own
+    fixtures.write_files(df.limit(0), str(tmp_path / "none"))
+    assert src.read_transcript_files(spark, str(tmp_path / "none"), "*.txt").count() == 0
